@@ -1 +1,149 @@
-"""Registry entries (filled in below)."""
+"""Registry: column functions on whole test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skyledger.functions.calendar import parse_timestamp
+from skyledger.functions.casts import text_to_int
+from skyledger.functions.geo import haversine_km
+from skyledger.functions.text import (ACCENT_DST, ACCENT_SRC, TRANSLITERATION, VALID_PLACE_PATTERN,
+                                      default_if_blank, first_present, normalize_name, normalize_text_trim,
+                                      nth_piece, strip_accents, valid_or_unknown, with_normalized)
+from skyledger.plans.registry import register
+from skyledger.plans.tables import Tables
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_transliterate(expr: str) -> str:
+    """The same letter tables as ``transliterate`` written for DuckDB."""
+    e = f"translate({expr}, {_sql_str(ACCENT_SRC)}, {_sql_str(ACCENT_DST)})"
+    for k, v in TRANSLITERATION.items():
+        if len(v) > 1:
+            e = f"replace({e}, {_sql_str(k)}, {_sql_str(v)})"
+    src = "".join(k for k, v in TRANSLITERATION.items() if len(v) == 1)
+    dst = "".join(v for v in TRANSLITERATION.values() if len(v) == 1)
+    return f"translate({e}, {_sql_str(src)}, {_sql_str(dst)})"
+
+
+def sql_initcap(expr: str) -> str:
+    """Upper first letter after a space, rest lower (DuckDB has no initcap)."""
+    return f"array_to_string(list_transform(string_split(lower({expr}), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+
+
+@register("cast_chain", "B4", sql="""
+SELECT event_id, CAST(trunc(CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS INTEGER) AS code
+FROM events
+""")
+def cast_chain(spark, d):
+    e = Tables(spark, d).events
+    return e.select("event_id", text_to_int(F.col("value").cast("string")).alias("code"))
+
+
+@register("validate_text", "B9", sql=f"""
+SELECT doc_id,
+  CASE WHEN regexp_matches(lang, {_sql_str(VALID_PLACE_PATTERN)}) THEN lang ELSE 'Unknown' END AS lang_valid,
+  CASE WHEN regexp_matches(source, {_sql_str(VALID_PLACE_PATTERN)}) THEN source ELSE 'Unknown' END AS source_valid,
+  CASE WHEN regexp_matches(text, {_sql_str(VALID_PLACE_PATTERN)}) THEN text ELSE 'Unknown' END AS text_valid
+FROM documents
+""")
+def validate_text(spark, d):
+    docs = Tables(spark, d).documents
+    return docs.select("doc_id", valid_or_unknown("lang").alias("lang_valid"),
+                       valid_or_unknown("source").alias("source_valid"), valid_or_unknown("text").alias("text_valid"))
+
+
+@register("default_fill", "B10 H15 H16", sql="""
+WITH c AS (
+  SELECT c_custkey,
+         nullif(c_mktsegment, 'BUILDING') AS city,
+         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN '' ELSE c_name END AS town,
+         c_name
+  FROM customer)
+SELECT c_custkey,
+       coalesce(nullif(town, ''), nullif(city, ''), 'Unknown') AS place,
+       CASE WHEN town IS NULL OR town = '' THEN 'Unknown' ELSE town END AS town_filled,
+       upper(substring(lower(c_name), 1, 8)) AS code
+FROM c
+""")
+def default_fill(spark, d):
+    c = Tables(spark, d).customer.select(
+        "c_custkey", "c_name",
+        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("city"),
+        F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit("")).otherwise(F.col("c_name")).alias("town"))
+    return c.select("c_custkey", first_present("town", "city").alias("place"),
+                    default_if_blank("town", "Unknown").alias("town_filled"),
+                    F.upper(F.substring(F.lower(F.col("c_name")), 1, 8)).alias("code"))
+
+
+@register("strip_accents", "I1", sql="""
+SELECT doc_id, strip_accents(text) AS text FROM documents
+""")
+def strip_accents_q(spark, d):
+    docs = Tables(spark, d).documents
+    return docs.select("doc_id", strip_accents("text").alias("text"))
+
+
+@register("normalize_text", "H9 H10 H19 I1", sql=f"""
+SELECT doc_id, text AS raw_text,
+       regexp_replace({sql_initcap(sql_transliterate('text'))}, '\\s+', ' ', 'g') AS text
+FROM documents
+""")
+def normalize_text(spark, d):
+    docs = Tables(spark, d).documents.select("doc_id", "text")
+    out = with_normalized(docs, "text", normalize_name)
+    return out.select("doc_id", "raw_text", "text")
+
+
+@register("normalize_text_trim", "H11")
+def normalize_text_trim_q(spark, d):
+    docs = Tables(spark, d).documents
+    return docs.select("doc_id", normalize_text_trim("text").alias("text"))
+
+
+@register("split_name", "H8", sql="""
+SELECT 'part' AS src, p_partkey AS k, string_split(p_name, ' ')[1] AS first_piece,
+       string_split(p_name, ' ')[2] AS second_piece FROM part
+UNION ALL
+SELECT 'nation', CAST(n_nationkey AS BIGINT), string_split(n_name, ' ')[1], string_split(n_name, ' ')[2] FROM nation
+""")
+def split_name(spark, d):
+    t = Tables(spark, d)
+    p = t.part.select(F.lit("part").alias("src"), F.col("p_partkey").alias("k"), F.col("p_name").alias("name"))
+    n = t.nation.select(F.lit("nation").alias("src"), F.col("n_nationkey").cast("long").alias("k"),
+                        F.col("n_name").alias("name"))
+    both = p.unionByName(n)
+    return both.select("src", "k", nth_piece("name", " ", 0).alias("first_piece"),
+                       nth_piece("name", " ", 1).alias("second_piece"))
+
+
+@register("parse_ts", "H12 H13", sql="""
+SELECT event_id, date_trunc('second', ts) AS start_date FROM events
+""")
+def parse_ts(spark, d):
+    e = Tables(spark, d).events
+    quoted = F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit('"'))
+    return e.select("event_id", parse_timestamp(quoted).alias("start_date"))
+
+
+@register("haversine", "H14", sql="""
+SELECT n.n_nationkey,
+  round(6371.0 * 2 * atan2(
+    sqrt(pow(sin(radians((r.r_regionkey * 15.0 - 30) - (n.n_nationkey * 3.5 - 40)) / 2), 2)
+       + cos(radians(n.n_nationkey * 3.5 - 40)) * cos(radians(r.r_regionkey * 15.0 - 30))
+         * pow(sin(radians((r.r_regionkey * 30.0 - 60) - (n.n_nationkey * 7.0 - 80)) / 2), 2)),
+    sqrt(1 - (pow(sin(radians((r.r_regionkey * 15.0 - 30) - (n.n_nationkey * 3.5 - 40)) / 2), 2)
+       + cos(radians(n.n_nationkey * 3.5 - 40)) * cos(radians(r.r_regionkey * 15.0 - 30))
+         * pow(sin(radians((r.r_regionkey * 30.0 - 60) - (n.n_nationkey * 7.0 - 80)) / 2), 2)))), 6) AS distance_km
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+""")
+def haversine(spark, d):
+    t = Tables(spark, d)
+    n, r = t.nation, F.broadcast(t.region)
+    j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
+    dist = haversine_km(F.col("n_nationkey") * 3.5 - 40, F.col("n_nationkey") * 7.0 - 80,
+                        F.col("r_regionkey") * 15.0 - 30, F.col("r_regionkey") * 30.0 - 60)
+    return j.select("n_nationkey", F.round(dist, 6).alias("distance_km"))
