@@ -65,10 +65,11 @@ def calendar_columns(day) -> dict[str, Column]:
 
 def clock_text(hour, minute=None, second=None) -> Column:
     """``HH:MM:SS`` with zero padding (H7); ``HH:00:00`` when only the hour is given."""
-    h = as_col(hour)
+    def two(c):
+        return F.lpad(as_col(c).cast("string"), 2, "0")
     if minute is None and second is None:
-        return F.format_string("%02d:00:00", h)
-    return F.format_string("%02d:%02d:%02d", h, as_col(minute), as_col(second))
+        return F.concat(two(hour), F.lit(":00:00"))
+    return F.concat(two(hour), F.lit(":"), two(minute), F.lit(":"), two(second))
 
 
 def strip_quotes(text) -> Column:

@@ -38,8 +38,10 @@ def build_dim_date(*sources: DataFrame) -> DataFrame:
     dates of rates and magnitudes, and session dates, S6).  Null dates map to
     ``-1`` in the facts and get no row here.
     """
+    # one union, one distinct: each input is partially aggregated on the map side,
+    # then a single shuffle of distinct days
     days = [s.select(F.to_date(_single(s)).alias("d")) for s in sources]
-    distinct_days = reduce(DataFrame.union, [d.where(F.col("d").isNotNull()).distinct() for d in days]).distinct()
+    distinct_days = reduce(DataFrame.union, days).where(F.col("d").isNotNull()).distinct()
     cols = calendar_columns("d")
     dim = distinct_days.select(*[c.alias(n) for n, c in cols.items()])
     unknown = {n: -1 for n in cols}
@@ -57,7 +59,7 @@ def build_dim_time(*sources: DataFrame) -> DataFrame:
     """
     spark = sources[0].sparkSession
     seen = [s.select(F.hour(_single(s)).alias("hour"), F.minute(_single(s)).alias("minute"),
-                     F.second(_single(s)).alias("second")).where(F.col("hour").isNotNull()).distinct()
+                     F.second(_single(s)).alias("second")).where(F.col("hour").isNotNull())
             for s in sources]
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"), F.lit(0).alias("minute"),
                                    F.lit(0).alias("second"))

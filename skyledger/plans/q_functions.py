@@ -98,7 +98,17 @@ def normalize_text(spark, d):
     return out.select("doc_id", "raw_text", "text")
 
 
-@register("normalize_text_trim", "H11")
+_CASED_RE = r"\p{Lu}\p{Ll}\p{Lt}"
+
+
+@register("normalize_text_trim", "H11", sql=f"""
+WITH n AS (
+  SELECT doc_id, trim(regexp_replace(lower({sql_transliterate('text')}), '[\\s\\x{{0B}}\\x{{85}}\\p{{Z}}]+', ' ', 'g')) AS s
+  FROM documents)
+SELECT doc_id, coalesce(array_to_string(list_transform(
+         regexp_extract_all(s, '[{_CASED_RE}]+|[^{_CASED_RE}]'), lambda t: upper(t[1]) || t[2:]), ''), 'Unknown') AS text
+FROM n
+""")
 def normalize_text_trim_q(spark, d):
     docs = Tables(spark, d).documents
     return docs.select("doc_id", normalize_text_trim("text").alias("text"))
