@@ -59,3 +59,37 @@ def sorted_export(spark, d):
     path = scratch_path(spark, "sorted_export")
     write_sorted(part, path, ["p_type", "p_partkey"])
     return read_parquet(spark, path)
+
+
+# ---- incremental ingest (Structured Streaming, availableNow) ----------------------
+
+@register("csv_stream_staging", "A7 A1 A3 (incremental)", sql="SELECT * FROM customer")
+def csv_stream_staging(spark, d):
+    from skyledger.streaming.staging import stage_stream
+    cust = Tables(spark, d).customer
+    root = scratch_path(spark, "csv_stream_staging")
+    src = f"{root}/incoming"
+    cust.write.option("sep", ";").option("header", True).option("maxRecordsPerFile", 300).csv(src)
+    return stage_stream(spark, src, f"{root}/staged", cust.schema, f"{root}/_checkpoint", files_per_batch=2)
+
+
+def _gazetteer_sql():
+    from skyledger.plans.sql_parts import ADDRESSES
+    return f"WITH {ADDRESSES.strip()}\nSELECT * FROM gazetteer"
+
+
+@register("gazetteer_stream", "K12 C8 G3 (incremental)", sql=_gazetteer_sql())
+def gazetteer_stream(spark, d):
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    from skyledger.plans import roles
+    from skyledger.streaming.staging import stream_new_locations
+    t = Tables(spark, d)
+    root = scratch_path(spark, "gazetteer_stream")
+    src = f"{root}/sessions"
+    # session files arrive over several runs; each micro-batch takes two files
+    roles.customer_places(t).write.option("sep", ";").option("header", True) \
+        .option("maxRecordsPerFile", 500).csv(src)
+    schema = StructType([StructField(c, DoubleType()) for c in ("Latitude", "Longitude", "Elevation")])
+    return stream_new_locations(spark, src, schema, roles.known_locations(t), roles.addresses(t),
+                                f"{root}/gazetteer", f"{root}/_checkpoint", files_per_batch=2)
