@@ -115,7 +115,7 @@ def export_warehouse_csv(wh: Warehouse, csv_dir: str) -> list[str]:
 def questions(wh: Warehouse) -> dict[str, DataFrame]:
     """The five OLAP questions on a built warehouse."""
     return {
-        "q1_meteors_in_month": q1_meteors_in_month(wh.fact_observations, wh.dim_shower),
+        "q1_meteors_in_month": q1_meteors_in_month(wh.fact_observations, wh.dim_shower, dim_date=wh.dim_date),
         "q2_meteors_by_precipitation": q2_meteors_by_precipitation(wh.fact_observations, wh.dim_time,
                                                                    wh.dim_local, wh.fact_weather),
         "q3_magnitude_mean_by_shower": q3_magnitude_mean_by_shower(wh.fact_magnitude, wh.dim_shower),

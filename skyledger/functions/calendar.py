@@ -109,6 +109,23 @@ def key_in_month(key, month: int) -> Column:
     return (k >= 10000000) & (k <= 99999999) & (F.floor(k / 100) % 100 == month)
 
 
+def key_in_month_of_years(key, month: int, years) -> Column:
+    """Month ``mm`` of the listed years as an OR of closed key ranges.
+
+    Same rows as ``key_in_month`` when ``years`` covers the data, but each
+    range reaches the Parquet reader, so row groups of other months are
+    skipped on date-sorted files.
+    """
+    k = as_col(key)
+    ranges = [k.between(y * 10000 + month * 100 + 1, y * 10000 + month * 100 + 31) for y in sorted(set(years))]
+    if not ranges:
+        return F.lit(False)
+    out = ranges[0]
+    for r in ranges[1:]:
+        out = out | r
+    return out
+
+
 def key_in_year(key, year: int) -> Column:
     """Closed range on the key: pushable to Parquet and to partition filters."""
     return as_col(key).between(year * 10000 + 101, year * 10000 + 1231)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions._util import as_col
-from skyledger.functions.calendar import key_in_month, key_in_year
+from skyledger.functions.calendar import key_in_month, key_in_month_of_years, key_in_year
 from skyledger.operators.lookup import maybe_broadcast
 from skyledger.sources.schemas import MAGNITUDE_BINS
 
@@ -107,11 +107,24 @@ def pivot_sum(df: DataFrame, pivot_col: str, values: Sequence[str], measure: str
 
 # ---- the five questions on the warehouse tables -----------------------------------
 
+def _year_partition(fact: DataFrame, year: int) -> DataFrame:
+    """Add a partition-column filter when the fact was written ``partitionBy("year")``."""
+    return fact.where(F.col("year") == year) if "year" in fact.columns else fact
+
+
 def q1_meteors_in_month(fact_observations: DataFrame, dim_shower: DataFrame, shower: str = "QUA",
-                        month: int = 1) -> DataFrame:
-    """Meteors of one shower counted in a month of any year (slice, roll-up)."""
+                        month: int = 1, dim_date: DataFrame | None = None) -> DataFrame:
+    """Meteors of one shower counted in a month of any year (slice, roll-up).
+
+    With ``dim_date`` the month slice is also written as one key range per
+    year present in the calendar (a bounded list), which the Parquet reader
+    uses to skip row groups of other months.
+    """
     d = F.broadcast(dim_shower.where(F.col("IAU_code") == shower).select("sk_shower", "IAU_code"))
     f = fact_observations.where(key_in_month("fk_start_date", month))
+    if dim_date is not None:
+        years = [r[0] for r in dim_date.where(F.col("year") > 0).select("year").distinct().collect()]
+        f = f.where(key_in_month_of_years("fk_start_date", month, years))
     j = f.join(d, f["fk_shower"] == d["sk_shower"])
     return rollup_sum(j.withColumnRenamed("IAU_code", "Shower"), ["Shower"], "cnt_meteor", "meteors_counted")
 
@@ -137,7 +150,7 @@ def q3_magnitude_mean_by_shower(fact_magnitude: DataFrame, dim_shower: DataFrame
                                 min_total: float = 50) -> DataFrame:
     """Mean magnitude per shower in one year, showers with more than ``min_total`` meteors."""
     d = F.broadcast(dim_shower.select("sk_shower", F.col("IAU_code").alias("Meteor_Shower")))
-    f = fact_magnitude.where(key_in_year("fk_start_date", year))
+    f = _year_partition(fact_magnitude, year).where(key_in_year("fk_start_date", year))
     j = f.join(d, f["fk_shower"] == d["sk_shower"])
     bins = [(name, value) for _, name, value in MAGNITUDE_BINS]
     return weighted_mean_by(j, ["Meteor_Shower"], bins, "magnitude_mean", min_total=min_total)
@@ -154,10 +167,10 @@ def q4_meteors_by_weather_type(fact_observations: DataFrame, dim_time: DataFrame
     """Meteors per weather type in one year, one column per type (drill-across, pivot)."""
     t = F.broadcast(dim_time.select("sk_time", "hour"))
     codes = F.broadcast(dim_weather_code.select("sk_weather_code", F.col("description").alias("weather_type")))
-    obs = (fact_observations.where(key_in_year("fk_start_date", year))
+    obs = (_year_partition(fact_observations, year).where(key_in_year("fk_start_date", year))
            .join(t, F.col("fk_start_time") == t["sk_time"])
            .select("fk_local", F.col("fk_start_date").alias("fk_date"), "hour", "cnt_meteor"))
-    wx = (fact_weather.where(key_in_year("fk_date", year))
+    wx = (_year_partition(fact_weather, year).where(key_in_year("fk_date", year))
           .join(t, F.col("fk_time") == t["sk_time"])
           .join(codes, F.col("fk_weather_code") == codes["sk_weather_code"])
           .select("fk_local", "fk_date", "hour", "weather_type"))

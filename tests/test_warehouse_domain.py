@@ -175,3 +175,12 @@ def test_csv_export(wh, tmp_path):
     assert len(out) == 10
     parts = [f for f in os.listdir(os.path.join(str(tmp_path), "dim_user")) if f.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_question_slices_reach_the_scan(wh):
+    from test_plans import plan
+    q = questions(wh)
+    p1 = plan(q["q1_meteors_in_month"])
+    assert "Or(" in p1 and "GreaterThanOrEqual(fk_start_date" in p1        # month ranges pushed per year
+    p3 = plan(q["q3_magnitude_mean_by_shower"])
+    assert "PartitionFilters: [isnotnull(year" in p3 and "(year#" in p3     # year folders pruned
