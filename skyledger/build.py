@@ -27,6 +27,7 @@ from skyledger.operators.facts import (Warehouse, build_fact_magnitude, build_fa
 from skyledger.operators.olap import (q1_meteors_in_month, q2_meteors_by_precipitation,
                                       q3_magnitude_mean_by_shower, q4_meteors_by_weather_type,
                                       q5_temperature_by_month)
+from skyledger.session import configure_for_scale, ensure_checkpoint_dir
 from skyledger.sources import readers
 from skyledger.sources.sinks import export_csv, write_parquet
 
@@ -132,7 +133,8 @@ def main(argv=None):
     p.add_argument("--addresses")
     p.add_argument("--csv-out")
     args = p.parse_args(argv)
-    spark = SparkSession.builder.appName("skyledger-build").getOrCreate()
+    spark = configure_for_scale(SparkSession.builder.appName("skyledger-build").getOrCreate())
+    ensure_checkpoint_dir(spark)
     src = read_sources(spark, args.sessions, args.rates, args.magnitudes, args.weather, args.weather_codes,
                        args.showers, args.locations, args.addresses)
     wh = write_warehouse(spark, src, args.out)

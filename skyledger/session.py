@@ -13,11 +13,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that matter at scale as well as locally.
+# Settings that matter at scale as well as locally.  All are runtime SQL
+# settings, so ``configure_for_scale`` can apply them to an existing session.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot session / observer / place even when the split costs the
+    # following de-duplication its own shuffle: one task holding a third of
+    # all rows is worse than one more evenly spread shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -25,6 +30,13 @@ SCALE_CONF = {
 }
 
 
+def configure_for_scale(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings above to a session made elsewhere (a cluster's)."""
+    for k, v in SCALE_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "skyledger", extra: dict | None = None) -> SparkSession:
     """A local[N] session for tests and benchmarks (UI off, UTC, AQE on)."""
