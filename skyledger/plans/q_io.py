@@ -69,7 +69,8 @@ def csv_stream_staging(spark, d):
     cust = Tables(spark, d).customer
     root = scratch_path(spark, "csv_stream_staging")
     src = f"{root}/incoming"
-    cust.write.option("sep", ";").option("header", True).option("maxRecordsPerFile", 300).csv(src)
+    # four arrival files, two per micro-batch: the second batch must only add the new files
+    cust.repartition(4).write.option("sep", ";").option("header", True).csv(src)
     return stage_stream(spark, src, f"{root}/staged", cust.schema, f"{root}/_checkpoint", files_per_batch=2)
 
 
@@ -87,9 +88,8 @@ def gazetteer_stream(spark, d):
     t = Tables(spark, d)
     root = scratch_path(spark, "gazetteer_stream")
     src = f"{root}/sessions"
-    # session files arrive over several runs; each micro-batch takes two files
-    roles.customer_places(t).write.option("sep", ";").option("header", True) \
-        .option("maxRecordsPerFile", 500).csv(src)
+    # session files arrive over several runs: four files, two per micro-batch
+    roles.customer_places(t).repartition(4).write.option("sep", ";").option("header", True).csv(src)
     schema = StructType([StructField(c, DoubleType()) for c in ("Latitude", "Longitude", "Elevation")])
     return stream_new_locations(spark, src, schema, roles.known_locations(t), roles.addresses(t),
                                 f"{root}/gazetteer", f"{root}/_checkpoint", files_per_batch=2)
