@@ -70,22 +70,37 @@ _SINGLE_DST = "".join(v for v in TRANSLITERATION.values() if len(v) == 1)
 _MULTI = [(k, v) for k, v in TRANSLITERATION.items() if len(v) > 1]
 
 
+def is_ascii(text) -> Column:
+    """True when every character is ASCII: as many characters as bytes (no allocation)."""
+    c = as_col(text)
+    return F.length(c) == F.octet_length(c)
+
+
 def strip_accents(text) -> Column:
-    """Base letter of every decomposable letter; combining marks removed."""
-    return F.translate(as_col(text), ACCENT_SRC, ACCENT_DST)
+    """Base letter of every decomposable letter; combining marks removed.
+
+    ASCII text (nothing to strip) skips the per-character table lookup.
+    """
+    c = as_col(text)
+    return F.when(is_ascii(c), c).otherwise(F.translate(c, ACCENT_SRC, ACCENT_DST))
 
 
 def transliterate(text) -> Column:
     """Accent removal plus the fixed letter table (ß -> ss, ø -> o, Greek -> Latin)."""
-    c = strip_accents(text)
+    c = as_col(text)
+    t = F.translate(c, ACCENT_SRC, ACCENT_DST)
     for k, v in _MULTI:
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return F.translate(c, _SINGLE_SRC, _SINGLE_DST)
+        t = F.replace(t, F.lit(k), F.lit(v))
+    t = F.translate(t, _SINGLE_SRC, _SINGLE_DST)
+    return F.when(is_ascii(c), c).otherwise(t)
 
 
 def title_words(text) -> Column:
-    """Lower case, then upper-case the first letter after a space (H9)."""
-    return F.initcap(F.lower(as_col(text)))
+    """Lower case, then upper-case the first letter after a space (H9).
+
+    ``initcap`` lower-cases the rest of each word itself.
+    """
+    return F.initcap(as_col(text))
 
 
 def collapse_spaces(text) -> Column:
@@ -106,25 +121,27 @@ def with_normalized(df, name: str, normalizer=normalize_name):
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
-# private-use marker put after every uncased character so ``initcap`` (which
-# starts words only after a space) starts a word there, then taken out again
+# private-use marker inserted where a cased letter follows an uncased character
+# other than a space, so ``initcap`` (which starts words only after a space)
+# starts a word there too; the marks are taken out afterwards
 _WORD_MARK = "\ue000 "
+_WORD_START = rf"(?<=[^{_CASED} ])(?=[{_CASED}])"
 
 
 def python_title(text) -> Column:
     """Title case where any uncased character starts a word (``o'neil`` -> ``O'Neil``).
 
-    Native: lower case, mark a word start after every uncased character,
-    ``initcap``, drop the marks.  Same result as Python's ``str.title``.
+    Native: mark the word starts ``initcap`` would miss, ``initcap``, drop
+    the marks.  Same result as Python's ``str.title``.
     """
-    marked = F.regexp_replace(F.lower(as_col(text)), rf"([^{_CASED}])", "$1" + _WORD_MARK)
+    marked = F.regexp_replace(as_col(text), _WORD_START, _WORD_MARK)
     return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 
 def normalize_text_trim(text, default: str = "Unknown") -> Column:
     """Accents off, lower, whitespace collapsed and trimmed, title case."""
-    c = F.regexp_replace(F.lower(transliterate(text)), r"(?U)\s+", " ")
-    c = python_title(F.trim(c))
+    c = F.regexp_replace(transliterate(text), r"(?U)\s+", " ")
+    c = python_title(F.trim(c))   # lower-cases through initcap
     return F.coalesce(c, F.lit(default))
 
 
