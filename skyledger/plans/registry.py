@@ -32,7 +32,7 @@ def register(name: str, ids: str, sql: str | None = None):
 
 def _load():
     # importing the modules fills REGISTRY
-    from skyledger.plans import q_olap, q_io, q_functions, q_warehouse, q_relational  # noqa: F401
+    from skyledger.plans import q_olap, q_io, q_functions, q_warehouse, q_relational, q_star  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

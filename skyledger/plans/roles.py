@@ -163,3 +163,65 @@ def weather_codes(t: Tables) -> DataFrame:
     """Nation keys as the weather code list, codes written as text ``"k.0"``."""
     return t.nation.select(F.concat(F.col("n_nationkey").cast("string"), F.lit(".0")).alias("code"),
                            F.col("n_name").alias("description"))
+
+
+# ---- one coherent warehouse on the test tables (sessions shared by all facts) ----
+
+def star_shower_list(t: Tables) -> DataFrame:
+    """Part brands as the shower list (25 codes)."""
+    return t.part.select(F.col("p_brand").alias("IAU_code"), F.col("p_brand").alias("name")).distinct()
+
+
+def star_rates(t: Tables) -> DataFrame:
+    """Lines as rate intervals inside their session: start = session start + 10 min per line."""
+    li = t.lineitem
+    o = t.orders.select("o_orderkey", order_clock().alias("session_start"))
+    p = t.part.select("p_partkey", "p_brand")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(p, li["l_partkey"] == p["p_partkey"], "left")
+    start = F.col("session_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                                         ((F.col("l_linenumber") - 1) * 600).cast("decimal(18,6)"))
+    return j.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("Rate ID"),
+        F.col("l_orderkey").alias("Obs Session ID"),
+        start.alias("Start Date"),
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int"))).alias("End Date"),
+        F.col("l_extendedprice").alias("Ra"), F.col("l_discount").alias("Decl"), F.col("l_tax").alias("Teff"),
+        F.col("l_quantity").alias("F"), F.col("p_brand").alias("Shower"), F.col("l_returnflag").alias("Method"),
+        F.col("l_quantity").cast("int").alias("Number"),
+    )
+
+
+def star_magnitudes(t: Tables) -> DataFrame:
+    """As ``magnitudes`` with the shower = smallest brand among the order's parts."""
+    p = t.part.select("p_partkey", "p_brand")
+    li = t.lineitem.join(p, F.col("l_partkey") == p["p_partkey"], "left")
+    counts = {k - 4: F.count_if(F.col("l_linenumber") == k).cast("double") for k in range(1, 8)}
+    agg = li.groupBy("l_orderkey").agg(
+        F.min("l_shipdate").alias("first_ship"), F.min("p_brand").alias("brand"),
+        *[c.alias(f"b{v + 6}") for v, c in counts.items()])
+    start = session_clock(F.col("first_ship"), (F.col("l_orderkey") * 7919) % 86400)
+    bins = [(F.col(f"b{value + 6}") if value in counts else F.lit(0.0)).alias(raw) for raw, _, value in MAGNITUDE_BINS]
+    return agg.select(
+        F.col("l_orderkey").alias("Magnitude ID"), F.col("l_orderkey").alias("Obs Session ID"),
+        start.alias("Start Date"), (start + F.make_dt_interval(F.lit(0), F.lit(1))).alias("End Date"),
+        F.col("brand").alias("Shower"), *bins)
+
+
+def session_world(t: Tables) -> DataFrame:
+    """Hourly weather answers per (place, hour), aggregated from the orders there."""
+    o = t.orders
+    c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"])
+    s = j.select(place_lat("c_nationkey").alias("latitude"), place_lon("c_acctbal").alias("longitude"),
+                 F.date_trunc("hour", order_clock()).alias("time"), "o_totalprice", "o_orderstatus",
+                 "o_orderpriority")
+    none = F.lit(None).cast("double")
+    n = F.count(F.lit(1)).cast("double")
+    return s.groupBy("latitude", "longitude", "time").agg(
+        F.min("o_totalprice").alias("temperature_2m"), F.max("o_totalprice").alias("relative_humidity_2m"),
+        F.count_if(F.col("o_orderstatus") == "F").cast("double").alias("apparent_temperature"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("double").alias("precipitation"),
+        F.count_if(F.col("o_orderstatus") == "O").cast("double").alias("rain"),
+        F.count_if(F.col("o_orderstatus") == "P").cast("double").alias("snowfall"),
+        n.alias("cloud_cover"), none.alias("cloud_cover_low"), none.alias("cloud_cover_mid"),
+        none.alias("cloud_cover_high"), n.alias("weather_code_num"))
