@@ -20,16 +20,33 @@ from pyspark.sql import functions as F
 from skyledger.functions._util import as_col
 
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+
+_WIDTH = {"string": 24, "binary": 24, "array": 64, "map": 64, "struct": 32, "decimal": 16, "boolean": 1,
+          "tinyint": 1, "byte": 1, "smallint": 2, "short": 2, "int": 4, "integer": 4, "date": 4, "float": 4}
+
+
+def row_width(df: DataFrame) -> int:
+    """Rough bytes per row from the schema (8 for other fixed-width types)."""
+    return sum(_WIDTH.get(t.split("(")[0].split("<")[0], 8) for _, t in df.dtypes) + 8
+
+
+def row_limit(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> int:
+    return max(1, min(max_rows, max_bytes // row_width(dim)))
 
 
 def small_enough(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """True when ``dim`` has at most ``max_rows`` rows and fits the byte budget
+    (reads at most limit+1 rows)."""
+    limit = row_limit(dim, max_rows)
+    return dim.limit(limit + 1).count() <= limit
 
 
 def maybe_broadcast(dim: DataFrame, bound_rows: int | None = None,
                     max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    if bound_rows is not None and bound_rows <= max_rows:
+    """Broadcast hint only behind a proven size bound, else leave the join to
+    the shuffle path (and to AQE's runtime statistics)."""
+    if bound_rows is not None and bound_rows <= row_limit(dim, max_rows):
         return F.broadcast(dim)
     return F.broadcast(dim) if small_enough(dim, max_rows) else dim
 

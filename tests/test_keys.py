@@ -63,3 +63,22 @@ def test_resolve_role_playing_and_constant_keys(spark):
     out = resolve(out, dim, [("h2", "hour"), (0, "minute")], "sk", "end", bound_rows=10)
     r = out.collect()[0]
     assert (r.start, r.end) == (1, 2)
+
+
+def _hinted(df) -> bool:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="extended")
+    return "strategy=broadcast" in buf.getvalue()
+
+
+def test_broadcast_needs_a_proven_bound(spark):
+    from skyledger.operators.lookup import maybe_broadcast, row_limit
+    small = spark.range(10).toDF("k")
+    wide = spark.range(10).selectExpr("id AS k", *[f"repeat('x', 10) AS s{i}" for i in range(40)])
+    assert row_limit(wide) < row_limit(small)
+    assert _hinted(maybe_broadcast(small))
+    assert not _hinted(maybe_broadcast(small, max_rows=5))     # more rows than allowed: no hint
+    assert _hinted(maybe_broadcast(small, bound_rows=10))      # structural bound, no count needed

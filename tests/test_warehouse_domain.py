@@ -173,7 +173,7 @@ def test_facts_are_partitioned_by_year(wh, spark):
 def test_csv_export(wh, tmp_path):
     out = export_warehouse_csv(wh, str(tmp_path))
     assert len(out) == 10
-    parts = [f for f in os.listdir(os.path.join(str(tmp_path), "dim_user")) if f.startswith("part-")]
+    parts = [f for f in os.listdir(os.path.join(str(tmp_path), "dim_time")) if f.startswith("part-")]
     assert len(parts) == 1
 
 
