@@ -23,7 +23,7 @@ STAR_TYPES = ["NATION_1", "NATION_2", "NATION_3", "NATION_4"]
 _SSTART = "o.o_orderdate + to_seconds((o.o_orderkey * 7919) % 86400) + to_seconds((l.l_linenumber - 1) * 600)"
 _MSTART = "min(l.l_shipdate) + to_seconds((l.l_orderkey * 7919) % 86400)"
 _BIN_SQL = ", ".join(
-    f"{_BINS.get(v, '0.0')} AS {('cnt_mag_neg_' + str(-v)) if v < 0 else 'cnt_mag_' + str(v)}" for v in range(-6, 7))
+    f"{_BINS.get(v, 'CAST(0 AS DOUBLE)')} AS {('cnt_mag_neg_' + str(-v)) if v < 0 else 'cnt_mag_' + str(v)}" for v in range(-6, 7))
 _BIN_COLS = ", ".join(("cnt_mag_neg_" + str(-v)) if v < 0 else "cnt_mag_" + str(v) for v in range(-6, 7))
 _MEASURES = ("temperature_2m, relative_humidity_2m, apparent_temperature, precipitation, rain, snowfall, "
              "cloud_cover, cloud_cover_low, cloud_cover_mid, cloud_cover_high")

@@ -58,7 +58,7 @@ mags AS (
          min(l_shipdate) + to_seconds((l_orderkey * 7919) % 86400) AS start_date,
          min(l_shipdate) + to_seconds((l_orderkey * 7919) % 86400) + INTERVAL 1 HOUR AS end_date,
          CAST(min(l_partkey) AS VARCHAR) AS shower, """ + ", ".join(
-    f"{_BINS.get(v, '0.0')} AS {('cnt_mag_neg_' + str(-v)) if v < 0 else 'cnt_mag_' + str(v)}" for v in range(-6, 7)) + """
+    f"{_BINS.get(v, 'CAST(0 AS DOUBLE)')} AS {('cnt_mag_neg_' + str(-v)) if v < 0 else 'cnt_mag_' + str(v)}" for v in range(-6, 7)) + """
   FROM lineitem GROUP BY l_orderkey)"""
 
 
