@@ -64,7 +64,7 @@ def build_dim_time(*sources: DataFrame) -> DataFrame:
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"), F.lit(0).alias("minute"),
                                    F.lit(0).alias("second"))
     clock = reduce(DataFrame.union, seen + [hours]).distinct()
-    clock = number_small(clock, ["hour", "minute", "second"], "sk_time", bound=CLOCK_BOUND)
+    clock = number_small(clock, ["hour", "minute", "second"], "sk_time", bound=CLOCK_BOUND, structural=True)
     dim = clock.select("sk_time", "hour", "minute", "second",
                        clock_text("hour", "minute", "second").alias("full_time"))
     return with_members(dim, [{"sk_time": -1, "hour": -1, "minute": -1, "second": -1, "full_time": "Unknown"}])

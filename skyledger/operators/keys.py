@@ -28,10 +28,16 @@ from skyledger.session import ensure_checkpoint_dir
 _POS_BITS = 33
 
 
-def number_small(df: DataFrame, order: list, key: str, bound: int) -> DataFrame:
-    """``row_number`` over one window (E1).  Only for tables whose row count is
-    bounded by construction (``bound`` documents it, e.g. 86,424 clock times)."""
-    assert bound <= 1_000_000, "use number_rows for tables that grow with the data"
+def number_small(df: DataFrame, order: list, key: str, bound: int, structural: bool = False) -> DataFrame:
+    """``row_number`` over one window (E1), for tables of at most ``bound`` rows.
+
+    ``structural=True`` says the bound holds by construction (86,424 clock
+    times of a day) and skips the check; otherwise ``limit(bound+1).count()``
+    proves it, and a larger table is numbered by ``number_rows`` instead, so
+    no unbounded table is ever ordered in one task.
+    """
+    if bound > 1_000_000 or (not structural and df.limit(bound + 1).count() > bound):
+        return number_rows(df, list(order), key)
     return df.withColumn(key, F.row_number().over(Window.orderBy(*order)))
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions._util import as_col
 from skyledger.functions.calendar import key_in_month, key_in_month_of_years, key_in_year
+from skyledger.operators.dims import CLOCK_BOUND
 from skyledger.operators.lookup import maybe_broadcast
 from skyledger.sources.schemas import MAGNITUDE_BINS
 
@@ -120,7 +121,7 @@ def q1_meteors_in_month(fact_observations: DataFrame, dim_shower: DataFrame, sho
     year present in the calendar (a bounded list), which the Parquet reader
     uses to skip row groups of other months.
     """
-    d = F.broadcast(dim_shower.where(F.col("IAU_code") == shower).select("sk_shower", "IAU_code"))
+    d = maybe_broadcast(dim_shower.where(F.col("IAU_code") == shower).select("sk_shower", "IAU_code"))
     f = fact_observations.where(key_in_month("fk_start_date", month))
     if dim_date is not None:
         years = [r[0] for r in dim_date.where(F.col("year") > 0).select("year").distinct().collect()]
@@ -132,7 +133,7 @@ def q1_meteors_in_month(fact_observations: DataFrame, dim_shower: DataFrame, sho
 def q2_meteors_by_precipitation(fact_observations: DataFrame, dim_time: DataFrame, dim_local: DataFrame,
                                 fact_weather: DataFrame, conformed: bool = False) -> DataFrame:
     """Meteors by the precipitation of the same hour and place (drill-across, S8, S9)."""
-    t = F.broadcast(dim_time.select("sk_time", "hour"))
+    t = maybe_broadcast(dim_time.select("sk_time", "hour"), bound_rows=CLOCK_BOUND + 1)
     loc = maybe_broadcast(dim_local.select("sk_local", "latitude", "longitude"))
     obs = (fact_observations.join(t, fact_observations["fk_start_time"] == t["sk_time"])
            .join(loc, fact_observations["fk_local"] == loc["sk_local"])
@@ -149,7 +150,7 @@ def q2_meteors_by_precipitation(fact_observations: DataFrame, dim_time: DataFram
 def q3_magnitude_mean_by_shower(fact_magnitude: DataFrame, dim_shower: DataFrame, year: int = 2022,
                                 min_total: float = 50) -> DataFrame:
     """Mean magnitude per shower in one year, showers with more than ``min_total`` meteors."""
-    d = F.broadcast(dim_shower.select("sk_shower", F.col("IAU_code").alias("Meteor_Shower")))
+    d = maybe_broadcast(dim_shower.select("sk_shower", F.col("IAU_code").alias("Meteor_Shower")))
     f = _year_partition(fact_magnitude, year).where(key_in_year("fk_start_date", year))
     j = f.join(d, f["fk_shower"] == d["sk_shower"])
     bins = [(name, value) for _, name, value in MAGNITUDE_BINS]
@@ -165,8 +166,8 @@ def q4_meteors_by_weather_type(fact_observations: DataFrame, dim_time: DataFrame
                                dim_weather_code: DataFrame, year: int = 2022,
                                types: Sequence[str] = tuple(Q4_WEATHER_TYPES)) -> DataFrame:
     """Meteors per weather type in one year, one column per type (drill-across, pivot)."""
-    t = F.broadcast(dim_time.select("sk_time", "hour"))
-    codes = F.broadcast(dim_weather_code.select("sk_weather_code", F.col("description").alias("weather_type")))
+    t = maybe_broadcast(dim_time.select("sk_time", "hour"), bound_rows=CLOCK_BOUND + 1)
+    codes = maybe_broadcast(dim_weather_code.select("sk_weather_code", F.col("description").alias("weather_type")))
     obs = (_year_partition(fact_observations, year).where(key_in_year("fk_start_date", year))
            .join(t, F.col("fk_start_time") == t["sk_time"])
            .select("fk_local", F.col("fk_start_date").alias("fk_date"), "hour", "cnt_meteor"))
@@ -182,8 +183,9 @@ def q4_meteors_by_weather_type(fact_observations: DataFrame, dim_time: DataFrame
 def q5_temperature_by_month(fact_weather: DataFrame, dim_time: DataFrame, dim_date: DataFrame,
                             first_hour: int = 6, last_hour: int = 8) -> DataFrame:
     """Mean temperature per month name over the hours ``first_hour..last_hour`` (roll-up, slice)."""
-    t = F.broadcast(dim_time.where(F.col("hour").between(first_hour, last_hour)).select("sk_time"))
-    d = F.broadcast(dim_date.select("pk_date", F.col("month_name").alias("month")))
+    t = maybe_broadcast(dim_time.where(F.col("hour").between(first_hour, last_hour)).select("sk_time"),
+                        bound_rows=CLOCK_BOUND + 1)
+    d = maybe_broadcast(dim_date.select("pk_date", F.col("month_name").alias("month")))
     j = (fact_weather.join(t, fact_weather["fk_time"] == t["sk_time"])
          .join(d, fact_weather["fk_date"] == d["pk_date"]))
     return mean_by(j, ["month"], "temperature_2m", "mean_temperature")

@@ -10,6 +10,7 @@ from skyledger.functions.geo import haversine_km
 from skyledger.functions.text import (ACCENT_DST, ACCENT_SRC, TRANSLITERATION, VALID_PLACE_PATTERN,
                                       default_if_blank, first_present, normalize_name, normalize_text_trim,
                                       nth_piece, strip_accents, valid_or_unknown, with_normalized)
+from skyledger.operators.lookup import maybe_broadcast
 from skyledger.plans.registry import register
 from skyledger.plans.tables import Tables
 
@@ -152,7 +153,7 @@ FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 """)
 def haversine(spark, d):
     t = Tables(spark, d)
-    n, r = t.nation, F.broadcast(t.region)
+    n, r = t.nation, maybe_broadcast(t.region)
     j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
     dist = haversine_km(F.col("n_nationkey") * 3.5 - 40, F.col("n_nationkey") * 7.0 - 80,
                         F.col("r_regionkey") * 15.0 - 30, F.col("r_regionkey") * 30.0 - 60)

@@ -157,7 +157,7 @@ def olap_month_mean(spark, d):
     f = t.orders.select(order_clock().alias("st"), F.col("o_totalprice").alias("temperature_2m"))
     f = f.where(F.hour("st").between(6, 8)).select("st", date_key("st").alias("fk_date"), "temperature_2m")
     dim_date = build_dim_date(f.select("st"))
-    dd = F.broadcast(dim_date.select("pk_date", F.col("month_name").alias("month")))
+    dd = maybe_broadcast(dim_date.select("pk_date", F.col("month_name").alias("month")))
     j = f.join(dd, f["fk_date"] == dd["pk_date"])
     return mean_by(j, ["month"], "temperature_2m", "mean_temperature")
 

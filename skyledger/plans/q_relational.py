@@ -102,7 +102,7 @@ def role_playing(spark, d):
     for role in ("order", "ship"):  # the same dimension under two aliases
         dd = dim.select(F.col("pk_date").alias(f"{role}_pk"), F.col("month_name").alias(f"{role}_month"),
                         F.col("year").alias(f"{role}_year"))
-        j = j.join(F.broadcast(dd), j[f"{role}_key"] == dd[f"{role}_pk"], "left")
+        j = j.join(maybe_broadcast(dd), j[f"{role}_key"] == dd[f"{role}_pk"], "left")
     return j.select("l_orderkey", "l_linenumber", "order_month", "order_year", "ship_month", "ship_year")
 
 

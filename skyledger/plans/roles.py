@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.calendar import session_clock
 from skyledger.operators.enrich import addresses_to_locations
+from skyledger.operators.lookup import maybe_broadcast
 from skyledger.sources.schemas import MAGNITUDE_BINS, WEATHER_MEASURES
 from skyledger.plans.tables import Tables, order_clock, place_elevation, place_lat, place_lon
 
@@ -105,8 +106,8 @@ def magnitudes(t: Tables) -> DataFrame:
 
 def addresses(t: Tables) -> DataFrame:
     s, n, r = t.supplier, t.nation, t.region
-    j = s.join(F.broadcast(n), s["s_nationkey"] == n["n_nationkey"]).join(
-        F.broadcast(r), n["n_regionkey"] == r["r_regionkey"])
+    j = s.join(maybe_broadcast(n), s["s_nationkey"] == n["n_nationkey"]).join(
+        maybe_broadcast(r), n["n_regionkey"] == r["r_regionkey"])
     none = F.lit(None).cast("string")
     return j.select(
         place_lat("s_nationkey").alias("Latitude"), place_lon("s_acctbal").alias("Longitude"),

@@ -82,3 +82,13 @@ def test_broadcast_needs_a_proven_bound(spark):
     assert _hinted(maybe_broadcast(small))
     assert not _hinted(maybe_broadcast(small, max_rows=5))     # more rows than allowed: no hint
     assert _hinted(maybe_broadcast(small, bound_rows=10))      # structural bound, no count needed
+
+
+def test_number_small_falls_back_when_the_bound_does_not_hold(spark):
+    from skyledger.operators.keys import number_small
+    df = spark.range(50).select(F.col("id").alias("k"))
+    small = number_small(df, ["k"], "sk", bound=100)
+    big = number_small(df, ["k"], "sk", bound=10)            # bound broken: scalable numbering
+    assert sorted(r.sk for r in small.collect()) == list(range(1, 51))
+    assert sorted(r.sk for r in big.collect()) == list(range(1, 51))
+    assert dict(small.dtypes)["sk"] == "int" and dict(big.dtypes)["sk"] == "bigint"
