@@ -50,8 +50,10 @@ def number_rows(df: DataFrame, order: list[str], key: str, partitions: int | Non
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count AQE may merge small adjacent ranges; merged
+    # partitions are still in key order and are sorted again below
+    by_range = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = (by_range.sortWithinPartitions(*order)
               .withColumn("__mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     part = F.shiftright(F.col("__mid"), _POS_BITS)

@@ -92,3 +92,14 @@ def test_number_small_falls_back_when_the_bound_does_not_hold(spark):
     assert sorted(r.sk for r in small.collect()) == list(range(1, 51))
     assert sorted(r.sk for r in big.collect()) == list(range(1, 51))
     assert dict(small.dtypes)["sk"] == "int" and dict(big.dtypes)["sk"] == "bigint"
+
+
+def test_number_rows_with_coalesced_ranges(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")      # AQE merges these small ranges
+    try:
+        df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
+        ours = number_rows(df, ["k"], "sk")
+        assert ours.exceptAll(_global(df, ["k"], "sk")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
