@@ -77,12 +77,13 @@ WEATHER_CODES = """code,description
 63,Rain (moderate intensity)
 """
 
+# only the code and the name of a shower are used; the other list columns stay empty
 SHOWERS = """IAU_code,name,start,end,peak,RA,DE,V,r,ZHR,_id
-QUA,Quadrantids,Dec 26,Jan 12,Jan 04,230.0,49.0,41.0,2.1,120,4
-PER,Perseids,Jul 17,Aug 24,Aug 12,48.0,58.0,59.0,2.2,100,7
-GEM,Geminids,Dec 04,Dec 20,Dec 14,112.0,33.0,35.0,2.6,150,4
-ETA,η-Aquariids,Apr 19,May 28,May 06,338.0,-1.0,66.0,2.4,50,31
-LYR,April Lyrids,Apr 14,Apr 30,Apr 22,271.0,34.0,49.0,2.1,18,6
+QUA,Quadrantids,,,,,,,,,
+PER,Perseids,,,,,,,,,
+GEM,Geminids,,,,,,,,,
+ETA,η-Aquariids,,,,,,,,,
+LYR,April Lyrids,,,,,,,,,
 """
 
 LOCATIONS = """Latitude,Longitude,City,Village_or_Hamlet,County,State,Country,CountryCode
@@ -102,7 +103,7 @@ FILES = {
     "rates/part-2022.csv": RATES,
     "magnitudes/part-2022.csv": MAGNITUDES,
     "weather/part-2022.csv": WEATHER,
-    "weather_description.csv": WEATHER_CODES,
+    "weather_codes.csv": WEATHER_CODES,
     "showers.csv": SHOWERS,
     "locations.csv": LOCATIONS,
     "addresses.csv": ADDRESSES,
@@ -118,6 +119,6 @@ def write(root: str) -> dict[str, str]:
     return {
         "sessions": os.path.join(root, "sessions"), "rates": os.path.join(root, "rates"),
         "magnitudes": os.path.join(root, "magnitudes"), "weather": os.path.join(root, "weather"),
-        "weather_codes": os.path.join(root, "weather_description.csv"), "showers": os.path.join(root, "showers.csv"),
+        "weather_codes": os.path.join(root, "weather_codes.csv"), "showers": os.path.join(root, "showers.csv"),
         "locations": os.path.join(root, "locations.csv"), "addresses": os.path.join(root, "addresses.csv"),
     }
