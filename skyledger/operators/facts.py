@@ -2,9 +2,9 @@
 
 A fact row = a raw detail row joined to its session header (one shuffle join
 on the session id, skew split by AQE), then one lookup per dimension role.
-Lookups against dimensions of structural size (clock, shower, method, codes)
-are broadcast; user and place dimensions are broadcast only after a bounded
-row count says they fit, else they shuffle-join.  Unknown members take every
+Lookups against the clock dimension (86,424 rows at most, by construction)
+are broadcast; every other dimension is broadcast only after a bounded row
+count (once per dimension) says it fits, else it shuffle-joins.  Unknown members take every
 miss, so no fact row is lost or repeated.
 """
 
@@ -21,8 +21,6 @@ from skyledger.operators.dims import CLOCK_BOUND
 from skyledger.operators.lookup import resolve
 from skyledger.sources.schemas import MAGNITUDE_BINS, WEATHER_MEASURES
 
-SHOWER_BOUND = 10_000
-CODE_BOUND = 1_000
 
 
 @dataclass
@@ -42,21 +40,20 @@ class Warehouse:
 def _clock(df: DataFrame, dim_time: DataFrame, ts: str, alias: str) -> DataFrame:
     """Start or end time -> ``sk_time`` by (hour, minute, second)."""
     c = F.col(f"`{ts}`")
-    return resolve(df, dim_time.where(F.col("sk_time") >= 0),
-                   [(F.hour(c), "hour"), (F.minute(c), "minute"), (F.second(c), "second")],
-                   "sk_time", alias, bound_rows=CLOCK_BOUND)
+    return resolve(df, dim_time, [(F.hour(c), "hour"), (F.minute(c), "minute"), (F.second(c), "second")],
+                   "sk_time", alias, bound_rows=CLOCK_BOUND, dim_filter=F.col("sk_time") >= 0)
 
 
 def _place(df: DataFrame, dim_local: DataFrame, alias: str = "fk_local") -> DataFrame:
     """(latitude, longitude, elevation) -> ``sk_local`` (C4); null parts never match."""
-    return resolve(df, dim_local.where(F.col("sk_local") >= 0),
+    return resolve(df, dim_local,
                    [("Latitude", "latitude"), ("Longitude", "longitude"), ("Elevation", "elevation_m")],
-                   "sk_local", alias)
+                   "sk_local", alias, dim_filter=F.col("sk_local") >= 0)
 
 
 def _user(df: DataFrame, dim_user: DataFrame, id_col: str, alias: str) -> DataFrame:
-    return resolve(df, dim_user.where(F.col("sk_user") >= 0), [(F.col(f"`{id_col}`"), "user_id")],
-                   "sk_user", alias)
+    return resolve(df, dim_user, [(F.col(f"`{id_col}`"), "user_id")], "sk_user", alias,
+                   dim_filter=F.col("sk_user") >= 0)
 
 
 def build_fact_observations(rates: DataFrame, sessions: DataFrame, wh: Warehouse) -> DataFrame:
@@ -72,9 +69,8 @@ def build_fact_observations(rates: DataFrame, sessions: DataFrame, wh: Warehouse
     df = _place(df, wh.dim_local)
     df = _clock(df, wh.dim_time, "Start Date", "fk_start_time")
     df = _clock(df, wh.dim_time, "End Date", "fk_end_time")
-    df = resolve(df, wh.dim_shower, [("Shower", "IAU_code")], "sk_shower", "fk_shower", bound_rows=SHOWER_BOUND)
-    df = resolve(df, wh.dim_junk.where(F.col("sk_junk") >= 0), [("Method", "Method")], "sk_junk", "fk_junk",
-                 bound_rows=SHOWER_BOUND)
+    df = resolve(df, wh.dim_shower, [("Shower", "IAU_code")], "sk_shower", "fk_shower")
+    df = resolve(df, wh.dim_junk, [("Method", "Method")], "sk_junk", "fk_junk", dim_filter=F.col("sk_junk") >= 0)
     return df.select(
         "fk_user_submitter", "fk_user_observer", "fk_start_date", "fk_start_time", "fk_end_date", "fk_end_time",
         "fk_local", "fk_shower", "fk_junk",
@@ -95,7 +91,7 @@ def build_fact_magnitude(magnitudes: DataFrame, sessions: DataFrame, wh: Warehou
     df = _clock(df, wh.dim_time, "Start Date", "fk_start_time")
     df = _clock(df, wh.dim_time, "End Date", "fk_end_time")
     df = _place(df, wh.dim_local)
-    df = resolve(df, wh.dim_shower, [("Shower", "IAU_code")], "sk_shower", "fk_shower", bound_rows=SHOWER_BOUND)
+    df = resolve(df, wh.dim_shower, [("Shower", "IAU_code")], "sk_shower", "fk_shower")
     return df.select(
         "fk_user_observer", "fk_start_date", "fk_start_time", "fk_end_date", "fk_end_time", "fk_local", "fk_shower",
         F.col("`Obs Session ID`").alias("id_session"), F.col("`Magnitude ID`").alias("id_magnitude"),
@@ -116,8 +112,8 @@ def build_fact_weather(weather: DataFrame, sessions: DataFrame, wh: Warehouse) -
                 "sk_time", "fk_time", bound_rows=CLOCK_BOUND, dim_filter=F.col("sk_time") >= 0)
     s = _place(s, wh.dim_local)
     w = weather.withColumn("weather_code", text_to_int("weather_code"))
-    w = resolve(w, wh.dim_weather_code.where(F.col("sk_weather_code") >= 0), [("weather_code", "code")],
-                "sk_weather_code", "fk_weather_code", bound_rows=CODE_BOUND)
+    w = resolve(w, wh.dim_weather_code, [("weather_code", "code")], "sk_weather_code", "fk_weather_code",
+                dim_filter=F.col("sk_weather_code") >= 0)
     w = w.select("Session ID", "fk_weather_code", *WEATHER_MEASURES)
     df = s.join(w, "Session ID", "left").withColumn("fk_weather_code", F.coalesce("fk_weather_code", F.lit(-1)))
     return df.select("fk_date", "fk_time", "fk_weather_code", "fk_local", *WEATHER_MEASURES).dropDuplicates()

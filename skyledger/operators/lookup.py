@@ -14,6 +14,8 @@ whose skewed partitions AQE splits.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +37,25 @@ def row_limit(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int
     return max(1, min(max_rows, max_bytes // row_width(dim)))
 
 
-def small_enough(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows and fits the byte budget
-    (reads at most limit+1 rows)."""
-    limit = row_limit(dim, max_rows)
-    return dim.limit(limit + 1).count() <= limit
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
+def at_most(df: DataFrame, limit: int) -> bool:
+    """``df`` has at most ``limit`` rows; reads at most ``limit + 1`` rows, once per
+    DataFrame object and limit (a dimension used in several roles is counted once)."""
+    seen = _CHECKED.setdefault(df, {})
+    if limit not in seen:
+        seen[limit] = df.limit(limit + 1).count() <= limit
+    return seen[limit]
+
+
+def small_enough(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, width_of: DataFrame | None = None) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows and fits the byte budget.
+
+    ``width_of`` is the projection that will actually be broadcast (fewer
+    columns than ``dim``, same or fewer rows).
+    """
+    return at_most(dim, row_limit(width_of if width_of is not None else dim, max_rows))
 
 
 def maybe_broadcast(dim: DataFrame, bound_rows: int | None = None,
@@ -61,6 +77,7 @@ def resolve(fact: DataFrame, dim: DataFrame, on: list[tuple], key: str, alias: s
     applied as a filter on the dimension (C6).  The dimension must be unique
     on the listed columns so fact rows are neither lost nor repeated.
     """
+    source = dim
     d = dim.where(dim_filter) if dim_filter is not None else dim
     f = fact
     conds = []
@@ -75,7 +92,10 @@ def resolve(fact: DataFrame, dim: DataFrame, on: list[tuple], key: str, alias: s
         conds.append(F.col(fk) == F.col(f"__dk_{alias}_{i}"))
     d = d.select(*dim_cols)
     if broadcast is None:
-        d = maybe_broadcast(d, bound_rows)
+        # filters and constant keys only remove rows: a bound on the whole
+        # dimension holds for the projected side, and is checked once per dimension
+        fits = (bound_rows is not None and bound_rows <= row_limit(d)) or small_enough(source, width_of=d)
+        d = F.broadcast(d) if fits else d
     elif broadcast:
         d = F.broadcast(d)
     cond = conds[0]
