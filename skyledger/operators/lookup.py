@@ -5,11 +5,11 @@ timestamp, optionally with constant minute = second = 0), C12 (the same
 dimension in two roles) and B11 (``coalesce(sk, -1)``).
 
 Broadcast policy: a dimension is broadcast only behind a proven size bound:
-either a structural one given by the caller (``bound_rows``: clock times,
-codes, showers) or a bounded count (``limit(max+1).count()``, which stops
-reading after ``max+1`` rows).  Past the bound the join is a plain shuffle
-join, which AQE may still turn into a broadcast from runtime sizes and
-whose skewed partitions AQE splits.
+either a structural one given by the caller (``bound_rows``: the clock
+times of a day) or a bounded count (``limit(max+1).count()``, which stops
+reading after ``max+1`` rows, within a row and a byte budget).  Past the
+bound the join is a plain shuffle join, which AQE may still turn into a
+broadcast from runtime sizes and whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations

@@ -45,6 +45,11 @@ def export_csv(df: DataFrame, out_dir: str, single_file: bool = False) -> str:
     return out_dir
 
 
+def parquet_to_csv(spark: SparkSession, in_path: str, out_dir: str, single_file: bool = False) -> str:
+    """A Parquet table written back out as CSV with header (A8, one call per table)."""
+    return export_csv(spark.read.parquet(in_path), out_dir, single_file=single_file)
+
+
 def write_sorted(df: DataFrame, path: str, order: list[str], partitions: int | None = None) -> str:
     """Globally ordered files without a single-task sort (F1): range partitions
     in key order, each sorted locally."""

@@ -8,7 +8,7 @@ import domain_fixture
 from conftest import SF_SMALL
 from skyledger.operators.quality import check_grain
 from skyledger.sources import readers, schemas
-from skyledger.sources.sinks import stage_csv_to_parquet, write_parquet, write_sorted
+from skyledger.sources.sinks import parquet_to_csv, stage_csv_to_parquet, write_parquet, write_sorted
 
 
 def test_sorted_write_is_globally_ordered(spark, tmp_path):
@@ -58,3 +58,11 @@ def test_grain_report_written_as_csv(spark, tmp_path):
     assert sum(r["count"] for r in rows) == 9
     back = spark.read.option("header", True).csv(out)
     assert back.count() == len(rows)
+
+
+def test_parquet_to_csv(spark, tmp_path):
+    out = parquet_to_csv(spark, f"{SF_SMALL}/nation.parquet", str(tmp_path / "nation"), single_file=True)
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) == 1
+    back = spark.read.option("header", True).csv(out)
+    assert back.columns == ["n_nationkey", "n_name", "n_regionkey"] and back.count() == 25
