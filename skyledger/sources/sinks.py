@@ -53,7 +53,7 @@ def parquet_to_csv(spark: SparkSession, in_path: str, out_dir: str, single_file:
 def write_sorted(df: DataFrame, path: str, order: list[str], partitions: int | None = None) -> str:
     """Globally ordered files without a single-task sort (F1): range partitions
     in key order, each sorted locally."""
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = df.repartitionByRange(int(n), *order).sortWithinPartitions(*order)
+    by_range = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = by_range.sortWithinPartitions(*order)   # AQE may merge adjacent small ranges
     ranged.write.mode("overwrite").parquet(path)
     return path
