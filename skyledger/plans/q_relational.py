@@ -15,6 +15,8 @@ from skyledger.plans import roles
 from skyledger.plans.registry import register
 from skyledger.plans.sql_parts import ADDRESSES, EVENT_SESSIONS, dim_time, dk, lat, lon
 from skyledger.plans.tables import Tables
+from skyledger.session import scratch_path
+from skyledger.sources import readers
 
 DATE_BOUND = 200_000  # distinct days: about 550 years
 
@@ -50,7 +52,9 @@ SELECT * FROM gazetteer ORDER BY Country, State, City
 """)
 def gazetteer_upsert(spark, d):
     t = Tables(spark, d)
-    return enrich_locations(roles.customer_places(t), roles.known_locations(t), roles.addresses(t))
+    snapshot = scratch_path(spark, "locations")   # the grown gazetteer is written as a new snapshot (G3)
+    enrich_locations(roles.customer_places(t), roles.known_locations(t), roles.addresses(t), out_path=snapshot)
+    return readers.read_locations(spark, snapshot)
 
 
 _EV_TIME = "WITH " + dim_time("SELECT ts AS x FROM events").strip()

@@ -14,6 +14,8 @@ from skyledger.plans.registry import register
 from skyledger.plans.sql_parts import (DIM_CODE, DIM_LOCAL, DIM_SHOWER, DIM_USER, EVENT_SESSIONS, MAGS, RATES,
                                        SESSIONS, blank, dim_junk, dim_time, dk, norm_name)
 from skyledger.plans.tables import Tables
+from skyledger.session import scratch_path
+from skyledger.sources import readers
 
 _CAL = """
   {k} AS pk_date, CAST(year(d) AS INTEGER) AS year, strftime(d, '%b') AS month_name,
@@ -60,7 +62,10 @@ def dim_junk_q(spark, d):
 
 @register("dim_code", "K8 A4 B4 E1", sql="WITH " + DIM_CODE.strip() + "\nSELECT * FROM dim_code")
 def dim_code(spark, d):
-    return build_dim_weather_code(roles.weather_codes(Tables(spark, d)))
+    # the code list travels as a small comma-separated reference file (A4), codes as text "k.0"
+    path = scratch_path(spark, "weather_codes")
+    roles.weather_codes(Tables(spark, d)).write.option("header", True).csv(path)
+    return build_dim_weather_code(readers.read_weather_codes(spark, path))
 
 
 def _gazetteer(t):
