@@ -107,6 +107,27 @@ def load_warehouse(spark: SparkSession, out_dir: str, facts: bool = True) -> War
 BOUNDED_DIMENSIONS = {"dim_date", "dim_time", "dim_shower", "dim_junk", "dim_weather_code"}
 
 
+def register_views(spark: SparkSession, wh: Warehouse) -> list[str]:
+    """Temp views for SQL users: the ten tables under their names, plus the two
+    weather views the OLAP questions read, i.e. a dimension restricted to the
+    keys the weather fact uses (left semi join; joining either the view or the
+    whole dimension on its key gives the same answer)."""
+    names = []
+    for f in fields(wh):
+        df = getattr(wh, f.name)
+        if df is not None:
+            df.createOrReplaceTempView(f.name)
+            names.append(f.name)
+    if wh.fact_weather is not None:
+        fw = wh.fact_weather
+        wh.dim_time.join(fw, wh.dim_time["sk_time"] == fw["fk_time"], "left_semi") \
+            .createOrReplaceTempView("mv_dim_time_weather")
+        wh.dim_local.join(fw, wh.dim_local["sk_local"] == fw["fk_local"], "left_semi") \
+            .createOrReplaceTempView("mv_dim_local_weather")
+        names += ["mv_dim_time_weather", "mv_dim_local_weather"]
+    return names
+
+
 def export_warehouse_csv(wh: Warehouse, csv_dir: str) -> list[str]:
     """Every table as a CSV folder with header.
 

@@ -184,3 +184,16 @@ def test_question_slices_reach_the_scan(wh):
     assert "Or(" in p1 and "GreaterThanOrEqual(fk_start_date" in p1        # month ranges pushed per year
     p3 = plan(q["q3_magnitude_mean_by_shower"])
     assert "PartitionFilters: [isnotnull(year" in p3 and "(year#" in p3     # year folders pruned
+
+
+def test_sql_views(wh, spark):
+    from skyledger.build import register_views
+    names = register_views(spark, wh)
+    assert "mv_dim_time_weather" in names and len(names) == 12
+    # hours the weather fact uses: the start hours of the nine sessions
+    hours = {r.hour for r in spark.sql("SELECT hour FROM mv_dim_time_weather").collect()}
+    assert hours == {21, 22, 3, 5, 6, 23, 20, -1}     # -1: the session without a start time
+    by_month = spark.sql("""
+        SELECT d.month_name, count(*) AS n FROM fact_weather f JOIN dim_date d ON f.fk_date = d.pk_date
+        GROUP BY d.month_name""").collect()
+    assert sum(r.n for r in by_month) == 9
