@@ -13,7 +13,7 @@ from skyledger.operators.lookup import maybe_broadcast, resolve
 from skyledger.operators.quality import check_grain
 from skyledger.plans import roles
 from skyledger.plans.registry import register
-from skyledger.plans.sql_parts import ADDRESSES, EVENT_SESSIONS, dim_time, dk, lat, lon
+from skyledger.plans.sql_parts import ADDRESSES, EVENT_SESSIONS, SESSIONS, dim_time, dk, lat, lon
 from skyledger.plans.tables import Tables
 from skyledger.session import scratch_path
 from skyledger.sources import readers
@@ -178,3 +178,14 @@ FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineit
 def surrogate_key_scaled(spark, d):
     keys = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct()
     return number_rows(keys, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "sk")
+
+
+@register("grain_sessions", "K14 D6 F2 (session grain)", sql="WITH " + SESSIONS.strip() + """
+SELECT CAST(year(start_date) AS INTEGER) AS year, CAST(month(start_date) AS INTEGER) AS month,
+       CAST(day(start_date) AS INTEGER) AS day, CAST(hour(start_date) AS INTEGER) AS hour,
+       lat AS Latitude, lon AS Longitude, elev AS Elevation, count(*) AS count
+FROM sessions GROUP BY ALL ORDER BY count DESC
+""")
+def grain_sessions(spark, d):
+    """Sessions per start hour and place: more than one means a weather row is shared."""
+    return check_grain(roles.sessions(Tables(spark, d)), "Start Date", ["Latitude", "Longitude", "Elevation"])
