@@ -13,22 +13,33 @@ from skyledger.operators.facts import Warehouse
 from skyledger.plans import roles
 from skyledger.plans.tables import Tables
 from skyledger.session import scratch_path
+from skyledger.sources.sinks import write_parquet
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 
-def star_sources(t: Tables) -> RawSources:
-    sessions = roles.sessions(t)
+def star_sources(t: Tables, staging: str) -> RawSources:
+    """The raw sources, each staged once as Parquet (A7) so the build scans files
+    instead of recomputing the derived roles for every dimension and fact."""
+    spark = t.spark
+
+    def stage(df, name):
+        return spark.read.parquet(write_parquet(df, f"{staging}/{name}"))
+
+    sessions = stage(roles.sessions(t), "sessions")
     daily = daily_arrays(roles.session_world(t), roles.HOURLY_VARIABLES)
-    weather = roles.weather_rows(attach_hourly_weather(sessions, daily, roles.HOURLY_VARIABLES))
-    gazetteer = enrich_locations(sessions, roles.known_locations(t), roles.addresses(t))
-    return RawSources(sessions=sessions, rates=roles.star_rates(t), magnitudes=roles.star_magnitudes(t),
-                      weather=weather, weather_codes=roles.weather_codes(t),
-                      shower_list=roles.star_shower_list(t), gazetteer=gazetteer)
+    weather = stage(roles.weather_rows(attach_hourly_weather(sessions, daily, roles.HOURLY_VARIABLES)), "weather")
+    gazetteer = stage(enrich_locations(sessions, roles.known_locations(t), roles.addresses(t)), "locations")
+    return RawSources(sessions=sessions, rates=stage(roles.star_rates(t), "rates"),
+                      magnitudes=stage(roles.star_magnitudes(t), "magnitudes"), weather=weather,
+                      weather_codes=roles.weather_codes(t), shower_list=roles.star_shower_list(t),
+                      gazetteer=gazetteer)
 
 
 def star_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        _BUILT[key] = write_warehouse(spark, star_sources(Tables(spark, sf_dir)), scratch_path(spark, "star"))
+        root = scratch_path(spark, "star")
+        _BUILT[key] = write_warehouse(spark, star_sources(Tables(spark, sf_dir), f"{root}/staged"),
+                                      f"{root}/warehouse")
     return _BUILT[key]
