@@ -12,7 +12,7 @@ from skyledger.operators.facts import (Warehouse, build_fact_magnitude, build_fa
 from skyledger.plans import roles
 from skyledger.plans.registry import register
 from skyledger.plans.sql_parts import (DIM_CODE, DIM_LOCAL, DIM_SHOWER, DIM_USER, EVENT_SESSIONS, MAGS, RATES,
-                                       SESSIONS, blank, dim_junk, dim_time, dk, norm_name)
+                                       SESSIONS, dim_junk, dim_time, dk, norm_name)
 from skyledger.plans.tables import Tables
 from skyledger.session import scratch_path
 from skyledger.sources import readers

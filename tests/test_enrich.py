@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from skyledger.operators.enrich import (attach_hourly_weather, attach_hourly_weather_long, daily_arrays,
                                         enrich_locations, new_coordinates)
