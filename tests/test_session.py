@@ -1,0 +1,54 @@
+"""Checkpoint folder policy and the scale settings."""
+
+import pytest
+
+from skyledger.session import SCALE_CONF, configure_for_scale, ensure_checkpoint_dir, scratch_path
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _Context:
+    def __init__(self, master, current=None, conf=None):
+        self.master, self.current, self.conf = master, current, conf or {}
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def getConf(self):
+        return _Conf(self.conf)
+
+    def setCheckpointDir(self, path):
+        self.current = path
+
+
+class _Session:
+    def __init__(self, ctx):
+        self.sparkContext = ctx
+
+
+def test_cluster_without_checkpoint_dir_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session(_Context("yarn")))
+
+
+def test_cluster_setting_is_used_and_local_fallback_only_for_local():
+    s = _Session(_Context("k8s://cluster", conf={"spark.checkpoint.dir": "s3a://bucket/ckpt"}))
+    assert ensure_checkpoint_dir(s) == "s3a://bucket/ckpt"
+    local = _Session(_Context("local[4]"))
+    assert ensure_checkpoint_dir(local) is not None
+
+
+def test_scratch_is_under_the_checkpoint_dir(spark):
+    assert scratch_path(spark, "x").startswith(spark.sparkContext.getCheckpointDir())
+
+
+def test_configure_for_scale(spark):
+    configure_for_scale(spark)
+    for k, v in SCALE_CONF.items():
+        assert spark.conf.get(k) == v
