@@ -44,7 +44,9 @@ def enrich_locations(sessions: DataFrame, known: DataFrame, addresses: DataFrame
     addr = unique_gazetteer(addresses).withColumn("__found", F.lit(True))
     j = new.join(maybe_broadcast(addr), COORDS, "left")
     filled = addresses_to_locations(j, found=F.col("__found"))
-    out = known.select(*filled.columns).unionByName(filled).orderBy("Country", "State", "City")
+    # coordinates break ties: a third of the places may be "Unknown", and equal sort keys
+    # would all fall into one range partition
+    out = known.select(*filled.columns).unionByName(filled).orderBy("Country", "State", "City", *COORDS)
     if out_path:
         out.write.mode("overwrite").option("header", True).csv(out_path)
     return out
