@@ -35,7 +35,8 @@ def rollup_sum(df: DataFrame, by: Sequence, measure, alias: str, digits: int | N
                descending: bool = True) -> DataFrame:
     """``group by`` a dimension level, sum a measure, order by the sum."""
     out = df.groupBy(*by).agg(_sum(as_col(measure), digits).alias(alias))
-    return out.orderBy(F.col(alias).desc() if descending else F.col(alias))
+    # group columns break ties: a deterministic total order
+    return out.orderBy(F.col(alias).desc() if descending else F.col(alias), *[as_col(b) for b in by])
 
 
 def mean_by(df: DataFrame, by: Sequence, measure, alias: str, digits: int = 2) -> DataFrame:
@@ -67,7 +68,7 @@ def weighted_mean_by(df: DataFrame, by: Sequence, bins: Sequence[tuple[str, int]
         agg = agg.where(F.col("__t") > F.lit(min_total))
     out = agg.select(*[as_col(b) for b in by],
                      F.round(F.try_divide(F.col("__w"), F.col("__t")), digits).alias(alias))
-    return out.orderBy(F.col(alias).desc_nulls_last())
+    return out.orderBy(F.col(alias).desc_nulls_last(), *[as_col(b) for b in by])
 
 
 def drill_across(left: DataFrame, right: DataFrame, grain: Sequence[str], group: str, measure: str,
