@@ -59,10 +59,7 @@ class Words:
     """The words of a run of texts, coded: ``codes`` index ``values``; text i has ``codes[first[i]:first[i + 1]]``."""
 
     def __init__(self, column: pa.Array, lower_ascii: bool = False):
-        t = texts(column)
-        if lower_ascii:
-            t = pc.ascii_lower(t)
-        parts = pc.ascii_split_whitespace(t)
+        parts = pc.ascii_split_whitespace(texts(column))
         coded = parts.flatten().dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
         first = bounds(parts)
@@ -72,6 +69,9 @@ class Words:
             real = codes != empty
             first = np.r_[0, np.cumsum(real)][first]
             codes = codes[real]
+        if lower_ascii:
+            low = pc.ascii_lower(values).dictionary_encode()
+            codes, values = low.indices.to_numpy().astype(np.int64)[codes], low.dictionary
         self.codes, self.first, self.values = codes, first, values
 
     @property
