@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from skyledger.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from skyledger.llm.mixing import OP9_SQL, op9_mixing
+from skyledger.llm.near_dedup import op4_minhash_near_dedup
 from skyledger.llm.quality import op3_quality_rules
+from skyledger.llm.sentencepiece_scan import op6_sentencepiece
+
+OPERATORS = (op2_exact_dedup, op3_quality_rules, op4_minhash_near_dedup, op6_sentencepiece, op9_mixing)
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_mixing": OP9_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_quality_rules)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op2_exact_dedup": OP2_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
-    return {k: v.strip() for k, v in found.items() if v}
+    return {k: v.strip() for k, v in ORACLES.items() if v}
