@@ -8,12 +8,15 @@ values make buckets; at similarity 0.8 a pair shares none with a chance of 3 in
 Documents with the same set are one vertex.  A bucket's pairs are not all made:
 
 * round 1 verifies each member against the bucket's smallest one, and joins what is similar;
-* round 2 takes the buckets that still hold several components.  Every member outside a
-  bucket's largest component is verified against every member of another component.
+* round 2 does so in crowded buckets (over ``CROWD`` members) that still hold several components, against the most
+  central member, the one with the smallest share of rare shingles (in at most ``CROWD`` documents of such buckets);
+* round 3 verifies pairs of different components: all of a bucket up to ``CROWD`` members; of crowded ones those that
+  share a rare shingle, and those that could be similar without: of sets with n and m elements, r and q of them
+  rare, at most min(n - r, m - q) are then shared.
 
 Pairs within one component need no link of their own, and all others that share a bucket are
-verified on their full sets, so the components are those of all pairs.  A huge group of near
-copies thus costs one comparison a member, beside those for members not similar to the first.
+verified on their full sets or cannot be similar, so the components are those of all pairs.  A huge group of near
+copies thus costs some comparisons a member: what strays from the centre of a group does so by rare shingles.
 
 ``doc_id`` names a document: rows that share one are linked as one document.  A null or
 blank text has no shingles and links with nothing.  Rows with a null doc_id are returned
@@ -37,6 +40,8 @@ from skyledger.llm.shingles import band_keys, min_max_signatures, shingle_sets
 
 BANDS, ROWS = 32, 5
 PERCENT = 80
+#: Members of a bucket, or documents with a shingle, whose pairs are made directly.
+CROWD = 64
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -89,6 +94,55 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
     return first.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("right")), "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def rare_shingles(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``sets`` (id, hashes): where the rare shingles are that several documents have (hash, id), and per document id, n (its
+    shingles) and r (its rare ones)."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = [np.frombuffer(x, np.int64) for x in part.column("hashes").to_pylist()]
+                ids = part.column("id").take(pa.array(np.repeat(np.arange(len(rows)), [len(x) for x in rows])))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(rows))], names=["id", "hash"])
+
+    each = staged(sets.select("id", "hashes").mapInArrow(spread, "id long, hash long"), "near-shingles")
+    rare = each.groupBy("hash").agg(F.count(F.lit(1)).alias("df")).where(f"df <= {CROWD}")
+    postings = staged(each.join(rare, "hash"), "near-rare")
+    size = sets.groupBy("id").agg(F.max(F.expr("CAST(length(hashes) div 8 AS BIGINT)")).alias("n"))
+    counted = size.join(postings.groupBy("id").agg(F.count(F.lit(1)).alias("r")), "id", "left")
+    return postings.where("df > 1").select("hash", "id"), counted.select("id", "n", F.coalesce("r", F.lit(0)).cast("long").alias("r"))
+
+
+def crossed(members: DataFrame, condition: str) -> DataFrame:
+    """Pairs (a < b) of members of a bucket, one of them outside the bucket's largest component, that meet ``condition``
+    (which names the columns of one member plainly, those of the other with ``x_``).  A pair that shares several buckets is
+    made in the first only."""
+    members = staged(members, "near-open")
+    shares = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
+    main = shares.groupBy("bucket").agg(F.max_by("label", "size").alias("main"))
+    # a document is in BANDS buckets at most
+    lists = members.groupBy("id").agg(F.collect_list("bucket").alias("all"))
+    placed = staged(members.join(main, "bucket").withColumn("apart", F.expr("label <> main")).drop("main").join(lists, "id"), "near-paired")
+    rest = placed.where("apart").drop("apart").withColumnsRenamed({c: f"x_{c}" for c in placed.columns if c not in ("bucket", "apart")})
+    # two members outside the main component meet once, by order
+    once = "CASE WHEN label <> x_label THEN bucket = array_min(array_intersect(`all`, x_all)) ELSE false END"
+    pairs = rest.join(placed, "bucket").where(f"({condition}) AND (NOT apart OR x_id < id) AND {once}")
+    return pairs.select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")).distinct()
+
+
+def possible(n: str, u: str, m: str, v: str) -> str:
+    """SQL: whether sets of ``n`` and ``m`` elements that share none of ``u`` and ``v`` of them can be similar enough."""
+    shared = f"least({n} - {u}, {m} - {v})"
+    return f"100 * {shared} >= {PERCENT} * ({n} + {m} - {shared})"
+
+
+def mixed_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows of ``members`` (bucket, id, ...) with their component as ``label``, in buckets that hold several components."""
+    placed = members.join(label, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    several = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
+    return placed.join(several, "bucket", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
     marked = staged(signatures(docs, width), "near-signatures")
@@ -106,16 +160,30 @@ def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
     links = staged(similar(tried, sets).unionByName(own), "near-links")
     label = components(links)
 
-    placed = members.join(label, "id", "left").select("bucket", "id", "hub", F.coalesce("component", "id").alias("label"))
-    mixed = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    mixed = staged(placed.join(mixed, "bucket", "left_semi"), "near-mixed")
-    shares = mixed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = shares.groupBy("bucket").agg(F.max_by("label", "n").alias("main"))
-    rest = mixed.join(main, "bucket").where("label <> main").select("bucket", F.col("id").alias("x"), F.col("label").alias("own"), "main")
-    # two members outside the main component meet once, by order; the hub's pairs are done
-    crossed = rest.join(mixed, "bucket").where("label <> own AND (label = main OR x < id) AND id <> hub AND x <> hub")
-    fresh = crossed.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    more = staged(similar(fresh.join(tried, ["a", "b"], "left_anti"), sets), "near-more")
+    mixed = staged(mixed_buckets(members.select("bucket", "id"), label), "near-mixed")
+    crowded = mixed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(f"size > {CROWD}").select("bucket")
+    many = mixed.join(crowded, "bucket", "left_semi").drop("label")
+    postings, facts = rare_shingles(sets.join(many.select("id").distinct(), "id", "left_semi"))
+    many = staged(many.join(facts, "id"), "near-crowded")
+
+    centre = many.groupBy("bucket").agg(F.min_by("id", F.expr("r / n")).alias("c"))
+    second = many.join(centre, "bucket").where("id <> c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+    second = staged(second.join(tried, ["a", "b"], "left_anti"), "near-second")
+    links = staged(links.unionByName(similar(second, sets)), "near-links")
+    label = components(links)
+
+    few = mixed_buckets(mixed.drop("label").join(crowded, "bucket", "left_anti"), label)
+    direct = crossed(few, "label <> x_label")
+    many = mixed_buckets(many, label)
+    least = many.groupBy("bucket").agg(F.min("n").alias("least_n"))
+    # without a shared rare shingle, no partner of the bucket's sizes could be similar enough to the others
+    many = many.join(least, "bucket").where(f"100 * (n - r) >= {PERCENT} * greatest(n, least_n + r)").drop("least_n")
+    direct = direct.unionByName(crossed(many, f"label <> x_label AND {possible('n', 'r', 'x_n', 'x_r')}"))
+    held = postings.join(label, "id", "left").withColumn("label", F.coalesce("component", "id"))
+    other = held.select("hash", F.col("id").alias("x"), F.col("label").alias("x_label"))
+    shared = held.join(other, "hash").where("label <> x_label AND x < id").select(F.col("x").alias("a"), F.col("id").alias("b"))
+    fresh = direct.unionByName(shared).distinct().join(tried.unionByName(second), ["a", "b"], "left_anti")
+    more = staged(similar(fresh, sets), "near-more")
     label = components(links.unionByName(more))
 
     # vertices -> component, then every document by the key of its set
