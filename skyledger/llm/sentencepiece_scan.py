@@ -19,6 +19,7 @@ Decoding gives the text back; only U+2581 itself comes back as a space.  An empt
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,6 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ from skyledger.llm.common import documents, staged, text_slices
 SPACE = "▁"
 CHUNK = 16_384          # characters of a chunk
 BLOCK = 64              # chunks whose matrices are combined first
-CACHED_WORDS = 300_000  # distinct words that a task remembers
+CACHED_WORDS = 200_000  # distinct words that a task remembers
 NONE = -(1 << 60)       # no path
 LEAST_SCORE = -100_000  # scores below, and unknown characters, count as this
 
@@ -75,7 +75,7 @@ class Vocabulary:
         for piece in list(self.id):
             for k in range(1, len(piece)):
                 self.weight.setdefault(piece[:k], None)
-        self.solved: dict[str, tuple[bytes, int]] = {}
+        self.solved: dict[str, bytes] = {}
 
     def edges(self, s: str, i: int) -> Iterator[tuple[int, int]]:
         """(end, weight) of each piece of ``s`` that starts at ``i``."""
@@ -112,10 +112,10 @@ class Vocabulary:
             end = back[end]
         return np.array(ids[::-1], np.int32).tobytes(), best[n]
 
-    def word(self, s: str) -> tuple[bytes, int]:
+    def word(self, s: str) -> bytes:
         found = self.solved.get(s)
         if found is None:
-            found = self.solve(s)
+            found = self.solve(s)[0]
             if len(self.solved) >= CACHED_WORDS:
                 self.solved.clear()
             if len(s) <= 64:
@@ -125,7 +125,7 @@ class Vocabulary:
     def encode(self, s: str) -> bytes:
         """The ids of a stretch between two cuts."""
         solved, word = self.solved.get, self.word
-        return b"".join([(solved(w) or word(w))[0] for w in self.SEGMENT.findall(s)])
+        return b"".join([solved(w) or word(w) for w in self.SEGMENT.findall(s)])
 
     def decode(self, ids: list[int]) -> str:
         raw = self.raw
@@ -154,7 +154,7 @@ class Vocabulary:
             out[:, :ends.shape[1]] = ends
             return np.maximum(out, NONE)
         head = self.reach(s[:early], k, early)[:, early]
-        middle = sum(self.word(w)[1] for w in self.SEGMENT.findall(s[late:late] if early == late else s[early:late]))
+        middle = sum(self.solve(w)[1] for w in self.SEGMENT.findall(s[early:late]))
         tail = self.reach(s[late:], 1, n - late)[0, n - late:][:k]
         out[:, :len(tail)] = head[:, None] + middle + tail[None, :]
         return np.where((head[:, None] > NONE // 2) & (np.r_[tail, np.full(k - len(tail), NONE)][None, :] > NONE // 2), out, NONE)
@@ -228,19 +228,24 @@ def boundary_states(chunks: DataFrame, model: str | None) -> DataFrame:
     return made.join(ends, ["row", "block"]).groupBy("row", "block").applyInPandas(inner, "row long, chunk int, enter int, leave int")
 
 
-def encode(docs: DataFrame, keep: list[str], model: str | None = None, chunk: int = CHUNK) -> DataFrame:
-    """The columns ``keep`` of each row of ``docs``, and its token ids (``ids``, array of integers)."""
+def encode(docs: DataFrame, keep: list[str], model: str | None = None, chunk: int = CHUNK, digest: bool = False) -> DataFrame:
+    """The columns ``keep`` of each row of ``docs``, and its token ids (``ids``, array of integers) or, with ``digest``, the columns of
+    ``DIGESTS`` made from them."""
     v = vocabulary(model)
     spelt = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], written(F.col("text")).alias("text"))
     kept = [f"k{i}" for i in range(len(keep))]
     head = "".join(f"{c} {spelt.schema[c].dataType.simpleString()}, " for c in kept)
     short = F.length("text") <= chunk
+    made = DIGESTS if digest else "ids array<int>"
+    names = [x.split()[0] for x in made.split(", ")]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
         for batch in batches:
             for part in text_slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [lists([v.encode(t) for t in part.column("text").to_pylist()])], names=[*kept, "ids"])
+                made = [v.encode(t) for t in part.column("text").to_pylist()]
+                columns = digested(made, v) if digest else [lists(made)]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + columns, names=[*kept, *names])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
@@ -258,8 +263,9 @@ def encode(docs: DataFrame, keep: list[str], model: str | None = None, chunk: in
     found = chunks.join(boundary_states(chunks, model), ["row", "chunk"]).mapInArrow(pieces, "row long, chunk int, ids array<int>")
     joined = found.groupBy("row").agg(F.expr("flatten(transform(sort_array(collect_list(struct(chunk, ids))), x -> x.ids))").alias("ids"))
     owners = chunks.where("chunk = 0").select("row", *kept)
-    out = spelt.where(short).mapInArrow(whole, head + "ids array<int>").unionByName(owners.join(joined, "row").select(*kept, "ids"))
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "ids")
+    rest = owners.join(joined, "row").select(*kept, "ids")
+    out = spelt.where(short).mapInArrow(whole, head + made).unionByName(digests(rest, kept, model) if digest else rest)
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *names)
 
 
 def lists(made: list[bytes]) -> pa.ListArray:
@@ -283,29 +289,34 @@ def decode(encoded: DataFrame, keep: list[str], model: str | None = None) -> Dat
     return encoded.select(*keep, "ids").mapInArrow(run, head + "text string")
 
 
+#: Tokens, CRC-32 of the ids as 32-bit integers, and SHA-256 of the text that they decode to.
+DIGESTS = "n_tokens long, ids_crc32 long, decoded_sha256 string"
+
+
+def digested(made: list[bytes], v: Vocabulary) -> list[pa.Array]:
+    """The columns of ``DIGESTS`` for id lists given as bytes."""
+    sha = [hashlib.sha256(b"".join([v.raw[i] for i in np.frombuffer(m, np.int32).tolist()])[1:]).hexdigest() for m in made]
+    return [pa.array([len(m) // 4 for m in made], pa.int64()), pa.array([zlib.crc32(m) for m in made], pa.int64()), pa.array(sha, pa.string())]
+
+
 def digests(encoded: DataFrame, keep: list[str], model: str | None = None) -> DataFrame:
-    """The columns ``keep``, n_tokens, ids_crc32 (of the ids as 32-bit integers) and the SHA-256 of the decoded text."""
-    import hashlib
+    """The columns ``keep`` and those of ``DIGESTS`` of each row's ``ids``."""
     head = "".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}, " for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = np.array(vocabulary(model).raw, object)
+        v = vocabulary(model)
         for batch in batches:
-            flat, n = batch.column("ids"), batch.num_rows
-            ids, first = flat.flatten().to_numpy(), np.r_[0, np.cumsum(pc.list_value_length(flat).to_numpy())]
-            crc, sha = np.zeros(n, np.int64), []
-            for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                crc[i] = zlib.crc32(ids[a:b].astype("<u4").tobytes())
-                sha.append(hashlib.sha256(b"".join(raw[ids[a:b]].tolist())[1:]).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(np.diff(first).astype(np.int64)), pa.array(crc), pa.array(sha, pa.string())],
-                                             names=[*keep, "n_tokens", "ids_crc32", "decoded_sha256"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                made = [np.array(x, np.int32).tobytes() for x in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + digested(made, v), names=[*keep, "n_tokens", "ids_crc32", "decoded_sha256"])
 
-    return encoded.select(*keep, "ids").mapInArrow(run, head + "n_tokens long, ids_crc32 long, decoded_sha256 string")
+    return encoded.select(*keep, "ids").mapInArrow(run, head + DIGESTS)
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, round_trip (whether decoding gives the text back)."""
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), SPACE, " ")
     docs = documents(spark, sf_dir).select("doc_id", "text", F.sha2(text, 256).alias("sha"))
-    done = digests(encode(docs, ["doc_id", "sha"]), ["doc_id", "sha"])
+    done = encode(docs, ["doc_id", "sha"], digest=True)
     return done.select("doc_id", "n_tokens", "ids_crc32", (F.col("sha") == F.col("decoded_sha256")).alias("round_trip"))
