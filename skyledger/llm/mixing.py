@@ -130,7 +130,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = rf"""
-WITH sized AS (
+WITH sized AS MATERIALIZED (
   SELECT doc_id, coalesce('s' || source, 't') AS key, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 src0 AS (SELECT key, count(*) AS source_rows, sum(size)::BIGINT AS source_size FROM sized GROUP BY key),
 src1 AS (SELECT *, (row_number() OVER (ORDER BY key) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM src0),
@@ -141,7 +141,7 @@ src2 AS (SELECT *,
 src3 AS (SELECT *, cap::HUGEINT * (all_weight - weight_before) <= (all_size - cap_before)::HUGEINT * weight AS capped FROM src2),
 src4 AS (SELECT *, sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ()::BIGINT AS cap_sum,
     sum(CASE WHEN capped THEN weight ELSE 0 END) OVER ()::BIGINT AS weight_sum FROM src3),
-src AS (SELECT key, source_rows, source_size, all_size,
+src AS MATERIALIZED (SELECT key, source_rows, source_size, all_size,
     CASE WHEN capped THEN cap::DOUBLE ELSE (all_size - cap_sum)::DOUBLE * weight / (all_weight - weight_sum) END AS target,
     least({MOST_BLOCK_WORDS}, greatest(1, all_size // {BLOCKS})) AS block FROM src4),
 party AS (SELECT *, round(all_size / block)::BIGINT AS seats, sum(target) OVER () AS total, count(*) OVER () AS n FROM src WHERE target > 0),
@@ -150,28 +150,28 @@ bounds AS (SELECT *, greatest(0, floor(target / total * (seats - n / 2.0) + 0.5)
 near AS (SELECT key, target, sure, seats - sum(sure) OVER () AS open, most FROM bounds),
 ranked AS (SELECT key, sure, open, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, key, k) AS rank
   FROM (SELECT key, target, sure, open, unnest(range(sure, most + 1)) AS k FROM near)),
-quota AS (SELECT key, min(sure) + sum((rank <= open)::INT)::BIGINT AS source_quota FROM ranked GROUP BY key),
+quota AS MATERIALIZED (SELECT key, min(sure) + sum((rank <= open)::INT)::BIGINT AS source_quota FROM ranked GROUP BY key),
 hashed AS (SELECT s.*, src.source_size, src.target, src.source_rows, md5('{SEED}|' || coalesce(doc_id::VARCHAR, 'null')) AS hash FROM sized s JOIN src USING (key)),
 sharded AS (SELECT *, ('0x' || substr(hash, 1, 8))::BIGINT % ceil(source_rows / {SHARD_ROWS})::BIGINT AS shard FROM hashed),
-r AS (SELECT *, sum(size) OVER (PARTITION BY key, shard ORDER BY hash, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop FROM sharded),
+r AS MATERIALIZED (SELECT *, sum(size) OVER (PARTITION BY key, shard ORDER BY hash, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop FROM sharded),
 sh0 AS (SELECT key, shard, sum(size)::BIGINT AS shard_size FROM r GROUP BY ALL HAVING sum(size) > 0),
-sh1 AS (SELECT *, sum(shard_size) OVER w AS total, count(*) OVER w AS n FROM sh0 JOIN quota USING (key) JOIN (SELECT key, block FROM src) USING (key) WINDOW w AS (PARTITION BY key)),
+sh1 AS MATERIALIZED (SELECT *, sum(shard_size) OVER w AS total, count(*) OVER w AS n FROM sh0 JOIN quota USING (key) JOIN (SELECT key, block FROM src) USING (key) WINDOW w AS (PARTITION BY key)),
 sh2 AS (SELECT *, greatest(0, floor(shard_size::DOUBLE / total * (source_quota - n / 2.0) + 0.5)::BIGINT - 1) AS sure,
     floor(shard_size::DOUBLE / total * (source_quota + n / 2.0) + 0.5)::BIGINT + 1 AS most FROM sh1),
 sh3 AS (SELECT *, source_quota - sum(sure) OVER (PARTITION BY key) AS open FROM sh2),
 sh4 AS (SELECT key, shard, sure, open, row_number() OVER (PARTITION BY key ORDER BY shard_size::DOUBLE / (2 * k + 1) DESC, shard, k) AS rank
   FROM (SELECT key, shard, shard_size, sure, open, unnest(range(sure, most + 1)) AS k FROM sh3)),
-sh5 AS (SELECT key, shard, min(sure) + sum((rank <= open)::INT)::BIGINT AS quota FROM sh4 GROUP BY ALL),
+sh5 AS MATERIALIZED (SELECT key, shard, min(sure) + sum((rank <= open)::INT)::BIGINT AS quota FROM sh4 GROUP BY ALL),
 sh6 AS (SELECT key, shard, shard_size, greatest(1, round(shard_size / block)::BIGINT) AS n, quota FROM sh1 JOIN sh5 USING (key, shard)),
-shards AS (SELECT key, shard, shard_size, sh6.n, least(quota, 3 * sh6.n) // sh6.n AS passes, least(quota, 3 * sh6.n) % sh6.n AS rest FROM sh6),
+shards AS MATERIALIZED (SELECT key, shard, shard_size, sh6.n, least(quota, 3 * sh6.n) // sh6.n AS passes, least(quota, 3 * sh6.n) % sh6.n AS rest FROM sh6),
 bl0 AS (SELECT *, unnest(range(0, n)) AS j FROM shards),
 bl1 AS (SELECT key, shard, j, shard_size * j // n AS first, shard_size * (j + 1) // n - shard_size * j // n AS words,
     (row_number() OVER (PARTITION BY key, shard ORDER BY md5('{SEED}|' || key || '|' || shard || '|' || j), j) <= rest)::BIGINT AS chosen FROM bl0),
-bl AS (SELECT *, coalesce(sum(chosen * words) OVER (PARTITION BY key, shard ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS so_far FROM bl1),
-pos AS (SELECT doc_id, r.key, r.shard, size, source_size, target, stop - size AS start, stop, passes,
+bl AS MATERIALIZED (SELECT *, coalesce(sum(chosen * words) OVER (PARTITION BY key, shard ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS so_far FROM bl1),
+pos AS MATERIALIZED (SELECT doc_id, r.key, r.shard, size, source_size, target, stop - size AS start, stop, passes,
     (n * (stop - size + 1) - 1) // shard_size AS j0, (n * stop - 1) // shard_size AS j1 FROM r JOIN shards USING (key, shard) WHERE size > 0)
 SELECT doc_id, size, source_size, target,
     (passes * size + b.so_far + b.chosen * (stop - b.first) - a.so_far - a.chosen * (start - a.first))::BIGINT AS taken
-FROM pos JOIN bl a ON a.key = pos.key AND a.shard = pos.shard AND a.j = j0 JOIN bl b ON b.key = pos.key AND b.shard = pos.shard AND b.j = j1
+FROM pos LEFT JOIN bl a ON a.key = pos.key AND a.shard = pos.shard AND a.j = j0 LEFT JOIN bl b ON b.key = pos.key AND b.shard = pos.shard AND b.j = j1
 UNION ALL SELECT doc_id, size, source_size, target, 0 FROM r WHERE size = 0
 """

@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import documents, staged, text_slices
 
 SPACE = "▁"
-CHUNK = 16_384          # characters of a chunk
+CHUNK = 65_536          # characters of a chunk
 BLOCK = 64              # chunks whose matrices are combined first
-CACHED_WORDS = 200_000  # distinct words that a task remembers
+CACHED_WORDS = 150_000  # distinct words in either of the two generations that a task remembers
 NONE = -(1 << 60)       # no path
 LEAST_SCORE = -100_000  # scores below, and unknown characters, count as this
 
@@ -75,7 +75,8 @@ class Vocabulary:
         for piece in list(self.id):
             for k in range(1, len(piece)):
                 self.weight.setdefault(piece[:k], None)
-        self.solved: dict[str, bytes] = {}
+        self.solved: dict[str, tuple[bytes, int]] = {}
+        self.older: dict[str, tuple[bytes, int]] = {}
 
     def edges(self, s: str, i: int) -> Iterator[tuple[int, int]]:
         """(end, weight) of each piece of ``s`` that starts at ``i``."""
@@ -112,12 +113,12 @@ class Vocabulary:
             end = back[end]
         return np.array(ids[::-1], np.int32).tobytes(), best[n]
 
-    def word(self, s: str) -> bytes:
+    def word(self, s: str) -> tuple[bytes, int]:
         found = self.solved.get(s)
         if found is None:
-            found = self.solve(s)[0]
+            found = self.older.get(s) or self.solve(s)
             if len(self.solved) >= CACHED_WORDS:
-                self.solved.clear()
+                self.solved, self.older = {}, self.solved
             if len(s) <= 64:
                 self.solved[s] = found
         return found
@@ -125,7 +126,7 @@ class Vocabulary:
     def encode(self, s: str) -> bytes:
         """The ids of a stretch between two cuts."""
         solved, word = self.solved.get, self.word
-        return b"".join([solved(w) or word(w) for w in self.SEGMENT.findall(s)])
+        return b"".join([(solved(w) or word(w))[0] for w in self.SEGMENT.findall(s)])
 
     def decode(self, ids: list[int]) -> str:
         raw = self.raw
@@ -154,7 +155,7 @@ class Vocabulary:
             out[:, :ends.shape[1]] = ends
             return np.maximum(out, NONE)
         head = self.reach(s[:early], k, early)[:, early]
-        middle = sum(self.solve(w)[1] for w in self.SEGMENT.findall(s[early:late]))
+        middle = sum(self.word(w)[1] for w in self.SEGMENT.findall(s[early:late]))
         tail = self.reach(s[late:], 1, n - late)[0, n - late:][:k]
         out[:, :len(tail)] = head[:, None] + middle + tail[None, :]
         return np.where((head[:, None] > NONE // 2) & (np.r_[tail, np.full(k - len(tail), NONE)][None, :] > NONE // 2), out, NONE)
