@@ -23,15 +23,16 @@ from skyledger.operators.dims import (build_dim_date, build_dim_junk, build_dim_
                                       build_dim_time, build_dim_user, build_dim_weather_code)
 from skyledger.operators.enrich import enrich_locations
 from skyledger.operators.facts import (Warehouse, build_fact_magnitude, build_fact_observations,
-                                       build_fact_weather)
+                                       build_fact_weather, session_keys)
 from skyledger.operators.olap import (q1_meteors_in_month, q2_meteors_by_precipitation,
                                       q3_magnitude_mean_by_shower, q4_meteors_by_weather_type,
                                       q5_temperature_by_month)
-from skyledger.session import configure_for_scale, ensure_checkpoint_dir
+from skyledger.session import configure_for_scale, drop_scratch, ensure_checkpoint_dir, scratch_path
 from skyledger.sources import readers
 from skyledger.sources.sinks import export_csv, write_parquet
 
 DIMENSIONS = ["dim_local", "dim_date", "dim_time", "dim_user", "dim_shower", "dim_junk", "dim_weather_code"]
+FACT_IDS = {"fact_observations": ["id_observation"], "fact_magnitude": ["id_magnitude"], "fact_weather": ["fk_local"]}
 FACTS = {"fact_observations": "fk_start_date", "fact_magnitude": "fk_start_date", "fact_weather": "fk_date"}
 
 
@@ -53,7 +54,7 @@ def read_sources(spark: SparkSession, sessions: str, rates: str, magnitudes: str
     s = readers.read_sessions(spark, sessions)
     gaz = readers.read_locations(spark, locations)
     if addresses:
-        gaz = enrich_locations(s, gaz, readers.read_delimited(spark, addresses, sep=","))
+        gaz = enrich_locations(s, gaz, readers.read_addresses(spark, addresses))
     return RawSources(s, readers.read_rates(spark, rates), readers.read_magnitudes(spark, magnitudes),
                       readers.read_weather(spark, weather), readers.read_weather_codes(spark, weather_codes),
                       readers.read_shower_list(spark, showers), gaz)
@@ -74,10 +75,12 @@ def build_dimensions(src: RawSources) -> Warehouse:
     )
 
 
-def build_facts(src: RawSources, wh: Warehouse) -> Warehouse:
-    wh.fact_observations = build_fact_observations(src.rates, src.sessions, wh)
-    wh.fact_magnitude = build_fact_magnitude(src.magnitudes, src.sessions, wh)
-    wh.fact_weather = build_fact_weather(src.weather, src.sessions, wh)
+def build_facts(src: RawSources, wh: Warehouse, header: DataFrame | None = None) -> Warehouse:
+    """The three facts; ``header`` is the written table of session keys, made here where it is not given."""
+    header = header if header is not None else session_keys(src.sessions, wh)
+    wh.fact_observations = build_fact_observations(src.rates, src.sessions, wh, header)
+    wh.fact_magnitude = build_fact_magnitude(src.magnitudes, src.sessions, wh, header)
+    wh.fact_weather = build_fact_weather(src.weather, src.sessions, wh, header)
     return wh
 
 
@@ -91,10 +94,12 @@ def write_warehouse(spark: SparkSession, src: RawSources, out_dir: str) -> Wareh
     for name in DIMENSIONS:
         write_parquet(getattr(dims, name), os.path.join(out_dir, name))
     wh = load_warehouse(spark, out_dir, facts=False)
-    wh = build_facts(src, wh)
+    keys = scratch_path(spark, "session-keys")
+    wh = build_facts(src, wh, spark.read.parquet(write_parquet(session_keys(src.sessions, wh), keys)))
     for name, key in FACTS.items():
         write_parquet(getattr(wh, name).withColumn("year", _year_of(key)), os.path.join(out_dir, name),
-                      partition_by=["year"], sort_within=[key])
+                      partition_by=["year"], sort_within=[key, *FACT_IDS.get(name, [])])
+    drop_scratch(spark, keys)
     return load_warehouse(spark, out_dir)
 
 
@@ -104,7 +109,7 @@ def load_warehouse(spark: SparkSession, out_dir: str, facts: bool = True) -> War
 
 
 # dimensions whose size has a structural bound (calendar days, clock seconds, lists)
-BOUNDED_DIMENSIONS = {"dim_date", "dim_time", "dim_shower", "dim_junk", "dim_weather_code"}
+BOUNDED_DIMENSIONS = {"dim_date", "dim_time", "dim_shower", "dim_weather_code"}
 
 
 def register_views(spark: SparkSession, wh: Warehouse) -> list[str]:

@@ -12,8 +12,8 @@ EARTH_RADIUS_KM = 6371.0
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     """Distance in km between two points given in degrees."""
-    la1, lo1, la2, lo2 = map(as_col, (lat1, lon1, lat2, lon2))
-    dlat = F.radians(la2 - la1)
-    dlon = F.radians(lo2 - lo1)
-    a = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(la1)) * F.cos(F.radians(la2)) * F.pow(F.sin(dlon / 2), 2)
-    return F.lit(EARTH_RADIUS_KM) * 2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))
+    north, east, north2, east2 = (F.radians(as_col(x)) for x in (lat1, lon1, lat2, lon2))
+    half = lambda angle: F.pow(F.sin(angle / 2), 2)
+    # rounding can carry the square of the half chord past 1 near antipodes
+    chord = F.least(F.lit(1.0), half(north2 - north) + F.cos(north) * F.cos(north2) * half(east2 - east))
+    return F.lit(EARTH_RADIUS_KM) * 2 * F.atan2(F.sqrt(chord), F.sqrt(1 - chord))

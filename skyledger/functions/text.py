@@ -62,6 +62,21 @@ TRANSLITERATION = {
     "Φ": "Ph", "Χ": "Kh", "Ψ": "Ps", "Ω": "O",
 }
 
+# Cyrillic letters by the romanisation of library catalogues (ALA-LC) without ligature ties and
+# diacritics, and punctuation by its ASCII form.
+TRANSLITERATION |= {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "к": "k", "л": "l",
+    "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts",
+    "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "\"", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia",
+    "А": "A", "Б": "B", "В": "V", "Г": "G", "Д": "D", "Е": "E", "Ж": "Zh", "З": "Z", "И": "I", "К": "K", "Л": "L",
+    "М": "M", "Н": "N", "О": "O", "П": "P", "Р": "R", "С": "S", "Т": "T", "У": "U", "Ф": "F", "Х": "Kh", "Ц": "Ts",
+    "Ч": "Ch", "Ш": "Sh", "Щ": "Shch", "Ъ": "\"", "Ы": "Y", "Ь": "'", "Э": "E", "Ю": "Iu", "Я": "Ia",
+    "і": "i", "І": "I", "є": "ie", "Є": "Ie", "ґ": "g", "Ґ": "G", "ђ": "dj", "Ђ": "Dj", "ј": "j", "Ј": "J",
+    "љ": "lj", "Љ": "Lj", "њ": "nj", "Њ": "Nj", "ћ": "c", "Ћ": "C", "џ": "dz", "Џ": "Dz",
+    "‘": "'", "’": "'", "‚": ",", "“": "\"", "”": "\"", "„": ",,", "–": "-", "—": "--", "‐": "-", "‑": "-",
+    "…": "...", "«": "<<", "»": ">>", "‹": "<", "›": ">", "•": "*", "\u00a0": " ",
+}
+
 # Fixed value: a "valid" place name is letters (ASCII or Latin-1), spaces and hyphens.
 VALID_PLACE_PATTERN = r"^[A-Za-zÀ-ÿ\s\-]+$"
 
@@ -86,12 +101,11 @@ def strip_accents(text) -> Column:
 
 
 def transliterate(text) -> Column:
-    """Accent removal plus the fixed letter table (ß -> ss, ø -> o, Greek -> Latin)."""
+    """Accent removal plus the fixed letter table (ß -> ss, ø -> o, Greek and Cyrillic -> Latin, typographic marks -> ASCII)."""
     c = as_col(text)
-    t = F.translate(c, ACCENT_SRC, ACCENT_DST)
+    t = F.translate(F.translate(c, ACCENT_SRC, ACCENT_DST), _SINGLE_SRC, _SINGLE_DST)
     for k, v in _MULTI:
         t = F.replace(t, F.lit(k), F.lit(v))
-    t = F.translate(t, _SINGLE_SRC, _SINGLE_DST)
     return F.when(is_ascii(c), c).otherwise(t)
 
 

@@ -81,7 +81,8 @@ def build_dim_user(sessions: DataFrame) -> DataFrame:
     """
     pairs = sessions.select(F.col("`Submitter ID`").alias("user_id"), F.col("`Submitted by`").alias("name")) \
         .union(sessions.select(F.col("`Observer ID`").alias("user_id"), F.col("`Actual Observer Name`").alias("name")))
-    users = (pairs.where(F.col("user_id").isNotNull() & (F.col("user_id") != ""))
+    # distinct pairs first (hashed), so the minimum of texts sorts those only
+    users = (pairs.where(F.col("user_id").isNotNull() & (F.col("user_id") != "")).distinct()
              .groupBy("user_id").agg(F.min("name").alias("name")))
     users = users.select(
         "user_id",
@@ -141,7 +142,7 @@ LOCAL_UNKNOWN = {"sk_local": -1, "country": "Unknown", "city": "Unknown", "villa
 def unique_gazetteer(gazetteer: DataFrame) -> DataFrame:
     """One gazetteer row per (Latitude, Longitude): the smallest, so lookups never fan out."""
     rest = [c for c in gazetteer.columns if c not in ("Latitude", "Longitude")]
-    g = gazetteer.groupBy("Latitude", "Longitude").agg(F.min(F.struct(*rest)).alias("__r"))
+    g = gazetteer.distinct().groupBy("Latitude", "Longitude").agg(F.min(F.struct(*rest)).alias("__r"))
     return g.select("Latitude", "Longitude", *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 

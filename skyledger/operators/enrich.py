@@ -111,9 +111,12 @@ def attach_hourly_weather_long(sessions: DataFrame, hourly: DataFrame, variables
 def daily_arrays(hourly: DataFrame, variables: Sequence[str]) -> DataFrame:
     """Long hourly rows -> one row per (place, day) with a 24-slot array per variable.
 
-    A plain aggregation (slot h = the value at hour h), no collect_list, so
-    partial aggregation applies and a busy place cannot build one huge group.
+    First one row per (place, hour), by partial maxima; then at most 24 of them are gathered per
+    place and day and laid out by hour (a missing hour is null).
     """
+    keys = ["latitude", "longitude", "date", "__h"]
     h = hourly.withColumn("__h", F.hour("time")).withColumn("date", F.to_date("time"))
-    aggs = [F.array(*[F.max(F.when(F.col("__h") == i, F.col(v))) for i in range(24)]).alias(v) for v in variables]
-    return h.groupBy("latitude", "longitude", "date").agg(*aggs)
+    h = h.groupBy(*keys).agg(*[F.max(v).alias(v) for v in variables])
+    day = h.groupBy(*keys[:3]).agg(F.map_from_entries(F.collect_list(F.struct("__h", F.struct(*variables)))).alias("__m"))
+    day = day.withColumn("__d", F.transform(F.sequence(F.lit(0), F.lit(23)), lambda i: F.try_element_at("__m", i)))
+    return day.select(*keys[:3], *[F.col("__d")[v].alias(v) for v in variables])

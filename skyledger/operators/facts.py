@@ -1,8 +1,9 @@
 """Fact builders (K9-K11) and the warehouse bundle.
 
-A fact row = a raw detail row joined to its session header (one shuffle join
-on the session id, skew split by AQE), then one lookup per dimension role.
-Lookups against the clock dimension (86,424 rows at most, by construction)
+A session's observer, submitter, place, date and hour are resolved once, on the sessions
+(``session_keys``), and the three facts share that table.  A fact row = a raw detail row joined to
+its session's keys (one shuffle by session id, skew split by AQE; the de-duplication reuses it),
+then lookups of what belongs to the row itself: clock times, shower, method.  Lookups against the clock dimension (86,424 rows at most, by construction)
 are broadcast; every other dimension is broadcast only after a bounded row
 count (once per dimension) says it fits, else it shuffle-joins.  Unknown members take every
 miss, so no fact row is lost or repeated.
@@ -56,17 +57,33 @@ def _user(df: DataFrame, dim_user: DataFrame, id_col: str, alias: str) -> DataFr
                    dim_filter=F.col("sk_user") >= 0)
 
 
-def build_fact_observations(rates: DataFrame, sessions: DataFrame, wh: Warehouse) -> DataFrame:
-    """One row per rate row with nine keys, two degenerate ids and five measures (K9)."""
+def session_keys(sessions: DataFrame, wh: Warehouse) -> DataFrame:
+    """Per session: its observer, submitter, place, date and whole-hour keys."""
+    columns = ["Session ID", "Start Date", "Observer ID", "Submitter ID", "Latitude", "Longitude", "Elevation"]
+    s = sessions.select(*[c for c in columns if c in sessions.columns])
+    s = s.withColumn("fk_date", date_key_or_unknown(F.col("`Start Date`")))
+    if wh.dim_user is not None:
+        s = _user(s, wh.dim_user, "Observer ID", "fk_user_observer")     # C12: one dimension,
+        s = _user(s, wh.dim_user, "Submitter ID", "fk_user_submitter")   # two roles
+    s = _place(s, wh.dim_local)
+    if wh.dim_time is not None:
+        s = resolve(s, wh.dim_time, [(F.hour(F.col("`Start Date`")), "hour"), (0, "minute"), (0, "second")],
+                    "sk_time", "fk_time", bound_rows=CLOCK_BOUND, dim_filter=F.col("sk_time") >= 0)
+    return s.drop("Start Date", "Observer ID", "Submitter ID", "Latitude", "Longitude", "Elevation")
+
+
+def build_fact_observations(rates: DataFrame, sessions: DataFrame, wh: Warehouse, header: DataFrame | None = None) -> DataFrame:
+    """One row per rate row with nine keys, two degenerate ids and five measures (K9).
+
+    ``header``: what ``session_keys`` gives, where it has been written already.
+    """
     r = rates.select("Rate ID", "Obs Session ID", "Start Date", "End Date", "Ra", "Decl", "Teff", "F",
                      "Shower", "Method", "Number")
-    s = sessions.select("Session ID", "Observer ID", "Submitter ID", "Latitude", "Longitude", "Elevation")
-    df = r.join(s, r["`Obs Session ID`"] == s["`Session ID`"], "inner")
+    h = (header if header is not None else session_keys(sessions, wh)).select(
+        "Session ID", "fk_user_observer", "fk_user_submitter", "fk_local")
+    df = r.join(h, r["`Obs Session ID`"] == h["`Session ID`"], "inner")
     df = (df.withColumn("fk_start_date", date_key_or_unknown(F.col("`Start Date`")))
           .withColumn("fk_end_date", date_key_or_unknown(F.col("`End Date`"))))
-    df = _user(df, wh.dim_user, "Observer ID", "fk_user_observer")     # C12: one dimension,
-    df = _user(df, wh.dim_user, "Submitter ID", "fk_user_submitter")   # two roles
-    df = _place(df, wh.dim_local)
     df = _clock(df, wh.dim_time, "Start Date", "fk_start_time")
     df = _clock(df, wh.dim_time, "End Date", "fk_end_time")
     df = resolve(df, wh.dim_shower, [("Shower", "IAU_code")], "sk_shower", "fk_shower")
@@ -81,16 +98,14 @@ def build_fact_observations(rates: DataFrame, sessions: DataFrame, wh: Warehouse
     ).dropDuplicates()
 
 
-def build_fact_magnitude(magnitudes: DataFrame, sessions: DataFrame, wh: Warehouse) -> DataFrame:
+def build_fact_magnitude(magnitudes: DataFrame, sessions: DataFrame, wh: Warehouse, header: DataFrame | None = None) -> DataFrame:
     """One row per magnitude row: keys, ids and the 13 histogram counts."""
-    s = sessions.select("Session ID", "Observer ID", "Latitude", "Longitude", "Elevation")
-    df = magnitudes.join(s, magnitudes["`Obs Session ID`"] == s["`Session ID`"], "inner")
+    h = (header if header is not None else session_keys(sessions, wh)).select("Session ID", "fk_user_observer", "fk_local")
+    df = magnitudes.join(h, magnitudes["`Obs Session ID`"] == h["`Session ID`"], "inner")
     df = (df.withColumn("fk_start_date", date_key_or_unknown(F.col("`Start Date`")))
           .withColumn("fk_end_date", date_key_or_unknown(F.col("`End Date`"))))
-    df = _user(df, wh.dim_user, "Observer ID", "fk_user_observer")
     df = _clock(df, wh.dim_time, "Start Date", "fk_start_time")
     df = _clock(df, wh.dim_time, "End Date", "fk_end_time")
-    df = _place(df, wh.dim_local)
     df = resolve(df, wh.dim_shower, [("Shower", "IAU_code")], "sk_shower", "fk_shower")
     return df.select(
         "fk_user_observer", "fk_start_date", "fk_start_time", "fk_end_date", "fk_end_time", "fk_local", "fk_shower",
@@ -99,18 +114,14 @@ def build_fact_magnitude(magnitudes: DataFrame, sessions: DataFrame, wh: Warehou
     ).dropDuplicates()
 
 
-def build_fact_weather(weather: DataFrame, sessions: DataFrame, wh: Warehouse) -> DataFrame:
+def build_fact_weather(weather: DataFrame, sessions: DataFrame, wh: Warehouse, header: DataFrame | None = None) -> DataFrame:
     """Weather of each session's start hour and place.
 
     The session is resolved to the whole hour (minute = second = 0, C6), the
     weather row joins by session id (left, C7), and a session without weather
     gets the unknown code after that join (S10).
     """
-    s = sessions.select("Session ID", "Start Date", "Latitude", "Longitude", "Elevation")
-    s = s.withColumn("fk_date", date_key_or_unknown(F.col("`Start Date`")))
-    s = resolve(s, wh.dim_time, [(F.hour(F.col("`Start Date`")), "hour"), (0, "minute"), (0, "second")],
-                "sk_time", "fk_time", bound_rows=CLOCK_BOUND, dim_filter=F.col("sk_time") >= 0)
-    s = _place(s, wh.dim_local)
+    s = (header if header is not None else session_keys(sessions, wh)).select("Session ID", "fk_date", "fk_time", "fk_local")
     w = weather.withColumn("weather_code", text_to_int("weather_code"))
     w = resolve(w, wh.dim_weather_code, [("weather_code", "code")], "sk_weather_code", "fk_weather_code",
                 dim_filter=F.col("sk_weather_code") >= 0)

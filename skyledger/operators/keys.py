@@ -32,13 +32,13 @@ def number_small(df: DataFrame, order: list, key: str, bound: int, structural: b
     """``row_number`` over one window (E1), for tables of at most ``bound`` rows.
 
     ``structural=True`` says the bound holds by construction (86,424 clock
-    times of a day) and skips the check; otherwise ``limit(bound+1).count()``
+    times of a day) and skips the check; otherwise a count (one number a task)
     proves it, and a larger table is numbered by ``number_rows`` instead, so
-    no unbounded table is ever ordered in one task.
+    no unbounded table is ever ordered in one task.  The key is a ``bigint`` either way.
     """
-    if bound > 1_000_000 or (not structural and df.limit(bound + 1).count() > bound):
+    if bound > 1_000_000 or (not structural and df.count() > bound):
         return number_rows(df, list(order), key)
-    return df.withColumn(key, F.row_number().over(Window.orderBy(*order)))
+    return df.withColumn(key, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 def number_rows(df: DataFrame, order: list[str], key: str, partitions: int | None = None,

@@ -6,8 +6,7 @@ dimension in two roles) and B11 (``coalesce(sk, -1)``).
 
 Broadcast policy: a dimension is broadcast only behind a proven size bound:
 either a structural one given by the caller (``bound_rows``: the clock
-times of a day) or a bounded count (``limit(max+1).count()``, which stops
-reading after ``max+1`` rows, within a row and a byte budget).  Past the
+times of a day) or its measured rows and bytes (one partial sum a task).  Past the
 bound the join is a plain shuffle join, which AQE may still turn into a
 broadcast from runtime sizes and whose skewed partitions AQE splits.
 """
@@ -24,38 +23,40 @@ from skyledger.functions._util import as_col
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
-_WIDTH = {"string": 24, "binary": 24, "array": 64, "map": 64, "struct": 32, "decimal": 16, "boolean": 1,
-          "tinyint": 1, "byte": 1, "smallint": 2, "short": 2, "int": 4, "integer": 4, "date": 4, "float": 4}
+# bytes of a value in Spark's row format; text and binary are measured
+_WIDTH = {"boolean": 8, "tinyint": 8, "smallint": 8, "int": 8, "bigint": 8, "float": 8, "double": 8, "date": 8,
+          "timestamp": 8, "timestamp_ntz": 8}
+_ROW = 24
 
+_MEASURED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int | None]]" = weakref.WeakKeyDictionary()
 
-def row_width(df: DataFrame) -> int:
-    """Rough bytes per row from the schema (8 for other fixed-width types)."""
-    return sum(_WIDTH.get(t.split("(")[0].split("<")[0], 8) for _, t in df.dtypes) + 8
 
-
-def row_limit(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> int:
-    return max(1, min(max_rows, max_bytes // row_width(dim)))
-
-
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+def measured(df: DataFrame) -> tuple[int, int | None]:
+    """Rows and bytes of ``df``, counted once per DataFrame object by partial sums (one row a task reaches the last
+    step).  Bytes are None where a column's type has no known width."""
+    if df not in _MEASURED:
+        widths, texts = [], []
+        for f in df.schema.fields:
+            kind = f.dataType.simpleString()
+            if kind in ("string", "binary"):
+                texts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + F.lit(16))
+            else:
+                widths.append(16 if kind.startswith("decimal") else _WIDTH.get(kind))
+        long = sum(texts[1:], texts[0]) if texts else F.lit(0)
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(long.cast("long")), F.lit(0)).alias("b")).first()
+        _MEASURED[df] = (r["n"], None if None in widths else r["b"] + r["n"] * (_ROW + sum(widths)))
+    return _MEASURED[df]
 
 
-def at_most(df: DataFrame, limit: int) -> bool:
-    """``df`` has at most ``limit`` rows; reads at most ``limit + 1`` rows, once per
-    DataFrame object and limit (a dimension used in several roles is counted once)."""
-    seen = _CHECKED.setdefault(df, {})
-    if limit not in seen:
-        seen[limit] = df.limit(limit + 1).count() <= limit
-    return seen[limit]
-
+def row_limit(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> int:
+    """Rows of a structurally bounded table of fixed-width columns that fit the budget."""
+    return max(1, min(max_rows, max_bytes // (_ROW + 16 * len(dim.columns))))
 
-def small_enough(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, width_of: DataFrame | None = None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows and fits the byte budget.
 
-    ``width_of`` is the projection that will actually be broadcast (fewer
-    columns than ``dim``, same or fewer rows).
-    """
-    return at_most(dim, row_limit(width_of if width_of is not None else dim, max_rows))
+def small_enough(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows and ``max_bytes`` measured bytes."""
+    rows, size = measured(dim)
+    return rows <= max_rows and size is not None and size <= max_bytes
 
 
 def maybe_broadcast(dim: DataFrame, bound_rows: int | None = None,
@@ -92,9 +93,9 @@ def resolve(fact: DataFrame, dim: DataFrame, on: list[tuple], key: str, alias: s
         conds.append(F.col(fk) == F.col(f"__dk_{alias}_{i}"))
     d = d.select(*dim_cols)
     if broadcast is None:
-        # filters and constant keys only remove rows: a bound on the whole
+        # filters, constant keys and projections only make it smaller: a bound on the whole
         # dimension holds for the projected side, and is checked once per dimension
-        fits = (bound_rows is not None and bound_rows <= row_limit(d)) or small_enough(source, width_of=d)
+        fits = (bound_rows is not None and bound_rows <= row_limit(d)) or small_enough(source)
         d = F.broadcast(d) if fits else d
     elif broadcast:
         d = F.broadcast(d)

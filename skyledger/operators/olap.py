@@ -73,13 +73,14 @@ def weighted_mean_by(df: DataFrame, by: Sequence, bins: Sequence[tuple[str, int]
 
 def drill_across(left: DataFrame, right: DataFrame, grain: Sequence[str], group: str, measure: str,
                  alias: str, conformed: bool = False, digits: int | None = None,
-                 group_filter: Column | None = None) -> DataFrame:
+                 group_filter: Column | None = None, right_rows: str | None = None) -> DataFrame:
     """Sum the left measure by a right attribute over matching grain.
 
     ``left`` has the grain columns and ``measure``; ``right`` has the grain
     columns and ``group``.  Plain mode equals the row-level join then sum
     (fan-out included, S8); ``conformed=True`` counts each right value once
-    per grain.
+    per grain.  ``right_rows`` names a column with the rows that a row of an
+    already summed ``right`` stands for.
     """
     g = list(grain)
     lsum = (left.where(F.col(measure).isNotNull())
@@ -88,7 +89,7 @@ def drill_across(left: DataFrame, right: DataFrame, grain: Sequence[str], group:
     if conformed:
         rcnt = r.select(*g, group).distinct().withColumn("__rcnt", F.lit(1).cast("long"))
     else:
-        rcnt = r.groupBy(*g, group).agg(F.count(F.lit(1)).alias("__rcnt"))
+        rcnt = r.groupBy(*g, group).agg((F.sum(right_rows) if right_rows else F.count(F.lit(1))).alias("__rcnt"))
     joined = lsum.join(rcnt, g)
     out = joined.groupBy(group).agg(_sum(F.col("__lsum") * F.col("__rcnt"), digits).alias(alias))
     return out
@@ -125,8 +126,13 @@ def q1_meteors_in_month(fact_observations: DataFrame, dim_shower: DataFrame, sho
     d = maybe_broadcast(dim_shower.where(F.col("IAU_code") == shower).select("sk_shower", "IAU_code"))
     f = fact_observations.where(key_in_month("fk_start_date", month))
     if dim_date is not None:
-        years = [r[0] for r in dim_date.where(F.col("year") > 0).select("year").distinct().collect()]
-        f = f.where(key_in_month_of_years("fk_start_date", month, years))
+        # one range a year between the first and the last of the dimension, which the scan can use; a fact of another
+        # year is looked at row by row, so none depends on the dimension's years
+        r = dim_date.where(F.col("year") > 0).agg(F.min("year").alias("first"), F.max("year").alias("last")).first()
+        if r["first"] is not None:
+            key = F.col("fk_start_date")
+            f = f.where(key_in_month_of_years("fk_start_date", month, list(range(r["first"], r["last"] + 1)))
+                        | (key < r["first"] * 10000) | (key >= (r["last"] + 1) * 10000))
     j = f.join(d, f["fk_shower"] == d["sk_shower"])
     return rollup_sum(j.withColumnRenamed("IAU_code", "Shower"), ["Shower"], "cnt_meteor", "meteors_counted")
 
@@ -136,15 +142,15 @@ def q2_meteors_by_precipitation(fact_observations: DataFrame, dim_time: DataFram
     """Meteors by the precipitation of the same hour and place (drill-across, S8, S9)."""
     t = maybe_broadcast(dim_time.select("sk_time", "hour"), bound_rows=CLOCK_BOUND + 1)
     loc = maybe_broadcast(dim_local.select("sk_local", "latitude", "longitude"))
-    obs = (fact_observations.join(t, fact_observations["fk_start_time"] == t["sk_time"])
-           .join(loc, fact_observations["fk_local"] == loc["sk_local"])
+    # sums on the facts' own keys first; the dimensions join what is left
+    obs = fact_observations.groupBy("fk_start_date", "fk_start_time", "fk_local").agg(F.sum("cnt_meteor").alias("cnt_meteor"))
+    obs = (obs.join(t, obs["fk_start_time"] == t["sk_time"]).join(loc, obs["fk_local"] == loc["sk_local"])
            .select(F.col("fk_start_date").alias("date"), "hour", "latitude", "longitude", "cnt_meteor"))
-    wx = (fact_weather.where(F.col("precipitation").isNotNull())
-          .join(t, fact_weather["fk_time"] == t["sk_time"])
-          .join(loc, fact_weather["fk_local"] == loc["sk_local"])
-          .select(F.col("fk_date").alias("date"), "hour", "latitude", "longitude", "precipitation"))
+    wx = fact_weather.where(F.col("precipitation").isNotNull()).groupBy("fk_date", "fk_time", "fk_local", "precipitation").agg(F.count(F.lit(1)).alias("rows"))
+    wx = (wx.join(t, wx["fk_time"] == t["sk_time"]).join(loc, wx["fk_local"] == loc["sk_local"])
+          .select(F.col("fk_date").alias("date"), "hour", "latitude", "longitude", "precipitation", "rows"))
     out = drill_across(obs, wx, ["date", "hour", "latitude", "longitude"], "precipitation", "cnt_meteor",
-                       "meteors_counted", conformed=conformed)
+                       "meteors_counted", conformed=conformed, right_rows="rows")
     return out.orderBy("precipitation")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyledger.session import scratch_path
-from skyledger.sources.readers import read_delimited, read_parquet
+from skyledger.sources.readers import read_delimited, read_parquet, read_rejects
 from skyledger.sources.sinks import export_csv, write_parquet, write_sorted
 from skyledger.plans.registry import register
 from skyledger.plans.tables import Tables
@@ -19,11 +19,38 @@ from skyledger.plans.tables import Tables
 def csv_roundtrip(spark, d):
     cust = Tables(spark, d).customer
     path = scratch_path(spark, "csv_roundtrip")
-    # several part files per task: the reader must take the folder as one table
-    cust.write.option("sep", ";").option("header", True).option("maxRecordsPerFile", 400).csv(path)
+    # the reader must take the folder's part files as one table
+    cust.write.option("sep", ";").option("header", True).csv(path)
     return read_delimited(spark, path, schema=cust.schema, sep=";")
 
 
+@register("csv_layouts", "A1 A3 A7", sql="SELECT * FROM orders")
+def csv_layouts(spark, d):
+    """Two layouts of one table in one folder: columns in reverse order, and with an extra column in front."""
+    orders = Tables(spark, d).orders
+    path = scratch_path(spark, "csv_layouts")
+    even = F.col("o_orderkey") % 2 == 0
+    text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in orders.dtypes]
+    out = {"header": True, "sep": ";"}
+    orders.where(even).select(*reversed(text)).write.options(**out).csv(path)
+    orders.where(~even).select(F.lit("x;\"y\"").alias("User ID"), *text, F.lit(6.1).alias("Lmg")).write.options(**out, escape='"').mode("append").csv(path)
+    return read_delimited(spark, path, schema=orders.schema, sep=";")
+
+
+@register("csv_rejects", "A1 B4 (rejects)", sql="""
+SELECT 'o_totalprice' AS column, o_orderkey::VARCHAR || ' n/a' AS value, o_orderkey::VARCHAR AS key FROM orders WHERE o_orderkey % 7 = 0
+UNION ALL SELECT 'o_custkey', '12x', o_orderkey::VARCHAR FROM orders WHERE o_orderkey % 11 = 0
+""")
+def csv_rejects(spark, d):
+    """Cells that do not fit their type, written by rule, must all be listed."""
+    orders = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    path = scratch_path(spark, "csv_rejects")
+    orders.select("o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, F.lit("12x")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+                  F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit(" n/a")))
+                  .otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice")).write.option("header", True).option("sep", ";").csv(path)
+    return read_rejects(spark, path, orders.schema, sep=";").select("column", "value", F.col("row")["o_orderkey"].alias("key"))
+
+
 @register("csv_inferred", "A2", sql="SELECT * FROM nation")
 def csv_inferred(spark, d):
     nation = Tables(spark, d).nation
@@ -69,9 +96,12 @@ def csv_stream_staging(spark, d):
     cust = Tables(spark, d).customer
     root = scratch_path(spark, "csv_stream_staging")
     src = f"{root}/incoming"
-    # four arrival files, two per micro-batch: the second batch must only add the new files
-    cust.repartition(4).write.option("sep", ";").option("header", True).csv(src)
-    return stage_stream(spark, src, f"{root}/staged", cust.schema, f"{root}/_checkpoint", files_per_batch=2)
+    # two arrivals, one run after each: the second must only add the new files
+    even = F.col("c_custkey") % 2 == 0
+    for part in (cust.where(even), cust.where(~even)):
+        part.write.option("sep", ";").option("header", True).mode("append").csv(src)
+        staged = stage_stream(spark, src, f"{root}/staged", cust.schema, f"{root}/_checkpoint")
+    return staged
 
 
 def _gazetteer_sql():
@@ -88,8 +118,12 @@ def gazetteer_stream(spark, d):
     t = Tables(spark, d)
     root = scratch_path(spark, "gazetteer_stream")
     src = f"{root}/sessions"
-    # session files arrive over several runs: four files, two per micro-batch
-    roles.customer_places(t).repartition(4).write.option("sep", ";").option("header", True).csv(src)
+    # session files arrive over two runs
+    places = roles.customer_places(t)
+    even = F.floor(F.col("Latitude")) % 2 == 0
     schema = StructType([StructField(c, DoubleType()) for c in ("Latitude", "Longitude", "Elevation")])
-    return stream_new_locations(spark, src, schema, roles.known_locations(t), roles.addresses(t),
-                                f"{root}/gazetteer", f"{root}/_checkpoint", files_per_batch=2)
+    for part in (places.where(even), places.where(~even)):
+        part.write.option("sep", ";").option("header", True).mode("append").csv(src)
+        grown = stream_new_locations(spark, src, schema, roles.known_locations(t), roles.addresses(t),
+                                     f"{root}/gazetteer", f"{root}/_checkpoint")
+    return grown

@@ -164,7 +164,7 @@ def unknown_member(spark, d):
 
 
 @register("surrogate_key_small", "E1", sql="""
-SELECT CAST(row_number() OVER (ORDER BY n_name) AS INTEGER) AS sk_nation, n_nationkey, n_name FROM nation
+SELECT row_number() OVER (ORDER BY n_name) AS sk_nation, n_nationkey, n_name FROM nation
 """)
 def surrogate_key_small(spark, d):
     n = Tables(spark, d).nation.select("n_nationkey", "n_name")

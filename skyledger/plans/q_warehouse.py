@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.dims import (build_dim_date, build_dim_junk, build_dim_local, build_dim_local_from_text,
                                       build_dim_shower, build_dim_time, build_dim_user, build_dim_weather_code)
-from skyledger.operators.enrich import attach_hourly_weather, daily_arrays, enrich_locations
+from skyledger.operators.enrich import attach_hourly_weather_long, enrich_locations
 from skyledger.operators.facts import (Warehouse, build_fact_magnitude, build_fact_observations,
                                        build_fact_weather)
 from skyledger.plans import roles
@@ -199,8 +199,7 @@ LEFT JOIN w ON s.sid = w.sid
 def fact_hourly(spark, d):
     t = Tables(spark, d)
     sessions = roles.event_sessions(t)
-    daily = daily_arrays(roles.hourly_weather(t), roles.HOURLY_VARIABLES)
-    weather = roles.weather_rows(attach_hourly_weather(sessions, daily, roles.HOURLY_VARIABLES))
+    weather = roles.weather_rows(attach_hourly_weather_long(sessions, roles.hourly_weather(t), roles.HOURLY_VARIABLES))
     wh = Warehouse(
         dim_time=build_dim_time(t.events.select("ts")),
         dim_local=build_dim_local(roles.customer_places(t), _gazetteer(t)),

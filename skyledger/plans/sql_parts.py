@@ -71,7 +71,7 @@ clock AS (
   FROM ({times_sql}) WHERE x IS NOT NULL
   UNION SELECT CAST(range AS INTEGER), 0, 0 FROM range(24)),
 dim_time AS (
-  SELECT CAST(row_number() OVER (ORDER BY hour, minute, second) AS INTEGER) AS sk_time, hour, minute, second,
+  SELECT row_number() OVER (ORDER BY hour, minute, second) AS sk_time, hour, minute, second,
          printf('%02d:%02d:%02d', hour, minute, second) AS full_time FROM clock
   UNION ALL SELECT -1, -1, -1, -1, 'Unknown')"""
 
@@ -173,7 +173,7 @@ hourly AS (
 
 DIM_CODE = """
 dim_code AS (
-  SELECT CAST(row_number() OVER (ORDER BY code) AS INTEGER) AS sk_weather_code, code, description
+  SELECT row_number() OVER (ORDER BY code) AS sk_weather_code, code, description
   FROM (SELECT CAST(CAST(CAST(n_nationkey AS VARCHAR) || '.0' AS DOUBLE) AS INTEGER) AS code,
                min(n_name) AS description FROM nation GROUP BY 1)
   UNION ALL SELECT -1, -1, 'Unknown')"""

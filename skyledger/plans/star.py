@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from skyledger.build import RawSources, write_warehouse
-from skyledger.operators.enrich import attach_hourly_weather, daily_arrays, enrich_locations
+from skyledger.operators.enrich import attach_hourly_weather_long, enrich_locations
 from skyledger.operators.facts import Warehouse
 from skyledger.plans import roles
 from skyledger.plans.tables import Tables
@@ -27,8 +27,7 @@ def star_sources(t: Tables, staging: str) -> RawSources:
         return spark.read.parquet(write_parquet(df, f"{staging}/{name}"))
 
     sessions = stage(roles.sessions(t), "sessions")
-    daily = daily_arrays(roles.session_world(t), roles.HOURLY_VARIABLES)
-    weather = stage(roles.weather_rows(attach_hourly_weather(sessions, daily, roles.HOURLY_VARIABLES)), "weather")
+    weather = stage(roles.weather_rows(attach_hourly_weather_long(sessions, roles.session_world(t), roles.HOURLY_VARIABLES)), "weather")
     gazetteer = stage(enrich_locations(sessions, roles.known_locations(t), roles.addresses(t)), "locations")
     return RawSources(sessions=sessions, rates=stage(roles.star_rates(t), "rates"),
                       magnitudes=stage(roles.star_magnitudes(t), "magnitudes"), weather=weather,

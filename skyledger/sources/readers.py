@@ -2,24 +2,94 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.sources import schemas
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+def _reader(spark: SparkSession, sep: str):
+    return (spark.read.option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"'))
+
+
+def layouts(spark: SparkSession, path: str, sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> files of that header, for a delimited file or folder.
+
+    Only the first line of each file is read, by a few threads of the driver; files whose name starts with ``_`` or ``.``
+    are no data, as for Spark's own listing.  Compressed files are read through their codec.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    files, pending = [], [fs.getFileStatus(root)]
+    while pending:
+        status = pending.pop()
+        for child in fs.listStatus(status.getPath()) if status.isDirectory() else [status]:
+            if child.getPath().getName().startswith(("_", ".")) and child.getPath() != root:
+                continue
+            if child.isDirectory():
+                pending.append(child)
+            elif child.getLen() > 0:
+                files.append(child.getPath())
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(file) -> tuple[str, ...]:
+        stream, codec = fs.open(file), codecs.getCodec(file)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            first = lines.readLine() or ""
+        finally:
+            lines.close()
+        return tuple(next(csv.reader([first.lstrip("\ufeff")], delimiter=sep), []))
+
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for names, file in zip(pool.map(header, files), files, strict=True):
+            found.setdefault(names, []).append(file.toString())
+    return dict(sorted(found.items()))
+
+
+def read_texts(spark: SparkSession, path: str, columns: list[str], sep: str = ";") -> DataFrame:
+    """The named columns as text, whatever else a file holds and in whatever order (A1, A3).
+
+    Files of different layouts in one folder are read layout by layout.  A layout without one of the columns raises.
+    """
+    parts = []
+    for names, files in layouts(spark, path, sep).items():
+        missing = [c for c in columns if names.count(c) != 1]
+        if missing:
+            raise ValueError(f"{files[0]}: the header {list(names)} must hold each of {missing} once")
+        # further columns may repeat a name; only the wanted ones keep theirs
+        fields = [StructField(n if n in columns else f"__{i}", StringType()) for i, n in enumerate(names)]
+        parts.append(_reader(spark, sep).schema(StructType(fields)).csv(files).select(*[F.col(f"`{c}`") for c in columns]))
+    if not parts:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _typed(field: StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    return c if isinstance(field.dataType, StringType) else F.trim(c).try_cast(field.dataType)
+
+
 def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = ";",
                    header: bool = True, infer: bool = False) -> DataFrame:
     """A file or a directory of delimited files as one table (A1, A2, A3).
 
-    With a schema there is no inference pass; malformed fields become null
-    (PERMISSIVE) instead of failing the job.  ``infer=True`` is kept for
-    ad-hoc use and costs one extra scan.
+    With a schema its columns are found by name in each file's header, read as text and cast; a cell that does not
+    fit its type is null here and listed by ``read_rejects``.  ``infer=True`` is kept for ad-hoc use and costs one extra scan.
     """
-    r = (spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-         .option("timestampNTZFormat", TS_FORMAT).option("quote", '"').option("escape", '"'))
+    if schema is not None and header:
+        return read_texts(spark, path, schema.names, sep).select(*[_typed(f).alias(f.name) for f in schema.fields])
+    r = _reader(spark, sep).option("header", header).option("timestampNTZFormat", TS_FORMAT)
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -27,6 +97,16 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | None = N
     return r.csv(path)
 
 
+def read_rejects(spark: SparkSession, path: str, schema: StructType, sep: str = ";") -> DataFrame:
+    """The cells that ``read_delimited`` cannot type: column, value, and the row as a map of texts."""
+    rows = read_texts(spark, path, schema.names, sep)
+    bad = [F.when((F.trim(F.col(f"`{f.name}`")) != "") & _typed(f).isNull(), F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("value")))
+           for f in schema.fields if not isinstance(f.dataType, StringType)]
+    row = F.create_map(*[x for c in schema.names for x in (F.lit(c), F.col(f"`{c}`"))])
+    found = rows.select(F.explode(F.array_compact(F.array(*bad))).alias("bad"), row.alias("row"))
+    return found.select("bad.column", "bad.value", "row")
+
+
 def read_reference(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A small comma-separated lookup table with header (A4)."""
     return read_delimited(spark, path, schema=schema, sep=",")
@@ -55,6 +135,10 @@ def read_weather(spark, path: str) -> DataFrame:
     return read_delimited(spark, path, schemas.WEATHER, sep=",")
 
 
+def read_addresses(spark, path: str) -> DataFrame:
+    return read_reference(spark, path, schemas.ADDRESSES)
+
+
 def read_locations(spark, path: str) -> DataFrame:
     return read_reference(spark, path, schemas.LOCATIONS)
 

@@ -83,6 +83,12 @@ LOCATIONS = _s(
     ("CountryCode", StringType()),
 )
 
+ADDRESSES = _s(
+    ("Latitude", DoubleType()),
+    ("Longitude", DoubleType()),
+    *[(part, StringType()) for part in ("city", "town", "village", "hamlet", "county", "state", "country", "country_code")],
+)
+
 WEATHER_CODES = _s(("code", StringType()), ("description", StringType()))
 
 SHOWER_LIST = _s(

@@ -23,8 +23,9 @@ from skyledger.sources.readers import TS_FORMAT
 
 
 def _csv_stream(spark: SparkSession, src_dir: str, schema: StructType, sep: str, files_per_batch: int | None):
-    r = (spark.readStream.schema(schema).option("sep", sep).option("header", True)
-         .option("timestampNTZFormat", TS_FORMAT).option("mode", "PERMISSIVE"))
+    # as the batch reader parses; a header that differs from the schema fails instead of shifting columns
+    r = (spark.readStream.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", False)
+         .option("quote", '"').option("escape", '"').option("timestampNTZFormat", TS_FORMAT).option("mode", "PERMISSIVE"))
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
     return r.csv(src_dir)
@@ -76,13 +77,14 @@ def stream_new_locations(spark: SparkSession, sessions_dir: str, sessions_schema
     (_csv_stream(spark, sessions_dir, sessions_schema, sep, files_per_batch).writeStream
      .foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True)
      .start().awaitTermination())
-    added = spark.read.parquet(out_dir).drop("batch") if _has_output(spark, out_dir) else base.limit(0)
+    if not _has_output(spark, out_dir):
+        return base
+    # a place that ``known`` has by now counts once
+    added = spark.read.parquet(out_dir).drop("batch").join(base.select(*COORDS).distinct(), COORDS, "left_anti")
     return base.unionByName(added)
 
 
 def _has_output(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    """Whether the folder is there; any other trouble with the storage is raised."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)

@@ -79,6 +79,8 @@ def test_broadcast_needs_a_proven_bound(spark):
     small = spark.range(10).toDF("k")
     wide = spark.range(10).selectExpr("id AS k", *[f"repeat('x', 10) AS s{i}" for i in range(40)])
     assert row_limit(wide) < row_limit(small)
+    heavy = spark.range(2000).selectExpr("id AS k", "repeat('x', 100000) AS s")
+    assert not _hinted(maybe_broadcast(heavy))                 # few rows, but 200 MB of text
     assert _hinted(maybe_broadcast(small))
     assert not _hinted(maybe_broadcast(small, max_rows=5))     # more rows than allowed: no hint
     assert _hinted(maybe_broadcast(small, bound_rows=10))      # structural bound, no count needed
@@ -91,7 +93,7 @@ def test_number_small_falls_back_when_the_bound_does_not_hold(spark):
     big = number_small(df, ["k"], "sk", bound=10)            # bound broken: scalable numbering
     assert sorted(r.sk for r in small.collect()) == list(range(1, 51))
     assert sorted(r.sk for r in big.collect()) == list(range(1, 51))
-    assert dict(small.dtypes)["sk"] == "int" and dict(big.dtypes)["sk"] == "bigint"
+    assert dict(small.dtypes)["sk"] == "bigint" and dict(big.dtypes)["sk"] == "bigint"   # one type at every size
 
 
 def test_number_rows_with_coalesced_ranges(spark):
