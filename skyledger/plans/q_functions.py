@@ -8,7 +8,7 @@ from skyledger.functions.calendar import parse_timestamp
 from skyledger.functions.casts import text_to_int
 from skyledger.functions.geo import haversine_km
 from skyledger.functions.text import (ACCENT_DST, ACCENT_SRC, TRANSLITERATION, VALID_PLACE_PATTERN,
-                                      default_if_blank, first_present, normalize_name, normalize_text_trim,
+                                      collapse_spaces, default_if_blank, first_present, normalize_name, normalize_text_trim,
                                       nth_piece, strip_accents, valid_or_unknown, with_normalized)
 from skyledger.operators.lookup import maybe_broadcast
 from skyledger.plans.registry import register
@@ -158,3 +158,30 @@ def haversine(spark, d):
     dist = haversine_km(F.col("n_nationkey") * 3.5 - 40, F.col("n_nationkey") * 7.0 - 80,
                         F.col("r_regionkey") * 15.0 - 30, F.col("r_regionkey") * 30.0 - 60)
     return j.select("n_nationkey", F.round(dist, 6).alias("distance_km"))
+
+
+# ---- dirty input, made from the tables by rule --------------------------------------
+
+@register("casts_dirty", "B4 H12 (bad values)", sql="""
+SELECT event_id,
+  CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(trunc(value) AS INTEGER) END AS code,
+  CASE WHEN event_id % 7 IN (0, 1, 2) THEN NULL ELSE date_trunc('second', ts) END AS start_date
+FROM events
+""")
+def casts_dirty(spark, d):
+    e = Tables(spark, d).events
+    k, ts = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    number = F.when(k % 10 == 0, F.lit("")).when(k % 10 == 5, F.concat(F.lit("n"), F.col("value").cast("string"))).otherwise(F.col("value").cast("string"))
+    text = F.when(k % 7 == 0, F.lit("2024-13-45 00:00:00")).when(k % 7 == 1, F.lit("")).when(k % 7 == 2, F.lit(None)).otherwise(ts)
+    return e.select("event_id", text_to_int(number).alias("code"), parse_timestamp(text).alias("start_date"))
+
+
+@register("collapse_dirty", "H10 (white space runs)", sql="""
+SELECT doc_id, regexp_replace(replace(replace(text, ' ', CASE WHEN doc_id % 2 = 0 THEN '  ' ELSE ' ' || chr(9) || ' ' END), chr(10), chr(10) || chr(10)), '\\s+', ' ', 'g') AS text
+FROM documents
+""")
+def collapse_dirty(spark, d):
+    docs = Tables(spark, d).documents
+    gap = F.when(F.col("doc_id") % 2 == 0, F.lit("  ")).otherwise(F.lit(" \t "))
+    dirty = F.replace(F.replace(F.col("text"), F.lit(" "), gap), F.lit("\n"), F.lit("\n\n"))
+    return docs.select("doc_id", collapse_spaces(dirty).alias("text"))

@@ -18,8 +18,6 @@ from skyledger.plans.tables import Tables
 from skyledger.session import scratch_path
 from skyledger.sources import readers
 
-DATE_BOUND = 200_000  # distinct days: about 550 years
-
 
 @register("gazetteer_join", "B2 C4", sql=f"""
 WITH {ADDRESSES.strip()}
@@ -134,6 +132,22 @@ def hourly_lookup_long(spark, d):
     return out.withColumnRenamed("Session ID", "session_id")
 
 
+# thirty hourly variables by rule: three measures, each shifted and scaled ten ways
+_THIRTY = [(f"{m}_{i}", m, i) for m in ("temperature_2m", "precipitation", "rain") for i in range(10)]
+
+
+@register("hourly_lookup_wide", "K13 C9 (30 variables)", sql="WITH " + EVENT_SESSIONS.strip() + f"""
+SELECT s.sid AS session_id, {", ".join(f"h.{m} * {i + 1} + {i} AS {n}" for n, m, i in _THIRTY)}
+FROM es s LEFT JOIN hourly h ON s.lat = h.lat AND s.lon = h.lon AND date_trunc('hour', s.start_date) = h.time
+WHERE s.lat IS NOT NULL AND s.lon IS NOT NULL
+""")
+def hourly_lookup_wide(spark, d):
+    t = Tables(spark, d)
+    hourly = roles.hourly_weather(t).select("latitude", "longitude", "time", *[(F.col(m) * (i + 1) + i).alias(n) for n, m, i in _THIRTY])
+    names = [n for n, _, _ in _THIRTY]
+    return attach_hourly_weather(roles.event_sessions(t), daily_arrays(hourly, names), names).withColumnRenamed("Session ID", "session_id")
+
+
 @register("grain_count", "K14 D6 F2", sql="""
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
        CAST(hour(ts) AS INTEGER) AS hour, user_id, event_type, count(*) AS count

@@ -10,7 +10,7 @@ from skyledger.operators.enrich import attach_hourly_weather_long, enrich_locati
 from skyledger.operators.facts import (Warehouse, build_fact_magnitude, build_fact_observations,
                                        build_fact_weather)
 from skyledger.plans import roles
-from skyledger.plans.registry import register
+from skyledger.plans.registry import REGISTRY, register
 from skyledger.plans.sql_parts import (DIM_CODE, DIM_LOCAL, DIM_SHOWER, DIM_USER, EVENT_SESSIONS, MAGS, RATES,
                                        SESSIONS, dim_junk, dim_time, dk, norm_name)
 from skyledger.plans.tables import Tables
@@ -86,21 +86,24 @@ _VALID = "'^[A-Za-zÀ-ÿ\\s\\-]+$'"
 
 
 @register("dim_local_text", "K2 H19 I1 H9 H10 H8 B9 E2", sql=f"""
-WITH src AS (SELECT {_text_clean('text')} AS c, {_text_clean('lang')} AS k, text AS raw_city, lang AS raw_country
+WITH src AS (SELECT {_text_clean('text')} AS c, {_text_clean('lang')} AS k, text AS raw_city, lang AS raw_country,
+                    CAST(n_chars % 90 AS DOUBLE) AS latitude, CASE WHEN n_chars % 5 <> 0 THEN n_chars % 180 + 0.5::DOUBLE END AS longitude,
+                    CASE WHEN n_chars % 3 <> 0 THEN CAST(n_chars AS DOUBLE) END AS elevation_m
              FROM documents),
 v AS (SELECT DISTINCT CASE WHEN regexp_matches(c, {_VALID}) THEN c ELSE 'Unknown' END AS city,
-             CASE WHEN regexp_matches(k, {_VALID}) THEN k ELSE 'Unknown' END AS country, raw_city, raw_country
+             CASE WHEN regexp_matches(k, {_VALID}) THEN k ELSE 'Unknown' END AS country, raw_city, raw_country,
+             latitude, longitude, elevation_m
       FROM src)
-SELECT row_number() OVER (ORDER BY country, city, raw_city, raw_country) AS sk_local, country, city,
-       CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude, CAST(NULL AS DOUBLE) AS elevation_m,
-       CAST(NULL AS DOUBLE) AS elevation_km, raw_city, raw_country
+SELECT row_number() OVER (ORDER BY country, city, latitude NULLS FIRST, longitude NULLS FIRST, elevation_m NULLS FIRST, raw_city, raw_country) AS sk_local, country, city,
+       latitude, longitude, elevation_m, elevation_m / 1000 AS elevation_km, raw_city, raw_country
 FROM v
 """)
 def dim_local_text(spark, d):
     docs = Tables(spark, d).documents
-    none = F.lit(None).cast("double")
-    sessions = docs.select(F.col("text").alias("City"), F.col("lang").alias("Country"), none.alias("Latitude"),
-                           none.alias("Longitude"), none.alias("Elevation"))
+    n = F.col("n_chars")
+    # coordinates by rule: text for the cast, some longitudes and elevations missing
+    sessions = docs.select(F.col("text").alias("City"), F.col("lang").alias("Country"), (n % 90).cast("string").alias("Latitude"),
+                           F.when(n % 5 != 0, n % 180 + 0.5).alias("Longitude"), F.when(n % 3 != 0, n.cast("double")).alias("Elevation"))
     return build_dim_local_from_text(sessions)
 
 
@@ -206,3 +209,66 @@ def fact_hourly(spark, d):
         dim_weather_code=build_dim_weather_code(roles.weather_codes(t)),
     )
     return build_fact_weather(weather, sessions, wh)
+
+
+# ---- facts with misses ------------------------------------------------------------
+# The dimensions lose members by a rule on their keys, rates lose start times, and sessions
+# lose their weather, so every foreign key has hits and -1.
+
+_CUTS = {"dim_user": ("sk_user", 5), "dim_local": ("sk_local", 3), "dim_time": ("sk_time", 7),
+         "dim_shower": ("sk_shower", 4), "dim_junk": ("sk_junk", 2), "dim_weather_code": ("sk_weather_code", 2)}
+
+
+def _cut(wh: Warehouse) -> Warehouse:
+    for name, (key, n) in _CUTS.items():
+        dim = getattr(wh, name)
+        if dim is not None:
+            setattr(wh, name, dim.where((F.col(key) < 0) | (F.col(key) % n != 0)))
+    return wh
+
+
+def _cut_sql(sql: str) -> str:
+    """The same query over dimensions without the members that ``_cut`` takes out."""
+    for name, (key, n) in _CUTS.items():
+        table = "dim_code" if name == "dim_weather_code" else name
+        sql = sql.replace(f"JOIN {table} ", f"JOIN (SELECT * FROM {table} WHERE {key} < 0 OR {key} % {n} <> 0) ")
+    return sql
+
+
+_NULL_START = "CASE WHEN {id} % 11 = 0 THEN NULL ELSE {ts} END"
+
+
+@register("fact_star_misses", "K9 B11 C3 C4 C5 S1", sql=_cut_sql(REGISTRY["fact_star"].sql).replace(
+    "f AS (SELECT r.*,", f"f AS (SELECT r.* REPLACE ({_NULL_START.format(id='r.rate_id', ts='r.start_date')} AS start_date),"))
+def fact_star_misses(spark, d):
+    t = Tables(spark, d)
+    rates = roles.rates(t)
+    late = rates.withColumn("Start Date", F.when(F.col("`Rate ID`") % 11 != 0, F.col("`Start Date`")))
+    return build_fact_observations(late, roles.sessions(t), _cut(_obs_warehouse(t, rates)))
+
+
+@register("fact_histogram_misses", "K10 B11 C3 C4 C5", sql=_cut_sql(REGISTRY["fact_histogram"].sql))
+def fact_histogram_misses(spark, d):
+    t = Tables(spark, d)
+    mags = roles.magnitudes(t)
+    wh = Warehouse(
+        dim_user=build_dim_user(roles.user_rows(t)),
+        dim_local=build_dim_local(roles.customer_places(t), _gazetteer(t)),
+        dim_time=build_dim_time(mags.select("Start Date"), mags.select("End Date")),
+        dim_shower=build_dim_shower(roles.rates(t), roles.shower_list(t)),
+    )
+    return build_fact_magnitude(mags, roles.sessions(t), _cut(wh))
+
+
+@register("fact_hourly_misses", "K11 B11 C6 C7 S10", sql=_cut_sql(REGISTRY["fact_hourly"].sql).replace(
+    "LEFT JOIN w ON s.sid = w.sid", "LEFT JOIN w ON s.sid = w.sid AND s.sid % 4 <> 0"))
+def fact_hourly_misses(spark, d):
+    t = Tables(spark, d)
+    sessions = roles.event_sessions(t)
+    weather = roles.weather_rows(attach_hourly_weather_long(sessions, roles.hourly_weather(t), roles.HOURLY_VARIABLES))
+    wh = Warehouse(
+        dim_time=build_dim_time(t.events.select("ts")),
+        dim_local=build_dim_local(roles.customer_places(t), _gazetteer(t)),
+        dim_weather_code=build_dim_weather_code(roles.weather_codes(t)),
+    )
+    return build_fact_weather(weather.where(F.col("`Session ID`") % 4 != 0), sessions, _cut(wh))
