@@ -13,7 +13,7 @@ Variants are made only for lines that can have a partner: one edit leaves the fi
 words as they were, so lines none of whose halves occurs in another line are left out beforehand, without loss.
 
 A line without a word always stays.  A null text counts as empty.  A null doc_id is last in order.  Rows that share a doc_id
-are one document: a line at the same place in two of them is one line.  Empty tables give no rows.
+are one document: which of two lines at the same place in them comes first is open.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import Words, bounds, documents, staged, sums, text_slices, texts
 from skyledger.llm.shingles import mixed
+from skyledger.operators.keys import number_rows
 
 MIN_WORDS = 8
 PRIME = np.uint64(0xC2B2AE3D27D4EB4F)
-PLACE = "struct<none:boolean,id:bigint,line:int>"
 
 
 def _half(n):
@@ -137,23 +137,22 @@ def place() -> F.Column:
 
 
 def suspect_texts(docs: DataFrame, suspects: DataFrame) -> DataFrame:
-    """key, at, text of the first occurrence of each line in ``suspects`` (key, at)."""
-    wanted = suspects.groupBy(F.col("at.id").alias("__id")).agg(F.collect_list(F.struct("key", "at")).alias("wanted"))
+    """n, text of the first occurrence of each line in ``suspects`` (n, id, line)."""
+    wanted = suspects.groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("n", "line")).alias("wanted"))
     found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("lines", F.split("text", "\n", -1))
-    return found.select(F.explode("wanted").alias("w"), "lines").select("w.key", "w.at", F.element_at("lines", F.col("w.at.line") + 1).alias("text")).where("text IS NOT NULL")
+    return found.select(F.explode("wanted").alias("w"), "lines").select("w.n", F.try_element_at("lines", F.col("w.line") + 1).alias("text")).where("text IS NOT NULL")
 
 
 def variant_table(lines: DataFrame) -> DataFrame:
-    """Each variant of each line (key, at, text): v (its hash), place (-1: the line as it is), key, at."""
+    """Each variant of each line (n, text): v (its hash), place (-1: the line as it is), n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, limit=1 << 19):
                 line, where, value = Hashed(Words(part.column("text"))).variants()
-                at = pa.array(line)
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(where.astype(np.int32)), part.column("key").take(at), part.column("at").take(at)],
-                                                 names=["v", "place", "key", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(where.astype(np.int32)), part.column("n").take(pa.array(line))],
+                                                 names=["v", "place", "n"])
 
-    return lines.select("key", "at", "text").mapInArrow(run, f"v long, place int, key binary, at {PLACE}")
+    return lines.select("n", "text").mapInArrow(run, "v long, place int, n long")
 
 
 def within_one(a: list[str], b: list[str]) -> bool:
@@ -171,25 +170,28 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     halves = distinct.select("key", F.explode("halves").alias("half")).distinct()
     crowded = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
     suspects = halves.join(crowded, "half", "left_semi").select("key").distinct()
-    lines = staged(suspect_texts(docs, distinct.select("key", "at").join(suspects, "key")), "lines-suspects")
+    # numbered by their places, so a smaller number is an earlier line
+    suspects = distinct.join(suspects, "key").select("key", "at.*")
+    suspects = staged(number_rows(suspects, ["none", "id", "line"], "n"), "lines-numbered")
+    lines = staged(suspect_texts(docs, suspects), "lines-suspects")
     variants = staged(variant_table(lines), "lines-variants")
 
-    best = F.min(F.struct("at", "key"))
-    replaced = variants.where("place >= 0").groupBy("v", "place").agg(best.alias("best"), F.max("at").alias("last")).where("best.at < last")
+    replaced = variants.where("place >= 0").groupBy("v", "place").agg(F.min("n").alias("earlier"), F.max("n").alias("last")).where("earlier < last")
     a = variants.join(replaced.drop("last"), ["v", "place"])
-    left_out = variants.groupBy("v").agg(F.min(F.when(F.col("place") < 0, F.struct("at", "key"))).alias("self"),
-                                         F.min(F.when(F.col("place") >= 0, F.struct("at", "key"))).alias("other")).where("self IS NOT NULL AND other IS NOT NULL")
-    b = variants.join(left_out, "v").withColumn("best", F.when(F.col("place") >= 0, F.col("self")).otherwise(F.col("other")))
-    links = a.select("key", "at", "best").unionByName(b.select("key", "at", "best")).where("best.at < at").select("key", F.col("best.key").alias("earlier")).distinct()
+    left_out = variants.groupBy("v").agg(F.min(F.when(F.col("place") < 0, F.col("n"))).alias("self"),
+                                         F.min(F.when(F.col("place") >= 0, F.col("n"))).alias("other")).where("self IS NOT NULL AND other IS NOT NULL")
+    b = variants.join(left_out, "v").withColumn("earlier", F.when(F.col("place") >= 0, F.col("self")).otherwise(F.col("other")))
+    links = a.select("n", "earlier").unionByName(b.select("n", "earlier")).where("earlier < n").distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = [within_one(x.split(), y.split()) for x, y in zip(*(batch.column(c).to_pylist() for c in ("text", "earlier_text")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("key")], names=["key"]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column("n")], names=["n"]).filter(pa.array(ok, pa.bool_()))
 
-    text = lines.groupBy("key").agg(F.first("text").alias("text"))
-    both = links.join(text, "key").join(text.select(F.col("key").alias("earlier"), F.col("text").alias("earlier_text")), "earlier")
-    return both.select("key", "text", "earlier_text").mapInArrow(verify, "key binary").distinct()
+    text = lines.groupBy("n").agg(F.first("text").alias("text"))
+    both = links.join(text, "n").join(text.select(F.col("n").alias("earlier"), F.col("text").alias("earlier_text")), "earlier")
+    near = both.select("n", "text", "earlier_text").mapInArrow(verify, "n long").distinct()
+    return suspects.join(near, "n", "left_semi").select("key")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

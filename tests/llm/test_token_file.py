@@ -1,0 +1,76 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from skyledger.llm import token_file
+from skyledger.llm.token_file import WordTokens, code_blocks, decode_blocks, read_file, read_token_files, tokenizer, write_file, write_token_files
+
+TEXTS = ["", None, "Hello, world's   END!", "Straße\n\nÜBER\tİstanbul Σας", "日本語テキスト😀 ok", "a" * 5000, "<|endoftext|> x <|startoftext|>", "'s 't it's",
+         " \n ", "é é́ ﬁ", "word " * 20_000, "x y z w"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 300), min_size=40, max_size=40), min_size=1, max_size=6))
+def test_blocks_round_trip(rows):
+    a = np.array(rows, np.int32)
+    assert (decode_blocks(code_blocks(a, 9), 40, 9) == a).all()
+
+
+def test_blocks_are_independent():
+    a = np.random.default_rng(0).integers(0, 200, (7, 300)).astype(np.int32)
+    together, alone = code_blocks(a, 8), [code_blocks(a[i:i + 1], 8)[0] for i in range(7)]
+    assert together == alone
+
+
+def test_learns(monkeypatch):
+    a = np.tile(np.random.default_rng(0).integers(0, 64, 50), 80)[None, :].astype(np.int32)
+    assert len(code_blocks(a, 6)[0]) < 0.2 * a.size * 6 / 8
+
+
+@pytest.mark.parametrize("ids", [[], [2], list(range(49_408)) * 2, [5] * 10_000, [49_407, 0] * 300])
+def test_files_round_trip(ids):
+    ids = np.array(ids, np.int64)
+    docs, lengths, back = read_file(write_file([7, None], np.array([len(ids), 0]), ids))
+    assert docs == [7, None] and lengths.tolist() == [len(ids), 0] and (back == ids).all()
+
+
+def test_damage_is_noticed():
+    raw = bytearray(write_file([1], np.array([9000]), np.random.default_rng(3).integers(0, 1000, 9000)))
+    raw[-200] ^= 0x55
+    with pytest.raises(ValueError):
+        read_file(bytes(raw))
+
+
+def reference(texts):
+    return [e.ids + [2] for e in tokenizer(None).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_word_tokens_equal_whole_texts():
+    ids, size = WordTokens(None, 2).encode(pa.array(TEXTS, pa.string()))
+    want = reference(TEXTS)
+    assert size.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_operator_against_the_library(spark, monkeypatch):
+    monkeypatch.setattr(token_file, "BLOCK_IDS", 256)
+    rows = [(3 * i, t, "n", 1) for i, t in enumerate(TEXTS)] + [(None, "null id", "n", 1), (6, "again", "n", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, start string, part int").repartition(4)
+    got = read_token_files(write_token_files(docs)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, *sorted(r[0] for r in rows if r[0] is not None)]
+    by = {}
+    for (i, t, _, _), ids in zip(rows, reference([r[1] for r in rows]), strict=True):
+        by.setdefault(i, set()).add((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    at = 0
+    for r in got:
+        assert r.start == at and (r.n_tokens, r.ids_crc32) in by[r.doc_id]
+        at += r.n_tokens
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert read_token_files(write_token_files(docs)).count() == 0
