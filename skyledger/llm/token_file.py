@@ -213,7 +213,8 @@ def read_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         symbols = decode_blocks(codes[k:k + TOGETHER], rows, width)
         for i, s in enumerate(symbols):
             n, _, _, crc = heads[k + i].tolist()
-            block = rice_decode(names[k + i]).astype("<u4")[s[:n]]
+            listed = rice_decode(names[k + i]).astype("<u4")
+            block = listed[np.minimum(s[:n], len(listed) - 1)]
             if zlib.crc32(block.tobytes()) != crc:
                 raise ValueError(f"block {k + i} is damaged")
             ids.append(block)
