@@ -34,7 +34,7 @@ BLOCK_IDS = 4096
 TOGETHER = 2048             # blocks coded in step
 FILE_IDS = 1 << 23          # a file is closed at the first document end past so many ids
 CACHED_WORDS = 200_000      # distinct words that a task remembers
-TABLE_BITS = 13             # counters of each order, as a power of two
+TABLE_BITS = 13             # counters of each order, as a power of two; 13 serve blocks of up to 4096 distinct ids
 RATES = np.array([[5], [4], [4]], np.int32)
 LEARN = 10
 MAGIC = b"CMRC"
@@ -57,30 +57,38 @@ SQUASH, STRETCH = _tables()
 
 
 class _Coder:
-    """The models of ``n`` blocks with ``bits`` bits a symbol, all in their first state."""
+    """The models of ``n`` blocks with ``bits`` bits a symbol (12 at most), all in their first state.
+
+    A symbol's bits are taken in groups of four; an order's counters of a group lie side by side, in a slot chosen by
+    the context and the bits before, so one look-up far away serves four bits.
+    """
 
     def __init__(self, n: int, bits: int):
-        size = 1 << max(TABLE_BITS, bits)
-        self.mask = np.int32(size - 1)
-        self.counters = np.full(3 * n * size, 32768, np.uint16)
-        self.base = (np.arange(3 * n, dtype=np.int64) * size).reshape(3, n)
+        slots = 1 << (TABLE_BITS - 4)
+        self.mask = np.int32(slots - 1)
+        self.counters = np.full(3 * n * slots * 16, 32768, np.uint16)
+        self.base = (np.arange(3 * n, dtype=np.int64) * slots * 16).reshape(3, n)
         self.weights = np.full((bits, 3, n), 26_000, np.int32)
         self.context = np.zeros((3, n), np.int32)
         self.step = np.array([[1], [0x2F0B4C47], [0x3C6EF372]], np.int32)
+        self.hashed = np.array([[0], [1], [1]], np.int32)
         self.bits = bits
         self.low, self.high = np.zeros(n, np.uint32), np.full(n, 0xFFFFFFFF, np.uint32)
 
-    def turn(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Set the contexts from the last two symbols; the node at which a symbol's bits begin."""
+    def turn(self, before: np.ndarray, last: np.ndarray) -> None:
+        """Set the contexts from the last two symbols and begin a symbol."""
         self.context[1] = (last + 1) * np.int32(0x1E3779B1)
         self.context[2] = self.context[1] * np.int32(0x05EBCA6B) + (before + 1) * np.int32(0x27D4EB2F)
-        return np.ones(len(last), np.int32)
-
-    def chance(self, node: np.ndarray, j: int):
-        """The mixed probability (of 4096) that the next bit is 1, and what ``learn`` needs."""
-        mixed = self.context + node * self.step
-        mixed ^= (mixed >> 15) * (self.step != 1)
-        at = self.base + (mixed & self.mask)
+        self.symbol = np.ones(len(last), np.int32)
+
+    def chance(self, j: int):
+        """The mixed probability (of 4096) that bit ``j`` is 1, and what ``learn`` needs."""
+        if (self.bits - 1 - j) % 4 == 0:
+            mixed = self.context + self.symbol * self.step
+            mixed ^= (mixed >> 15) * self.hashed
+            self.slot = self.base + ((mixed & self.mask).astype(np.int64) << 4)
+            self.inner = np.ones_like(self.symbol)
+        at = self.slot + self.inner
         p = self.counters.take(at).astype(np.int32)
         votes = STRETCH.take(p >> 4)
         q = SQUASH.take(np.clip((self.weights[j] * votes).sum(0) >> 16, -2047, 2047) + 2047)
@@ -97,7 +105,9 @@ class _Coder:
         error = ((bit << 12) - q) * LEARN
         self.weights[j] += (votes * error + 32768) >> 16
         p += (bit * 65535 - p) >> RATES
-        self.counters[at] = p
+        self.counters[at] = p.astype(np.uint16)
+        self.inner = self.inner * 2 + bit
+        self.symbol = self.symbol * 2 + bit
 
     def settled(self) -> np.ndarray:
         """The blocks whose first byte is decided."""
@@ -116,12 +126,11 @@ def code_blocks(symbols: np.ndarray, bits: int) -> list[bytes]:
     with np.errstate(over="ignore"):
         for t in range(length):
             s = np.ascontiguousarray(symbols[:, t])
-            node = c.turn(before, last)
+            c.turn(before, last)
             for j in range(bits - 1, -1, -1):
-                q, kept = c.chance(node, j)
+                q, kept = c.chance(j)
                 bit = (s >> j) & 1
                 c.learn(bit, kept, c.split(q))
-                node = node * 2 + bit
                 at = c.settled()
                 while len(at):
                     out_block.append(at)
@@ -150,20 +159,19 @@ def decode_blocks(coded: list[bytes], length: int, bits: int) -> np.ndarray:
     before = last = np.full(n, -1, np.int32)
     with np.errstate(over="ignore"):
         for t in range(length):
-            node = c.turn(before, last)
+            c.turn(before, last)
             for j in range(bits - 1, -1, -1):
-                q, kept = c.chance(node, j)
+                q, kept = c.chance(j)
                 middle = c.split(q)
                 bit = (x <= middle).astype(np.int32)
                 c.learn(bit, kept, middle)
-                node = node * 2 + bit
                 at = c.settled()
                 while len(at):
                     c.shift(at)
                     x[at] = (x[at] << np.uint32(8)) | raw[at, np.minimum(place[at], widest - 1)]
                     place[at] += 1
                     at = at[(c.low[at] ^ c.high[at]) < (1 << 24)]
-            before, last = last, node - np.int32(1 << bits)
+            before, last = last, c.symbol - np.int32(1 << bits)
             out[:, t] = last
     return out
 
