@@ -44,6 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
