@@ -9,7 +9,7 @@ histogram, since a short text strays from its language by chance.
 Input rows: a null text counts as empty; empty texts have no words and fail the base
 rule.  A null ``lang`` adds to no reference.  With no labelled document at all (or an empty table)
 there is no reference and only the base rule decides.  Repeated rows are judged alike;
-other columns are kept where ``judge`` names them and ignored otherwise.
+other columns are kept where they are asked for, and ``keep_good`` keeps all.
 """
 
 from __future__ import annotations
@@ -151,7 +151,7 @@ def language_references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarr
                     held[lang] = held.get(lang, 0) + rows[which == i].sum(0)
         for lang, row in held.items():
             at = np.flatnonzero(row)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(row[at])],
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(row[at])],
                                              names=["lang", "cell", "n"])
 
     labelled = docs.where("lang IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
@@ -181,27 +181,31 @@ def measure(column: pa.Array, references: dict[str, tuple[np.ndarray, np.ndarray
     return [pa.array(x) for x in (n_words, chars, classes[:, SYMBOL], duplicate_lines(column), repeat, char_jsd, word_jsd, failed, kept)]
 
 
-def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of each document, then ``MEASURES`` (which shadow columns of the same name)."""
+def _judged(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` as k0, k1, ... and then ``MEASURES``."""
     references = language_references(docs)
-    names = [m.split()[0] for m in MEASURES.split(", ")]
-    keep = [c for c in keep if c not in names]
-    fields = [docs.schema[c] for c in keep]
-    rows = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
+    kept, names = [f"k{i}" for i in range(len(keep))], [m.split()[0] for m in MEASURES.split(", ")]
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)], F.col("text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + measure(part.column("text"), references), names=keep + names)
+            for part in text_slices(batch, "__text"):
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in kept] + measure(part.column("__text"), references), names=kept + names)
 
-    head = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
+    head = "".join(f"{k} {docs.schema[c].dataType.simpleString()}, " for c, k in zip(keep, kept, strict=True))
     return rows.mapInArrow(run, head + MEASURES)
 
 
+def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of each document (those of them that ``MEASURES`` does not name), then ``MEASURES``."""
+    names = [m.split()[0] for m in MEASURES.split(", ")]
+    keep = [c for c in keep if c not in names]
+    return _judged(docs, keep).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *names)
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that no rule rejects, with their columns."""
-    out = judge(docs.withColumnRenamed("kept", "__kept") if "kept" in docs.columns else docs, [c for c in docs.columns])
-    return out.where("kept").select(*docs.columns)
+    """The documents that no rule rejects, with their own columns."""
+    return _judged(docs, docs.columns).where("kept").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

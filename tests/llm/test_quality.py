@@ -43,7 +43,7 @@ def test_distance():
     assert js_distance(np.array([[4, 4, 0]]), q)[0] == pytest.approx(np.sqrt(want))
 
 
-GOOD = " ".join(f"the cat{i} sat on the mat{i % 7} and it was in of a dog{i % 11} that is red" for i in range(40))
+GOOD = " ".join(f"the cat{i} sat on the mat{i} and it was in of a dog{i} that is red{i}" for i in range(40))
 SCHEMA = "doc_id long, text string, lang string, kept string, n_words int, extra int"
 
 
