@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from skyledger.plans.registry import queries
 from conftest import SF_SMOKE
 
 
@@ -20,7 +20,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(fn(spark, SF_SMOKE)) for name, fn in E.queries().items()}
+    return {name: plan(fn(spark, SF_SMOKE)) for name, fn in queries().items()}
 
 
 def test_no_python_evaluation_anywhere(plans):
