@@ -36,7 +36,8 @@ from skyledger.llm.common import documents, staged, text_slices
 SPACE = "▁"
 CHUNK = 65_536          # characters of a chunk
 BLOCK = 64              # chunks whose matrices are combined first
-CACHED_WORDS = 150_000  # distinct words in either of the two generations that a task remembers
+CACHED_WORDS = 200_000  # distinct words that a task remembers from one run of texts to the next
+LONG_WORD = 64          # longer ones are solved one by one
 NONE = -(1 << 60)       # no path
 LEAST_SCORE = -100_000  # scores below, and unknown characters, count as this
 
@@ -46,6 +47,45 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _rolled(s: str) -> int:
+    h = 0
+    for c in s:
+        h = (h * int(BASE) + ord(c) + 1) % (1 << 64)
+    return h
+
+
+class _HashTable:
+    """Places of 64-bit hashes in a list, looked up many at once (linear probing)."""
+
+    SPREAD = np.uint64(0xD6E8FEB86659FD93)
+
+    def __init__(self, hashes: list[int]):
+        self.n, self.bits = len(hashes), max(4, (8 * len(hashes)).bit_length())
+        self.keys = np.zeros((1 << self.bits) + 64, np.uint64)
+        self.place, self.probes = np.full(len(self.keys), self.n, np.int64), 1
+        for i, (h, k) in enumerate(zip(hashes, self._slot(np.array(hashes, np.uint64)).tolist(), strict=True)):
+            first = k
+            while self.place[k] < self.n:
+                k += 1
+            self.keys[k], self.place[k] = h, i
+            self.probes = max(self.probes, k - first + 1)
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        mixed = hashes ^ (hashes >> np.uint64(31))
+        return ((mixed * self.SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or the length of the list."""
+        at = self._slot(hashes)
+        out = np.where(self.keys[at] == hashes, self.place[at], self.n)
+        for k in range(1, self.probes):
+            np.copyto(out, self.place[at + k], where=self.keys[at + k] == hashes)
+        return out
+
+
 class Vocabulary:
     """Pieces, their weights and the words solved so far."""
 
@@ -76,7 +116,9 @@ class Vocabulary:
             for k in range(1, len(piece)):
                 self.weight.setdefault(piece[:k], None)
         self.solved: dict[str, tuple[bytes, int]] = {}
-        self.older: dict[str, tuple[bytes, int]] = {}
+        self.table = _HashTable([_rolled(p) for p in self.id])
+        self.of = np.array([*self.id.values(), 0], np.int32)
+        self.weights = np.array([*(self.weight[p] for p in self.id), NONE], np.int64)
 
     def edges(self, s: str, i: int) -> Iterator[tuple[int, int]]:
         """(end, weight) of each piece of ``s`` that starts at ``i``."""
@@ -113,20 +155,61 @@ class Vocabulary:
             end = back[end]
         return np.array(ids[::-1], np.int32).tobytes(), best[n]
 
+    def solve_many(self, words: list[str]) -> list[tuple[bytes, int]]:
+        """``solve`` for words of one length at once."""
+        n, m = len(words[0]), len(words)
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(m, n).T.astype(np.uint64) + np.uint64(1)
+        best, back, piece = np.full((n + 1, m), NONE, np.int64), np.zeros((n + 1, m), np.int64), np.zeros((n + 1, m), np.int64)
+        best[0] = 0
+        grown, strange, every = np.zeros((n, m), np.uint64), np.zeros(m, bool), np.arange(m)
+        for end in range(1, n + 1):
+            low = max(0, end - self.longest)
+            grown[low:end] = grown[low:end] * BASE + chars[end - 1]
+            found = self.table.find(grown[low:end])
+            weight = self.weights[found]
+            lone = found[-1] == len(self.id)
+            strange |= lone
+            weight[-1][lone] = self.unknown
+            total = best[low:end] + weight
+            pick = total.argmax(0)  # the first: the longest piece
+            best[end], back[end], piece[end] = total[pick, every], low + pick, found[pick, every]
+        columns, at = [], np.full(m, n)
+        while at.any():
+            columns.append(np.where(at > 0, self.of[piece[at, every]], -1))
+            at = back[at, every]
+        ids = np.stack(columns[::-1], 1)
+        size = (ids >= 0).sum(1)
+        raw, stop = ids[ids >= 0].astype(np.int32).tobytes(), (np.cumsum(size) * 4).tolist()
+        out = [(raw[a:b], w) for a, b, w in zip([0, *stop[:-1]], stop, best[n].tolist(), strict=True)]
+        for i in np.flatnonzero(strange):  # characters to be spelt in bytes
+            out[i] = self.solve(words[i])
+        return out
+
+    def learn(self, words: set[str]) -> None:
+        """Solve the words that are not remembered."""
+        if len(self.solved) > CACHED_WORDS:
+            self.solved = {}
+        by: dict[int, list[str]] = {}
+        for w in words:
+            if w not in self.solved:
+                by.setdefault(len(w), []).append(w)
+        for n, some in by.items():
+            for k in range(0, len(some), 20_000):
+                part = some[k:k + 20_000]
+                self.solved.update(zip(part, self.solve_many(part) if n <= LONG_WORD else map(self.solve, part), strict=True))
+
     def word(self, s: str) -> tuple[bytes, int]:
-        found = self.solved.get(s)
-        if found is None:
-            found = self.older.get(s) or self.solve(s)
-            if len(self.solved) >= CACHED_WORDS:
-                self.solved, self.older = {}, self.solved
-            if len(s) <= 64:
-                self.solved[s] = found
-        return found
+        return self.solved.get(s) or self.solve(s)
 
     def encode(self, s: str) -> bytes:
         """The ids of a stretch between two cuts."""
-        solved, word = self.solved.get, self.word
-        return b"".join([(solved(w) or word(w))[0] for w in self.SEGMENT.findall(s)])
+        return self.encode_all([s])[0]
+
+    def encode_all(self, stretches: list[str]) -> list[bytes]:
+        split = [self.SEGMENT.findall(s) for s in stretches]
+        self.learn({w for words in split for w in words})
+        solved = self.solved
+        return [b"".join([solved[w][0] for w in words]) for words in split]
 
     def decode(self, ids: list[int]) -> str:
         raw = self.raw
@@ -155,7 +238,9 @@ class Vocabulary:
             out[:, :ends.shape[1]] = ends
             return np.maximum(out, NONE)
         head = self.reach(s[:early], k, early)[:, early]
-        middle = sum(self.word(w)[1] for w in self.SEGMENT.findall(s[early:late]))
+        inside = self.SEGMENT.findall(s[early:late])
+        self.learn(set(inside))
+        middle = sum(self.solved[w][1] for w in inside)
         tail = self.reach(s[late:], 1, n - late)[0, n - late:][:k]
         out[:, :len(tail)] = head[:, None] + middle + tail[None, :]
         return np.where((head[:, None] > NONE // 2) & (np.r_[tail, np.full(k - len(tail), NONE)][None, :] > NONE // 2), out, NONE)
@@ -244,7 +329,7 @@ def encode(docs: DataFrame, keep: list[str], model: str | None = None, chunk: in
         v = vocabulary(model)
         for batch in batches:
             for part in text_slices(batch):
-                made = [v.encode(t) for t in part.column("text").to_pylist()]
+                made = v.encode_all(part.column("text").to_pylist())
                 columns = digested(made, v) if digest else [lists(made)]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + columns, names=[*kept, *names])
 
