@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
     # vertices -> component, then every document by the key of its set
     final = vertices.join(label, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     out = marked.join(final, "key", "left")
-    alone = F.coalesce("component_id", "doc_id")
+    alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", alone.alias("component_id"), alone.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
