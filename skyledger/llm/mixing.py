@@ -73,6 +73,11 @@ def apportioned(parties: DataFrame, group: list[str], party: str, weight: str, s
 
 def mix(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, taken."""
+    return dealt(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def dealt(docs: DataFrame) -> DataFrame:
+    """``mix`` with each row's place in its source's seeded order: key, shard, start."""
     sized = staged(sizes(docs), "mix-sizes")
     sources = staged(source_targets(sized), "mix-sources")
 
@@ -109,20 +114,39 @@ def mix(docs: DataFrame) -> DataFrame:
     b = blocks.select("key", "shard", F.col("j").alias("j1"), *[F.col(c).alias(f"{c}1") for c in ("first", "chosen", "so_far")])
     taken = "passes * size + so_far1 + chosen1 * (stop - first1) - so_far0 - chosen0 * (start - first0)"
     full = at.join(a, ["key", "shard", "j0"]).join(b, ["key", "shard", "j1"]).withColumn("taken", F.expr(taken))
-    columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "source", "key", "shard", "start", "size", "source_size", "target", "taken"]
     return full.select(*columns).unionByName(rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns))
 
 
+def whole_copies(rows: DataFrame) -> DataFrame:
+    """``dealt`` rows with words, and ``copies``: the whole documents that their taken words make.
+
+    Full passes count as they are.  What a shard's documents are taken in part adds up to so many words, and is given
+    as further copies of documents taken in part, by a seeded draw over the part, until the words are reached: a shard is
+    off by half a document at most, whatever the parts are.
+    """
+    rows = rows.where("size > 0").withColumn("part", F.expr("taken % size"))
+    drawn = F.md5(F.concat_ws("|", F.lit(SEED), F.lit("copy"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("start").cast("string")))
+    rows = rows.withColumn("draw", F.when(F.col("part") > 0, F.conv(F.substring(drawn, 1, 12), 16, 10).cast("double") * F.col("size") / F.col("part")))
+    order = Window.partitionBy("key", "shard").orderBy(F.col("draw").asc_nulls_last(), "start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("words", F.sum("part").over(Window.partitionBy("key", "shard"))).withColumn("upto", F.sum("size").over(order))
+    return rows.withColumn("copies", F.expr("taken div size + IF(part > 0 AND 2 * upto - size <= 2 * words, 1L, 0L)"))
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents of the mix: each as many times as its taken words make of it, rounded.
+    """The documents of the mix: each as often as ``whole_copies`` says.
 
-    Rows that share doc_id, source and size are taken alike.
+    Rows that share doc_id, source and size share their copies: evenly, and the rest by a seeded draw over the text.
     """
-    copies = mix(docs).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.expr("CAST(round(max(taken) / max(size)) AS INT)").alias("copies")) \
-        .where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"), F.col("copies").alias("__copies"))
+    copies = whole_copies(dealt(docs)).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")).where("copies > 0") \
+        .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"),
+                F.expr("copies div n").alias("__copies"), F.expr("copies % n / n").alias("__rest"))
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__words"))
-    return docs.withColumn("__n", words).join(copies, same).withColumn("__copy", F.expr("explode(sequence(1, __copies))")).select(*docs.columns)
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(1 << 32)) / float(1 << 32)
+    times = F.col("__copies") + F.when((F.col("__rest") > 0) & (drawn < F.col("__rest")), 1).otherwise(0)
+    return docs.withColumn("__n", words).join(copies, same).withColumn("__times", times).where("__times > 0") \
+        .withColumn("__copy", F.expr("explode(sequence(1L, __times))")).select(*docs.columns)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 import duckdb
 import pytest
 
+from skyledger.llm import mixing
 from skyledger.llm.mixing import OP9_SQL, apportioned, mix, mixed_documents
 
 SCHEMA = "doc_id long, text string, source string, size int, shard string, taken string, target int"
@@ -79,6 +80,36 @@ def test_documents_of_the_mix(spark):
     assert out.where("size <> 1 OR target <> 3").count() == 0
 
 
+def test_whole_documents_reach_each_target(spark, monkeypatch):
+    """A hot source far below one half, one between one half and one, one above one."""
+    rows = [(i, f"t{i} " + "w " * (i * 7 % 90 + 10), "a_hot") for i in range(3000)]
+    rows += [(5000 + i, f"t{i} " + "w " * (i * 11 % 60 + 20), "b") for i in range(3000)] + [(9000 + i, f"t{i} " + "w " * (i % 40 + 30), "c") for i in range(2000)]
+    docs = frame(spark, rows)
+    for most, blocks in ((512, 500_000), (32, 2_000)):
+        monkeypatch.setattr(mixing, "MOST_BLOCK_WORDS", most)
+        monkeypatch.setattr(mixing, "BLOCKS", blocks)
+        target = {r.source: r.target for r in mix(docs).select("source", "target").distinct().collect()}
+        sizes = {"a_hot": 0, "b": 0, "c": 0}
+        for _, t, s in rows:
+            sizes[s] += len(t.split())
+        assert target["a_hot"] < 0.5 * sizes["a_hot"] and 0.5 < target["b"] / sizes["b"] < 1 < target["c"] / sizes["c"]
+        kept = dict.fromkeys(sizes, 0)
+        for r in mixed_documents(docs).select("source", "text").collect():
+            kept[r.source] += len(r.text.split())
+        for s in sizes:
+            shards = -(-sum(x[2] == s for x in rows) // mixing.SHARD_ROWS)
+            assert abs(kept[s] - target[s]) <= shards * 50 + 2 * most
+
+
+def test_rows_that_share_an_id_reach_the_target(spark):
+    rows = [(None, f"t{i} " + "w " * 19, "a") for i in range(1500)] + [(i, f"t{i} " + "w " * 19, "b") for i in range(600)]
+    docs = frame(spark, rows)
+    target = {r.source: r.target for r in mix(docs).select("source", "target").distinct().collect()}
+    assert target["a"] < 0.5 * 1500 * 20
+    kept = mixed_documents(docs).where("source = 'a'").count() * 20
+    assert abs(kept - target["a"]) < 0.1 * target["a"]
+
+
 def test_empty_and_wordless_tables(spark):
     assert mix(frame(spark, ROWS).limit(0)).count() == 0
     got = mix(frame(spark, [(1, None, "a"), (2, " ", None)])).collect()
