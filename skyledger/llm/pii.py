@@ -7,12 +7,15 @@ format, so equal values stay equal in all documents and different ones stay diff
 email     letters and digits of all but the last label, each within its class
 phone     the last ten digits (a country code stays), whatever separates them
 card      13 to 19 digits with a right Luhn digit; all but that digit, which is computed anew
-iban      right remainder by 97; account part permuted within its classes, check digits computed anew
+iban      right remainder by 97 and, for the countries listed, the country's length; account part permuted within its classes, check digits computed anew
 ssn       area 001-899 but 666, group 01-99, serial 0001-9999; permuted in that range
 ipv4      four numbers to 255
 date      1800 to 2199 as y-m-d, y/m/d, d.m.y, or m/d/y (d/m/y where that is no date); permuted among the 146,097 days
 
-Digits that fail the check (a number without a right Luhn digit, 2023-02-30) stay.  A null text stays null; an empty one
+Digits that fail the check (a number without a right Luhn digit, 2023-02-30) stay.  Other numbers or capital words may stand
+beside a card or an account number: where a match fails, its shorter beginnings are tried, longest first, at its separators, and
+then the search goes on behind its first group, so that no value is lost with a match that begins before it or ends behind it.
+A text with such a match is scanned match by match in stretches that no match crosses; the others need one pass.  A null text stays null; an empty one
 stays empty; repeated rows are treated alike; other columns are kept; an empty table gives no rows.
 """
 
@@ -37,6 +40,13 @@ FORMATS = {
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
 ANY = "|".join(FORMATS.values())
+#: Where no match begins before and ends behind: line starts, and small letters after a space (an address by mail has no space).
+CUT = r"(?<=\n)|(?<= )(?=[a-z])"
+IBAN_LENGTHS = dict(zip((
+    "AD AE AL AT AZ BA BE BG BH BR BY CH CR CY CZ DE DK DO EE EG ES FI FO FR GB GE GI GL GR GT HR HU IE IL IQ IS IT JO KW KZ LB LC LI LT LU LV "
+    "LY MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SC SD SE SI SK SM ST SV TL TN TR UA VA VG XK").split(), map(int, (
+        "24 23 28 20 28 20 16 22 22 29 28 21 22 28 24 22 18 28 20 29 24 18 18 27 22 22 23 18 27 28 21 28 22 23 23 26 27 30 30 20 28 32 21 20 20 21 "
+        "25 27 24 22 19 27 31 30 18 15 24 28 29 25 29 24 22 24 31 18 24 19 24 27 25 28 23 24 26 29 22 24 20").split()), strict=True))
 #: Days of the Gregorian cycle from 1800-01-01, as a product for the two halves of the network.
 DAYS = (189, 773)
 
@@ -114,22 +124,35 @@ def _date_parts(x: str) -> tuple[str, str, str, str]:
     return y, m, d, out
 
 
+def _iban(x: str, unlisted: str = "true") -> str:
+    bare = f"replace({x}, ' ', '')"
+    lengths = ", ".join(f"'{c}', {n}" for c, n in IBAN_LENGTHS.items())
+    fits = f"coalesce(try_element_at(map({lengths}), left({x}, 2)) = length({bare}), {unlisted})"
+    return f"{_mod97(f'concat(substring({bare}, 5), left({bare}, 4))')} = 1 AND {fits}"
+
+
+def _card(x: str) -> str:
+    return f"length({_digits(x)}) BETWEEN 13 AND 19 AND {_luhn(_digits(x))} % 10 = 0"
+
+
+def _fits(x: str, *formats: str) -> str:
+    whole = "|".join(FORMATS[f] for f in formats)
+    return f"{x} RLIKE r'^(?:{whole})$'"
+
+
 def kind(x: str) -> str:
     """The format of a match whose checks it passes, else null."""
     y, m, d, _ = _date_parts(x)
-    bare = f"replace({x}, ' ', '')"
-    digits = _digits(x)
     valid_date = f"(CASE WHEN {y} BETWEEN 1800 AND 2199 AND {m} BETWEEN 1 AND 12 THEN {d} BETWEEN 1 AND {_days_in(y, m)} ELSE false END)"
     area = f"substring({x}, 1, 3)"
     ssn = f"{area} <> '000' AND {area} <> '666' AND {area} < '900' AND substring({x}, 5, 2) <> '00' AND substring({x}, 8, 4) <> '0000'"
-    fits = lambda f: f"{x} RLIKE r'^(?:{FORMATS[f]})$'"
     return (f"CASE WHEN contains({x}, '@') THEN 'email' "
-            f"WHEN {x} RLIKE '^[A-Z]' THEN IF({_mod97(f'concat(substring({bare}, 5), left({bare}, 4))')} = 1, 'iban', NULL) "
-            f"WHEN {fits('ipv4')} THEN 'ipv4' "
-            f"WHEN {fits('date')} THEN IF({valid_date}, 'date', NULL) "
-            f"WHEN {fits('ssn')} THEN IF({ssn}, 'ssn', NULL) "
-            f"WHEN {fits('phone')} THEN 'phone' "
-            f"WHEN length({digits}) BETWEEN 13 AND 19 AND {_luhn(digits)} % 10 = 0 THEN 'card' END")
+            f"WHEN {x} RLIKE '^[A-Z]' THEN IF({_iban(x)}, 'iban', NULL) "
+            f"WHEN {_fits(x, 'ipv4')} THEN 'ipv4' "
+            f"WHEN {_fits(x, 'date')} THEN IF({valid_date}, 'date', NULL) "
+            f"WHEN {_fits(x, 'ssn')} THEN IF({ssn}, 'ssn', NULL) "
+            f"WHEN {_fits(x, 'phone')} THEN 'phone' "
+            f"WHEN {_card(x)} THEN 'card' END")
 
 
 def pseudonym(x: str, k: str, key: str) -> str:
@@ -162,19 +185,63 @@ def pseudonym(x: str, k: str, key: str) -> str:
             f"WHEN 'ssn' THEN {ssn} WHEN 'ipv4' THEN {ipv4} WHEN 'date' THEN {date} ELSE {x} END")
 
 
+def _let(value: str, name: str, then: str) -> str:
+    """``then`` with ``name`` bound to ``value``, which is evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {then}), 1)"
+
+
+def opened(x: str, k: str) -> str:
+    """Whether a match ``x`` of kind ``k`` failed as a card or an account number, so that other values may lie in it."""
+    return f"({k} IS NULL AND NOT {_fits(x, 'date', 'ssn')})"
+
+
+def beginning(x: str) -> str:
+    """The longest shorter beginning of a failed match, up to a separator, that is a card or a listed country's account number: kind and x, or null."""
+    cut = f"filter(transform(sequence(length({x}) - 1, 1), n -> IF(substring({x}, n + 1, 1) IN (' ', '-'), left({x}, n), NULL)), y -> y IS NOT NULL)"
+    k = f"CASE WHEN y RLIKE '^[A-Z]' THEN IF({_fits('y', 'iban')} AND {_iban('y', 'false')}, 'iban', NULL) WHEN {_card('y')} THEN 'card' END"
+    return f"try_element_at(filter(transform({cut}, y -> named_struct('x', y, 'kind', {k})), z -> z.kind IS NOT NULL), 1)"
+
+
+def scanned(stretch: str) -> str:
+    """Array of (plain, x, kind): the text before each value of a stretch and the value, then what is left with an empty value.
+
+    ``rest`` is what lies ahead and one character before it, for the patterns to look back at (a line end in front of all).
+    """
+    ahead = rf"(?!^)(?:{ANY})"
+    starts = f"size(regexp_extract_all({stretch}, r'(?=(?:{ANY}))', 0))"
+    whole = f"named_struct('x', m, 'kind', {kind('m')})"
+    found = _let(whole, "w", f"IF({opened('w.x', 'w.kind')}, coalesce({beginning('w.x')}, w), w)")
+    # what is passed: up to the end of a value or of a date or number of no format, else only the first character of the match
+    passed = "p + IF({open}, 1, length(f.x))".format(open=opened("f.x", "f.kind"))
+    valid = "named_struct('plain', concat(a.plain, substring(a.rest, 2, p - 1)), 'x', f.x, 'kind', f.kind)"
+    moved = (f"named_struct('rest', substring(a.rest, n), 'plain', IF(f.kind IS NULL, concat(a.plain, substring(a.rest, 2, n - 1)), ''), "
+             f"'done', IF(f.kind IS NULL, a.done, concat(a.done, array({valid}))))")
+    step = _let(found, "f", _let(passed, "n", moved))
+    step = _let(f"length(split(a.rest, r'{ahead}', 2)[0])", "p", step)
+    step = _let(f"regexp_extract(a.rest, r'{ahead}', 0)", "m", f"IF(m = '', a, {step})")
+    none = "CAST(array() AS ARRAY<STRUCT<plain: STRING, x: STRING, kind: STRING>>)"
+    end = "concat(a.done, array(named_struct('plain', concat(a.plain, substring(a.rest, 2)), 'x', '', 'kind', CAST(NULL AS STRING))))"
+    return (f"aggregate(slice(sequence(0, {starts}), 2, {starts}), named_struct('rest', concat('\\n', {stretch}), 'plain', '', 'done', {none}), "
+            f"(a, i) -> {step}, a -> {end})")
+
+
 def replaced(found: str, key: str) -> Column:
-    """Array of (kind, value) for an array column of matches."""
-    one = f"transform(transform({found}, x -> named_struct('x', x, 'kind', {kind('x')})), m -> named_struct('kind', m.kind, 'value', {pseudonym('m.x', 'm.kind', key)}))"
-    return F.expr(one)
+    """Array of (plain, kind, value) for an array column of (plain, x, kind)."""
+    return F.expr(f"transform({found}, m -> named_struct('plain', m.plain, 'kind', m.kind, 'value', {pseudonym('m.x', 'm.kind', key)}))")
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with its text rewritten, and ``n_<format>`` columns of replaced values (which shadow columns of those names)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     marked = docs.drop(*[f"n_{f}" for f in FORMATS]).withColumn("__found", F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    marked = marked.withColumn("__hits", F.when(F.size("__found") > 0, replaced("__found", key)))
+    marked = marked.withColumn("__kinds", F.expr(f"transform(__found, x -> named_struct('x', x, 'kind', {kind('x')}))"))
     between = F.split(F.col("text"), ANY, -1)
-    glued = F.array_join(F.zip_with(between, F.concat(F.transform("__hits", lambda h: h["value"]), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    once = F.zip_with(between, F.concat("__kinds", F.expr("array(named_struct('x', '', 'kind', CAST(NULL AS STRING)))")),
+                      lambda a, b: F.struct(a.alias("plain"), b["x"].alias("x"), b["kind"].alias("kind")))
+    again = F.expr(f"flatten(transform(split(text, r'{CUT}', -1), s -> {scanned('s')}))")
+    parts = F.when(F.size("__found") > 0, F.when(F.expr(f"exists(__kinds, m -> {opened('m.x', 'm.kind')})"), again).otherwise(once))
+    marked = marked.withColumn("__parts", parts).withColumn("__hits", replaced("__parts", key))
+    glued = F.array_join(F.transform("__hits", lambda h: F.concat(h["plain"], h["value"])), "")
     count = lambda f: F.coalesce(F.size(F.filter("__hits", lambda h: h["kind"] == f)), F.lit(0)).cast("long")
     out = marked.withColumn("__text", F.when(F.col("__hits").isNull(), F.col("text")).otherwise(glued))
     counts = [F.when(F.col("__hits").isNull(), F.lit(0).cast("long")).otherwise(count(f)).alias(f"n_{f}") for f in FORMATS]

@@ -138,5 +138,28 @@ def test_maps_are_one_to_one(spark):
     assert len(set(out)) == 3000 and all(re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", x) for x in out)
 
 
+CARD, IBANS = "4111 1111 1111 1111", ("ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "PL61 1090 1014 0000 0712 1981 2874")
+BESIDE = [*[(CARD, f"{a}{CARD}{b}") for a, b in (("", " 123"), ("1 ", ""), ("", " 12/27"), ("1234 5678 9012 ", " end"), ("x 7 ", " 99 AB"), ("", " 443-555-5793"),
+                                                 ("\U0001f600 12 ", " 12\U0001f600"), ("Nr 3 ", "\n12 34"), ("", "-12"))],
+          ("4111111111111111", "4111111111111111 12/27"), ("4111111111111111", "1 4111111111111111 22 a@b.org"),
+          *[(v, f"{a}{v}{b}") for v in IBANS for a, b in (("", " EUR"), ("", " BIC ABCDEFGH"), ("REF AB12 ", " A1"), ("AB12 ", " 500 EUR"), ("12 ", " 2024"))]]
+
+
+def test_values_beside_numbers_and_capital_words(spark):
+    """The value goes and the rest stays; expected from the value alone, not from the patterns."""
+    rows = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(BESIDE)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pseudonymise(rows).collect()}
+    for i, (value, text) in enumerate(BESIDE):
+        want = text.replace(value, one(value)).replace("443-555-5793", one("443-555-5793")).replace("a@b.org", one("a@b.org"))
+        assert value not in got[i].text and got[i].text == want, text
+        assert got[i].n_card + got[i].n_iban == 1
+
+
+def test_failed_matches_of_no_format_stay(spark):
+    texts = ["4111 1111 1111 1112 7", "ES92 2100 0418 4502 0005 1332 BIC", "2023-02-30 and 666-12-1234"]
+    got = {r.doc_id: r.text for r in pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(3)] == texts
+
+
 def test_empty_table(spark):
     assert pseudonymise(spark.createDataFrame([], SCHEMA)).count() == 0
