@@ -3,6 +3,8 @@
 A text is written with U+2581 for spaces and one in front, and cut into the vocabulary's
 pieces so that the sum of their scores is largest; a character that no piece holds becomes
 its UTF-8 bytes.  Equal sums are told apart by a small hash of each piece, then by the longer last piece.
+The scores of a BPE model (the default one is) are merge ranks, and its library merges by rank instead: the ids here are those
+of the largest sum of ranks over the same vocabulary and differ from the library's (46 % of the words of sf0.001; see README).
 
 Documents longer than ``CHUNK`` characters are split, and each chunk yields a transfer matrix:
 entry (i, j) is the best score from the cut i characters past the chunk's start to the

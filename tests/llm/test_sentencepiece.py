@@ -96,3 +96,18 @@ def test_operator_with_small_chunks(spark, v):
 
 def test_empty_table(spark):
     assert sp.encode(spark.createDataFrame([], SCHEMA), ["doc_id"]).count() == 0
+
+
+def test_share_that_differs_from_the_library(v):
+    """The README's figures: word occurrences of sf0.001 that the sentencepiece library cuts otherwise."""
+    import re
+    from collections import Counter
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=sp.default_model())
+    words = Counter(w for t in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist() for w in re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    differ = sum(n for w, n in words.items() if np.frombuffer(v.encode(spelt(w)), np.int32).tolist() != library.encode(w))
+    readme = (Path(__file__).parents[2] / "README.md").read_text()
+    assert f"{differ:,} of {sum(words.values()):,} word" in readme
