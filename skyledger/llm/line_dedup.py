@@ -12,8 +12,9 @@ lines share is summed up before its shuffle.  Links found this way are verified
 Variants are made only for lines that can have a partner: one edit leaves the first or the last half of the
 words as they were, so lines none of whose halves occurs in another line are left out beforehand, without loss.
 
-A line without a word always stays.  A null text counts as empty.  A null doc_id is last in order.  Rows that share a doc_id
-are one document: which of two lines at the same place in them comes first is open.  Empty tables give no rows.
+A line without a word always stays.  A null text counts as empty.  A null doc_id is last in order.  Rows that share a doc_id, or have
+none, are judged each for itself, in the order of a 64-bit hash of their texts.  Rows equal in doc_id and text are treated
+alike; of rows without doc_id and with equal texts one is judged and the others lose all their worded lines.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ class Hashed:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """Each worded line: doc_id, line, key (128 bits of its words), n_words, halves (empty for short lines)."""
+    """Each worded line: doc_id, row, line, key (128 bits of its words), n_words, halves (empty for short lines)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
@@ -125,21 +126,21 @@ def line_table(docs: DataFrame) -> DataFrame:
                 offsets = np.r_[0, np.cumsum(np.where(long, 4, 0))].astype(np.int32)
                 raw = keys.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(owner)), pa.array(number.astype(np.int32)), pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()),
+                    [part.column("doc_id").take(pa.array(owner)), part.column("row").take(pa.array(owner)), pa.array(number.astype(np.int32)), pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()),
                      pa.array(hashed.n.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(halves[long].ravel()))],
-                    names=["doc_id", "line", "key", "n_words", "halves"])
+                    names=["doc_id", "row", "line", "key", "n_words", "halves"])
 
-    return docs.mapInArrow(run, "doc_id long, line int, key binary, n_words int, halves array<long>")
+    return docs.mapInArrow(run, "doc_id long, row long, line int, key binary, n_words int, halves array<long>")
 
 
 def place() -> F.Column:
-    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("line").alias("line"))
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"), F.col("line").alias("line"))
 
 
 def suspect_texts(docs: DataFrame, suspects: DataFrame) -> DataFrame:
-    """n, text of the first occurrence of each line in ``suspects`` (n, id, line)."""
-    wanted = suspects.groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("n", "line")).alias("wanted"))
-    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("lines", F.split("text", "\n", -1))
+    """n, text of the first occurrence of each line in ``suspects`` (n, id, row, line)."""
+    wanted = suspects.groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("n", "line")).alias("wanted"))
+    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))).withColumn("lines", F.split("text", "\n", -1))
     return found.select(F.explode("wanted").alias("w"), "lines").select("w.n", F.try_element_at("lines", F.col("w.line") + 1).alias("text")).where("text IS NOT NULL")
 
 
@@ -172,7 +173,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     suspects = halves.join(crowded, "half", "left_semi").select("key").distinct()
     # numbered by their places, so a smaller number is an earlier line
     suspects = distinct.join(suspects, "key").select("key", "at.*")
-    suspects = staged(number_rows(suspects, ["none", "id", "line"], "n"), "lines-numbered")
+    suspects = staged(number_rows(suspects, ["none", "id", "row", "line"], "n"), "lines-numbered")
     lines = staged(suspect_texts(docs, suspects), "lines-suspects")
     variants = staged(variant_table(lines), "lines-variants")
 
@@ -194,25 +195,34 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return suspects.join(near, "n", "left_semi").select("key")
 
 
+def each_row(docs: DataFrame) -> DataFrame:
+    """The rows, and ``copy``: whether an equal one without doc_id was given already."""
+    unnamed = docs.where("doc_id IS NULL").groupBy("doc_id", "row", "text").agg(F.count(F.lit(1)).alias("n"))
+    unnamed = unnamed.select("doc_id", "row", "text", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("i")).withColumn("copy", F.col("i") > 1).drop("i")
+    return docs.where("doc_id IS NOT NULL").withColumn("copy", F.lit(False)).unionByName(unnamed.select("doc_id", "text", "row", "copy"))
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_lines (with a word), n_exact and n_near (lines that go), text (of the lines that stay)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row"))
     lines = staged(line_table(docs), "lines")
     distinct = staged(lines.groupBy("key").agg(F.min(place()).alias("at"), F.first("halves").alias("halves")), "lines-distinct")
     near = near_lines(docs, distinct).withColumn("near", F.lit(True))
     known = staged(distinct.select("key", "at").join(near, "key", "left"), "lines-known")
     judged = lines.join(known, "key").withColumn("exact", F.col("at") < place())
-    gone = judged.where("exact OR near").groupBy("doc_id").agg(F.collect_set("line").alias("gone"), F.collect_set(F.when(~F.col("exact"), F.col("line"))).alias("near"))
-    gone = gone.withColumnRenamed("doc_id", "__id")
+    gone = judged.where("exact OR near").groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"), F.collect_set(F.when(~F.col("exact"), F.col("line"))).alias("near"))
+    gone = gone.withColumnsRenamed({"doc_id": "__id", "row": "__row"})
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                rows, kept = part.select(["text", "gone", "near"]).to_pylist(), []
+                rows, kept = part.select(["text", "gone", "near", "copy"]).to_pylist(), []
                 n_lines, n_gone, n_near = [], [], []
                 for r in rows:
                     pieces, gone, near = (r["text"] or "").split("\n"), set(r["gone"] or ()), set(r["near"] or ())
                     real = {i for i, x in enumerate(pieces) if x.strip(" \t\n\v\f\r")}
+                    if r["copy"]:
+                        gone, near = real, set()
                     n_lines.append(len(real))
                     n_near.append(len(near & real))
                     n_gone.append(len(gone & real) - n_near[-1])
@@ -220,7 +230,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n_lines, n_gone, n_near)], pa.array(kept, pa.string())],
                                                  names=["doc_id", "n_lines", "n_exact", "n_near", "text"])
 
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select("doc_id", "text", "gone", "near")
+    joined = each_row(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row")), "left") \
+        .select("doc_id", "text", "gone", "near", "copy")
     return joined.mapInArrow(rebuild, "doc_id long, n_lines long, n_exact long, n_near long, text string")
 
 

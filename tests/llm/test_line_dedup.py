@@ -82,3 +82,14 @@ def test_repeated_rows_and_empty_table(spark):
     out = dedup_lines(frame(spark, [(1, "a b\nc"), (1, "a b\nc"), (2, "c")])).collect()
     assert sorted((r.doc_id, r.text) for r in out) == [(1, "a b\nc"), (1, "a b\nc"), (2, "")]
     assert dedup_lines(frame(spark, [(1, "x")]).limit(0)).count() == 0
+
+
+def test_rows_without_or_with_repeated_ids_are_judged_each(spark):
+    near = "k{} b c d e f g h i"
+    rows = [(None, "A\nB"), (None, "B\nC"), (None, "A\nB"), (None, "same\nx1"), (None, "same\nx2"), (7, "p\nq"), (7, "q\nr"), (7, "p\ns"), (None, None), (None, None),
+            (None, near.format(1)), (None, near.format(2)), (8, near.format(3)), (8, "\n".join(f"only{i}" for i in range(5))), (8, "z\n\nA")]
+    out = dedup_lines(frame(spark, rows).repartition(4)).collect()
+    assert sorted(r.doc_id or 0 for r in out) == sorted(i or 0 for i, _ in rows) and sum(r.text is None for r in out) == 2
+    left = sorted(x for r in out for x in (r.text or "").split("\n") if x)
+    assert left == sorted(["A", "B", "C", "same", "x1", "x2", "p", "q", "r", "s", "z", near.format(3), *(f"only{i}" for i in range(5))])
+    assert sum(r.n_lines for r in out) == 26 and sum(r.n_near for r in out) == 2 and sum(r.n_exact for r in out) == 26 - 17 - 2
