@@ -3,7 +3,8 @@
 Over the pieces of a fixed public vocabulary each language has a unigram distribution.  A word's
 probability in a language is the sum over all its segmentations into pieces, by a forward
 pass; a text's is the product over its words.  The distributions are fitted by expectation
-maximisation (forward and backward passes) on word counts of a bounded sample:
+maximisation (forward and backward passes; words of more than ``STRETCH`` characters, as in languages written without
+spaces, in overlapping stretches) on word counts of a bounded sample:
 about ``SAMPLE_DOCS`` whole documents per language, drawn by a hash of doc_id.
 
 A null text, or one without a letter, is ``und`` with score 0, as is every text when nothing is labelled.
@@ -31,6 +32,7 @@ EVEN = 0.02             # share of each distribution that is spread evenly over
 STRANGE = 1e-7          # probability of a character that is no piece, in any language
 CACHED_WORDS = 200_000  # distinct words that a task remembers
 SMALL = 1e-120
+STRETCH = 40            # characters of a word whose segmentations are summed at once when learning
 
 
 class Pieces:
@@ -112,25 +114,39 @@ def log_probabilities(words: list[str], model: np.ndarray, vocabulary: Pieces) -
     return out
 
 
+def stretches(chars: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
+    """(characters, share) of words of one length; from ``STRETCH`` characters on, overlapping cuts that hold each character twice, by half."""
+    n, half = chars.shape[1], STRETCH // 2
+    if n <= STRETCH:
+        yield chars, 1.0
+        return
+    yield chars[:, :half], 0.5
+    inside = np.lib.stride_tricks.sliding_window_view(chars, STRETCH, axis=1)[:, ::half]
+    per = max(1, 400_000 // (STRETCH * len(chars)))
+    for k in range(0, inside.shape[1], per):
+        yield inside[:, k:k + per], 0.5
+    for start in range(inside.shape[1] * half, n, half):
+        yield chars[:, start:], 0.5
+
+
 def expected_counts(words: list[str], langs: np.ndarray, weights: np.ndarray, model: np.ndarray, vocabulary: Pieces) -> np.ndarray:
-    """Expected uses of each piece per language, over all segmentations of weighted words."""
+    """Expected uses of each piece per language, over all segmentations of weighted words (of long words, of their ``stretches``)."""
     size, k = vocabulary.size, model.shape[1]
     total = np.zeros((size + 1) * k)
-    for at, chars in by_length(words):
-        n = chars.shape[1]
-        if n > 40:  # such words teach little and would leave the range of floats
-            continue
-        lang = langs[at]
-        steps = [(s, e, ids, np.where(ids < size, model[ids, lang], STRANGE if e - s == 1 else 0)) for s, e, ids in vocabulary.found(chars)]
-        ahead, behind = np.zeros((n + 1, len(at))), np.zeros((n + 1, len(at)))
-        ahead[0] = behind[n] = 1
-        for s, e, _, p in steps:
-            ahead[e] += ahead[s] * p
-        for s, e, _, p in sorted(steps, key=lambda x: -x[0]):
-            behind[s] += behind[e] * p
-        for s, e, ids, p in steps:
-            use = ahead[s] * p * behind[e] / ahead[n] * weights[at]
-            total += np.bincount(ids * k + lang, use, (size + 1) * k)
+    for at, whole in by_length(words):
+        for chars, share in stretches(whole):
+            cuts, n = chars.size // (len(at) * chars.shape[-1]), chars.shape[-1]
+            lang, weight = np.repeat(langs[at], cuts), np.repeat(weights[at] * share, cuts)
+            steps = [(s, e, ids, np.where(ids < size, model[ids, lang], STRANGE if e - s == 1 else 0)) for s, e, ids in vocabulary.found(chars.reshape(-1, n))]
+            ahead, behind = np.zeros((n + 1, len(lang))), np.zeros((n + 1, len(lang)))
+            ahead[0] = behind[n] = 1
+            for s, e, _, p in steps:
+                ahead[e] += ahead[s] * p
+            for s, e, _, p in sorted(steps, key=lambda x: -x[0]):
+                behind[s] += behind[e] * p
+            for s, e, ids, p in steps:
+                use = ahead[s] * p * behind[e] / ahead[n] * weight
+                total += np.bincount(ids * k + lang, use, (size + 1) * k)
     return total.reshape(size + 1, k)[:size]
 
 

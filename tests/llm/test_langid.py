@@ -92,3 +92,32 @@ def test_predictions_do_not_depend_on_partitions(spark):
     a = sorted(map(str, predict(docs.select("doc_id", "text"), langs, model, ["doc_id"]).collect()))
     b = sorted(map(str, predict(docs.select("doc_id", "text").repartition(5), langs, model, ["doc_id"]).collect()))
     assert a == b and langid.SAMPLE_DOCS > 0
+
+
+@pytest.mark.parametrize("n", [40, 41, 59, 60, 61, 80, 99, 1000])
+def test_stretches_hold_each_character_once(n):
+    chars = np.arange(3 * n, dtype=np.uint32).reshape(3, n)
+    held = np.zeros(3 * n)
+    for part, share in langid.stretches(chars):
+        assert part.shape[-1] <= langid.STRETCH
+        np.add.at(held, part.ravel(), share)
+    assert (held == 1).all()
+
+
+def test_long_words_are_learned_from(v, model):
+    got = expected_counts(["the" * 400], np.array([1]), np.array([2.0]), model, v)
+    length = np.array([len(p) for p in v.pieces])
+    assert np.isfinite(got).all() and got[:, 0].sum() == 0
+    assert (got[:, 1] * length).sum() == pytest.approx(2 * 1201, rel=0.01)
+
+
+def test_languages_without_spaces_are_told_apart(spark):
+    """Two languages of words of 200 characters, by their syllables."""
+    rng = np.random.default_rng(1)
+    syllables = {"xa": ["ka", "no", "shi", "ta"], "xb": ["ber", "gen", "ung", "ich"]}
+    rows = [(i, "".join(rng.choice(syllables[lang], 100)), lang) for i in range(80) for lang in [("xa", "xb")[i % 2]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = train(docs)
+    assert np.abs(model[:, 0] - model[:, 1]).sum() > 0.5
+    got = predict(docs, langs, model, ["doc_id", "lang"]).collect()
+    assert all(r.lang_pred == r.lang for r in got)
