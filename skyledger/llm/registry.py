@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from skyledger.llm.alignment import op13_token_alignment
 from skyledger.llm.chat import OP5_SQL, op5_chat_formatting
 from skyledger.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from skyledger.llm.langid import op1_language_id
@@ -19,7 +20,7 @@ from skyledger.llm.sentencepiece_scan import op6_sentencepiece
 from skyledger.llm.token_file import op7_token_files
 
 OPERATORS = (op1_language_id, op2_exact_dedup, op3_quality_rules, op4_minhash_near_dedup, op5_chat_formatting,
-             op6_sentencepiece, op7_token_files, op8_line_dedup, op9_mixing, op10_pii_pseudonyms)
+             op6_sentencepiece, op7_token_files, op8_line_dedup, op9_mixing, op10_pii_pseudonyms, op13_token_alignment)
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op9_mixing": OP9_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
 
 
