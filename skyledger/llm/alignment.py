@@ -299,6 +299,23 @@ def block_rows(docs: DataFrame, a_path: str | None = None, b_path: str | None =
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(read, BLOCK)
 
 
+def groups(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """Per document its groups as text: doc_id, groups (``a1,a2|b1;a3|b2,b3``; empty without tokens)."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = Book(loaded(a_path, b_path))
+        for batch in batches:
+            for run in text_slices(batch, limit=SLICE_BYTES):
+                coded, first = words_of(run.column("text"))
+                entry = book.find(coded.dictionary.to_pylist())
+                codes = coded.indices.to_numpy().astype(np.int64)
+                good = (sums(book.numbers[entry, 4][codes], first) == 0) & (pc.fill_null(pc.binary_length(run.column("text")), 0).to_numpy(zero_copy_only=False) > 0)
+                known = [book.text[e].decode() for e in entry]
+                made = ["".join([known[c] for c in codes[f:g]])[:-1] if ok else "" for f, g, ok in zip(first[:-1], first[1:], good, strict=True)]
+                yield pa.RecordBatch.from_arrays([run.column("doc_id"), pa.array(made, pa.string())], names=["doc_id", "groups"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(read, "doc_id long, groups string")
+
+
 def pair_counts(rows: DataFrame) -> DataFrame:
     """Pairs outside the identity map: code (A id times B's size, plus B id), n (documents)."""
     return rows.where(F.col("kind") == PAIR_ROW).groupBy("code").agg(F.sum("n").alias("n"))

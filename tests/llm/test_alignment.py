@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 import pytest
 from skyledger.llm import alignment
+from skyledger.llm.alignment import groups as groups_as_text
 from skyledger.llm.alignment import align, block_rows, byte_letters, loaded, op13_token_alignment, pair_counts, words_of
 
 FIELDS = "doc_id long, text string"
@@ -61,6 +62,8 @@ def test_odd_texts_repeats_and_nulls(spark):
     got = align(spark.createDataFrame(rows, FIELDS).repartition(3))
     want, _ = brute(rows)
     assert order(got.collect()) == order(want)
+    spelt = sorted(hashlib.sha256(r.groups.encode()).hexdigest() if r.groups else "" for r in groups_as_text(spark.createDataFrame(rows, FIELDS)).collect())
+    assert spelt == sorted(r[-1] for r in want)
     plain = {r.doc_id: tuple(r)[1:] for r in got.collect()}
     assert plain[0] == plain[1] == plain[11] == plain[12] == ZERO
 
