@@ -15,7 +15,7 @@ A text with other Unicode white space is encoded whole.
 
 Null and empty texts, and texts whose tokens do not spell them (such as those with U+2581), have no tokens: zeros and an empty
 digest.  Rows sharing a doc_id are documents of their own; a null doc_id stays null; an empty table gives an empty one;
-other columns are ignored.  A block is at most ``SLICE_BYTES`` of text, or one longer text.
+other columns are ignored.  A block is ``BLOCK_BYTES`` of text, and worked on in slices of ``SLICE_BYTES`` or one longer text.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import bounds, documents, staged, sums, text_slices, texts
+from skyledger.llm.common import documents, staged, sums, text_slices, texts
 
 SPACE = "▁"
-SLICE_BYTES = 8 << 20
-CACHED_WORDS = 400_000  # distinct words that a task remembers
+SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 32 << 20     # text whose pairs are counted together
+CACHED_WORDS = 250_000     # distinct words that a task remembers
+LEARNED_TOGETHER = 10_000  # words encoded at a time
 #: White space of Unicode beyond ASCII: a text with any is encoded whole.
 WIDE_SPACE = "[\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x1C-\\x1F]"
 ASCII_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -106,24 +109,21 @@ def loaded(a_path: str | None, b_path: str | None) -> Pair:
     return Pair(*tokenizer_paths(a_path, b_path))
 
 
-def groups_of(pair: Pair, ids_a: list[np.ndarray], ids_b: list[np.ndarray]):
-    """Groups of words whose A and B tokens spell the same: per A token, per B token its group, and the groups of each word."""
-    a, b = np.concatenate(ids_a), np.concatenate(ids_b)
-    end_a, end_b = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
-    cuts = np.intersect1d(end_a, end_b, assume_unique=True)
-    return a, b, np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b), len(cuts)
-
-
 class Book:
     """What is known of distinct words: token, group and link numbers, linked id pairs, and the groups as text."""
 
     def __init__(self, pair: Pair):
         self.pair = pair
+        self.a_bytes, self.b_bytes = pa.array(pair.a_bytes, pa.large_binary()), pa.array(pair.b_bytes, pa.large_binary())
+        #: each id as text before another of its kind, and as the last of its group
+        signs = [f"{i}{after}" for size, end in ((len(pair.a_bytes), "|"), (len(pair.b_bytes), ";")) for after in (",", end) for i in range(size)]
+        self.signs = pa.array([x.encode() for x in signs], pa.large_binary())
+        self.sign_size = np.array([len(x) for x in signs])
         self.reset()
 
     def reset(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.text: list[bytes] = []
+        self.text = pa.array([], pa.large_binary())  # the groups, each with a semicolon behind it
         self.numbers = np.zeros((0, 5), np.int64)  # tokens of A, of B, groups, links, and 1 where the tokens do not spell the word
         self.pairs, self.times, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
 
@@ -131,60 +131,68 @@ class Book:
         if len(self.known) > CACHED_WORDS:
             self.reset()
         new = [w for w in words if w not in self.known]
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.learn(new)
-        return np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        for k in range(0, len(new), LEARNED_TOGETHER):
+            some = new[k:k + LEARNED_TOGETHER]
+            self.learn(some)
+            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def learn(self, words: list[bytes]) -> None:
         p = self.pair
         as_text = [w.decode() for w in words]
-        ids_a = [np.array(e.ids, np.int64) for e in p.a.encode_batch_fast(as_text, add_special_tokens=False)]
-        ids_b = [np.array(i, np.int64) for i in p.b_ids(as_text)]
-        good = [k for k, w in enumerate(words)
-                if b"".join([p.a_bytes[i] for i in ids_a[k]]) == w == b"".join([p.b_bytes[i] for i in ids_b[k]])]
+        a, n_a = flat([e.ids for e in p.a.encode_batch_fast(as_text, add_special_tokens=False)])
+        b, n_b = flat(p.b_ids(as_text))
+        good = spelt(self.a_bytes, p.a_size, a, n_a, words) & spelt(self.b_bytes, p.b_size, b, n_b, words)
         numbers = np.zeros((len(words), 5), np.int64)
-        numbers[:, 4] = 1
-        text = [b""] * len(words)
-        pairs, times, of = (np.zeros(0, np.int64) for _ in range(3))
-        if good:
-            ids_a, ids_b = [ids_a[k] for k in good], [ids_b[k] for k in good]
-            a, b, group_a, group_b, n = groups_of(p, ids_a, ids_b)
-            n_a, n_b = np.array([len(i) for i in ids_a]), np.array([len(i) for i in ids_b])
-            sizes_a, sizes_b = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)
-            stop_a = np.cumsum(n_a)
-            last = group_a[stop_a - 1]  # a word's last group; groups end with the word at the latest
-            owner = np.repeat(np.arange(len(good)), np.diff(last, prepend=-1))
-            links = np.bincount(owner, sizes_a * sizes_b, minlength=len(good)).astype(np.int64)
-            numbers[good] = np.column_stack([n_a, n_b, np.diff(last, prepend=-1), links, np.zeros(len(good), np.int64)])
-            # every link: each A token meets all B tokens of its group
-            meets = sizes_b[group_a]
-            start_b = np.cumsum(sizes_b) - sizes_b
-            at = np.repeat(start_b[group_a] - np.cumsum(meets) + meets, meets) + np.arange(meets.sum())
-            code = np.repeat(a, meets) * len(p.b_size) + b[at]
-            order = np.lexsort((code, np.repeat(owner[group_a], meets)))
-            code, word = code[order], np.repeat(owner[group_a], meets)[order]
-            head = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (word[1:] != word[:-1])])
-            pairs, times, of = code[head], np.diff(np.r_[head, len(code)]), np.array(good)[word[head]]
-            for k, made in zip(good, group_text(a, b, sizes_a, sizes_b, last), strict=True):
-                text[k] = made
-        self.text += text
+        numbers[~good, 4] = 1
+        a, b, n_a, n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a[good], n_b[good]
+        # tokens of both end where a group does, and so at the end of each word
+        end_a, end_b = np.cumsum(p.a_size[a]), np.cumsum(p.b_size[b])
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        in_a, in_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        n_groups = np.diff(group_a[np.cumsum(n_a) - 1], prepend=-1)
+        owner = np.repeat(np.flatnonzero(good), n_groups)
+        numbers[good, :3] = np.column_stack([n_a, n_b, n_groups])
+        numbers[:, 3] = np.bincount(owner, in_a * in_b, minlength=len(words))
+        # every link: each A token meets all B tokens of its group
+        at, meets = runs(np.r_[0, np.cumsum(in_b)], group_a)
+        code, word = np.repeat(a, meets) * len(p.b_size) + b[at], np.repeat(owner[group_a], meets)
+        order = np.lexsort((code, word))
+        code, word = code[order], word[order]
+        head = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (word[1:] != word[:-1])]) if len(code) else order
+        self.pairs, self.times = np.r_[self.pairs, code[head]], np.r_[self.times, np.diff(np.r_[head, len(code)])]
+        self.first = np.r_[self.first, self.first[-1] + np.cumsum(np.bincount(word[head], minlength=len(words)))]
         self.numbers = np.concatenate([self.numbers, numbers])
-        self.first = np.r_[self.first, self.first[-1] + np.cumsum(np.bincount(of.astype(np.int64), minlength=len(words)))]
-        self.pairs, self.times = np.r_[self.pairs, pairs], np.r_[self.times, times]
-
-
-def group_text(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, last: np.ndarray) -> Iterator[bytes]:
-    """Per word its groups as ``a1,a2|b1;``, one after another."""
-    a, b, at_a, at_b, parts = a.tolist(), b.tolist(), 0, 0, []
-    done = iter(last.tolist())
-    stop = next(done, None)
-    for g, (x, y) in enumerate(zip(sizes_a.tolist(), sizes_b.tolist(), strict=True)):
-        parts.append(f"{a[at_a]}|{b[at_b]};" if x == y == 1 else f"{','.join(map(str, a[at_a:at_a + x]))}|{','.join(map(str, b[at_b:at_b + y]))};")
-        at_a, at_b = at_a + x, at_b + y
-        if g == stop:
-            yield "".join(parts).encode()
-            parts, stop = [], next(done, None)
+        # a group's signs: its A tokens', then its B tokens'
+        size_a, size_b = len(p.a_size), len(p.b_size)
+        last_a, last_b = (np.diff(g, append=len(cuts)) > 0 for g in (group_a, group_b))
+        sign = np.empty(len(a) + len(b), np.int64)
+        before_b = np.cumsum(in_b) - in_b
+        sign[np.arange(len(a)) + before_b[group_a]] = a + last_a * size_a
+        sign[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = b + last_b * size_b + 2 * size_a
+        length = np.bincount(np.repeat(owner, in_a + in_b), self.sign_size[sign], minlength=len(words)).astype(np.int64)
+        made = self.signs.take(pa.array(sign))
+        text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.r_[0, np.cumsum(length)]), made.buffers()[2]])
+        self.text = pa.concat_arrays([self.text, text])
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists one after another, and how long each is."""
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum())), size
+
+
+def spelt(token_bytes: pa.Array, token_size: np.ndarray, ids: np.ndarray, n: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """Whether the tokens of each word spell it."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    good = sums(token_size[ids], np.r_[0, np.cumsum(n)]) == size
+    some = token_bytes.take(pa.array(ids[np.repeat(good, n)]))
+    made = np.frombuffer(some.buffers()[2], np.uint8)[:int(size[good].sum())] if len(some) else np.zeros(0, np.uint8)
+    want = np.frombuffer(b"".join(w for w, g in zip(words, good, strict=True) if g), np.uint8)
+    wrong = np.repeat(np.flatnonzero(good), size[good])[made != want]
+    good[wrong] = False
+    return good
 
 
 def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -219,82 +227,93 @@ def once(owner: np.ndarray, item: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return key // max(n, 1), key % max(n, 1), times
 
 
-DOCS = ("doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, sha array<string>")
-BLOCK = f"block long, kind int, code long, n long, {DOCS}, words array<int>, times array<int>, upto array<int>, pairs array<long>, links array<int>, reach array<int>"
+BLOCK = "block long, kind int, code long, n long, payload binary"
 ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-BLOCK_ROW, PAIR_ROW, VECTOR_ROW = 0, 1, 2
+ROW_TYPES = pa.schema([(c.split(" ")[0], pa.string() if c.endswith("string") else pa.int64()) for c in ROWS.split(", ")])
+SLICE_ROW, PAIR_ROW, VECTOR_ROW = 0, 1, 2
+_BLOCK_TYPES = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("code", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
 
 
-def _schema() -> pa.Schema:
-    plain = [("block", pa.int64()), ("kind", pa.int32()), ("code", pa.int64()), ("n", pa.int64())]
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    lists = [part.strip().split(" ") for part in BLOCK.split(",")[4:]]
-    return pa.schema(plain + [(name, pa.list_(kinds[kind[6:-1]])) for name, kind in lists])
+def _rows(kind: int, block: int, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    some = len(code)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(some, block)), pa.array(np.full(some, kind, np.int32)), pa.array(code), pa.array(n), pa.nulls(some, pa.binary())], schema=_BLOCK_TYPES)
 
 
-def _batch(**columns) -> pa.RecordBatch:
-    schema = _schema()
-    n = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+def packed(columns: dict[str, pa.Array]) -> bytes:
+    """Arrays of any lengths as one compressed Arrow stream."""
+    row = pa.RecordBatch.from_arrays([pa.LargeListArray.from_arrays(pa.array([0, len(c)], pa.int64()), c) for c in columns.values()], names=list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(row)
+    return sink.getvalue().to_pybytes()
 
 
-def _one(values, kind) -> pa.Array:
-    """An array of one list."""
-    flat = values if isinstance(values, pa.Array) else pa.array(values, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
+def unpacked(raw: bytes) -> dict[str, pa.Array]:
+    row = pa.ipc.open_stream(raw).read_next_batch()
+    return {name: row.column(name).values for name in row.schema.names}
 
 
-def digests(text: list[bytes], words: np.ndarray, first: np.ndarray, good: np.ndarray) -> list[str]:
+def digests(text: pa.Array, words: np.ndarray, first: np.ndarray, good: np.ndarray) -> list[str]:
     """SHA-256 of each text's groups, which its words' group texts make when put together."""
-    joined = pa.array(text, pa.large_binary()).take(pa.array(words))
+    joined = text.take(pa.array(words))
     stops = np.frombuffer(joined.buffers()[1], np.int64)[:len(words) + 1] if len(words) else np.zeros(1, np.int64)
     data = memoryview(joined.buffers()[2]) if len(words) and joined.buffers()[2] is not None else memoryview(b"")
     return [hashlib.sha256(data[stops[f]:stops[g] - 1]).hexdigest() if ok else "" for f, g, ok in zip(first[:-1], first[1:], good, strict=True)]
 
 
 def block_rows(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
-    """Rows of three kinds: blocks of documents; other pairs of a block and their documents; a task's identity vector."""
+    """Rows of three kinds: slices of a block's documents; the block's other pairs and their documents; a task's identity vector."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = loaded(a_path, b_path)
         book, n_b_ids = Book(pair), len(pair.b_size)
-        vector, block = np.zeros(len(pair.same), np.int64), TaskContext.get().partitionId() << 32
+        vector, block, held = np.zeros(len(pair.same), np.int64), TaskContext.get().partitionId() << 32, 0
+        odd_codes, odd_counts = [], []
+
+        def other_pairs() -> pa.RecordBatch:
+            codes, of = np.unique(np.concatenate(odd_codes), return_inverse=True)
+            return _rows(PAIR_ROW, block, codes, np.bincount(of, np.concatenate(odd_counts), minlength=len(codes)).astype(np.int64))
+
         for batch in batches:
             for run in text_slices(batch, limit=SLICE_BYTES):
                 coded, first = words_of(run.column("text"))
                 entry = book.find(coded.dictionary.to_pylist())
                 codes = coded.indices.to_numpy().astype(np.int64)
                 numbers = sums(book.numbers[entry][codes], first)
-                good = (numbers[:, 4] == 0) & (pc.fill_null(pc.binary_length(run.column("text")), 0).to_numpy(zero_copy_only=False) > 0)
+                size = pc.fill_null(pc.binary_length(run.column("text")), 0).to_numpy(zero_copy_only=False)
+                good = (numbers[:, 4] == 0) & (size > 0)
                 numbers[~good] = 0
-                sha = digests([book.text[e] for e in entry], codes, first, good)
+                sha = digests(book.text.take(pa.array(entry)), codes, first, good)
 
                 # distinct words of each document, and distinct pairs of each
                 owner = np.repeat(np.arange(len(good)), np.diff(first))
                 real = good[owner]
                 owner, word, times = once(owner[real], codes[real], len(entry))
-                at, size = runs(book.first, entry)
+                at, per_word = runs(book.first, entry)
                 codes_of, local = np.unique(book.pairs[at], return_inverse=True)
-                reach = np.r_[0, np.cumsum(size)]
-                places, per = runs(reach, word)
+                places, per = runs(np.r_[0, np.cumsum(per_word)], word)
                 _, linked, _ = once(np.repeat(owner, per), local[places], len(codes_of))
                 count = np.bincount(linked, minlength=len(codes_of))
-                a, b = codes_of // n_b_ids, codes_of % n_b_ids
-                plain = pair.same[a] == b
+                a = codes_of // n_b_ids
+                plain = pair.same[a] == codes_of % n_b_ids
                 vector[a[plain]] += count[plain]
-                odd = np.flatnonzero(~plain & (count > 0))
-                if len(odd):
-                    yield _batch(block=pa.array(np.full(len(odd), block)), kind=pa.array(np.full(len(odd), PAIR_ROW, np.int32)),
-                                 code=pa.array(codes_of[odd]), n=pa.array(count[odd]))
-                longs, ints = pa.int64(), pa.int32()
-                yield _batch(block=pa.array([block]), kind=pa.array([BLOCK_ROW], ints), doc_id=_one(run.column("doc_id").cast(longs), longs),
-                             n_a=_one(numbers[:, 0], longs), n_b=_one(numbers[:, 1], longs), n_groups=_one(numbers[:, 2], longs),
-                             n_links=_one(numbers[:, 3], longs), sha=_one(sha, pa.string()), words=_one(word.astype(np.int32), ints),
-                             times=_one(times.astype(np.int32), ints), upto=_one(np.searchsorted(owner, np.arange(1, len(good) + 1)).astype(np.int32), ints),
-                             pairs=_one(book.pairs[at], longs), links=_one(book.times[at].astype(np.int32), ints), reach=_one(reach[1:].astype(np.int32), ints))
-                block += 1
+                odd = ~plain & (count > 0)
+                odd_codes.append(codes_of[odd])
+                odd_counts.append(count[odd])
+
+                def ints(x: np.ndarray) -> pa.Array:
+                    return pa.array(x.astype(np.int32))
+                raw = packed({"doc_id": run.column("doc_id"), **{c: pa.array(numbers[:, k]) for k, c in enumerate(("n_a", "n_b", "n_groups", "n_links"))}, "sha": pa.array(sha, pa.string()),
+                              "words": ints(np.diff(word, prepend=0)), "times": ints(times), "per_doc": ints(np.bincount(owner, minlength=len(good))),
+                              "codes": pa.array(np.diff(codes_of, prepend=0)), "local": ints(local), "links": ints(book.times[at]), "per_word": ints(per_word)})
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([SLICE_ROW], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([raw], pa.binary())], schema=_BLOCK_TYPES)
+                held += int(size.sum())
+                if held >= BLOCK_BYTES:
+                    yield other_pairs()
+                    block, held, odd_codes, odd_counts = block + 1, 0, [], []
+        if odd_codes:
+            yield other_pairs()
         some = np.flatnonzero(vector)
-        if len(some):
-            yield _batch(kind=pa.array(np.full(len(some), VECTOR_ROW, np.int32)), code=pa.array(some), n=pa.array(vector[some]))
+        yield _rows(VECTOR_ROW, -1, some, vector[some])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(read, BLOCK)
 
@@ -309,7 +328,7 @@ def groups(docs: DataFrame, a_path: str | None = None, b_path: str | None = None
                 entry = book.find(coded.dictionary.to_pylist())
                 codes = coded.indices.to_numpy().astype(np.int64)
                 good = (sums(book.numbers[entry, 4][codes], first) == 0) & (pc.fill_null(pc.binary_length(run.column("text")), 0).to_numpy(zero_copy_only=False) > 0)
-                known = [book.text[e].decode() for e in entry]
+                known = [t.decode() for t in book.text.take(pa.array(entry)).to_pylist()]
                 made = ["".join([known[c] for c in codes[f:g]])[:-1] if ok else "" for f, g, ok in zip(first[:-1], first[1:], good, strict=True)]
                 yield pa.RecordBatch.from_arrays([run.column("doc_id"), pa.array(made, pa.string())], names=["doc_id", "groups"])
 
@@ -339,38 +358,30 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
     best = _vector(counts.groupBy(F.expr(f"code div {n_b_ids}").alias("a")).agg(F.max("n").alias("n")), size)
     best = np.maximum(best, identity)
 
-    def answer(key, blocks: pa.Table, found: pa.Table) -> pa.Table:
-        codes, n = found.column("code").to_numpy(), found.column("n").to_numpy()
-        order = np.argsort(codes)
-        codes, n = codes[order], n[order]
-        out = []
-        for row in blocks.to_batches():
-            for k in range(row.num_rows):
-                def get(name: str, row=row, k=k) -> np.ndarray:
-                    column = row.column(name)
-                    o = bounds(column) + column.offsets[0].as_py()
-                    return column.values.slice(o[k], o[k + 1] - o[k])
-                pairs = get("pairs").to_numpy()
-                a, b = pairs // n_b_ids, pairs % n_b_ids
-                count = np.where(same[a] == b, identity[a], 0) if len(pairs) else pairs
-                if len(codes) and len(pairs):
-                    at = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
-                    count = np.where(codes[at] == pairs, n[at], count)
-                links = get("links").to_numpy().astype(np.int64)
-                each = np.column_stack([links * (count == best[a]), links * count])
-                per_word = sums(each, np.r_[0, get("reach").to_numpy()].astype(np.int64))
-                per_doc = sums(per_word[get("words").to_numpy()] * get("times").to_numpy().astype(np.int64)[:, None], np.r_[0, get("upto").to_numpy()].astype(np.int64))
-                out.append(pa.table([get("doc_id"), get("n_a"), get("n_b"), get("n_groups"), get("n_links"), pa.array(per_doc[:, 0]), pa.array(per_doc[:, 1]), get("sha")],
-                                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]))
-        kinds = [pa.int64()] * 7 + [pa.string()]
-        if not out:
-            return pa.table([pa.nulls(0, t) for t in kinds], names=[f.split(" ")[0] for f in ROWS.split(", ")])
-        return pa.concat_tables([t.cast(pa.schema(zip(t.column_names, kinds, strict=True))) for t in out])
-
-    blocks = rows.where(F.col("kind") == BLOCK_ROW).drop("kind", "code", "n")
+    def answer(key, slices: pa.Table, found: pa.Table) -> pa.Table:
+        known, n = found.column("code").to_numpy(), found.column("n").to_numpy()
+        order = np.argsort(known)
+        known, n = known[order], n[order]
+        out = [pa.table([pa.nulls(0, t) for t in ROW_TYPES.types], schema=ROW_TYPES)]
+        for raw in slices.column("payload"):
+            kept = unpacked(raw.as_py())
+            got = {c: kept[c].to_numpy().astype(np.int64) for c in ("words", "times", "per_doc", "codes", "local", "links", "per_word")}
+            codes = np.cumsum(got["codes"])
+            a = codes // n_b_ids
+            count = np.where(same[a] == codes % n_b_ids, identity[a], 0)
+            if len(known) and len(codes):
+                at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+                count = np.where(known[at] == codes, n[at], count)
+            top, local = count == best[a], got["local"]
+            per_word = sums(got["links"][:, None] * np.column_stack([top[local], count[local]]), np.r_[0, np.cumsum(got["per_word"])])
+            per_doc = sums(per_word[np.cumsum(got["words"])] * got["times"][:, None], np.r_[0, np.cumsum(got["per_doc"])])
+            out.append(pa.table([kept["doc_id"], kept["n_a"], kept["n_b"], kept["n_groups"], kept["n_links"], pa.array(per_doc[:, 0]), pa.array(per_doc[:, 1]), kept["sha"]], schema=ROW_TYPES))
+        return pa.concat_tables(out)
+
+    slices = rows.where(F.col("kind") == SLICE_ROW).select("block", "payload")
     asked = rows.where(F.col("kind") == PAIR_ROW).select(F.col("block").alias("asker"), F.col("code").alias("asked"))
     returned = asked.join(counts, F.col("asked") == F.col("code")).select("asker", "code", "n")
-    return blocks.groupBy("block").cogroup(returned.groupBy("asker")).applyInArrow(answer, ROWS)
+    return slices.groupBy("block").cogroup(returned.groupBy("asker")).applyInArrow(answer, ROWS)
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
