@@ -10,6 +10,9 @@ group value, or one row per value for the conformed variant), the two small
 tables are joined on the grain, and ``sum(left_sum * right_rows)`` is exactly
 the sum the row-level join would produce.  A hot grain collapses to one row
 per side before any shuffle, so skew cannot pile up in the join.
+
+Sums and means of floating point measures are exact (``functions/exact.py``): they do not depend on the order of rows,
+tasks or files.
 """
 
 from __future__ import annotations
@@ -21,27 +24,25 @@ from pyspark.sql import functions as F
 
 from skyledger.functions._util import as_col
 from skyledger.functions.calendar import key_in_month, key_in_month_of_years, key_in_year
+from skyledger.functions.exact import exact_mean, exact_sum, fixed_point, rounded_ratio, shown, type_of
 from skyledger.operators.dims import CLOCK_BOUND
 from skyledger.operators.lookup import maybe_broadcast
 from skyledger.sources.schemas import MAGNITUDE_BINS
 
 
-def _sum(c: Column, digits: int | None) -> Column:
-    s = F.sum(c)
-    return F.round(s, digits) if digits is not None else s
-
-
 def rollup_sum(df: DataFrame, by: Sequence, measure, alias: str, digits: int | None = None,
                descending: bool = True) -> DataFrame:
     """``group by`` a dimension level, sum a measure, order by the sum."""
-    out = df.groupBy(*by).agg(_sum(as_col(measure), digits).alias(alias))
+    c = as_col(measure)
+    out = df.groupBy(*by).agg(exact_sum(c, type_of(df, c), digits).alias(alias))
     # group columns break ties: a deterministic total order
     return out.orderBy(F.col(alias).desc() if descending else F.col(alias), *[as_col(b) for b in by])
 
 
 def mean_by(df: DataFrame, by: Sequence, measure, alias: str, digits: int = 2) -> DataFrame:
-    """Rounded average per group."""
-    return df.groupBy(*by).agg(F.round(F.avg(as_col(measure)), digits).alias(alias))
+    """Average per group, rounded half away from zero."""
+    c = as_col(measure)
+    return df.groupBy(*by).agg(exact_mean(c, type_of(df, c), digits).alias(alias))
 
 
 def histogram_terms(bins: Sequence[tuple[str, int]]) -> tuple[Column, Column]:
@@ -63,11 +64,11 @@ def weighted_mean_by(df: DataFrame, by: Sequence, bins: Sequence[tuple[str, int]
                      min_total: float | None = None, digits: int = 2) -> DataFrame:
     """Σ(count·value)/Σ(count) per group, null on a zero total, groups with total > min_total."""
     weighted, total = histogram_terms(bins)
-    agg = df.groupBy(*by).agg(F.sum(weighted).alias("__w"), F.sum(total).alias("__t"))
+    agg = df.groupBy(*by).agg(F.sum(fixed_point(weighted, type_of(df, weighted))).alias("__w"), F.sum(fixed_point(total, type_of(df, total))).alias("__t"))
     if min_total is not None:
         agg = agg.where(F.col("__t") > F.lit(min_total))
     out = agg.select(*[as_col(b) for b in by],
-                     F.round(F.try_divide(F.col("__w"), F.col("__t")), digits).alias(alias))
+                     rounded_ratio(F.col("__w"), F.col("__t"), digits).alias(alias))
     return out.orderBy(F.col(alias).desc_nulls_last(), *[as_col(b) for b in by])
 
 
@@ -83,16 +84,16 @@ def drill_across(left: DataFrame, right: DataFrame, grain: Sequence[str], group:
     already summed ``right`` stands for.
     """
     g = list(grain)
+    kind = type_of(left, F.col(measure))
     lsum = (left.where(F.col(measure).isNotNull())
-            .groupBy(*g).agg(F.sum(measure).alias("__lsum")))
+            .groupBy(*g).agg(F.sum(fixed_point(F.col(measure), kind)).alias("__lsum")))
     r = right.where(group_filter) if group_filter is not None else right
     if conformed:
         rcnt = r.select(*g, group).distinct().withColumn("__rcnt", F.lit(1).cast("long"))
     else:
         rcnt = r.groupBy(*g, group).agg((F.sum(right_rows) if right_rows else F.count(F.lit(1))).alias("__rcnt"))
     joined = lsum.join(rcnt, g)
-    out = joined.groupBy(group).agg(_sum(F.col("__lsum") * F.col("__rcnt"), digits).alias(alias))
-    return out
+    return joined.groupBy(group).agg(shown(F.sum(F.col("__lsum") * F.col("__rcnt")), kind, digits).alias(alias))
 
 
 def pivot_sum(df: DataFrame, pivot_col: str, values: Sequence[str], measure: str,
@@ -102,10 +103,9 @@ def pivot_sum(df: DataFrame, pivot_col: str, values: Sequence[str], measure: str
     The value list is given, so no job is spent finding the values; a listed
     value with no rows gives null.
     """
-    out = df.groupBy(*by).pivot(pivot_col, list(values)).agg(F.sum(measure))
-    if digits is None:
-        return out
-    return out.select(*by, *[F.round(F.col(f"`{v}`"), digits).alias(v) for v in values])
+    kind = type_of(df, F.col(measure))
+    out = df.groupBy(*by).pivot(pivot_col, list(values)).agg(F.sum(fixed_point(F.col(measure), kind)))
+    return out.select(*by, *[shown(F.col(f"`{v}`"), kind, digits).alias(v) for v in values])
 
 
 # ---- the five questions on the warehouse tables -----------------------------------

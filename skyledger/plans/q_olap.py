@@ -15,6 +15,7 @@ from skyledger.operators.dims import build_dim_date
 from skyledger.operators.lookup import maybe_broadcast
 from skyledger.operators.olap import drill_across, mean_by, pivot_sum, rollup_sum, weighted_mean_by
 from skyledger.plans.registry import register
+from skyledger.plans.sql_exact import mean, ratio, total
 from skyledger.plans.tables import Tables, order_clock
 
 _DK_O = "(year(o_orderdate)*10000 + month(o_orderdate)*100 + day(o_orderdate))::INTEGER"
@@ -22,7 +23,7 @@ _DK_L = "(year(l_shipdate)*10000 + month(l_shipdate)*100 + day(l_shipdate))::INT
 
 
 @register("olap_slice_month", "Q1 B6 B7 C10 D1 F2 H6 H18", sql=rf"""
-SELECT c.c_mktsegment AS shower, round(sum(o.o_totalprice), 2) AS meteors_counted
+SELECT c.c_mktsegment AS shower, {total('o.o_totalprice')} AS meteors_counted
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 WHERE regexp_matches(CAST({_DK_O.replace('o_orderdate', 'o.o_orderdate')} AS VARCHAR), '^\d{{4}}01\d{{2}}$')
   AND c.c_mktsegment = 'BUILDING'
@@ -64,8 +65,8 @@ wx AS (
 """
 
 
-@register("olap_drill_across", "Q2 C11 C10 B5 D1 F3", sql=_Q2_SIDES + """
-SELECT wx.p AS precipitation, round(sum(obs.m), 2) AS meteors_counted
+@register("olap_drill_across", "Q2 C11 C10 B5 D1 F3", sql=_Q2_SIDES + f"""
+SELECT wx.p AS precipitation, {total('obs.m')} AS meteors_counted
 FROM obs JOIN wx ON obs.d = wx.d AND obs.h = wx.h AND obs.n = wx.n
 GROUP BY wx.p ORDER BY wx.p
 """)
@@ -76,8 +77,8 @@ def olap_drill_across(spark, d):
     return out.orderBy("precipitation")
 
 
-@register("drill_across_conformed", "C11 S8", sql=_Q2_SIDES + """
-SELECT wx.p AS precipitation, round(sum(obs.m), 2) AS meteors_counted
+@register("drill_across_conformed", "C11 S8", sql=_Q2_SIDES + f"""
+SELECT wx.p AS precipitation, {total('obs.m')} AS meteors_counted
 FROM obs JOIN (SELECT DISTINCT d, h, n, p FROM wx) wx ON obs.d = wx.d AND obs.h = wx.h AND obs.n = wx.n
 GROUP BY wx.p ORDER BY wx.p
 """)
@@ -108,7 +109,7 @@ _T = " + ".join(f"h.cnt_{k}" for k in range(1, 8))
 
 @register("olap_weighted_mean", "Q3 D3 D4 H17 B7", sql=_HIST_SQL + rf"""
 SELECT o.o_orderpriority AS Meteor_Shower,
-       round(sum({_W}) / sum({_T}), 2) AS magnitude_mean
+       {ratio(f"sum({_W})", f"nullif(sum({_T}), 0)")} AS magnitude_mean
 FROM hist h JOIN orders o ON h.l_orderkey = o.o_orderkey
 WHERE regexp_matches(CAST({_DK_O} AS VARCHAR), '1997\d{{4}}$')
 GROUP BY o.o_orderpriority
@@ -132,7 +133,7 @@ WITH obs AS (SELECT o_orderkey AS k, hour(o_orderdate) AS h, o_totalprice AS m F
 wx AS (SELECT l_orderkey AS k, hour(l_shipdate) AS h, l_returnflag AS t FROM lineitem
        WHERE {_DK_L} BETWEEN 19970101 AND 19971231),
 joined AS (SELECT wx.t, obs.m FROM obs JOIN wx ON obs.k = wx.k AND obs.h = wx.h)
-SELECT """ + ", ".join(f"round(sum(CASE WHEN t = '{v}' THEN m END), 2) AS \"{v}\"" for v in PIVOT_FLAGS) + """
+SELECT """ + ", ".join(total(f"CASE WHEN t = '{v}' THEN m END") + f" AS \"{v}\"" for v in PIVOT_FLAGS) + """
 FROM joined
 """)
 def olap_pivot(spark, d):
@@ -146,9 +147,9 @@ def olap_pivot(spark, d):
     return pivot_sum(per_flag, "t", PIVOT_FLAGS, "m_sum", digits=2)
 
 
-@register("olap_month_mean", "Q5 D2 D8 B8 C10", sql="""
+@register("olap_month_mean", "Q5 D2 D8 B8 C10", sql=f"""
 WITH f AS (SELECT o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS st, o_totalprice AS m FROM orders)
-SELECT strftime(st, '%b') AS month, round(avg(m), 2) AS mean_temperature
+SELECT strftime(st, '%b') AS month, {mean("m")} AS mean_temperature
 FROM f WHERE hour(st) BETWEEN 6 AND 8
 GROUP BY 1
 """)

@@ -13,6 +13,7 @@ from skyledger.operators.olap import (q1_meteors_in_month, q2_meteors_by_precipi
                                       q3_magnitude_mean_by_shower, q4_meteors_by_weather_type,
                                       q5_temperature_by_month)
 from skyledger.plans.registry import register
+from skyledger.plans.sql_exact import mean, ratio, units
 from skyledger.plans.sql_parts import DIM_CODE, SESSIONS, _BINS, dk
 from skyledger.plans.star import star_warehouse
 
@@ -98,7 +99,7 @@ _T = " + ".join(c.strip() for c in _BIN_COLS.split(","))
 
 
 @register("star_q3", "Q3 K10 D3 D4 H17", sql=STAR_CTES + f"""
-SELECT shower AS Meteor_Shower, round(sum({_W}) / sum({_T}), 2) AS magnitude_mean
+SELECT shower AS Meteor_Shower, {ratio(f"sum({units(_W)})", f"nullif(sum({units(_T)}), 0)")} AS magnitude_mean
 FROM fm WHERE year(start_date) = {STAR_YEAR}
 GROUP BY shower HAVING sum({_T}) > 50
 """)
@@ -124,8 +125,8 @@ def star_q4(spark, d):
                                       year=STAR_YEAR, types=STAR_TYPES)
 
 
-@register("star_q5", "Q5 K11 D2 D8 B8", sql=STAR_CTES + """
-SELECT strftime(d, '%b') AS month, round(avg(temperature_2m), 2) AS mean_temperature
+@register("star_q5", "Q5 K11 D2 D8 B8", sql=STAR_CTES + f"""
+SELECT strftime(d, '%b') AS month, {mean("temperature_2m")} AS mean_temperature
 FROM fw WHERE hour BETWEEN 6 AND 8
 GROUP BY 1
 """)

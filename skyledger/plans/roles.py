@@ -15,7 +15,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from skyledger.functions.exact import exact_sum
 from skyledger.functions.calendar import session_clock
 from skyledger.operators.enrich import addresses_to_locations
 from skyledger.operators.lookup import maybe_broadcast
@@ -141,7 +143,7 @@ def hourly_weather(t: Tables) -> DataFrame:
     s = event_sessions(t).withColumn("time", F.date_trunc("hour", "Start Date"))
     none = F.lit(None).cast("double")
     return s.groupBy(F.col("Latitude").alias("latitude"), F.col("Longitude").alias("longitude"), "time").agg(
-        F.round(F.sum("value"), 2).alias("temperature_2m"),
+        exact_sum(F.col("value"), DoubleType(), 2).alias("temperature_2m"),
         F.max("value").alias("relative_humidity_2m"),
         F.min("value").alias("apparent_temperature"),
         F.count(F.lit(1)).cast("double").alias("precipitation"),

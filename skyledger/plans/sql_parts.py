@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from skyledger.plans.q_functions import sql_initcap, sql_transliterate
+from skyledger.plans.sql_exact import total
 
 
 def dk(x: str) -> str:
@@ -162,7 +163,7 @@ es AS (
   FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey),
 hourly AS (
   SELECT lat, lon, date_trunc('hour', start_date) AS time,
-         round(sum(value), 2) AS temperature_2m, max(value) AS relative_humidity_2m,
+         {total('value')} AS temperature_2m, max(value) AS relative_humidity_2m,
          min(value) AS apparent_temperature, CAST(count(*) AS DOUBLE) AS precipitation,
          CAST(count(*) FILTER (WHERE event_type = 'click') AS DOUBLE) AS rain,
          CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE) AS snowfall,
