@@ -7,6 +7,7 @@ folder; what comes back is read with the reader under test.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from skyledger.session import scratch_path
 from skyledger.sources.readers import read_delimited, read_parquet, read_rejects
@@ -37,27 +38,59 @@ def csv_layouts(spark, d):
     return read_delimited(spark, path, schema=orders.schema, sep=";")
 
 
-@register("csv_rejects", "A1 B4 (rejects)", sql="""
-SELECT 'o_totalprice' AS column, o_orderkey::VARCHAR || ' n/a' AS value, o_orderkey::VARCHAR AS key FROM orders WHERE o_orderkey % 7 = 0
-UNION ALL SELECT 'o_custkey', '12x', o_orderkey::VARCHAR FROM orders WHERE o_orderkey % 11 = 0
+# Records by rule of the order key: cells that do not fit their type, and records that do not fit the header.
+_BAD_RECORDS = {19: ("quote", "o_orderkey || ';\"' || o_custkey || ';7'"), 17: ("long", "o_orderkey || ';' || o_custkey || ';7;extra'"), 13: ("short", "o_orderkey || ';' || o_custkey")}
+_REASON = "CASE " + " ".join(f"WHEN o_orderkey % {k} = 0 THEN '{why}'" for k, (why, _) in _BAD_RECORDS.items()) + " END"
+_LINE = "CASE " + " ".join(f"WHEN o_orderkey % {k} = 0 THEN {line}" for k, (_, line) in _BAD_RECORDS.items()) + \
+    " ELSE o_orderkey || ';' || CASE WHEN o_orderkey % 11 = 0 THEN '12x' ELSE CAST(o_custkey AS VARCHAR(20)) END || ';' || " \
+    "CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey || ' n/a' ELSE '7' END END"
+
+
+@register("csv_rejects", "A1 A3 B4 (rejects)", sql=f"""
+WITH rows AS (SELECT *, {_REASON} AS reason, {_LINE} AS line FROM orders)
+SELECT true AS known_file, reason, NULL::VARCHAR AS "column", NULL::VARCHAR AS value, line FROM rows WHERE reason IS NOT NULL
+UNION ALL SELECT true, 'type', 'o_number', o_orderkey || ' n/a', line FROM rows WHERE reason IS NULL AND o_orderkey % 7 = 0
+UNION ALL SELECT true, 'type', 'o_custkey', '12x', line FROM rows WHERE reason IS NULL AND o_orderkey % 11 = 0
 """)
 def csv_rejects(spark, d):
-    """Cells that do not fit their type, written by rule, must all be listed."""
-    orders = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    """Cells that do not fit their type and short, long and open-quote records, written by rule, must all be listed with file and text."""
+    orders = Tables(spark, d).orders
     path = scratch_path(spark, "csv_rejects")
-    orders.select("o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, F.lit("12x")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
-                  F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit(" n/a")))
-                  .otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice")).write.option("header", True).option("sep", ";").csv(path)
-    return read_rejects(spark, path, orders.schema, sep=";").select("column", "value", F.col("row")["o_orderkey"].alias("key"))
+    # written as one column without quoting, whose name is the header line
+    orders.select(F.expr(_LINE).alias("o_orderkey;o_custkey;o_number")).write.options(header=True, sep="\x01", quote="").csv(path)
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()), StructField("o_number", LongType())])
+    found = read_rejects(spark, path, schema, sep=";")
+    return found.select(F.col("file").rlike("/csv_rejects-[^/]+/part-[^/]+[.]csv$").alias("known_file"), "reason", "column", "value", "line")
+
 
+@register("csv_malformed_dropped", "A1 A3 (malformed records)", sql=f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS o_custkey FROM orders WHERE {_REASON} IS NULL
+""")
+def csv_malformed_dropped(spark, d):
+    """The same records as a table without the malformed ones; cells of another type are null."""
+    orders = Tables(spark, d).orders
+    path = scratch_path(spark, "csv_malformed")
+    orders.select(F.expr(_LINE).alias("o_orderkey;o_custkey;o_number")).write.options(header=True, sep="\x01", quote="").csv(path)
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType())])
+    return read_delimited(spark, path, schema, sep=";", malformed="drop")
 
-@register("csv_inferred", "A2", sql="SELECT * FROM nation")
+
+@register("csv_inferred", "A2", sql="""
+SELECT o_orderkey::INTEGER AS o_orderkey, o_custkey::INTEGER AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       o_orderkey + 10000000000 AS big, o_orderkey % 2 = 0 AS even,
+       'o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string, big bigint, even boolean' AS types
+FROM orders
+""")
 def csv_inferred(spark, d):
-    nation = Tables(spark, d).nation
+    """The inferred types themselves: int, bigint, double, timestamp, boolean and text, spelt out in a column; the instant alone is shown without a zone."""
+    orders = Tables(spark, d).orders
     path = scratch_path(spark, "csv_inferred")
-    nation.write.option("header", True).csv(path)
+    day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate")
+    orders.select(*[day if c == "o_orderdate" else F.col(c) for c in orders.columns], (F.col("o_orderkey") + 10_000_000_000).alias("big"),
+                  (F.col("o_orderkey") % 2 == 0).alias("even")).write.option("header", True).csv(path)
     back = read_delimited(spark, path, sep=",", infer=True)
-    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in nation.schema.fields])
+    types = ", ".join(f"{name} {kind}" for name, kind in back.dtypes)
+    return back.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).withColumn("types", F.lit(types))
 
 
 @register("csv_export", "A8", sql="SELECT * FROM supplier")
@@ -104,6 +137,20 @@ def csv_stream_staging(spark, d):
     return staged
 
 
+@register("csv_stream_layouts", "A7 A1 A3 (incremental)", sql="SELECT * FROM orders")
+def csv_stream_layouts(spark, d):
+    """The layouts of ``csv_layouts`` as arrivals of a stream: reversed columns first, then an extra column in front."""
+    from skyledger.streaming.staging import stage_stream
+    orders = Tables(spark, d).orders
+    root = scratch_path(spark, "csv_stream_layouts")
+    even = F.col("o_orderkey") % 2 == 0
+    text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in orders.dtypes]
+    for part in (orders.where(even).select(*reversed(text)), orders.where(~even).select(F.lit("x;\"y\"").alias("User ID"), *text, F.lit(6.1).alias("Lmg"))):
+        part.write.options(header=True, sep=";", escape='"').mode("append").csv(f"{root}/incoming")
+        staged = stage_stream(spark, f"{root}/incoming", f"{root}/staged", orders.schema, f"{root}/_checkpoint")
+    return staged
+
+
 def _gazetteer_sql():
     from skyledger.plans.sql_parts import ADDRESSES
     return f"WITH {ADDRESSES.strip()}\nSELECT * FROM gazetteer"
