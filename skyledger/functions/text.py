@@ -1,9 +1,10 @@
 """Text column functions: accents, title case, whitespace, pieces, defaults.
 
-Everything is a native expression (``translate``, ``replace``, ``initcap``,
+Everything is a native expression (``translate``, ``initcap``,
 ``regexp_replace``, ``split``/``get``) so no Python worker sits in the plan;
 the reference's row-wise accent UDF is re-expressed as one ``translate``
-whose letter table is generated from Unicode decompositions.
+whose letter table is generated from Unicode decompositions, and a look-up per
+distinct character for what it leaves.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from skyledger.functions._util import as_col
+from skyledger.functions.romanise import is_ascii, romanise
 
 # ---- accent stripping (I1) -------------------------------------------------------
 # Rule: every code point in these blocks whose canonical decomposition is one
@@ -45,52 +47,9 @@ def _accent_table() -> tuple[str, str]:
 
 ACCENT_SRC, ACCENT_DST = _accent_table()
 
-# Transliteration of letters that have no decomposition, as the
-# accent-removal library used by the reference spells them.
-TRANSLITERATION = {
-    "ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE",
-    "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L",
-    "þ": "th", "Þ": "Th", "ð": "d", "Ð": "D", "ı": "i", "ŋ": "ng", "Ŋ": "NG",
-    "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ĳ": "ij", "Ĳ": "IJ",
-    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e",
-    "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "ks",
-    "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u",
-    "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
-    "Α": "A", "Β": "B", "Γ": "G", "Δ": "D", "Ε": "E", "Ζ": "Z", "Η": "E",
-    "Θ": "Th", "Ι": "I", "Κ": "K", "Λ": "L", "Μ": "M", "Ν": "N", "Ξ": "Ks",
-    "Ο": "O", "Π": "P", "Ρ": "R", "Σ": "S", "Τ": "T", "Υ": "U",
-    "Φ": "Ph", "Χ": "Kh", "Ψ": "Ps", "Ω": "O",
-}
-
-# Cyrillic letters by the romanisation of library catalogues (ALA-LC) without ligature ties and
-# diacritics, and punctuation by its ASCII form.
-TRANSLITERATION |= {
-    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "к": "k", "л": "l",
-    "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts",
-    "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "\"", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia",
-    "А": "A", "Б": "B", "В": "V", "Г": "G", "Д": "D", "Е": "E", "Ж": "Zh", "З": "Z", "И": "I", "К": "K", "Л": "L",
-    "М": "M", "Н": "N", "О": "O", "П": "P", "Р": "R", "С": "S", "Т": "T", "У": "U", "Ф": "F", "Х": "Kh", "Ц": "Ts",
-    "Ч": "Ch", "Ш": "Sh", "Щ": "Shch", "Ъ": "\"", "Ы": "Y", "Ь": "'", "Э": "E", "Ю": "Iu", "Я": "Ia",
-    "і": "i", "І": "I", "є": "ie", "Є": "Ie", "ґ": "g", "Ґ": "G", "ђ": "dj", "Ђ": "Dj", "ј": "j", "Ј": "J",
-    "љ": "lj", "Љ": "Lj", "њ": "nj", "Њ": "Nj", "ћ": "c", "Ћ": "C", "џ": "dz", "Џ": "Dz",
-    "‘": "'", "’": "'", "‚": ",", "“": "\"", "”": "\"", "„": ",,", "–": "-", "—": "--", "‐": "-", "‑": "-",
-    "…": "...", "«": "<<", "»": ">>", "‹": "<", "›": ">", "•": "*", "\u00a0": " ",
-}
-
 # Fixed value: a "valid" place name is letters (ASCII or Latin-1), spaces and hyphens.
 VALID_PLACE_PATTERN = r"^[A-Za-zÀ-ÿ\s\-]+$"
 
-_SINGLE_SRC = "".join(k for k, v in TRANSLITERATION.items() if len(v) == 1)
-_SINGLE_DST = "".join(v for v in TRANSLITERATION.values() if len(v) == 1)
-_MULTI = [(k, v) for k, v in TRANSLITERATION.items() if len(v) > 1]
-
-
-def is_ascii(text) -> Column:
-    """True when every character is ASCII: as many characters as bytes (no allocation)."""
-    c = as_col(text)
-    return F.length(c) == F.octet_length(c)
-
-
 def strip_accents(text) -> Column:
     """Base letter of every decomposable letter; combining marks removed.
 
@@ -101,12 +60,8 @@ def strip_accents(text) -> Column:
 
 
 def transliterate(text) -> Column:
-    """Accent removal plus the fixed letter table (ß -> ss, ø -> o, Greek and Cyrillic -> Latin, typographic marks -> ASCII)."""
-    c = as_col(text)
-    t = F.translate(F.translate(c, ACCENT_SRC, ACCENT_DST), _SINGLE_SRC, _SINGLE_DST)
-    for k, v in _MULTI:
-        t = F.replace(t, F.lit(k), F.lit(v))
-    return F.when(is_ascii(c), c).otherwise(t)
+    """Latin letters without accents for every letter that has them (``functions/romanise.py``); ASCII text passes as it is."""
+    return romanise(text, ACCENT_SRC, ACCENT_DST)
 
 
 def title_words(text) -> Column:

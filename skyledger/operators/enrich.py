@@ -58,20 +58,17 @@ def addresses_to_locations(df: DataFrame, found=None) -> DataFrame:
     With ``found`` (a boolean column), rows where it is not true get
     ``Unknown`` everywhere, as a coordinate the lookup could not place.
     """
-    def part(*cols):
-        v = normalize_text_trim(first_present(*cols))
-        return v if found is None else F.when(found, v).otherwise(F.lit("Unknown"))
+    parts = {"City": ("city", "town"), "Village_or_Hamlet": ("village", "hamlet"), "County": ("county",), "State": ("state",), "Country": ("country",)}
+    # one expression cleans all parts, so the letter map stands in the plan once
+    cleaned = F.transform(F.array(*[first_present(*cols) for cols in parts.values()]), normalize_text_trim)
+    known = F.lit(True) if found is None else found
+
+    def shown(value):
+        return value if found is None else F.when(found, value).otherwise(F.lit("Unknown"))
 
     code = F.upper(F.coalesce(F.col("country_code"), F.lit("")))
-    return df.select(
-        "Latitude", "Longitude",
-        part("city", "town").alias("City"),
-        part("village", "hamlet").alias("Village_or_Hamlet"),
-        part("county").alias("County"),
-        part("state").alias("State"),
-        part("country").alias("Country"),
-        (code if found is None else F.when(found, code).otherwise(F.lit("Unknown"))).alias("CountryCode"),
-    )
+    return df.withColumn("__parts", F.when(known, cleaned)).select(
+        "Latitude", "Longitude", *[shown(F.get("__parts", i)).alias(name) for i, name in enumerate(parts)], shown(code).alias("CountryCode"))
 
 
 def _session_hours(sessions: DataFrame, ts_col: str) -> DataFrame:

@@ -70,6 +70,46 @@ def test_transliterate(spark, value, expected):
     assert one(spark, tx.transliterate, value) == expected
 
 
+#: Hand-written: place and person names of other scripts.
+SCRIPTS = [("북한산 서울 안녕", "bughansan seoul annyeong"), ("北京 上海市", "Bei Jing  Shang Hai Shi "), ("とうきょう カメラ ふじ", "toukiyou kamera fuji"),
+           ("नमस्ते दिल्ली", "namaste dilli"), ("ঢাকা", "dhaka"), ("தமிழ்", "tamil"), ("ગુજરાત", "gujarata"), ("తెలుగు", "telugu"), ("ಕನ್ನಡ", "kannada"), ("ਪੰਜਾਬ", "pamjaba"),
+           ("السلام", "alslam"), ("مكتب", "mktb"), ("שלום", "slwm"), ("თბილისი", "tbilisi"), ("Հայաստան", "Hayastan"), ("กรุงเทพ", "krungethph"), ("አዲስ", "adis"),
+           ("Ελλάδα Θήρα", "Ellada Thera"), ("Щукин Юрий", "Shchukin Iurii"), ("ＡＢＣ１", "ABC1"), ("№5 ½", "No5  1/2"), ("😀 ok", "😀 ok"), ("Łódź Zürich Groß", "Lodz Zurich Gross")]
+
+
+@pytest.mark.parametrize("value,expected", SCRIPTS)
+def test_scripts(spark, value, expected):
+    assert one(spark, tx.transliterate, value) == expected
+
+
+def test_names_of_other_scripts_are_cleaned(spark):
+    assert one(spark, tx.normalize_text_trim, " 北京  ДОМ ") == "Bei Jing Dom"
+    assert one(spark, tx.normalize_name, "서울 ÉCOLE") == "Seoul Ecole"
+
+
+def test_map_is_rule_built_and_ascii(spark):
+    from skyledger.functions import romanise
+    known = romanise.romanisations()
+    assert len(known) > 24_000 and all(v.replace("\ue001", "").isascii() for v in known.values())
+    assert all(known[k] == v for k, v in romanise.TRANSLITERATION.items())
+    texts = ["".join(chr(c) for c in range(lo, lo + 64)) for lo in (0x400, 0x5d0, 0x620, 0x10d0, 0x3041, 0x4e00, 0x9f00)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.o for r in df.select("i", tx.transliterate("t").alias("o")).collect()}
+    accents = dict(zip(tx.ACCENT_SRC, tx.ACCENT_DST + " " * (len(tx.ACCENT_SRC) - len(tx.ACCENT_DST))))
+    for i, t in enumerate(texts):
+        t = "".join(accents.get(c, c) for c in t)
+        assert got[i] == "".join(known.get(c, c) for c in t)
+
+
+def test_hangul_by_its_letters(spark):
+    import unicodedata
+    from skyledger.functions.romanise import HANGUL
+    assert [len(x) for x in HANGUL] == [19, 21, 28]
+    for c in "가힣한글뷁없읽":
+        i, v, f = ([ord(x) for x in unicodedata.normalize("NFD", c)] + [0x11A7])[:3]
+        assert one(spark, tx.transliterate, c) == HANGUL[0][i - 0x1100] + HANGUL[1][v - 0x1161] + HANGUL[2][f - 0x11A7]
+
+
 @pytest.mark.parametrize("value,expected", [
     ("JOSÉ  da-silva", "Jose Da-silva"), ("o'neil\tsmith", "O'neil smith"), (None, None)])  # title case runs before the tab is collapsed
 def test_normalize_name(spark, value, expected):
