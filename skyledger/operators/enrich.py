@@ -60,7 +60,7 @@ def addresses_to_locations(df: DataFrame, found=None) -> DataFrame:
     """
     parts = {"City": ("city", "town"), "Village_or_Hamlet": ("village", "hamlet"), "County": ("county",), "State": ("state",), "Country": ("country",)}
     # one expression cleans all parts, so the letter map stands in the plan once
-    cleaned = F.transform(F.array(*[first_present(*cols) for cols in parts.values()]), normalize_text_trim)
+    cleaned = F.transform(F.array(*[first_present(*cols) for cols in parts.values()]), lambda v: normalize_text_trim(v))
     known = F.lit(True) if found is None else found
 
     def shown(value):
