@@ -8,11 +8,12 @@ values make buckets; at similarity 0.8 a pair shares none with a chance of 3 in
 Documents with the same set are one vertex.  A bucket's pairs are not all made:
 
 * round 1 verifies each member against the bucket's smallest one, and joins what is similar;
-* round 2 does so in crowded buckets (over ``CROWD`` members) that still hold several components, against the most
-  central member, the one with the smallest share of rare shingles (in at most ``CROWD`` documents of such buckets);
+* round 2 takes crowded buckets (over ``CROWD`` members) that still hold several components.  What is outside a bucket's largest
+  component is verified against the most central document of that component, the one with the smallest share of rare
+  shingles (in at most ``CROWD`` of the documents concerned);
 * round 3 verifies pairs of different components: all of a bucket up to ``CROWD`` members; of crowded ones those that
   share a rare shingle, and those that could be similar without: of sets with n and m elements, r and q of them
-  rare, at most min(n - r, m - q) are then shared.
+  rare, at most min(n - r, m - q) are then shared, so most of what is outside a group meets no member of it at all.
 
 Pairs within one component need no link of their own, and all others that share a bucket are
 verified on their full sets or cannot be similar, so the components are those of all pairs.  A huge group of near
@@ -136,11 +137,16 @@ def possible(n: str, u: str, m: str, v: str) -> str:
     return f"100 * {shared} >= {PERCENT} * ({n} + {m} - {shared})"
 
 
-def mixed_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
-    """The rows of ``members`` (bucket, id, ...) with their component as ``label``, in buckets that hold several components."""
-    placed = members.join(label, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-    several = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    return placed.join(several, "bucket", "left_semi")
+def labelled(members: DataFrame, label: DataFrame, name: str = "label") -> DataFrame:
+    """``members`` (id, ...) with their component: an id without links is its own."""
+    return members.join(label, "id", "left").select(*members.columns, F.coalesce("component", "id").alias(name))
+
+
+def mixed_buckets(placed: DataFrame) -> DataFrame:
+    """Of members (bucket, id, n, label): the buckets with several components: bucket, size, main (the largest component), least_n."""
+    parts = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("some"), F.min("n").alias("n"))
+    every = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("some").alias("size"), F.max_by("label", F.struct("some", "label")).alias("main"), F.min("n").alias("least_n"))
+    return every.where("parts > 1").drop("parts")
 
 
 def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
@@ -148,40 +154,51 @@ def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
     marked = staged(signatures(docs, width), "near-signatures")
     named = marked.where("doc_id IS NOT NULL AND key IS NOT NULL")
     vertices = named.groupBy("key").agg(F.min("doc_id").alias("id"))
-    one = named.join(vertices, (named["key"] == vertices["key"]) & (named["doc_id"] == vertices["id"])).select("id", F.explode("bands").alias("bucket"))
+    one = named.join(vertices, (named["key"] == vertices["key"]) & (named["doc_id"] == vertices["id"])) \
+        .select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     buckets = one.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").drop("last")
     members = staged(one.join(buckets, "bucket").distinct(), "near-members")
     sets = staged(shingle_table(docs, members.select("id").distinct(), width), "near-sets")
 
+    # round 1: each member and its bucket's smallest; and the sets of rows that share a doc_id
     tried = members.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    # a document whose rows have several sets links these
-    own = named.join(vertices, "key").where("doc_id <> id").groupBy("id", "doc_id").agg(F.count(F.lit(1)).alias("n")).select(F.col("id").alias("a"), F.col("doc_id").alias("b")) \
-        .join(vertices.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b")
+    several = named.groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("doc_id")
+    own = named.join(several, "doc_id", "left_semi").join(vertices, "key").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = staged(similar(tried, sets).unionByName(own), "near-links")
     label = components(links)
 
-    mixed = staged(mixed_buckets(members.select("bucket", "id"), label), "near-mixed")
-    crowded = mixed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(f"size > {CROWD}").select("bucket")
-    many = mixed.join(crowded, "bucket", "left_semi").drop("label")
-    postings, facts = rare_shingles(sets.join(many.select("id").distinct(), "id", "left_semi"))
-    many = staged(many.join(facts, "id"), "near-crowded")
-
-    centre = many.groupBy("bucket").agg(F.min_by("id", F.expr("r / n")).alias("c"))
-    second = many.join(centre, "bucket").where("id <> c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+    placed = staged(labelled(members.select("bucket", "id", "n"), label), "near-placed")
+    mixed = staged(mixed_buckets(placed), "near-mixed")
+    few = placed.join(mixed.where(f"size <= {CROWD}").select("bucket"), "bucket", "left_semi").select("bucket", "id")
+    # of a crowded bucket only the members outside its main component are carried on
+    crowded = mixed.where(f"size > {CROWD}").withColumnRenamed("bucket", "of")
+    strays = staged(placed.join(crowded, F.expr("bucket = of AND label <> main")).select("bucket", "id", "n", "main", "least_n"), "near-strays")
+    mains = strays.select(F.col("main").alias("component")).distinct()
+    concerned = labelled(members.select("id").distinct(), label, "component").join(mains, "component", "left_semi").select("id") \
+        .unionByName(strays.select("id")).distinct()
+    postings, facts = rare_shingles(sets.join(concerned, "id", "left_semi"))
+    facts = staged(facts, "near-facts")
+
+    # round 2: they and the most central document of that component, the one with the smallest share of rare shingles
+    centre = labelled(facts, label, "main").groupBy("main").agg(F.min_by("id", F.struct(F.expr("r / n"), F.col("id"))).alias("c"))
+    second = strays.join(centre, "main").where("id <> c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
     second = staged(second.join(tried, ["a", "b"], "left_anti"), "near-second")
     links = staged(links.unionByName(similar(second, sets)), "near-links")
     label = components(links)
 
-    few = mixed_buckets(mixed.drop("label").join(crowded, "bucket", "left_anti"), label)
+    # round 3: what is still apart
+    few = labelled(few, label)
     direct = crossed(few, "label <> x_label")
-    many = mixed_buckets(many, label)
-    least = many.groupBy("bucket").agg(F.min("n").alias("least_n"))
     # without a shared rare shingle, no partner of the bucket's sizes could be similar enough to the others
-    many = many.join(least, "bucket").where(f"100 * (n - r) >= {PERCENT} * greatest(n, least_n + r)").drop("least_n")
-    direct = direct.unionByName(crossed(many, f"label <> x_label AND {possible('n', 'r', 'x_n', 'x_r')}"))
-    held = postings.join(label, "id", "left").withColumn("label", F.coalesce("component", "id"))
-    other = held.select("hash", F.col("id").alias("x"), F.col("label").alias("x_label"))
-    shared = held.join(other, "hash").where("label <> x_label AND x < id").select(F.col("x").alias("a"), F.col("id").alias("b"))
+    open_ = labelled(strays.drop("main").join(facts.drop("n"), "id"), label).where(f"100 * (n - r) >= {PERCENT} * greatest(n, least_n + r)")
+    open_ = staged(open_.select("bucket", "id", "n", "r", "label"), "near-open")
+    rest = labelled(members.select("bucket", "id", "n").join(facts.drop("n"), "id"), label)
+    rest = rest.withColumnsRenamed({c: f"x_{c}" for c in ("id", "n", "r", "label")}).withColumnRenamed("bucket", "of")
+    met = open_.join(rest, F.expr(f"bucket = of AND label <> x_label AND {possible('n', 'r', 'x_n', 'x_r')}"))
+    direct = direct.unionByName(met.select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")))
+    held = labelled(postings, label)
+    other = held.select(F.col("hash").alias("of"), F.col("id").alias("x"), F.col("label").alias("x_label"))
+    shared = held.join(other, F.expr("hash = of AND label <> x_label AND x < id")).select(F.col("x").alias("a"), F.col("id").alias("b"))
     fresh = direct.unionByName(shared).distinct().join(tried.unionByName(second), ["a", "b"], "left_anti")
     more = staged(similar(fresh, sets), "near-more")
     label = components(links.unionByName(more))
@@ -195,8 +212,9 @@ def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
 
 def keep_first(docs: DataFrame, width: int = 5) -> DataFrame:
     """The documents that stay, one of each group, with their columns."""
-    gone = near_duplicates(docs.select("doc_id", "text"), width).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs.select("doc_id", "text"), width).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

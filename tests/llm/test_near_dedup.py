@@ -72,6 +72,42 @@ def test_crowded_buckets_give_the_same(spark, monkeypatch):
     assert got == brute(rows, 2)
 
 
+@pytest.mark.parametrize("crowd,seed,words", [(2, 6, 30), (4, 7, 80), (8, 8, 25)])
+def test_strays_of_crowded_buckets(spark, monkeypatch, crowd, seed, words):
+    """Chains of edits: documents far from a group's centre, linked through others or not at all."""
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    rnd, rows = random.Random(seed), []
+    for _ in range(3):
+        text = [f"v{rnd.randrange(300)}" for _ in range(words)]
+        for step in range(45):
+            if step % 15 == 0:
+                text = list(text)
+                for _ in range(words // 6):
+                    text[rnd.randrange(words)] = f"u{rnd.randrange(300)}"
+            edited = list(text)
+            for _ in range(rnd.randrange(4)):
+                edited[rnd.randrange(words)] = rnd.choice(("common", f"x{rnd.randrange(1000)}"))
+            rows.append(" ".join(edited))
+    rnd.shuffle(rows)
+    rows = list(enumerate(rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(frame(spark, rows), 2).collect()}
+    assert got == brute(rows, 2)
+
+
+def test_rows_that_share_a_doc_id_are_one_document(spark):
+    a, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "acd")
+    rows = [(1, a), (2, c), (5, a), (5, c), (7, d), (8, d), (9, None), (9, d)]
+    got = sorted((r.doc_id, r.component_id) for r in near_duplicates(frame(spark, rows), 2).collect())
+    assert got == [(1, 1), (2, 1), (5, 1), (5, 1), (7, 7), (8, 7), (9, 7), (9, 9)]
+
+
+def test_columns_with_any_name_stay(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, "p", 5, "q"), (2, text, "r", 6, "s")], "doc_id long, text string, __gone string, id long, row string")
+    out = keep_first(docs)
+    assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(1, text, "p", 5, "q")]
+
+
 def test_null_ids_repeated_rows_and_columns(spark):
     rows = [(None, "a b c"), (1, "a b c"), (1, "a b c"), (2, "a b c"), (None, None), (3, "other text here")]
     docs = frame(spark, rows)
