@@ -190,11 +190,19 @@ def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
     few = labelled(few, label)
     direct = crossed(few, "label <> x_label")
     # without a shared rare shingle, no partner of the bucket's sizes could be similar enough to the others
-    open_ = labelled(strays.drop("main").join(facts.drop("n"), "id"), label).where(f"100 * (n - r) >= {PERCENT} * greatest(n, least_n + r)")
+    # (what has joined the main component since is met from the other document's side)
+    now = label.select(F.col("id").alias("main"), F.col("component").alias("main_now"))
+    open_ = labelled(strays.join(facts.drop("n"), "id"), label).where(f"100 * (n - r) >= {PERCENT} * greatest(n, least_n + r)")
+    open_ = open_.join(now, "main", "left").where("label <> coalesce(main_now, main)")
     open_ = staged(open_.select("bucket", "id", "n", "r", "label"), "near-open")
-    rest = labelled(members.select("bucket", "id", "n").join(facts.drop("n"), "id"), label)
-    rest = rest.withColumnsRenamed({c: f"x_{c}" for c in ("id", "n", "r", "label")}).withColumnRenamed("bucket", "of")
-    met = open_.join(rest, F.expr(f"bucket = of AND label <> x_label AND {possible('n', 'r', 'x_n', 'x_r')}"))
+    rest = members.select("bucket", "id", "n").join(open_.select("bucket").distinct(), "bucket", "left_semi")
+    rest = staged(labelled(rest.join(facts.drop("n"), "id"), label), "near-rest")
+    # a pair is made in the first bucket that it shares; a document is in BANDS buckets at most
+    mine = open_.groupBy("id").agg(F.collect_list("bucket").alias("mine"))
+    theirs = rest.groupBy("id").agg(F.collect_list("bucket").alias("theirs"))
+    rest = rest.join(theirs, "id").withColumnsRenamed({c: f"x_{c}" for c in ("id", "n", "r", "label")}).withColumnRenamed("bucket", "of")
+    met = open_.join(mine, "id").join(rest, F.expr(
+        f"bucket = of AND label <> x_label AND {possible('n', 'r', 'x_n', 'x_r')} AND bucket = array_min(array_intersect(mine, theirs))"))
     direct = direct.unionByName(met.select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")))
     held = labelled(postings, label)
     other = held.select(F.col("hash").alias("of"), F.col("id").alias("x"), F.col("label").alias("x_label"))
