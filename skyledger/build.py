@@ -7,7 +7,7 @@ and gives the fact lookups a fixed table to size-check.
 
     python -m skyledger.build --sessions DIR --rates DIR --magnitudes DIR \\
         --weather DIR --weather-codes CSV --showers CSV --locations CSV \\
-        [--addresses CSV] --out DIR [--csv-out DIR]
+        [--addresses CSV] --out DIR [--csv-out DIR] [--keys DIR]
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 import os
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +25,13 @@ from skyledger.operators.dims import (build_dim_date, build_dim_junk, build_dim_
 from skyledger.operators.enrich import enrich_locations
 from skyledger.operators.facts import (Warehouse, build_fact_magnitude, build_fact_observations,
                                        build_fact_weather, session_keys)
+from skyledger.operators.key_map import NATURAL, with_stable_keys
 from skyledger.operators.olap import (q1_meteors_in_month, q2_meteors_by_precipitation,
                                       q3_magnitude_mean_by_shower, q4_meteors_by_weather_type,
                                       q5_temperature_by_month)
 from skyledger.session import configure_for_scale, drop_scratch, ensure_checkpoint_dir, scratch_path
 from skyledger.sources import readers
-from skyledger.sources.sinks import export_csv, write_parquet
+from skyledger.sources.sinks import export_csv, replace_parquet, write_parquet
 
 DIMENSIONS = ["dim_local", "dim_date", "dim_time", "dim_user", "dim_shower", "dim_junk", "dim_weather_code"]
 FACT_IDS = {"fact_observations": ["id_observation"], "fact_magnitude": ["id_magnitude"], "fact_weather": ["fk_local"]}
@@ -88,18 +90,65 @@ def _year_of(key: str):
     return F.when(F.col(key) >= 0, F.floor(F.col(key) / 10000).cast("int"))
 
 
-def write_warehouse(spark: SparkSession, src: RawSources, out_dir: str) -> Warehouse:
-    """Build and write all ten tables; facts partitioned by year.  Returns the tables read back."""
+def write_warehouse(spark: SparkSession, src: RawSources, out_dir: str, key_dir: str | None = None) -> Warehouse:
+    """Build and write all ten tables; facts partitioned by year.  Returns the tables read back.
+
+    With ``key_dir`` the surrogate keys come from the key maps there (``operators/key_map.py``), which take up new members:
+    keys given by an earlier run stay.
+    """
     dims = build_dimensions(src)
     for name in DIMENSIONS:
-        write_parquet(getattr(dims, name), os.path.join(out_dir, name))
+        write_parquet(_keyed(getattr(dims, name), name, key_dir), os.path.join(out_dir, name))
     wh = load_warehouse(spark, out_dir, facts=False)
     keys = scratch_path(spark, "session-keys")
     wh = build_facts(src, wh, spark.read.parquet(write_parquet(session_keys(src.sessions, wh), keys)))
+    _write_facts(wh, out_dir, only_touched=False)
+    drop_scratch(spark, keys)
+    return load_warehouse(spark, out_dir)
+
+
+def _keyed(dim: DataFrame, name: str, key_dir: str | None) -> DataFrame:
+    return with_stable_keys(dim, *NATURAL[name], os.path.join(key_dir, name)) if key_dir and name in NATURAL else dim
+
+
+def _write_facts(wh: Warehouse, out_dir: str, only_touched: bool) -> None:
     for name, key in FACTS.items():
         write_parquet(getattr(wh, name).withColumn("year", _year_of(key)), os.path.join(out_dir, name),
-                      partition_by=["year"], sort_within=[key, *FACT_IDS.get(name, [])])
-    drop_scratch(spark, keys)
+                      partition_by=["year"], sort_within=[key, *FACT_IDS.get(name, [])], only_touched=only_touched)
+
+
+def touched_years(*arrivals: DataFrame) -> list[int]:
+    """The years of the start dates of new rows (a list of calendar years, so small)."""
+    years = [a.select(F.year("Start Date").alias("year")).where("year IS NOT NULL").distinct() for a in arrivals]
+    return sorted(r.year for r in reduce(DataFrame.union, years).distinct().collect())
+
+
+def refresh_warehouse(spark: SparkSession, src: RawSources, out_dir: str, key_dir: str, years: list[int]) -> Warehouse:
+    """Bring a warehouse written with ``key_dir`` up to date where ``years`` have new or changed rows.
+
+    ``src`` holds all rows.  Dimensions are built anew with the keys of the maps, so facts of other years keep pointing at
+    the same members; the facts of ``years`` alone are built and replace those partitions.  A rate, a magnitude or a
+    session belongs to the year of its own start date.  Each table is put in place only when it is complete, dimensions first:
+    a refresh that fails leaves facts that are valid with either.
+    """
+    dims = build_dimensions(src)
+    for name in DIMENSIONS:
+        replace_parquet(_keyed(getattr(dims, name), name, key_dir), os.path.join(out_dir, name))
+
+    def of_years(df: DataFrame) -> DataFrame:
+        return df.where(F.year("Start Date").isin(years))
+
+    wh = load_warehouse(spark, out_dir, facts=False)
+    keys, own = scratch_path(spark, "session-keys"), scratch_path(spark, "session-keys")
+    # a rate's session may have begun in another year; the weather fact is one of sessions
+    header = spark.read.parquet(write_parquet(session_keys(src.sessions, wh), keys))
+    header_of_years = spark.read.parquet(write_parquet(header.where(F.floor(F.col("fk_date") / 10000).isin(years)), own))
+    wh.fact_observations = build_fact_observations(of_years(src.rates), src.sessions, wh, header)
+    wh.fact_magnitude = build_fact_magnitude(of_years(src.magnitudes), src.sessions, wh, header)
+    wh.fact_weather = build_fact_weather(src.weather, src.sessions, wh, header_of_years)
+    _write_facts(wh, out_dir, only_touched=True)
+    for path in (keys, own):
+        drop_scratch(spark, path)
     return load_warehouse(spark, out_dir)
 
 
@@ -167,12 +216,13 @@ def main(argv=None):
         p.add_argument(f"--{a}", required=True)
     p.add_argument("--addresses")
     p.add_argument("--csv-out")
+    p.add_argument("--keys", help="folder of key maps: surrogate keys stay as earlier runs gave them")
     args = p.parse_args(argv)
     spark = configure_for_scale(SparkSession.builder.appName("skyledger-build").getOrCreate())
     ensure_checkpoint_dir(spark)
     src = read_sources(spark, args.sessions, args.rates, args.magnitudes, args.weather, args.weather_codes,
                        args.showers, args.locations, args.addresses)
-    wh = write_warehouse(spark, src, args.out)
+    wh = write_warehouse(spark, src, args.out, args.keys)
     if args.csv_out:
         export_warehouse_csv(wh, args.csv_out)
     for name, df in questions(wh).items():

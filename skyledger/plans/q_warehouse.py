@@ -272,3 +272,38 @@ def fact_hourly_misses(spark, d):
         dim_weather_code=build_dim_weather_code(roles.weather_codes(t)),
     )
     return build_fact_weather(weather.where(F.col("`Session ID`") % 4 != 0), sessions, _cut(wh))
+
+
+# ---- keys and years that survive the next run ---------------------------------------
+
+@register("stable_keys", "E1 E2 K5 (next run)", sql="""
+WITH first AS (SELECT c_mktsegment, c_custkey, row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS k FROM customer WHERE c_custkey % 3 = 1),
+rest AS (SELECT c_mktsegment, c_custkey, (SELECT count(*) FROM first) + row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS k
+         FROM customer WHERE c_custkey % 3 <> 1)
+SELECT c_custkey, k AS first_run, k AS second_run, k AS third_run FROM first
+UNION ALL SELECT c_custkey, NULL, k, k FROM rest
+""")
+def stable_keys(spark, d):
+    """A third of the members first, then all, then all again: keys once given stay."""
+    from skyledger.operators.key_map import grow_key_map
+    c = Tables(spark, d).customer.select("c_mktsegment", "c_custkey")
+    path, order = scratch_path(spark, "key-map"), ["c_mktsegment", "c_custkey"]
+    first = grow_key_map(c.where("c_custkey % 3 = 1"), order, "k", path).select("c_custkey", F.col("k").alias("first_run"))
+    second = grow_key_map(c, order, "k", path).select("c_custkey", F.col("k").alias("second_run"))
+    third = grow_key_map(c, order, "k", path).select("c_custkey", F.col("k").alias("third_run"))
+    return second.join(first, "c_custkey", "left").join(third, "c_custkey").select("c_custkey", "first_run", "second_run", "third_run")
+
+
+@register("refreshed_years", "A6 K9-K11 (touched years)", sql="""
+SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year
+FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0
+""")
+def refreshed_years(spark, d):
+    """A fact by year, then a load of one year with changed and fewer rows: that year is replaced, the others stay."""
+    from skyledger.sources.sinks import write_parquet
+    orders = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    path = scratch_path(spark, "refreshed-years")
+    write_parquet(orders, path, partition_by=["year"], sort_within=["o_orderkey"])
+    load = orders.where("year = 1997 AND o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    write_parquet(load, path, partition_by=["year"], sort_within=["o_orderkey"], only_touched=True)
+    return spark.read.parquet(path)

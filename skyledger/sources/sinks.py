@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -9,9 +11,12 @@ from skyledger.sources.readers import read_delimited
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  sort_within: list[str] | None = None) -> str:
+                  sort_within: list[str] | None = None, only_touched: bool = False) -> str:
     """Overwrite ``path`` with Parquet.
 
+    ``only_touched`` replaces the partitions that ``df`` has rows in and leaves the others: the new files are staged beside the
+    table and moved in when the job commits, so a load that fails leaves the table as it was.
+
     Facts go out ``partitionBy("year")`` so year slices prune whole folders.  With ``sort_within`` too, rows are
     first dealt out by ranges of both, so the number of files follows the data (a task holds a year or two, a hot year spreads over many
     tasks, which hashing by year would send to one) and each file covers a narrow range of the sort columns.
@@ -22,13 +27,29 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
         out = out.repartitionByRange(*order)
     if order:
         out = out.sortWithinPartitions(*order)
-    w = out.write.mode("overwrite")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_touched else "static")
+    if only_touched and not partition_by:
+        raise ValueError("only a partitioned table can be replaced in part")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
+def replace_parquet(df: DataFrame, path: str) -> str:
+    """Replace the table at ``path``, from which ``df`` may read: written beside it first, then put in its place."""
+    spark = df.sparkSession
+    fresh = f"{path}-next-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(fresh)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old, new = path_of(path), path_of(fresh)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {fresh} to {path}")
+    return path
+
+
 def stage_csv_to_parquet(spark: SparkSession, src: str, out: str, schema: StructType,
                          sep: str = ";", partition_by: list[str] | None = None) -> str:
     """Raw delimited export -> typed Parquet, so later jobs scan it once."""
