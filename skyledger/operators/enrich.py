@@ -18,6 +18,7 @@ from skyledger.functions.calendar import parse_timestamp
 from skyledger.functions.text import first_present, normalize_text_trim
 from skyledger.operators.dims import unique_gazetteer
 from skyledger.operators.lookup import maybe_broadcast
+from skyledger.operators.nearby import nearest_place
 
 COORDS = ["Latitude", "Longitude"]
 
@@ -30,13 +31,14 @@ def new_coordinates(sessions: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def enrich_locations(sessions: DataFrame, known: DataFrame, addresses: DataFrame,
-                     out_path: str | None = None) -> DataFrame:
+                     out_path: str | None = None, near_km: float | None = None) -> DataFrame:
     """Known gazetteer plus one cleaned row per new coordinate.
 
     ``addresses`` answers the reverse lookup: Latitude, Longitude and the
     address parts city, town, village, hamlet, county, state, country,
     country_code (any may be null).  Only exact coordinates match (S17).  A
-    coordinate with no address row gets ``Unknown`` everywhere.  The result
+    coordinate with no address row gets ``Unknown`` everywhere, or with
+    ``near_km`` the names of the nearest known place within that distance.  The result
     is sorted by country, state, city; with ``out_path`` it is written as a
     new snapshot folder.
     """
@@ -44,6 +46,8 @@ def enrich_locations(sessions: DataFrame, known: DataFrame, addresses: DataFrame
     addr = unique_gazetteer(addresses).withColumn("__found", F.lit(True))
     j = new.join(maybe_broadcast(addr), COORDS, "left")
     filled = addresses_to_locations(j, found=F.col("__found"))
+    if near_km is not None:
+        filled = _named_by_nearest(filled, j.where("__found IS NULL").select(*COORDS), known, near_km)
     # coordinates break ties: a third of the places may be "Unknown", and equal sort keys
     # would all fall into one range partition
     out = known.select(*filled.columns).unionByName(filled).orderBy("Country", "State", "City", *COORDS)
@@ -52,6 +56,15 @@ def enrich_locations(sessions: DataFrame, known: DataFrame, addresses: DataFrame
     return out
 
 
+def _named_by_nearest(filled: DataFrame, unplaced: DataFrame, known: DataFrame, near_km: float) -> DataFrame:
+    """``filled`` with the names of the nearest known place where an unplaced coordinate has one within ``near_km``."""
+    names = [c for c in filled.columns if c not in COORDS]
+    there = unique_gazetteer(known.select(*filled.columns)).withColumnsRenamed({"Latitude": "near_latitude", "Longitude": "near_longitude", **{c: f"near_{c}" for c in names}})
+    near = nearest_place(unplaced, known, near_km).join(there, ["near_latitude", "near_longitude"])
+    out = filled.join(near, COORDS, "left")
+    return out.select(*COORDS, *[F.when(F.col("distance_km").isNotNull(), F.col(f"near_{c}")).otherwise(F.col(c)).alias(c) for c in names])
+
+
 def addresses_to_locations(df: DataFrame, found=None) -> DataFrame:
     """Address parts -> gazetteer columns: first present part, cleaned.
 

@@ -10,6 +10,7 @@ from skyledger.functions.geo import haversine_km
 from skyledger.functions.text import (VALID_PLACE_PATTERN, collapse_spaces, default_if_blank, first_present, normalize_name,
                                       normalize_text_trim, nth_piece, strip_accents, transliterate, valid_or_unknown, with_normalized)
 from skyledger.operators.lookup import maybe_broadcast
+from skyledger.operators.nearby import nearest_place
 from skyledger.plans.registry import register
 from skyledger.plans.tables import Tables
 
@@ -183,6 +184,27 @@ def haversine(spark, d):
     return j.select("n_nationkey", F.round(dist, 6).alias("distance_km"))
 
 
+_NEAR_KM = 400.0
+_POINT = "(c_custkey * 7919 % 18001) / 100.0 - 90 AS lat, (c_custkey * 104729 % 36001) / 100.0 - 180 AS lon"
+_PLACE = "(s_suppkey * 7907 % 18001) / 100.0 - 90 AS plat, (s_suppkey * 15485863 % 36001) / 100.0 - 180 AS plon"
+_CHORD = "least(1.0, pow(sin(radians(plat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(plat)) * pow(sin(radians(plon - lon) / 2), 2))"
+
+
+@register("nearest_place", "H14 K12 C4 (radius)", sql=f"""
+WITH points AS (SELECT DISTINCT CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon FROM (SELECT {_POINT} FROM customer)),
+places AS (SELECT DISTINCT CAST(plat AS DOUBLE) AS plat, CAST(plon AS DOUBLE) AS plon FROM (SELECT {_PLACE} FROM supplier)),
+pairs AS (SELECT *, 6371.0 * 2 * atan2(sqrt({_CHORD}), sqrt(1 - {_CHORD})) AS km FROM points, places)
+SELECT lat AS "Latitude", lon AS "Longitude", round(min(km), 6) AS distance_km FROM pairs GROUP BY lat, lon HAVING min(km) <= {_NEAR_KM}
+""")
+def nearest_place_q(spark, d):
+    """Points all over the globe and the nearest of other points within 400 km, against all pairs."""
+    t = Tables(spark, d)
+    def degrees(k, a, b):
+        return [((F.col(k) * m % n) / 100.0 - o).cast("double").alias(c) for m, n, o, c in ((a, 18001, 90, "Latitude"), (b, 36001, 180, "Longitude"))]
+    found = nearest_place(t.customer.select(*degrees("c_custkey", 7919, 104729)), t.supplier.select(*degrees("s_suppkey", 7907, 15485863)), _NEAR_KM)
+    return found.select("Latitude", "Longitude", F.round("distance_km", 6).alias("distance_km"))
+
+
 # ---- dirty input, made from the tables by rule --------------------------------------
 
 @register("casts_dirty", "B4 H12 (bad values)", sql="""
