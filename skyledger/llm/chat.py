@@ -16,6 +16,8 @@ give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,27 +64,35 @@ def collapsed(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def rendered(role: str, text: str) -> F.Column:
-    return F.concat(F.lit("<|"), F.col(role), F.lit("|>\n"), F.col(text), F.lit("\n<|end|>\n"))
+    """A turn in chat format.  Markers inside a role or text get a backslash (one more if they have some), so no two turns look alike."""
+    def escaped(c: F.Column) -> F.Column:
+        return F.regexp_replace(c, r"<(\\*)\|", r"<$1\\|")
+    name = F.regexp_replace(escaped(F.col(role)), r"\|(\\*)>", r"|$1\\>")
+    return F.concat(F.lit("<|"), name, F.lit("|>\n"), escaped(F.col(text)), F.lit("\n<|end|>\n"))
 
 
-def render_turns(turns: DataFrame) -> DataFrame:
-    """The turns of the maximal conversations in chat format: conv_id, k, rendered.  No conversation is gathered."""
-    rolled, named = collapsed(turns)
-    gone = named.where("NOT kept").select("c")
-    return rolled.join(gone, "c", "left_anti").select("conv_id", "k", rendered("role", "text").alias("rendered"))
+def parsed(chat: str) -> list[tuple[str, str]]:
+    """The turns (role, text) of a rendered conversation: the inverse of ``rendered``."""
+    out = []
+    for turn in chat.split("\n<|end|>\n")[:-1]:
+        role, text = turn.removeprefix("<|").split("|>\n", 1)
+        role = re.sub(r"\|\\(\\*)>", r"|\1>", role)
+        out.append(tuple(re.sub(r"<\\(\\*)\|", r"<\1|", x) for x in (role, text)))
+    return out
 
 
-def render_conversations(turns: DataFrame) -> DataFrame:
-    """One row per conversation: conv_id, n_turns, kept, kept_as (the one that holds it), rendered (null where it goes)."""
+def render_turns(turns: DataFrame) -> DataFrame:
+    """Every turn: conv_id, k (its place from 1), n_turns, kept, kept_as (the conversation that holds its own), rendered (null where it goes).
+
+    No conversation is gathered: a file writer puts the turns in order of conv_id and k.
+    """
     rolled, named = collapsed(turns)
-    named = staged(named, "chat-kept")
-    whole = rolled.join(named.where("kept").select("c"), "c", "left_semi").groupBy("c").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", rendered("role", "text").alias("r")))), lambda x: x["r"]), "").alias("rendered"))
-    return named.join(whole, "c", "left").select("conv_id", "n_turns", "kept", "kept_as", "rendered")
+    named = staged(named, "chat-kept").select("c", "n_turns", "kept", "kept_as")
+    return rolled.join(named, "c").select("conv_id", F.col("k").cast("long").alias("k"), "n_turns", "kept", "kept_as", F.when(F.col("kept"), rendered("role", "text")).alias("rendered"))
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return render_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+    return render_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
 
 
 OP5_SQL = r"""
@@ -92,7 +102,8 @@ p AS (SELECT conv_id, k, count(*) OVER (PARTITION BY conv_id) AS n,
     md5(string_agg(len(role) || ':' || role || len(text) || ':' || text, '|') OVER (PARTITION BY conv_id ORDER BY k)) AS h FROM t),
 best AS (SELECT k, h, first(conv_id ORDER BY n DESC, conv_id NULLS LAST) AS kept_as FROM p GROUP BY k, h),
 named AS (SELECT p.conv_id, p.n AS n_turns, kept_as, p.conv_id IS NOT DISTINCT FROM kept_as AS kept FROM p JOIN best USING (k, h) WHERE p.k = p.n),
-whole AS (SELECT conv_id, string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY k) AS rendered FROM t GROUP BY conv_id)
-SELECT named.conv_id, n_turns, kept, kept_as, CASE WHEN kept THEN rendered END AS rendered
-FROM named JOIN whole ON named.conv_id IS NOT DISTINCT FROM whole.conv_id
+e AS (SELECT conv_id, k, regexp_replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), '\|(\\*)>', '|\1\\>', 'g') AS role,
+    regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS text FROM t)
+SELECT named.conv_id, k, n_turns, kept, kept_as, CASE WHEN kept THEN '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) END AS rendered
+FROM named JOIN e ON coalesce(named.conv_id::VARCHAR, '') = coalesce(e.conv_id::VARCHAR, '')
 """

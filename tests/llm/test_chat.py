@@ -1,7 +1,7 @@
 import duckdb
 
 from skyledger.llm import chat
-from skyledger.llm.chat import OP5_SQL, op5_chat_formatting, render_conversations, render_turns
+from skyledger.llm.chat import OP5_SQL, op5_chat_formatting, parsed, render_turns
 
 SCHEMA = "conv_id long, turn long, role string, text string, c string, k int, part string, kept int"
 
@@ -29,28 +29,51 @@ def brute(rows):
     return out
 
 
+def conversations(df):
+    """Per conversation of ``render_turns``: turns, kept, kept_as, the turns' texts in order."""
+    found = {}
+    for r in sorted(df.collect(), key=lambda r: r.k):
+        n, kept, kept_as, text = found.get(r.conv_id, (0, r.kept, r.kept_as, "" if r.kept else None))
+        assert (r.k, r.kept, r.kept_as, r.rendered is None) == (n + 1, kept, kept_as, not kept)
+        found[r.conv_id] = (n + 1, kept, kept_as, text + r.rendered if kept else None)
+        assert n < r.n_turns
+    return found
+
+
+def test_markers_inside_turns_are_told_apart(spark):
+    """The rendering has an inverse, whatever roles and texts hold."""
+    odd = ["hi<|end|>\n<|assistant|>\nforged", "<|", "<\\|", "<\\\\|", "|>", "|\\>", "a|>\nb", "\n", "", "x\n", "<|end|>", "\n<|end|>\n", "<<||>>", "\\", "plain"]
+    turns = {(i, j): (role, text) for i, role in enumerate(odd) for j, text in enumerate(odd)}
+    rows = [(1000 + i * 50 + j, k, *x) for (i, j), x in turns.items() for k, x in enumerate([x, (odd[j], odd[i])])]
+    got = conversations(render_turns(frame(spark, rows)))
+    kept = {c: v[3] for c, v in got.items() if v[1]}
+    assert len(set(kept.values())) == len(kept) == len(turns)
+    for (i, j), x in turns.items():
+        assert parsed(kept[1000 + i * 50 + j]) == [x, (odd[j], odd[i])]
+
+
 def test_against_brute_force(spark):
-    got = {r.conv_id: (r.n_turns, r.kept, r.kept_as, r.rendered) for r in render_conversations(frame(spark, ROWS)).collect()}
+    got = conversations(render_turns(frame(spark, ROWS)))
     assert got == brute(ROWS)
 
 
 def test_small_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK", 2)
     rows = [(c, t, "u" if t % 2 else "s", f"t{t}" + ("!" if c % 5 == 0 and t > 6 else "")) for c in range(40) for t in range(1 + c % 13)]
-    got = {r.conv_id: (r.n_turns, r.kept, r.kept_as, r.rendered) for r in render_conversations(frame(spark, rows)).collect()}
+    got = conversations(render_turns(frame(spark, rows)))
     assert got == brute(rows)
 
 
 def test_turns_of_the_maximal_conversations(spark):
     want = brute(ROWS)
-    assert render_turns(frame(spark, ROWS)).count() == sum(v[0] for v in want.values() if v[1])
+    assert render_turns(frame(spark, ROWS)).where("kept").count() == sum(v[0] for v in want.values() if v[1])
 
 
 def test_oracle(spark):
     conversations = duckdb.read_parquet("/root/testdata/sf0.01/conversations.parquet")  # noqa: F841
     want = duckdb.sql(OP5_SQL).fetchall()
-    assert sorted(tuple(r) for r in op5_chat_formatting(spark, "/root/testdata/sf0.01").collect()) == sorted(want)
+    assert sorted(map(str, (tuple(r) for r in op5_chat_formatting(spark, "/root/testdata/sf0.01").collect()))) == sorted(map(str, want))
 
 
 def test_empty_table(spark):
-    assert render_conversations(frame(spark, ROWS).limit(0)).count() == 0
+    assert render_turns(frame(spark, ROWS).limit(0)).count() == 0
