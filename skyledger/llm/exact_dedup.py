@@ -178,15 +178,14 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each group of equal texts, with all its columns."""
-    found = exact_duplicates(docs)
-    gone = found.where("NOT kept").groupBy("doc_id", "text_sha256").agg(
-        F.max(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("__again")).withColumnsRenamed({"doc_id": "__id", "text_sha256": "__sha"})
-    sha = F.sha2(normalised(F.col("text")), 256)
-    marked = docs.withColumn("__key", sha)
-    joined = marked.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__sha")), "left")
-    first = joined.where("__again IS NULL").select(*docs.columns)
-    again = joined.where("__again").dropDuplicates(["doc_id", "__key"]).select(*docs.columns)
-    return first.unionByName(again)
+    found = exact_duplicates(docs.select("doc_id", "text"))
+    gone = found.where("NOT kept").groupBy("doc_id", "text_sha256").agg(F.max(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("again")) \
+        .withColumnsRenamed({"doc_id": "gone_id", "text_sha256": "gone_sha"})
+    # the columns of ``docs`` travel in one, whatever their names are
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(normalised(F.col("text")), 256).alias("sha"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("sha") == F.col("gone_sha")), "left")
+    first = joined.where("again IS NULL").select("row.*")
+    return first.unionByName(joined.where("again").dropDuplicates(["id", "sha"]).select("row.*"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

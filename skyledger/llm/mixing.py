@@ -139,14 +139,16 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Rows that share doc_id, source and size share their copies: evenly, and the rest by a seeded draw over the text.
     """
     copies = whole_copies(dealt(docs)).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")).where("copies > 0") \
-        .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"),
-                F.expr("copies div n").alias("__copies"), F.expr("copies % n / n").alias("__rest"))
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__words"))
-    drawn = F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(1 << 32)) / float(1 << 32)
-    times = F.col("__copies") + F.when((F.col("__rest") > 0) & (drawn < F.col("__rest")), 1).otherwise(0)
-    return docs.withColumn("__n", words).join(copies, same).withColumn("__times", times).where("__times > 0") \
-        .withColumn("__copy", F.expr("explode(sequence(1L, __times))")).select(*docs.columns)
+        .select(F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), F.col("size").alias("of_words"),
+                F.expr("copies div n").alias("copies"), F.expr("copies % n / n").alias("rest"))
+    # the columns of ``docs`` travel in one, whatever their names are
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("source").cast("string").alias("from"),
+                       F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("words"),
+                       (F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(1 << 32)) / float(1 << 32)).alias("drawn"))
+    same = F.col("id").eqNullSafe(F.col("of_id")) & F.col("from").eqNullSafe(F.col("of_source").cast("string")) & (F.col("words") == F.col("of_words"))
+    times = F.col("copies") + F.when((F.col("rest") > 0) & (F.col("drawn") < F.col("rest")), 1).otherwise(0)
+    return rows.join(copies, same).withColumn("times", times).where("times > 0") \
+        .withColumn("copy", F.expr("explode(sequence(1L, times))")).select("row.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,11 +193,12 @@ shards AS MATERIALIZED (SELECT key, shard, shard_size, sh6.n, least(quota, 3 * s
 bl0 AS (SELECT *, unnest(range(0, n)) AS j FROM shards),
 bl1 AS (SELECT key, shard, j, shard_size * j // n AS first, shard_size * (j + 1) // n - shard_size * j // n AS words,
     (row_number() OVER (PARTITION BY key, shard ORDER BY md5('{SEED}|' || key || '|' || shard || '|' || j), j) <= rest)::BIGINT AS chosen FROM bl0),
-bl AS MATERIALIZED (SELECT *, coalesce(sum(chosen * words) OVER (PARTITION BY key, shard ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS so_far FROM bl1),
+bl AS MATERIALIZED (SELECT *, j || '|' || shard || '|' || key AS place, coalesce(sum(chosen * words) OVER (PARTITION BY key, shard ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS so_far FROM bl1),
 pos AS MATERIALIZED (SELECT doc_id, r.key, r.shard, size, source_size, target, stop - size AS start, stop, passes,
-    (n * (stop - size + 1) - 1) // shard_size AS j0, (n * stop - 1) // shard_size AS j1 FROM r JOIN shards USING (key, shard) WHERE size > 0)
+    ((n * (stop - size + 1) - 1) // shard_size) || '|' || r.shard || '|' || r.key AS place0, ((n * stop - 1) // shard_size) || '|' || r.shard || '|' || r.key AS place1
+  FROM r JOIN shards ON r.shard || '|' || r.key = shards.shard || '|' || shards.key WHERE size > 0)
 SELECT doc_id, size, source_size, target,
     (passes * size + b.so_far + b.chosen * (stop - b.first) - a.so_far - a.chosen * (start - a.first))::BIGINT AS taken
-FROM pos LEFT JOIN bl a ON a.key = pos.key AND a.shard = pos.shard AND a.j = j0 LEFT JOIN bl b ON b.key = pos.key AND b.shard = pos.shard AND b.j = j1
+FROM pos LEFT JOIN bl a ON a.place = place0 LEFT JOIN bl b ON b.place = place1
 UNION ALL SELECT doc_id, size, source_size, target, 0 FROM r WHERE size = 0
 """

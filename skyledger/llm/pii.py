@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import documents
 
-KEY = "demonstration key"
+KEY = "demonstration key"  # of the query alone
 ROUNDS = 10
 
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
@@ -230,24 +230,25 @@ def replaced(found: str, key: str) -> Column:
     return F.expr(f"transform({found}, m -> named_struct('plain', m.plain, 'kind', m.kind, 'value', {pseudonym('m.x', 'm.kind', key)}))")
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with its text rewritten, and ``n_<format>`` columns of replaced values (which shadow columns of those names)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    marked = docs.drop(*[f"n_{f}" for f in FORMATS]).withColumn("__found", F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    marked = marked.withColumn("__kinds", F.expr(f"transform(__found, x -> named_struct('x', x, 'kind', {kind('x')}))"))
+    # the columns of ``docs`` travel in one, whatever their names are
+    marked = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    marked = marked.withColumn("found", F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(ANY), F.lit(0)))
+    marked = marked.withColumn("kinds", F.expr(f"transform(found, x -> named_struct('x', x, 'kind', {kind('x')}))"))
     between = F.split(F.col("text"), ANY, -1)
-    once = F.zip_with(between, F.concat("__kinds", F.expr("array(named_struct('x', '', 'kind', CAST(NULL AS STRING)))")),
+    once = F.zip_with(between, F.concat("kinds", F.expr("array(named_struct('x', '', 'kind', CAST(NULL AS STRING)))")),
                       lambda a, b: F.struct(a.alias("plain"), b["x"].alias("x"), b["kind"].alias("kind")))
     again = F.expr(f"flatten(transform(split(text, r'{CUT}', -1), s -> {scanned('s')}))")
-    parts = F.when(F.size("__found") > 0, F.when(F.expr(f"exists(__kinds, m -> {opened('m.x', 'm.kind')})"), again).otherwise(once))
-    marked = marked.withColumn("__parts", parts).withColumn("__hits", replaced("__parts", key))
-    glued = F.array_join(F.transform("__hits", lambda h: F.concat(h["plain"], h["value"])), "")
-    count = lambda f: F.coalesce(F.size(F.filter("__hits", lambda h: h["kind"] == f)), F.lit(0)).cast("long")
-    out = marked.withColumn("__text", F.when(F.col("__hits").isNull(), F.col("text")).otherwise(glued))
-    counts = [F.when(F.col("__hits").isNull(), F.lit(0).cast("long")).otherwise(count(f)).alias(f"n_{f}") for f in FORMATS]
+    parts = F.when(F.size("found") > 0, F.when(F.expr(f"exists(kinds, m -> {opened('m.x', 'm.kind')})"), again).otherwise(once))
+    marked = marked.withColumn("parts", parts).withColumn("hits", replaced("parts", key))
+    glued = F.array_join(F.transform("hits", lambda h: F.concat(h["plain"], h["value"])), "")
+    count = lambda f: F.coalesce(F.size(F.filter("hits", lambda h: h["kind"] == f)), F.lit(0)).cast("long")
+    out = marked.withColumn("rewritten", F.when(F.col("hits").isNull(), F.col("text")).otherwise(glued))
+    counts = [F.when(F.col("hits").isNull(), F.lit(0).cast("long")).otherwise(count(f)).alias(f"n_{f}") for f in FORMATS]
     names = [c for c in docs.columns if c not in {f"n_{f}" for f in FORMATS}]
-    return out.select(*[F.col("__text").alias("text") if c == "text" else F.col(c) for c in names], *counts)
+    return out.select(*[F.col("rewritten").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], *counts)
 
 
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(documents(spark, sf_dir).select("doc_id", "text"))
+    return pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), KEY)

@@ -69,3 +69,10 @@ def test_hot_group_over_many_partitions(spark):
     got = exact_duplicates(docs.repartition(17))
     assert got.where("kept").count() == 2001
     assert got.where("group_size = 1000 AND keep_id = 0").count() == 1000
+
+
+def test_columns_with_any_name_stay(spark):
+    from skyledger.llm.exact_dedup import keep_first
+    rows = spark.createDataFrame([(1, "a  b", 5, "x", "y", True), (2, "a b", 6, "z", "y", True)], "doc_id long, text string, __id int, row string, sha string, again boolean")
+    out = keep_first(rows)
+    assert out.columns == rows.columns and [tuple(r) for r in out.collect()] == [(1, "a  b", 5, "x", "y", True)]

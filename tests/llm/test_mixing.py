@@ -114,3 +114,11 @@ def test_empty_and_wordless_tables(spark):
     assert mix(frame(spark, ROWS).limit(0)).count() == 0
     got = mix(frame(spark, [(1, None, "a"), (2, " ", None)])).collect()
     assert [(r.taken, r.target) for r in got] == [(0, 0.0), (0, 0.0)]
+
+
+def test_columns_with_any_name_stay(spark):
+    from skyledger.llm.mixing import mixed_documents
+    rows = spark.createDataFrame([(i, f"s{i % 2}", "w " * (5 + i), i, f"n{i}", -i) for i in range(40)], "doc_id long, source string, text string, __n int, copies string, words int")
+    out = mixed_documents(rows)
+    kept = out.collect()
+    assert out.columns == rows.columns and kept and all((r["__n"], r.copies, r.words) == (r.doc_id, f"n{r.doc_id}", -r.doc_id) for r in kept)

@@ -105,7 +105,7 @@ TEXTS = ["mail of.55@mail9.example.com and of.55@mail9.example.com.", "+1 (443)
 @pytest.fixture(scope="module")
 def done(spark):
     rows = [(i, t, 5, "k", 1) for i, t in enumerate(TEXTS)] + [(99, None, 5, "k", 1), (None, TEXTS[3], 5, "k", 1), (3, TEXTS[3], 5, "k", 1)]
-    return pseudonymise(spark.createDataFrame(rows, SCHEMA)).collect()
+    return pseudonymise(spark.createDataFrame(rows, SCHEMA), KEY).collect()
 
 
 def test_against_brute_force(done):
@@ -134,7 +134,7 @@ def test_nulls_counts_and_columns(done):
 
 def test_maps_are_one_to_one(spark):
     days = spark.range(0, 3000).select(F.col("id").alias("doc_id"), F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
-    out = [r.text for r in pseudonymise(days).collect()]
+    out = [r.text for r in pseudonymise(days, KEY).collect()]
     assert len(set(out)) == 3000 and all(re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", x) for x in out)
 
 
@@ -148,7 +148,7 @@ BESIDE = [*[(CARD, f"{a}{CARD}{b}") for a, b in (("", " 123"), ("1 ", ""), ("",
 def test_values_beside_numbers_and_capital_words(spark):
     """The value goes and the rest stays; expected from the value alone, not from the patterns."""
     rows = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(BESIDE)], "doc_id long, text string")
-    got = {r.doc_id: r for r in pseudonymise(rows).collect()}
+    got = {r.doc_id: r for r in pseudonymise(rows, KEY).collect()}
     for i, (value, text) in enumerate(BESIDE):
         want = text.replace(value, one(value)).replace("443-555-5793", one("443-555-5793")).replace("a@b.org", one("a@b.org"))
         assert value not in got[i].text and got[i].text == want, text
@@ -157,9 +157,16 @@ def test_values_beside_numbers_and_capital_words(spark):
 
 def test_failed_matches_of_no_format_stay(spark):
     texts = ["4111 1111 1111 1112 7", "ES92 2100 0418 4502 0005 1332 BIC", "2023-02-30 and 666-12-1234"]
-    got = {r.doc_id: r.text for r in pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.text for r in pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), KEY).collect()}
     assert [got[i] for i in range(3)] == texts
 
 
 def test_empty_table(spark):
-    assert pseudonymise(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert pseudonymise(spark.createDataFrame([], SCHEMA), KEY).count() == 0
+
+
+def test_columns_with_any_name_stay(spark):
+    rows = spark.createDataFrame([(1, "write to a.b@example.com", "f", "k", "r", 7)], "doc_id long, text string, __found string, found string, row string, hits int")
+    out = pseudonymise(rows, KEY)
+    r = out.first()
+    assert out.columns[:6] == rows.columns and (r["__found"], r.found, r.row, r.hits, r.n_email) == ("f", "k", "r", 7, 1) and "a.b@" not in r.text
