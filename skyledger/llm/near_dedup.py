@@ -100,15 +100,21 @@ def rare_shingles(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     shingles) and r (its rare ones)."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in text_slices(batch, "hashes"):
                 rows = [np.frombuffer(x, np.int64) for x in part.column("hashes").to_pylist()]
-                ids = part.column("id").take(pa.array(np.repeat(np.arange(len(rows)), [len(x) for x in rows])))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(rows))], names=["id", "hash"])
-
-    each = staged(sets.select("id", "hashes").mapInArrow(spread, "id long, hash long"), "near-shingles")
-    rare = each.groupBy("hash").agg(F.count(F.lit(1)).alias("df")).where(f"df <= {CROWD}")
-    postings = staged(each.join(rare, "hash"), "near-rare")
+                every = np.concatenate(rows)
+                order = np.argsort(every, kind="stable")
+                hashes, n = np.unique(every, return_counts=True)
+                # a shingle of more documents than are rare needs no list of them
+                listed = np.repeat(n <= CROWD, n)
+                ids = part.column("id").take(pa.array(np.repeat(np.arange(len(rows)), [len(x) for x in rows])[order][listed]))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(n <= CROWD, n, 0))].astype(np.int32)), ids)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(n.astype(np.int64)), lists], names=["hash", "n", "ids"])
+
+    # summed per batch: near copies share most shingles
+    each = staged(sets.select("id", "hashes").mapInArrow(spread, "hash long, n long, ids array<long>"), "near-shingles")
+    rare = each.groupBy("hash").agg(F.sum("n").alias("df")).where(f"df <= {CROWD}")
+    postings = staged(each.join(rare, "hash").select("hash", "df", F.explode("ids").alias("id")), "near-rare")
     size = sets.groupBy("id").agg(F.max(F.expr("CAST(length(hashes) div 8 AS BIGINT)")).alias("n"))
     counted = size.join(postings.groupBy("id").agg(F.count(F.lit(1)).alias("r")), "id", "left")
     return postings.where("df > 1").select("hash", "id"), counted.select("id", "n", F.coalesce("r", F.lit(0)).cast("long").alias("r"))
