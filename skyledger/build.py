@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 import os
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from skyledger.operators.dims import (build_dim_date, build_dim_junk, build_dim_local, build_dim_shower,
                                       build_dim_time, build_dim_user, build_dim_weather_code)
 from skyledger.operators.enrich import enrich_locations
-from skyledger.operators.facts import (Warehouse, build_fact_magnitude, build_fact_observations,
+from skyledger.operators.facts import (Warehouse, build_by_session, build_fact_magnitude, build_fact_observations,
                                        build_fact_weather, session_keys)
 from skyledger.operators.key_map import NATURAL, with_stable_keys
 from skyledger.operators.olap import (q1_meteors_in_month, q2_meteors_by_precipitation,
@@ -31,6 +31,7 @@ from skyledger.operators.olap import (q1_meteors_in_month, q2_meteors_by_precipi
                                       q5_temperature_by_month)
 from skyledger.session import configure_for_scale, drop_scratch, ensure_checkpoint_dir, scratch_path
 from skyledger.sources import readers
+from skyledger.sources.buckets import Details, read_details, write_buckets, write_details
 from skyledger.sources.sinks import export_csv, replace_parquet, write_parquet
 
 DIMENSIONS = ["dim_local", "dim_date", "dim_time", "dim_user", "dim_shower", "dim_junk", "dim_weather_code"]
@@ -47,6 +48,33 @@ class RawSources:
     weather_codes: DataFrame
     shower_list: DataFrame
     gazetteer: DataFrame
+    by_session: SessionLayout | None = None
+
+
+@dataclass
+class SessionLayout:
+    """Rates, magnitudes and weather in the same buckets by session id."""
+    buckets: int
+    details: dict[str, Details]
+
+
+SESSION_OF = {"rates": "Obs Session ID", "magnitudes": "Obs Session ID", "weather": "Session ID"}
+
+
+def stage_by_session(spark: SparkSession, src: RawSources, path: str, buckets: int) -> RawSources:
+    """Stage the detail tables by session id (A7), for any number of builds: none of them moves the details again.
+
+    ``buckets``: about the bytes of the largest detail table / 128 MB.
+    """
+    for name, key in SESSION_OF.items():
+        write_details(getattr(src, name), os.path.join(path, name), key, buckets)
+    return staged_by_session(spark, src, path, buckets)
+
+
+def staged_by_session(spark: SparkSession, src: RawSources, path: str, buckets: int) -> RawSources:
+    """``src`` with the detail tables that ``stage_by_session`` wrote."""
+    details = {name: read_details(spark, os.path.join(path, name)) for name in SESSION_OF}
+    return replace(src, **{name: d.rows for name, d in details.items()}, by_session=SessionLayout(buckets, details))
 
 
 def read_sources(spark: SparkSession, sessions: str, rates: str, magnitudes: str, weather: str,
@@ -80,6 +108,12 @@ def build_dimensions(src: RawSources) -> Warehouse:
 def build_facts(src: RawSources, wh: Warehouse, header: DataFrame | None = None) -> Warehouse:
     """The three facts; ``header`` is the written table of session keys, made here where it is not given."""
     header = header if header is not None else session_keys(src.sessions, wh)
+    if src.by_session:
+        rates, magnitudes, weather = (src.by_session.details[name] for name in SESSION_OF)
+        wh.fact_observations = build_by_session(build_fact_observations, rates, wh, header)
+        wh.fact_magnitude = build_by_session(build_fact_magnitude, magnitudes, wh, header)
+        wh.fact_weather = build_by_session(build_fact_weather, weather, wh, header)
+        return wh
     wh.fact_observations = build_fact_observations(src.rates, src.sessions, wh, header)
     wh.fact_magnitude = build_fact_magnitude(src.magnitudes, src.sessions, wh, header)
     wh.fact_weather = build_fact_weather(src.weather, src.sessions, wh, header)
@@ -101,7 +135,10 @@ def write_warehouse(spark: SparkSession, src: RawSources, out_dir: str, key_dir:
         write_parquet(_keyed(getattr(dims, name), name, key_dir), os.path.join(out_dir, name))
     wh = load_warehouse(spark, out_dir, facts=False)
     keys = scratch_path(spark, "session-keys")
-    wh = build_facts(src, wh, spark.read.parquet(write_parquet(session_keys(src.sessions, wh), keys)))
+    header = session_keys(src.sessions, wh)
+    header = (write_buckets(header, keys, "Session ID", src.by_session.buckets) if src.by_session
+              else spark.read.parquet(write_parquet(header, keys)))
+    wh = build_facts(src, wh, header)
     _write_facts(wh, out_dir, only_touched=False)
     drop_scratch(spark, keys)
     return load_warehouse(spark, out_dir)
@@ -111,10 +148,18 @@ def _keyed(dim: DataFrame, name: str, key_dir: str | None) -> DataFrame:
     return with_stable_keys(dim, *NATURAL[name], os.path.join(key_dir, name)) if key_dir and name in NATURAL else dim
 
 
+def _day_of_year(key: str):
+    """0 to 371: the place of a date key in its year."""
+    return (F.floor(F.col(key) / 100) % 100 - 1) * 31 + F.col(key) % 100 - 1
+
+
 def _write_facts(wh: Warehouse, out_dir: str, only_touched: bool) -> None:
+    places = wh.dim_local.agg(F.coalesce(F.max("sk_local"), F.lit(0)).alias("n")).first()["n"]
     for name, key in FACTS.items():
-        write_parquet(getattr(wh, name).withColumn("year", _year_of(key)), os.path.join(out_dir, name),
-                      partition_by=["year"], sort_within=[key, *FACT_IDS.get(name, [])], only_touched=only_touched)
+        # weather is asked for by place as well as by date
+        both = [(_day_of_year(key), 0, 371), (F.col("fk_local"), 0, places)] if name == "fact_weather" else None
+        write_parquet(getattr(wh, name).withColumn("year", _year_of(key)), os.path.join(out_dir, name), partition_by=["year"],
+                      sort_within=[key, *FACT_IDS.get(name, [])], only_touched=only_touched, interleave=both)
 
 
 def touched_years(*arrivals: DataFrame) -> list[int]:

@@ -11,6 +11,7 @@ miss, so no fact row is lost or repeated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from skyledger.functions.calendar import date_key_or_unknown
 from skyledger.functions.casts import text_to_int
 from skyledger.operators.dims import CLOCK_BOUND
 from skyledger.operators.lookup import resolve
+from skyledger.sources.buckets import Details
 from skyledger.sources.schemas import MAGNITUDE_BINS, WEATHER_MEASURES
 
 
@@ -114,17 +116,34 @@ def build_fact_magnitude(magnitudes: DataFrame, sessions: DataFrame, wh: Warehou
     ).dropDuplicates()
 
 
-def build_fact_weather(weather: DataFrame, sessions: DataFrame, wh: Warehouse, header: DataFrame | None = None) -> DataFrame:
+def build_fact_weather(weather: DataFrame, sessions: DataFrame, wh: Warehouse, header: DataFrame | None = None,
+                       how: str = "left") -> DataFrame:
     """Weather of each session's start hour and place.
 
     The session is resolved to the whole hour (minute = second = 0, C6), the
     weather row joins by session id (left, C7), and a session without weather
-    gets the unknown code after that join (S10).
+    gets the unknown code after that join (S10).  ``how="inner"``: for sessions known to have weather.
     """
     s = (header if header is not None else session_keys(sessions, wh)).select("Session ID", "fk_date", "fk_time", "fk_local")
     w = weather.withColumn("weather_code", text_to_int("weather_code"))
     w = resolve(w, wh.dim_weather_code, [("weather_code", "code")], "sk_weather_code", "fk_weather_code",
                 dim_filter=F.col("sk_weather_code") >= 0)
     w = w.select("Session ID", "fk_weather_code", *WEATHER_MEASURES)
-    df = s.join(w, "Session ID", "left").withColumn("fk_weather_code", F.coalesce("fk_weather_code", F.lit(-1)))
+    df = s.join(w, "Session ID", how).withColumn("fk_weather_code", F.coalesce("fk_weather_code", F.lit(-1)))
     return df.select("fk_date", "fk_time", "fk_weather_code", "fk_local", *WEATHER_MEASURES).dropDuplicates()
+
+
+def build_by_session(build: Callable[..., DataFrame], details: Details, wh: Warehouse, header: DataFrame) -> DataFrame:
+    """A fact from details and session keys that lie in the same buckets by session id (``sources/buckets.py``).
+
+    ``build``: one of the builders above.  The bucketed rows are joined where they lie; the hot sessions, fewer than there
+    are buckets, are broadcast to their rows.
+    """
+    hot = F.broadcast(details.hot_keys)
+    at_hot = header["Session ID"] == hot["hot_key"]
+    few = F.broadcast(header.join(hot, at_hot, "left_semi"))
+    if build is not build_fact_weather:
+        # a row holds its session id, so no row of one part equals one of the other
+        return build(details.even, None, wh, header).unionByName(build(details.hot, None, wh, few))
+    rest = header.join(hot, at_hot, "left_anti")
+    return build(details.even, None, wh, rest).unionByName(build(details.hot, None, wh, few, how="inner")).dropDuplicates()

@@ -307,3 +307,52 @@ def refreshed_years(spark, d):
     load = orders.where("year = 1997 AND o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     write_parquet(load, path, partition_by=["year"], sort_within=["o_orderkey"], only_touched=True)
     return spark.read.parquet(path)
+
+
+# ---- layouts ------------------------------------------------------------------------
+
+def _by_session(spark, build, details, sessions, key, wh):
+    """A fact out of details and session keys staged in the same buckets."""
+    from skyledger.operators.facts import build_by_session, session_keys
+    from skyledger.sources.buckets import write_buckets, write_details
+    from skyledger.sources.sinks import write_parquet
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root = scratch_path(spark, "by-session")
+    laid = write_details(spark.read.parquet(write_parquet(details, f"{root}/raw")), f"{root}/details", key, buckets)
+    return build_by_session(build, laid, wh, write_buckets(session_keys(sessions, wh), f"{root}/header", "Session ID", buckets))
+
+
+@register("fact_star_colocated", "C1 K9 (buckets by session)", sql=REGISTRY["fact_star"].sql)
+def fact_star_colocated(spark, d):
+    t = Tables(spark, d)
+    rates = roles.rates(t)
+    return _by_session(spark, build_fact_observations, rates, roles.sessions(t), "Obs Session ID", _obs_warehouse(t, rates))
+
+
+@register("fact_hourly_colocated", "C7 K11 (buckets by session)", sql=REGISTRY["fact_hourly"].sql)
+def fact_hourly_colocated(spark, d):
+    t = Tables(spark, d)
+    sessions = roles.event_sessions(t)
+    weather = roles.weather_rows(attach_hourly_weather_long(sessions, roles.hourly_weather(t), roles.HOURLY_VARIABLES))
+    wh = Warehouse(
+        dim_time=build_dim_time(t.events.select("ts")),
+        dim_local=build_dim_local(roles.customer_places(t), _gazetteer(t)),
+        dim_weather_code=build_dim_weather_code(roles.weather_codes(t)),
+    )
+    return _by_session(spark, build_fact_weather, weather, sessions, "Session ID", wh)
+
+
+@register("place_slice", "F1 A6 (files tight on place and date)", sql="""
+WITH span AS (SELECT max(o_custkey) AS top FROM orders)
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, CAST(year(o_orderdate) AS INTEGER) AS year
+FROM orders, span WHERE o_custkey > top * 2 // 5 AND o_custkey <= top // 2
+""")
+def place_slice(spark, d):
+    """Orders by year, day and customer at once; then the tenth of the customers around the middle."""
+    from skyledger.sources.sinks import write_parquet
+    orders = Tables(spark, d).orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), F.year("o_orderdate").alias("year"))
+    path = scratch_path(spark, "place-slice")
+    top = orders.agg(F.coalesce(F.max("o_custkey"), F.lit(0)).alias("n")).first()["n"]
+    write_parquet(orders, path, partition_by=["year"], sort_within=["day", "o_orderkey"],
+                  interleave=[(F.dayofyear("day"), 1, 366), (F.col("o_custkey"), 0, top)])
+    return spark.read.parquet(path).where((F.col("o_custkey") > top * 2 // 5) & (F.col("o_custkey") <= top // 2))

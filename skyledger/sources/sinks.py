@@ -3,15 +3,37 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skyledger.sources.readers import read_delimited
 
 
+#: Levels (as a power of two) that each column of an interleaved order is told apart by.
+LEVEL_BITS = 12
+
+
+def interleaved(*ranges: tuple[Column, int, int]) -> Column:
+    """One number out of several columns, each given with its least and greatest value: their levels' bits in turn.
+
+    Rows near each other in that order are near in every column, so ranges of it are tight on all of them.  A null counts
+    as the least value, values outside the range as its ends.
+    """
+    top, k = (1 << LEVEL_BITS) - 1, len(ranges)
+    bits = []
+    for i, (column, low, high) in enumerate(ranges):
+        level = F.floor((column.cast("double") - low) * (top + 1) / max(1, high - low + 1))
+        level = F.greatest(F.lit(0), F.least(F.lit(top), F.coalesce(level, F.lit(0)))).cast("long")
+        bits += [F.shiftleft(F.shiftright(level, b).bitwiseAND(F.lit(1)), b * k + i) for b in range(LEVEL_BITS)]
+    return reduce(Column.__add__, bits)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  sort_within: list[str] | None = None, only_touched: bool = False) -> str:
+                  sort_within: list[str] | None = None, only_touched: bool = False,
+                  interleave: list[tuple[Column, int, int]] | None = None) -> str:
     """Overwrite ``path`` with Parquet.
 
     ``only_touched`` replaces the partitions that ``df`` has rows in and leaves the others: the new files are staged beside the
@@ -20,9 +42,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     Facts go out ``partitionBy("year")`` so year slices prune whole folders.  With ``sort_within`` too, rows are
     first dealt out by ranges of both, so the number of files follows the data (a task holds a year or two, a hot year spreads over many
     tasks, which hashing by year would send to one) and each file covers a narrow range of the sort columns.
+    ``interleave`` puts the order of several columns at once before ``sort_within``: files are tight on each of them.
     """
     out = df
-    order = list(partition_by or []) + list(sort_within or [])
+    order = [*(partition_by or []), *([interleaved(*interleave)] if interleave else []), *(sort_within or [])]
     if partition_by and sort_within:
         out = out.repartitionByRange(*order)
     if order:
