@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import SPACES, documents, staged
+from skyledger.operators.lookup import maybe_broadcast
 
 #: Hashes that an owner gets, about.
 OWNER_HASHES = 1 << 18
@@ -155,7 +156,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
                           F.monotonically_increasing_id().alias("tag")), "exact-rows")
     owner_bits = max(0, int(np.ceil(np.log2(max(1, rows.count()) / OWNER_HASHES))) + 6)  # at least 64 owners, so that small inputs spread too
     sent = staged(messages(rows.select("doc_id", "hash"), owner_bits), "exact-messages")
-    suspect = suspects(sent, answers(sent)).distinct()
+    # where the suspects' ids are measured to fit, they go to the texts, and no other text moves
+    suspect = maybe_broadcast(staged(suspects(sent, answers(sent)).distinct(), "exact-suspects"))
 
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     last = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
@@ -181,6 +183,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     found = exact_duplicates(docs.select("doc_id", "text"))
     gone = found.where("NOT kept").groupBy("doc_id", "text_sha256").agg(F.max(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("again")) \
         .withColumnsRenamed({"doc_id": "gone_id", "text_sha256": "gone_sha"})
+    gone = maybe_broadcast(staged(gone, "exact-gone"))
     # the columns of ``docs`` travel in one, whatever their names are
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(normalised(F.col("text")), 256).alias("sha"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("sha") == F.col("gone_sha")), "left")
