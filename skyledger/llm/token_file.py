@@ -1,11 +1,12 @@
 """Token-id files by an adaptive context-mixing range coder (operator 7).
 
-Ids are coded in blocks of ``BLOCK_IDS``.  A block lists its distinct ids and codes each id's place in that list bit by
-bit, the high bit first: three adaptive models (order 0: the bits so far; orders 1 and 2: these with the last id, or the last two) give a
-probability each, a logistic mixer trained on the block weighs them, and a binary range coder writes the bit.
+Ids are coded in blocks of ``BLOCK_IDS``.  A block lists its distinct ids and codes each id's place in that list by the
+predictions of three adaptive models: order 0 counts the places, orders 1 and 2 guess the one that follows the last, or the last two.
+Whether a guess is right is one decision, whose probability a logistic mixer trained on the block makes of all three
+orders' votes; what no guess meets is coded by the counts.  A range coder (48 bits, carries added at the end) writes both.
 All state starts anew with each block, which also holds a checksum of its ids, so any block is read alone.
 
-The blocks of a file are coded in step with one another: every operation works on one bit of all of them at once.
+The blocks of a file are coded in step with one another: every operation works on one id of all of them at once.
 
 A file is one binary value, held with its place in a table that Spark writes (tasks commit whole files, so a lost executor's
 are written again).  Files hold whole documents in ascending doc_id order (null first), each followed by the end id.
@@ -30,12 +31,15 @@ from skyledger.llm.common import Words, documents, staged, text_slices
 from skyledger.llm.exact_dedup import rice_decode, rice_encode
 
 END = 2
-BLOCK_IDS = 4096
-TOGETHER = 2048             # blocks coded in step
+BLOCK_IDS = 2048
+TOGETHER = 4096             # blocks coded in step
 FILE_IDS = 1 << 23          # a file is closed at the first document end past so many ids
 CACHED_WORDS = 200_000      # distinct words that a task remembers
-TABLE_BITS = 13             # counters of each order, as a power of two; 13 serve blocks of up to 4096 distinct ids
-RATES = np.array([[5], [4], [4]], np.int32)
+SYMBOLS = 2048              # most distinct ids of a block
+GROUP = 32                  # order 0 codes a symbol as its group of 32, then its place there
+GROUPS = SYMBOLS // GROUP
+COUNT = 2                   # what an id seen adds to its count; ids listed but not seen yet count 1
+RATE = 4
 LEARN = 10
 MAGIC = b"CMRC"
 
@@ -54,126 +58,210 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 SQUASH, STRETCH = _tables()
-
-
-class _Coder:
-    """The models of ``n`` blocks with ``bits`` bits a symbol (12 at most), all in their first state.
-
-    A symbol's bits are taken in groups of four; an order's counters of a group lie side by side, in a slot chosen by
-    the context and the bits before, so one look-up far away serves four bits.
+B0, B1, B12, B16, B32 = (np.uint64(k) for k in (0, 1, 12, 16, 32))
+ONES = np.uint64(0x0001000100010001)
+WIDE, MASK32, B16_MAX = np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64((1 << 16) - 1)
+
+
+def running(counts: np.ndarray) -> np.ndarray:
+    """Running sums (below 65536) along the rows of 16-bit counts, four to a multiplication."""
+    if counts.shape[1] % 4:
+        return counts.cumsum(1, dtype="<u2")
+    four = np.ascontiguousarray(counts, "<u2").view("<u8") * ONES
+    if four.shape[1] > 1:
+        four[:, 1:] += running((four >> np.uint64(48)).astype("<u2"))[:, :-1] * ONES
+    return four.view("<u2")
+
+
+class _Writer:
+    """Range coders of ``n`` blocks, each an interval of 48 bits sent in digits of 16."""
+
+    def __init__(self, n: int):
+        self.low, self.range = np.zeros(n, np.uint64), np.full(n, 1 << 48, np.uint64)
+        self.block, self.digit = [], []
+
+    def refill(self, rows: np.ndarray) -> None:
+        """Send the digits of ``rows`` until their intervals are wide."""
+        at = rows[self.range[rows] < WIDE]
+        while len(at):
+            low = self.low[at]
+            self.block.append(at)
+            self.digit.append((low >> B32).astype(np.uint32))
+            self.low[at] = (low & MASK32) << B16
+            wide = self.range[at] << B16
+            self.range[at] = wide
+            at = at[wide < WIDE]
+
+    def bit(self, rows: np.ndarray, q: np.ndarray, truth: np.ndarray) -> np.ndarray:
+        """Code whether ``truth`` holds, of probability ``q`` in 4096."""
+        whole = self.range[rows]
+        part = (whole >> B12) * q.astype(np.uint64)
+        self.low[rows] += np.where(truth, B0, part)
+        self.range[rows] = np.where(truth, part, whole - part)
+        return truth
+
+    def pick(self, rows: np.ndarray, counts: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Code that each row has its place ``k``, in proportion to its ``counts``."""
+        upto, at = running(counts), k + np.arange(0, counts.size, counts.shape[1])
+        size = counts.reshape(-1).take(at).astype(np.uint64)
+        unit = self.range[rows] // upto[:, -1]
+        self.low[rows] += unit * (upto.reshape(-1).take(at) - size)
+        self.range[rows] = unit * size
+        return k
+
+    def finish(self) -> list[bytes]:
+        """What each block sent, carries added."""
+        everyone = np.arange(len(self.low))
+        for k in (32, 16, 0):
+            self.block.append(everyone)
+            self.digit.append((self.low >> np.uint64(k)).astype(np.uint32) & np.uint32(0xFFFF if k < 32 else 0xFFFFFFFF))
+        block, digit = np.concatenate(self.block), np.concatenate(self.digit)
+        digit = digit[np.argsort(block, kind="stable")]
+        ends = np.cumsum(np.bincount(block, minlength=len(self.low)))
+        while (digit >> 16).any():  # a carry goes to the digit before; a block's first never has one
+            digit = (digit & np.uint32(0xFFFF)) + np.r_[digit[1:] >> 16, np.uint32(0)]
+        raw = digit.astype(">u2").tobytes()
+        return [raw[2 * a:2 * b] for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+
+
+class _Reader:
+    """The counterpart of ``_Writer``; what it is told of the symbols is ignored."""
+
+    def __init__(self, coded: list[bytes]):
+        n, self.widest = len(coded), max(map(len, coded)) // 2 + 8
+        self.raw = np.frombuffer(b"".join(x.ljust(2 * self.widest, b"\0") for x in coded), ">u2").astype(np.uint64)
+        self.range, self.place = np.full(n, 1 << 48, np.uint64), np.arange(n) * self.widest
+        self.last = self.place + self.widest - 1
+        self.x = np.zeros(n, np.uint64)
+        for _ in range(3):
+            self.x = (self.x << B16) | self.raw[self.place]
+            self.place += 1
+
+    def refill(self, rows: np.ndarray) -> None:
+        at = rows[self.range[rows] < WIDE]
+        while len(at):
+            place = self.place[at]
+            self.x[at] = (self.x[at] << B16) | self.raw.take(place)
+            self.place[at] = np.minimum(place + 1, self.last[at])
+            wide = self.range[at] << B16
+            self.range[at] = wide
+            at = at[wide < WIDE]
+
+    def bit(self, rows: np.ndarray, q: np.ndarray, truth: object) -> np.ndarray:
+        whole, x = self.range[rows], self.x[rows]
+        part = (whole >> B12) * q.astype(np.uint64)
+        found = x < part
+        self.x[rows] = np.where(found, x, x - part)
+        self.range[rows] = np.where(found, part, whole - part)
+        return found
+
+    def pick(self, rows: np.ndarray, counts: np.ndarray, k: object) -> np.ndarray:
+        upto = running(counts)
+        unit = np.maximum(self.range[rows] // upto[:, -1], B1)  # 0 in a damaged block only
+        x = self.x[rows]
+        k = (upto > np.minimum(x // unit, B16_MAX).astype(np.uint16)[:, None]).argmax(1)
+        at = k + np.arange(0, counts.size, counts.shape[1])
+        size = counts.reshape(-1).take(at).astype(np.uint64)
+        self.x[rows] = x - unit * (upto.reshape(-1).take(at) - size)
+        self.range[rows] = np.maximum(unit * size, B1)
+        return k
+
+
+class _Models:
+    """The models of blocks with ``sizes`` distinct symbols each, all in their first state.
+
+    Orders 1 and 2 hold a guess (and 4 bits of confidence) for the symbol that follows the last one, or the last two;
+    order 0 counts symbols.  An id takes one to four steps: is it order 2's guess (order 1's, where order 2 has
+    none); if not, is it order 1's other guess; if not, its group and its place there by order 0's counts.  The chance of a guess
+    mixes three votes: what its confidence was worth so far, what the other order's was, and its count.
     """
 
-    def __init__(self, n: int, bits: int):
-        slots = 1 << (TABLE_BITS - 4)
-        self.mask = np.int32(slots - 1)
-        self.counters = np.full(3 * n * slots * 16, 32768, np.uint16)
-        self.base = (np.arange(3 * n, dtype=np.int64) * slots * 16).reshape(3, n)
-        self.weights = np.full((bits, 3, n), 26_000, np.int32)
-        self.context = np.zeros((3, n), np.int32)
-        self.step = np.array([[1], [0x2F0B4C47], [0x3C6EF372]], np.int32)
-        self.hashed = np.array([[0], [1], [1]], np.int32)
-        self.bits = bits
-        self.low, self.high = np.zeros(n, np.uint32), np.full(n, 0xFFFFFFFF, np.uint32)
-
-    def turn(self, before: np.ndarray, last: np.ndarray) -> None:
-        """Set the contexts from the last two symbols and begin a symbol."""
-        self.context[1] = (last + 1) * np.int32(0x1E3779B1)
-        self.context[2] = self.context[1] * np.int32(0x05EBCA6B) + (before + 1) * np.int32(0x27D4EB2F)
-        self.symbol = np.ones(len(last), np.int32)
-
-    def chance(self, j: int):
-        """The mixed probability (of 4096) that bit ``j`` is 1, and what ``learn`` needs."""
-        if (self.bits - 1 - j) % 4 == 0:
-            mixed = self.context + self.symbol * self.step
-            mixed ^= (mixed >> 15) * self.hashed
-            self.slot = self.base + ((mixed & self.mask).astype(np.int64) << 4)
-            self.inner = np.ones_like(self.symbol)
-        at = self.slot + self.inner
-        p = self.counters.take(at).astype(np.int32)
-        votes = STRETCH.take(p >> 4)
-        q = SQUASH.take(np.clip((self.weights[j] * votes).sum(0) >> 16, -2047, 2047) + 2047)
-        return q, (at, p, votes, q, j)
-
-    def split(self, q: np.ndarray) -> np.ndarray:
-        return self.low + (((self.high - self.low) >> np.uint32(12)) * q.astype(np.uint32))
-
-    def learn(self, bit: np.ndarray, kept, middle: np.ndarray) -> None:
-        at, p, votes, q, j = kept
-        one = bit.astype(bool)
-        self.high = np.where(one, middle, self.high)
-        self.low = np.where(one, self.low, middle + np.uint32(1))
-        error = ((bit << 12) - q) * LEARN
-        self.weights[j] += (votes * error + 32768) >> 16
-        p += (bit * 65535 - p) >> RATES
-        self.counters[at] = p.astype(np.uint16)
-        self.inner = self.inner * 2 + bit
-        self.symbol = self.symbol * 2 + bit
-
-    def settled(self) -> np.ndarray:
-        """The blocks whose first byte is decided."""
-        return np.flatnonzero((self.low ^ self.high) < (1 << 24))
-
-    def shift(self, at: np.ndarray) -> None:
-        self.low[at] <<= np.uint32(8)
-        self.high[at] = (self.high[at] << np.uint32(8)) | np.uint32(255)
-
-
-def code_blocks(symbols: np.ndarray, bits: int) -> list[bytes]:
-    """Code each row of ``symbols`` (numbers below 2 to the ``bits``) on its own."""
+    #: Counters of a block: the first question by order 2's confidence, by order 1's where it differs or agrees, the second by each.
+    FIRST2, FIRST1, SECOND2, SECOND1, COUNTERS = 0, 16, 48, 64, 80
+
+    def __init__(self, sizes: np.ndarray):
+        n = len(sizes)
+        self.everyone, self.base = np.arange(n), np.arange(n) * SYMBOLS
+        self.guesses = np.zeros((2, n * SYMBOLS), np.uint16)
+        listed = np.arange(SYMBOLS) < sizes[:, None]
+        self.count = listed.astype(np.uint16).reshape(n * GROUPS, GROUP)
+        self.group = self.count.sum(1, dtype=np.uint16).reshape(n, GROUPS)
+        self.total = sizes.astype(np.float64)
+        sure = (np.arange(16) + 0.5) / 17
+        start = np.r_[sure, sure / 2, sure, sure / 2, sure]
+        self.trust = np.tile((start * 65536).astype(np.uint16), n)
+        self.trusted = self.everyone * self.COUNTERS
+        self.weights = np.full(9 * n, 26_000, np.int32)
+        self.weighed = self.everyone * 9 + np.arange(3)[:, None]
+
+    def ask(self, coder, rows, guess, counters, kind, truth) -> np.ndarray:
+        """Code whether ``guess`` is right; ``counters`` and ``kind`` choose the votes' counters and their weights."""
+        at = self.trusted[rows] + counters
+        p = self.trust.take(at).astype(np.int32)
+        share = self.count.reshape(-1).take(self.base[rows] + guess) * 4095.0 / self.total[rows]
+        votes = STRETCH.take(np.concatenate((p >> 4, share.astype(np.int32)[None])))
+        by = self.weighed[:, rows] + 3 * kind
+        w = self.weights.take(by)
+        q = SQUASH.take(np.clip((w * votes).sum(0) >> 16, -2047, 2047) + 2047)
+        right = coder.bit(rows, q, truth)
+        one = right.astype(np.int32)
+        self.weights[by] = w + ((votes * (((one << 12) - q) * LEARN) + 32768) >> 16)
+        self.trust[at] = (p + ((one * 65535 - p) >> RATE)).astype(np.uint16)
+        return right
+
+    def code(self, coder, before: np.ndarray, last: np.ndarray, s: np.ndarray | None) -> np.ndarray:
+        """Code one symbol of each block (``s`` where they are known) and learn from it."""
+        slots = np.stack((self.base + last, self.base + (((last * 0x9E5 + before * 0x3C6EF35) >> 3) & (SYMBOLS - 1))))
+        held = np.stack((self.guesses[0].take(slots[0]), self.guesses[1].take(slots[1]))).astype(np.int64)
+        sure = held & 15
+        guess1 = held[0] >> 4
+        guess2 = np.where(sure[1] > 0, held[1] >> 4, guess1)
+        same = guess1 == guess2
+        coder.refill(self.everyone)
+        right = self.ask(coder, self.everyone, guess2, np.stack((self.FIRST2 + sure[1], self.FIRST1 + 16 * same + sure[0])), same, None if s is None else s == guess2)
+        found = np.where(right, guess2, -1)
+        at = np.flatnonzero(~(right | same))
+        if len(at):
+            g = guess1[at]
+            right = self.ask(coder, at, g, np.stack((self.SECOND2 + sure[1][at], self.SECOND1 + sure[0][at])), 2, None if s is None else s[at] == g)
+            found[at[right]] = g[right]
+        at = np.flatnonzero(found < 0)
+        if len(at):
+            coder.refill(at)
+            want = None if s is None else s[at]
+            k = coder.pick(at, self.group.take(at, 0), None if s is None else want // GROUP)
+            found[at] = k * GROUP + coder.pick(at, self.count.take(at * GROUPS + k, 0), None if s is None else want & (GROUP - 1))
+        self.count.reshape(-1)[self.base + found] += COUNT
+        self.group.reshape(-1)[self.everyone * GROUPS + found // GROUP] += COUNT
+        self.total += COUNT
+        hit, weak = (held >> 4) == found, sure < 2
+        kept = np.where(hit, np.minimum(sure + 1, 15), np.where(weak, 1, sure >> 1)) | np.where(hit | weak, found, held >> 4) << 4
+        self.guesses[0][slots[0]] = kept[0]
+        self.guesses[1][slots[1]] = kept[1]
+        return found
+
+
+def code_blocks(symbols: np.ndarray, bits: int, sizes: np.ndarray | None = None) -> list[bytes]:
+    """Code each row of ``symbols`` on its own; they are below ``sizes`` (2 to the ``bits`` where not given), ``SYMBOLS`` at most."""
     n, length = symbols.shape
-    c, out_block, out_byte = _Coder(n, bits), [], []
-    before = last = np.full(n, -1, np.int32)
-    with np.errstate(over="ignore"):
-        for t in range(length):
-            s = np.ascontiguousarray(symbols[:, t])
-            c.turn(before, last)
-            for j in range(bits - 1, -1, -1):
-                q, kept = c.chance(j)
-                bit = (s >> j) & 1
-                c.learn(bit, kept, c.split(q))
-                at = c.settled()
-                while len(at):
-                    out_block.append(at)
-                    out_byte.append((c.high[at] >> np.uint32(24)).astype(np.uint8))
-                    c.shift(at)
-                    at = at[(c.low[at] ^ c.high[at]) < (1 << 24)]
-            before, last = last, s
-    everyone = np.arange(n)
-    for k in (24, 16, 8, 0):  # a number within the last interval
-        out_block.append(everyone)
-        out_byte.append((c.low >> np.uint32(k)).astype(np.uint8))
-    block, byte = np.concatenate(out_block), np.concatenate(out_byte)
-    order = np.argsort(block, kind="stable")
-    ends = np.cumsum(np.bincount(block, minlength=n))
-    raw = byte[order].tobytes()
-    return [raw[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
-
-
-def decode_blocks(coded: list[bytes], length: int, bits: int) -> np.ndarray:
+    models, coder = _Models(np.full(n, 1 << bits) if sizes is None else sizes), _Writer(n)
+    before = last = np.zeros(n, np.int64)
+    columns = np.ascontiguousarray(symbols.T)
+    for t in range(length):
+        before, last = last, models.code(coder, before, last, columns[t].astype(np.int64))
+    return coder.finish()
+
+
+def decode_blocks(coded: list[bytes], length: int, bits: int, sizes: np.ndarray | None = None) -> np.ndarray:
     """The symbols of blocks that ``code_blocks`` made, ``length`` of each."""
-    n, widest = len(coded), max(map(len, coded)) + 8
-    raw = np.frombuffer(b"".join(x.ljust(widest, b"\0") for x in coded), np.uint8).reshape(n, widest)
-    c, place = _Coder(n, bits), np.full(n, 4)
-    x = raw[:, :4].astype(np.uint32) @ np.array([1 << 24, 1 << 16, 1 << 8, 1], np.uint32)
-    out = np.empty((n, length), np.int32)
-    before = last = np.full(n, -1, np.int32)
-    with np.errstate(over="ignore"):
-        for t in range(length):
-            c.turn(before, last)
-            for j in range(bits - 1, -1, -1):
-                q, kept = c.chance(j)
-                middle = c.split(q)
-                bit = (x <= middle).astype(np.int32)
-                c.learn(bit, kept, middle)
-                at = c.settled()
-                while len(at):
-                    c.shift(at)
-                    x[at] = (x[at] << np.uint32(8)) | raw[at, np.minimum(place[at], widest - 1)]
-                    place[at] += 1
-                    at = at[(c.low[at] ^ c.high[at]) < (1 << 24)]
-            before, last = last, c.symbol - np.int32(1 << bits)
-            out[:, t] = last
-    return out
+    n = len(coded)
+    models, coder = _Models(np.full(n, 1 << bits) if sizes is None else sizes), _Reader(coded)
+    out = np.empty((length, n), np.int32)
+    before = last = np.zeros(n, np.int64)
+    for t in range(length):
+        before, last = last, models.code(coder, before, last, None)
+        out[t] = last
+    return np.ascontiguousarray(out.T)
 
 
 def write_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -191,7 +279,8 @@ def write_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray)
         symbols = np.zeros((len(blocks[k:k + TOGETHER]), rows), np.int32)
         for i, (_, s) in enumerate(listed[k:k + TOGETHER]):
             symbols[i, :len(s)] = s
-        for block, (values, _), code in zip(blocks[k:k + TOGETHER], listed[k:k + TOGETHER], code_blocks(symbols, width), strict=True):
+        sizes = np.array([len(values) for values, _ in listed[k:k + TOGETHER]])
+        for block, (values, _), code in zip(blocks[k:k + TOGETHER], listed[k:k + TOGETHER], code_blocks(symbols, width, sizes), strict=True):
             names = rice_encode(values.astype(np.uint64))
             heads.append((len(block), len(names), len(code), zlib.crc32(block.astype("<u4").tobytes())))
             bodies += [names, code]
@@ -218,10 +307,10 @@ def read_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         at += n_list + n_code
     ids = []
     for k in range(0, n_blocks, TOGETHER):
-        symbols = decode_blocks(codes[k:k + TOGETHER], rows, width)
-        for i, s in enumerate(symbols):
+        lists = [rice_decode(x).astype("<u4") for x in names[k:k + TOGETHER]]
+        symbols = decode_blocks(codes[k:k + TOGETHER], rows, width, np.array([len(v) for v in lists]))
+        for i, (s, listed) in enumerate(zip(symbols, lists, strict=True)):
             n, _, _, crc = heads[k + i].tolist()
-            listed = rice_decode(names[k + i]).astype("<u4")
             block = listed[np.minimum(s[:n], len(listed) - 1)]
             if zlib.crc32(block.tobytes()) != crc:
                 raise ValueError(f"block {k + i} is damaged")
