@@ -73,3 +73,49 @@ def test_short_texts_are_not_judged_by_histograms(spark):
 def test_no_labels_and_empty_table(spark):
     assert judge(frame(spark, [(1, GOOD, None)]), ["doc_id"]).first().kept
     assert judge(frame(spark, [(1, GOOD, "en")]).limit(0), ["doc_id"]).count() == 0
+
+
+def plain_class(c):
+    for name, chars in (("lower", "abcdefghijklmnopqrstuvwxyz"), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("digit", "0123456789"), ("space", " \t"),
+                        ("line", "\n\v\f\r"), ("stop", ".,;:!?'\"()-"), ("symbol", "#*$%&|<>")):
+        if c in chars:
+            return name
+    return "other" if ord(c) < 0x80 else "accent" if ord(c) < 0x800 else "wide"
+
+
+def plain_word(w):
+    w = w.strip(".,;:!?'\"()-#*$%&|<>").lower()
+    return w if w in quality.COMMON else None
+
+
+def entropy_distance(p, q):
+    """Root of the entropy of the even mixture less the mean entropy, in bits."""
+    def entropy(d):
+        return -sum(v * np.log2(v) for v in d.values() if v)
+    p, q = ({k: v / sum(d.values()) for k, v in d.items()} for d in (p, q))
+    mixture = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in p.keys() | q.keys()}
+    return np.sqrt(max(0, entropy(mixture) - (entropy(p) + entropy(q)) / 2))
+
+
+def test_verdict_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    rows = docs.collect()
+    assert rows
+    counted = {r.doc_id: (Counter(map(plain_class, r.text or "")), Counter(map(plain_word, WORD.findall(r.text or "")))) for r in rows}
+    references = {}
+    for r in rows:
+        if r.lang is not None:
+            for total, part in zip(references.setdefault(r.lang, (Counter(), Counter())), counted[r.doc_id], strict=True):
+                total.update(part)
+    got = {r.doc_id: r for r in judge(docs, ["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    judged = 0
+    for r in rows:
+        chars, words = counted[r.doc_id]
+        by_chars = min(entropy_distance(chars, x) for x, _ in references.values()) if chars.total() >= 500 else 0
+        by_words = min(entropy_distance(words, x) for _, x in references.values()) if words.total() >= 120 else 0
+        assert got[r.doc_id].char_jsd == pytest.approx(by_chars, abs=1e-6) and got[r.doc_id].word_jsd == pytest.approx(by_words, abs=1e-6)
+        assert got[r.doc_id].base_failed == base(r.text)[-1]
+        assert got[r.doc_id].kept == (not base(r.text)[-1] and by_chars <= 0.25 and by_words <= 0.36)
+        judged += by_chars > 0 and by_words > 0
+    assert judged > 50
