@@ -47,6 +47,8 @@ IBAN_LENGTHS = dict(zip((
     "LY MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SC SD SE SI SK SM ST SV TL TN TR UA VA VG XK").split(), map(int, (
         "24 23 28 20 28 20 16 22 22 29 28 21 22 28 24 22 18 28 20 29 24 18 18 27 22 22 23 18 27 28 21 28 22 23 23 26 27 30 30 20 28 32 21 20 20 21 "
         "25 27 24 22 19 27 31 30 18 15 24 28 29 25 29 24 22 24 31 18 24 19 24 27 25 28 23 24 26 29 22 24 20").split()), strict=True))
+#: Characters that a scan looks at first, and more than a match other than an address by mail has (that one has no space).
+WINDOW, LONGEST = 2048, 64
 #: Days of the Gregorian cycle from 1800-01-01, as a product for the two halves of the network.
 DAYS = (189, 773)
 
@@ -217,8 +219,12 @@ def scanned(stretch: str) -> str:
     moved = (f"named_struct('rest', substring(a.rest, n), 'plain', IF(f.kind IS NULL, concat(a.plain, substring(a.rest, 2, n - 1)), ''), "
              f"'done', IF(f.kind IS NULL, a.done, concat(a.done, array({valid}))))")
     step = _let(found, "f", _let(passed, "n", moved))
-    step = _let(f"length(split(a.rest, r'{ahead}', 2)[0])", "p", step)
-    step = _let(f"regexp_extract(a.rest, r'{ahead}', 0)", "m", f"IF(m = '', a, {step})")
+    # matched in a window that ends with a space, or in all that is left where the match may depend on what lies behind it
+    step = _let(f"length(split(u, r'{ahead}', 2)[0])", "p", step)
+    step = _let(f"regexp_extract(u, r'{ahead}', 0)", "m", f"IF(m = '', a, {step})")
+    inside = f"regexp_like(v, r'{ahead}') AND length(split(v, r'{ahead}', 2)[0]) + {LONGEST} < length(v)"
+    window = f"IF(octet_length(a.rest) > {WINDOW}, regexp_extract(left(a.rest, {WINDOW}), '(?s)^.* ', 0), '')"
+    step = _let(_let(window, "v", f"IF({inside}, v, a.rest)"), "u", step)
     none = "CAST(array() AS ARRAY<STRUCT<plain: STRING, x: STRING, kind: STRING>>)"
     end = "concat(a.done, array(named_struct('plain', concat(a.plain, substring(a.rest, 2)), 'x', '', 'kind', CAST(NULL AS STRING))))"
     return (f"aggregate(slice(sequence(0, {starts}), 2, {starts}), named_struct('rest', concat('\\n', {stretch}), 'plain', '', 'done', {none}), "
