@@ -1,7 +1,7 @@
 import duckdb
 
 from skyledger.llm import chat
-from skyledger.llm.chat import OP5_SQL, op5_chat_formatting, parsed, render_turns
+from skyledger.llm.chat import OP5_SQL, op5_chat_formatting, parsed, render_conversations, render_turns
 
 SCHEMA = "conv_id long, turn long, role string, text string, c string, k int, part string, kept int"
 
@@ -69,6 +69,26 @@ def test_turns_of_the_maximal_conversations(spark):
     assert render_turns(frame(spark, ROWS)).where("kept").count() == sum(v[0] for v in want.values() if v[1])
 
 
+def test_whole_conversations(spark):
+    """One row per conversation, with all its turns in order."""
+    got = {r.conv_id: (r.n_turns, r.kept, r.kept_as, r.rendered) for r in render_conversations(frame(spark, ROWS)).collect()}
+    assert got == brute(ROWS)
+
+
+def test_a_conversation_past_one_value_goes_on_in_further_rows(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART_BYTES", 60)
+    monkeypatch.setattr(chat, "BLOCK", 2)
+    rows = [(c, t, "u", f"té{t}" * (1 + t % 4)) for c in (1, 2) for t in range(9 if c == 1 else 4)] + [(None, 0, "u", "x")]
+    want = brute(rows)
+    found = {}
+    for r in sorted(render_conversations(frame(spark, rows)).collect(), key=lambda r: r.part):
+        n, text = found.get(r.conv_id, (0, None))
+        assert (r.part, r.n_turns, r.kept, r.kept_as) == (n, *want[r.conv_id][:3])
+        found[r.conv_id] = (n + 1, (text or "") + r.rendered if r.kept else None)
+    assert {c: text for c, (_, text) in found.items()} == {c: w[3] for c, w in want.items()}
+    assert found[1][0] > 1 == found[2][0] == found[None][0]
+
+
 def test_oracle(spark):
     conversations = duckdb.read_parquet("/root/testdata/sf0.01/conversations.parquet")  # noqa: F841
     want = duckdb.sql(OP5_SQL).fetchall()
