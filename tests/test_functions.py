@@ -149,3 +149,21 @@ def test_haversine(spark):
 def test_accent_table_is_rule_built():
     assert len(tx.ACCENT_DST) > 250 and all(len(c) == 1 for c in tx.ACCENT_DST)
     assert len(tx.ACCENT_SRC) == len(tx.ACCENT_DST) + 0x70   # plus the combining marks, which are deleted
+
+
+def test_names_of_one_row_group_are_romanised_in_several_tasks(spark, tmp_path):
+    from skyledger.plans.q_functions import romanise_scripts
+    names = spark.range(3000).select(F.col("id").alias("c_custkey"), F.format_string("Customer#%09d", "id").alias("c_name"))
+    names.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    out = romanise_scripts(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [c_custkey" in plan and out.count() == 3000
+    row = out.where("c_custkey = 27").first()
+    assert row.hangul.endswith("ichil") and row.devanagari.endswith("japa")
+
+
+def test_session_clock_adds_seconds(spark):
+    from skyledger.functions.calendar import session_clock
+    rows = [("2000-02-28", 86399), ("2000-02-28", 86400), ("1900-12-31", 0), (None, 5), ("2001-01-01", None)]
+    df = spark.createDataFrame(rows, "d string, s long").select(session_clock(F.col("d").cast("date"), F.col("s")).cast("string").alias("t"))
+    assert [r.t for r in df.collect()] == ["2000-02-28 23:59:59", "2000-02-29 00:00:00", "1900-12-31 00:00:00", None, None]
