@@ -31,6 +31,19 @@ def interleaved(*ranges: tuple[Column, int, int]) -> Column:
     return reduce(Column.__add__, bits)
 
 
+def ordered(df: DataFrame, partition_by: list[str] | None, sort_within: list[str] | None,
+            interleave: list[tuple[Column, int, int]] | None) -> DataFrame:
+    """``df`` dealt out and sorted as ``write_parquet`` writes it."""
+    # the interleaved number is a column while rows are dealt and sorted: as an expression each comparison would work it out anew
+    out = df.withColumn("__place", interleaved(*interleave)) if interleave else df
+    order = [*(partition_by or []), *(["__place"] if interleave else []), *(sort_within or [])]
+    if partition_by and sort_within:
+        out = out.repartitionByRange(*order)
+    if order:
+        out = out.sortWithinPartitions(*order)
+    return out.drop("__place") if interleave else out
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   sort_within: list[str] | None = None, only_touched: bool = False,
                   interleave: list[tuple[Column, int, int]] | None = None) -> str:
@@ -44,12 +57,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     tasks, which hashing by year would send to one) and each file covers a narrow range of the sort columns.
     ``interleave`` puts the order of several columns at once before ``sort_within``: files are tight on each of them.
     """
-    out = df
-    order = [*(partition_by or []), *([interleaved(*interleave)] if interleave else []), *(sort_within or [])]
-    if partition_by and sort_within:
-        out = out.repartitionByRange(*order)
-    if order:
-        out = out.sortWithinPartitions(*order)
+    out = ordered(df, partition_by, sort_within, interleave)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_touched else "static")
     if only_touched and not partition_by:
         raise ValueError("only a partitioned table can be replaced in part")

@@ -15,7 +15,7 @@ from skyledger.plans import roles
 from skyledger.plans.tables import Tables
 from skyledger.sources.buckets import read_buckets, write_buckets, write_details
 from skyledger.sources.schemas import WEATHER_MEASURES
-from skyledger.sources.sinks import interleaved, write_parquet
+from skyledger.sources.sinks import interleaved, ordered, write_parquet
 
 
 def plan(df) -> str:
@@ -151,3 +151,13 @@ def test_slices_of_place_and_of_date_read_few_files(spark, tmp_path):
     for column, low, high, columns in (("place", 500, 520, 1), ("day", 100, 108, 1), ("day", 180, 188, 2)):
         files, met = _files_of(both, column, low, high)
         assert files >= 50 and met <= 2 * columns * files ** 0.5, (column, files, met)
+
+
+def test_interleaved_number_is_worked_out_once_a_row(spark):
+    """Rows are sorted by a column: no sort or exchange works the number out again at each comparison."""
+    df = spark.range(100).select(F.lit(2000).alias("year"), (F.col("id") % 10).alias("day"), F.col("id").alias("place"))
+    out = ordered(df, ["year"], ["day"], [(F.col("day"), 0, 9), (F.col("place"), 0, 99)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    steps = [line for line in plan if "Sort [" in line or "RepartitionByExpression [" in line]
+    assert len(steps) == 2 and not any("shift" in line for line in steps)
+    assert out.columns == df.columns and sorted(out.collect()) == sorted(df.collect())
