@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import Words, bounds, documents, staged, sums, text_slices, texts
 from skyledger.llm.shingles import mixed
 from skyledger.operators.keys import number_rows
+from skyledger.operators.lookup import small_enough
 
 MIN_WORDS = 8
 PRIME = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -168,7 +169,7 @@ def within_one(a: list[str], b: list[str]) -> bool:
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """The keys of distinct lines (key, at, halves) that have an earlier line within one word."""
-    halves = distinct.select("key", F.explode("halves").alias("half")).distinct()
+    halves = distinct.select("key", F.explode(F.array_distinct("halves")).alias("half"))    # keys are distinct, so are the pairs
     crowded = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
     suspects = halves.join(crowded, "half", "left_semi").select("key").distinct()
     # numbered by their places, so a smaller number is an earlier line
@@ -177,11 +178,12 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     lines = staged(suspect_texts(docs, suspects), "lines-suspects")
     variants = staged(variant_table(lines), "lines-variants")
 
+    # few variants are shared: they are written before the join, so that Spark sees their size and need not move all variants to meet them
     replaced = variants.where("place >= 0").groupBy("v", "place").agg(F.min("n").alias("earlier"), F.max("n").alias("last")).where("earlier < last")
-    a = variants.join(replaced.drop("last"), ["v", "place"])
+    a = variants.join(staged(replaced.drop("last"), "lines-replaced"), ["v", "place"])
     left_out = variants.groupBy("v").agg(F.min(F.when(F.col("place") < 0, F.col("n"))).alias("self"),
                                          F.min(F.when(F.col("place") >= 0, F.col("n"))).alias("other")).where("self IS NOT NULL AND other IS NOT NULL")
-    b = variants.join(left_out, "v").withColumn("earlier", F.when(F.col("place") >= 0, F.col("self")).otherwise(F.col("other")))
+    b = variants.join(staged(left_out, "lines-left-out"), "v").withColumn("earlier", F.when(F.col("place") >= 0, F.col("self")).otherwise(F.col("other")))
     links = a.select("n", "earlier").unionByName(b.select("n", "earlier")).where("earlier < n").distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +204,20 @@ def each_row(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id IS NOT NULL").withColumn("copy", F.lit(False)).unionByName(unnamed.select("doc_id", "text", "row", "copy"))
 
 
+def with_gone(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows with the lines that go, or null (``gone``: __id, __row, gone, near; written).
+
+    Where the ids in ``gone`` are measured to fit a broadcast, only texts that lose a line are shuffled to meet their lines.
+    """
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))
+    ids = gone.select("__id", "__row")
+    if not small_enough(ids):
+        return rows.join(gone, same, "left")
+    ids = F.broadcast(ids)
+    whole = rows.join(ids, same, "left_anti")
+    return rows.join(ids, same, "left_semi").join(gone, same, "left").unionByName(whole, allowMissingColumns=True)
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_lines (with a word), n_exact and n_near (lines that go), text (of the lines that stay)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row"))
@@ -211,7 +227,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     known = staged(distinct.select("key", "at").join(near, "key", "left"), "lines-known")
     judged = lines.join(known, "key").withColumn("exact", F.col("at") < place())
     gone = judged.where("exact OR near").groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"), F.collect_set(F.when(~F.col("exact"), F.col("line"))).alias("near"))
-    gone = gone.withColumnsRenamed({"doc_id": "__id", "row": "__row"})
+    gone = staged(gone.withColumnsRenamed({"doc_id": "__id", "row": "__row"}), "lines-gone")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,8 +246,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n_lines, n_gone, n_near)], pa.array(kept, pa.string())],
                                                  names=["doc_id", "n_lines", "n_exact", "n_near", "text"])
 
-    joined = each_row(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row")), "left") \
-        .select("doc_id", "text", "gone", "near", "copy")
+    joined = with_gone(each_row(docs), gone).select("doc_id", "text", "gone", "near", "copy")
     return joined.mapInArrow(rebuild, "doc_id long, n_lines long, n_exact long, n_near long, text string")
 
 

@@ -3,7 +3,9 @@ import re
 
 import pytest
 
+from skyledger.llm import line_dedup
 from skyledger.llm.line_dedup import dedup_lines, within_one
+from skyledger.operators.keys import number_rows
 
 SCHEMA = "doc_id long, text string, line string, key int, n_lines string, gone int"
 
@@ -93,3 +95,30 @@ def test_rows_without_or_with_repeated_ids_are_judged_each(spark):
     left = sorted(x for r in out for x in (r.text or "").split("\n") if x)
     assert left == sorted(["A", "B", "C", "same", "x1", "x2", "p", "q", "r", "s", "z", near.format(3), *(f"only{i}" for i in range(5))])
     assert sum(r.n_lines for r in out) == 26 and sum(r.n_near for r in out) == 2 and sum(r.n_exact for r in out) == 26 - 17 - 2
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_only_texts_that_lose_lines_are_shuffled(spark, monkeypatch, fits):
+    """Where the ids fit a broadcast; the result is the same where they do not."""
+    monkeypatch.setattr(line_dedup, "small_enough", lambda df: fits)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = corpus()
+        out = dedup_lines(frame(spark, rows).repartition(3))
+        assert {r.doc_id: (r.n_lines, r.n_exact, r.n_near, r.text) for r in out.collect()} == brute(rows)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("LeftSemi" in plan and "LeftAnti" in plan) == fits
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_shared_variants_are_written_before_they_are_joined(spark, monkeypatch):
+    """Few are, so the table of all variants need not move to meet them; pairs of line and half are distinct as they come."""
+    plans, staged = {}, line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df, name: (plans.update({name: df}), staged(df, name))[1])
+    monkeypatch.setattr(line_dedup, "number_rows", lambda df, order, name: (plans.update(suspects=df), number_rows(df, order, name))[1])
+    dedup_lines(frame(spark, corpus())).collect()
+    assert {"lines-replaced", "lines-left-out"} <= set(plans)
+    text = plans["suspects"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [half" in text and "Aggregate [key" in text and not [x for x in text.splitlines() if "Aggregate [key" in x and "half" in x.split("]")[0]]
