@@ -12,6 +12,9 @@ lines share is summed up before its shuffle.  Links found this way are verified
 Variants are made only for lines that can have a partner: one edit leaves the first or the last half of the
 words as they were, so lines none of whose halves occurs in another line are left out beforehand, without loss.
 
+A join that few rows of a large table take part in meets a bit table of the other side's keys first, of fixed size at any
+input (``marked``): only rows that may match are shuffled, so whole texts, lines and variants stay where they are.
+
 A line without a word always stays.  A null text counts as empty.  A null doc_id is last in order.  Rows that share a doc_id, or have
 none, are judged each for itself, in the order of a 64-bit hash of their texts.  Rows equal in doc_id and text are treated
 alike; of rows without doc_id and with equal texts one is judged and the others lose all their worded lines.  Empty tables give no rows.
@@ -34,6 +37,7 @@ from skyledger.operators.keys import number_rows
 from skyledger.operators.lookup import small_enough
 
 MIN_WORDS = 8
+FILTER_WORDS = 1 << 20      # 64-bit words of a bit table of keys
 PRIME = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -138,11 +142,30 @@ def place() -> F.Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"), F.col("line").alias("line"))
 
 
+def marked(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows, and ``may``: true if their columns ``on`` are in ``keys``, and for a few that are not.
+
+    The keys are broadcast as a bit table of ``FILTER_WORDS`` words at most; more keys than it has room for mark more rows, and lose none.
+    """
+    spot = F.xxhash64(*on)
+    word, bit = spot.bitwiseAND(F.lit(FILTER_WORDS - 1)), F.shiftright(spot, 32).bitwiseAND(F.lit(63)).cast("int")
+    bits = keys.select(word.alias("__at"), bit.alias("__bit")).groupBy("__at").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    found = rows.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(bits), F.col("__word") == F.col("__at"), "left")
+    return found.withColumn("may", F.expr("coalesce(shiftright(__bits, __bit) & 1L, 0L) = 1L")).drop("__word", "__bit", "__at", "__bits")
+
+
+def may_match(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose columns ``on`` are in ``keys``, and a few others."""
+    return marked(rows, keys, on).where("may").drop("may")
+
+
 def suspect_texts(docs: DataFrame, suspects: DataFrame) -> DataFrame:
     """n, text of the first occurrence of each line in ``suspects`` (n, id, row, line)."""
-    wanted = suspects.groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("n", "line")).alias("wanted"))
-    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))).withColumn("lines", F.split("text", "\n", -1))
-    return found.select(F.explode("wanted").alias("w"), "lines").select("w.n", F.try_element_at("lines", F.col("w.line") + 1).alias("text")).where("text IS NOT NULL")
+    lines = docs.select(F.col("doc_id").alias("id"), "row", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    wanted = suspects.select("n", F.col("id").alias("__id"), F.col("row").alias("__row"), F.col("line").alias("__line"))
+    found = may_match(lines, suspects.select("id", "row", "line"), ["id", "row", "line"])
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row")) & (F.col("line") == F.col("__line"))
+    return found.join(wanted, same).select("n", "text")
 
 
 def variant_table(lines: DataFrame) -> DataFrame:
@@ -169,21 +192,23 @@ def within_one(a: list[str], b: list[str]) -> bool:
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """The keys of distinct lines (key, at, halves) that have an earlier line within one word."""
-    halves = distinct.select("key", F.explode(F.array_distinct("halves")).alias("half"))    # keys are distinct, so are the pairs
+    halves = distinct.select("key", "at", F.explode(F.array_distinct("halves")).alias("half")).where("half IS NOT NULL")    # keys are distinct, so are the pairs
     crowded = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
-    suspects = halves.join(crowded, "half", "left_semi").select("key").distinct()
+    suspects = may_match(halves, crowded, ["half"]).join(crowded, "half", "left_semi").groupBy("key").agg(F.first("at").alias("at"))
     # numbered by their places, so a smaller number is an earlier line
-    suspects = distinct.join(suspects, "key").select("key", "at.*")
+    suspects = suspects.select("key", "at.*")
     suspects = staged(number_rows(suspects, ["none", "id", "row", "line"], "n"), "lines-numbered")
     lines = staged(suspect_texts(docs, suspects), "lines-suspects")
     variants = staged(variant_table(lines), "lines-variants")
 
-    # few variants are shared: they are written before the join, so that Spark sees their size and need not move all variants to meet them
+    # few variants are shared: they are written before the join, and only variants that may be among them move to meet them
     replaced = variants.where("place >= 0").groupBy("v", "place").agg(F.min("n").alias("earlier"), F.max("n").alias("last")).where("earlier < last")
-    a = variants.join(staged(replaced.drop("last"), "lines-replaced"), ["v", "place"])
+    replaced = staged(replaced.drop("last"), "lines-replaced")
+    a = may_match(variants, replaced, ["v", "place"]).join(replaced, ["v", "place"])
     left_out = variants.groupBy("v").agg(F.min(F.when(F.col("place") < 0, F.col("n"))).alias("self"),
                                          F.min(F.when(F.col("place") >= 0, F.col("n"))).alias("other")).where("self IS NOT NULL AND other IS NOT NULL")
-    b = variants.join(staged(left_out, "lines-left-out"), "v").withColumn("earlier", F.when(F.col("place") >= 0, F.col("self")).otherwise(F.col("other")))
+    left_out = staged(left_out, "lines-left-out")
+    b = may_match(variants, left_out, ["v"]).join(left_out, "v").withColumn("earlier", F.when(F.col("place") >= 0, F.col("self")).otherwise(F.col("other")))
     links = a.select("n", "earlier").unionByName(b.select("n", "earlier")).where("earlier < n").distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,12 +232,14 @@ def each_row(docs: DataFrame) -> DataFrame:
 def with_gone(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows with the lines that go, or null (``gone``: __id, __row, gone, near; written).
 
-    Where the ids in ``gone`` are measured to fit a broadcast, only texts that lose a line are shuffled to meet their lines.
+    Where the ids in ``gone`` are measured to fit a broadcast, only texts that lose a line are shuffled to meet their lines;
+    past that, those that a bit table of the ids marks.
     """
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))
     ids = gone.select("__id", "__row")
     if not small_enough(ids):
-        return rows.join(gone, same, "left")
+        rows = marked(rows, ids.toDF("doc_id", "row"), ["doc_id", "row"])
+        return rows.where("may").drop("may").join(gone, same, "left").unionByName(rows.where("NOT may").drop("may"), allowMissingColumns=True)
     ids = F.broadcast(ids)
     whole = rows.join(ids, same, "left_anti")
     return rows.join(ids, same, "left_semi").join(gone, same, "left").unionByName(whole, allowMissingColumns=True)
@@ -222,10 +249,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_lines (with a word), n_exact and n_near (lines that go), text (of the lines that stay)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row"))
     lines = staged(line_table(docs), "lines")
-    distinct = staged(lines.groupBy("key").agg(F.min(place()).alias("at"), F.first("halves").alias("halves")), "lines-distinct")
+    distinct = staged(lines.groupBy("key").agg(F.min(place()).alias("at"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("copies")), "lines-distinct")
     near = near_lines(docs, distinct).withColumn("near", F.lit(True))
-    known = staged(distinct.select("key", "at").join(near, "key", "left"), "lines-known")
-    judged = lines.join(known, "key").withColumn("exact", F.col("at") < place())
+    # a line goes only if its words occur twice or are near others: the rest need not be judged
+    known = staged(distinct.where("copies > 1").select("key", "at").join(near, "key", "full"), "lines-known")
+    judged = may_match(lines, known, ["key"]).join(known, "key").withColumn("exact", F.coalesce(F.col("at") < place(), F.lit(False)))
     gone = judged.where("exact OR near").groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"), F.collect_set(F.when(~F.col("exact"), F.col("line"))).alias("near"))
     gone = staged(gone.withColumnsRenamed({"doc_id": "__id", "row": "__row"}), "lines-gone")
 

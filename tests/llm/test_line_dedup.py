@@ -122,3 +122,31 @@ def test_shared_variants_are_written_before_they_are_joined(spark, monkeypatch):
     assert {"lines-replaced", "lines-left-out"} <= set(plans)
     text = plans["suspects"]._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [half" in text and "Aggregate [key" in text and not [x for x in text.splitlines() if "Aggregate [key" in x and "half" in x.split("]")[0]]
+
+
+def test_marked_rows_hold_all_that_match(spark):
+    """None is lost, however few words the bit table has; few others are marked where it has room."""
+    rows = spark.range(20_000).selectExpr("if(id % 3 = 0, null, id) AS a", "cast(id AS int) AS b")
+    keys = rows.where("b % 50 = 0")
+    marked = line_dedup.marked(rows, keys, ["a", "b"])
+    assert marked.count() == 20_000 and marked.where("b % 50 = 0 AND NOT may").count() == 0 and marked.where("may").count() < 450
+    assert line_dedup.may_match(rows, keys.limit(0), ["a", "b"]).count() == 0
+
+
+def test_a_full_bit_table_changes_no_result(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FILTER_WORDS", 1)
+    rows = corpus()
+    got = {r.doc_id: (r.n_lines, r.n_exact, r.n_near, r.text) for r in dedup_lines(frame(spark, rows).repartition(3)).collect()}
+    assert got == brute(rows)
+
+
+def test_rows_meet_the_bit_table_before_they_are_shuffled(spark, monkeypatch):
+    """Halves, lines of suspects, variants and judged lines, at any size of the other side."""
+    plans, staged = {}, line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df, name: (plans.update({name: df}), staged(df, name))[1])
+    monkeypatch.setattr(line_dedup, "number_rows", lambda df, order, name: (plans.update(suspects=df), number_rows(df, order, name))[1])
+    monkeypatch.setattr(line_dedup, "suspect_texts", lambda docs, suspects, made=line_dedup.suspect_texts: (plans.update(found=made(docs, suspects)), plans["found"])[1])
+    dedup_lines(frame(spark, corpus())).collect()
+    for name in ("suspects", "found", "lines-gone", "lines-known"):
+        text = plans[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "bit_or" in text, name
