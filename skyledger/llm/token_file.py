@@ -11,11 +11,12 @@ The blocks of a file are coded in step with one another: every operation works o
 A file is one binary value, held with its place in a table that Spark writes (tasks commit whole files, so a lost executor's
 are written again).  Files hold whole documents in ascending doc_id order (null first), each followed by the end id.
 A null text counts as empty; rows with the same doc_id follow one another; an empty table gives no files and no rows;
-other columns are ignored.  Words are tokenized once per task and text, since this vocabulary's tokens never cross white space.
+other columns are ignored.  Words are cut to the tokenizer's pieces, which its tokens never cross, and a task tokenizes each piece once.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -23,25 +24,26 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import Words, documents, staged, text_slices
+from skyledger.llm.common import Words, bounds, documents, staged, text_slices
 from skyledger.llm.exact_dedup import rice_decode, rice_encode
 
 END = 2
 BLOCK_IDS = 2048
 TOGETHER = 4096             # blocks coded in step
 FILE_IDS = 1 << 23          # a file is closed at the first document end past so many ids
-CACHED_WORDS = 200_000      # distinct words that a task remembers
-SYMBOLS = 2048              # most distinct ids of a block
-GROUP = 32                  # order 0 codes a symbol as its group of 32, then its place there
-GROUPS = SYMBOLS // GROUP
-COUNT = 2                   # what an id seen adds to its count; ids listed but not seen yet count 1
+CACHED_WORDS = 400_000      # distinct pieces of words that a task remembers
+PLAIN = r"^[!-;=-~À-ÖØ-öø-įı-ſЀ-џ]+$"  # words that lower-casing alone normalises and that hold no special token (these begin with <)
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SLOTS = 1024                # contexts that a block keeps for each of orders 1 and 2
+SHARE_BITS = 18             # order 0 shares out 2 to so many (20 where a file has many distinct ids)
 RATE = 4
 LEARN = 10
-MAGIC = b"CMRC"
+MAGIC = b"CMR2"
 
 
 def default_tokenizer() -> str:
@@ -59,18 +61,36 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 SQUASH, STRETCH = _tables()
 B0, B1, B12, B16, B32 = (np.uint64(k) for k in (0, 1, 12, 16, 32))
-ONES = np.uint64(0x0001000100010001)
-WIDE, MASK32, B16_MAX = np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64((1 << 16) - 1)
+WIDE, MASK32 = np.uint64(1 << 32), np.uint64((1 << 32) - 1)
 
 
-def running(counts: np.ndarray) -> np.ndarray:
-    """Running sums (below 65536) along the rows of 16-bit counts, four to a multiplication."""
-    if counts.shape[1] % 4:
-        return counts.cumsum(1, dtype="<u2")
-    four = np.ascontiguousarray(counts, "<u2").view("<u8") * ONES
-    if four.shape[1] > 1:
-        four[:, 1:] += running((four >> np.uint64(48)).astype("<u2"))[:, :-1] * ONES
-    return four.view("<u2")
+class Shares:
+    """Order 0: symbol k has ``size[k]`` of 2 to the ``bits`` places, from ``start[k]`` on."""
+
+    def __init__(self, size: np.ndarray):
+        self.bits = int(size.sum()).bit_length() - 1
+        self.size, self.start = size.astype(np.uint64), (np.cumsum(size) - size).astype(np.uint64)
+        self.votes = STRETCH[size * 4095 >> self.bits]
+        self.shift = np.uint64(self.bits)
+        self.raw = size
+
+    def holders(self) -> np.ndarray:
+        """The symbol of each place."""
+        return np.repeat(np.arange(len(self.raw), dtype=np.int32), self.raw)
+
+    @staticmethod
+    def even(bits: int) -> Shares:
+        return Shares(np.full(1 << bits, 1 << max(SHARE_BITS - bits, 0)))
+
+    @staticmethod
+    def of(counts: np.ndarray) -> np.ndarray:
+        """The places that symbols seen so often get: one each and the rest in proportion."""
+        bits = SHARE_BITS if 4 * len(counts) <= 1 << SHARE_BITS else 20
+        if len(counts) >= 1 << bits:
+            raise ValueError("too many distinct ids in a file")
+        size = 1 + counts * ((1 << bits) - len(counts)) // counts.sum()
+        size[counts.argmax()] += (1 << bits) - size.sum()
+        return size
 
 
 class _Writer:
@@ -80,43 +100,40 @@ class _Writer:
         self.low, self.range = np.zeros(n, np.uint64), np.full(n, 1 << 48, np.uint64)
         self.block, self.digit = [], []
 
-    def refill(self, rows: np.ndarray) -> None:
-        """Send the digits of ``rows`` until their intervals are wide."""
-        at = rows[self.range[rows] < WIDE]
+    def refill(self) -> None:
+        """Send digits until all intervals are wide: a guess (12 bits) and a symbol (20 at most) can be coded then."""
+        at = np.flatnonzero(self.range < WIDE)
         while len(at):
-            low = self.low[at]
-            self.block.append(at)
+            low = self.low.take(at)
+            self.block.append(at.astype(np.uint16))
             self.digit.append((low >> B32).astype(np.uint32))
             self.low[at] = (low & MASK32) << B16
-            wide = self.range[at] << B16
+            wide = self.range.take(at) << B16
             self.range[at] = wide
             at = at[wide < WIDE]
 
-    def bit(self, rows: np.ndarray, q: np.ndarray, truth: np.ndarray) -> np.ndarray:
+    def bit(self, q: np.ndarray, truth: np.ndarray) -> np.ndarray:
         """Code whether ``truth`` holds, of probability ``q`` in 4096."""
-        whole = self.range[rows]
-        part = (whole >> B12) * q.astype(np.uint64)
-        self.low[rows] += np.where(truth, B0, part)
-        self.range[rows] = np.where(truth, part, whole - part)
+        part = (self.range >> B12) * q.astype(np.uint64)
+        self.low += part * ~truth
+        self.range = np.where(truth, part, self.range - part)
         return truth
 
-    def pick(self, rows: np.ndarray, counts: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Code that each row has its place ``k``, in proportion to its ``counts``."""
-        upto, at = running(counts), k + np.arange(0, counts.size, counts.shape[1])
-        size = counts.reshape(-1).take(at).astype(np.uint64)
-        unit = self.range[rows] // upto[:, -1]
-        self.low[rows] += unit * (upto.reshape(-1).take(at) - size)
-        self.range[rows] = unit * size
+    def pick(self, rows: np.ndarray, shares: Shares, k: np.ndarray) -> np.ndarray:
+        """Code the symbols ``k`` of ``rows`` by their shares."""
+        unit = self.range.take(rows) >> shares.shift
+        self.low[rows] += unit * shares.start.take(k)
+        self.range[rows] = unit * shares.size.take(k)
         return k
 
     def finish(self) -> list[bytes]:
         """What each block sent, carries added."""
         everyone = np.arange(len(self.low))
         for k in (32, 16, 0):
-            self.block.append(everyone)
+            self.block.append(everyone.astype(np.uint16))
             self.digit.append((self.low >> np.uint64(k)).astype(np.uint32) & np.uint32(0xFFFF if k < 32 else 0xFFFFFFFF))
         block, digit = np.concatenate(self.block), np.concatenate(self.digit)
-        digit = digit[np.argsort(block, kind="stable")]
+        digit = digit[np.argsort(block, kind="stable")]  # a radix sort, as blocks are 16 bits
         ends = np.cumsum(np.bincount(block, minlength=len(self.low)))
         while (digit >> 16).any():  # a carry goes to the digit before; a block's first never has one
             digit = (digit & np.uint32(0xFFFF)) + np.r_[digit[1:] >> 16, np.uint32(0)]
@@ -127,7 +144,8 @@ class _Writer:
 class _Reader:
     """The counterpart of ``_Writer``; what it is told of the symbols is ignored."""
 
-    def __init__(self, coded: list[bytes]):
+    def __init__(self, coded: list[bytes], shares: Shares):
+        self.holders = shares.holders()
         n, self.widest = len(coded), max(map(len, coded)) // 2 + 8
         self.raw = np.frombuffer(b"".join(x.ljust(2 * self.widest, b"\0") for x in coded), ">u2").astype(np.uint64)
         self.range, self.place = np.full(n, 1 << 48, np.uint64), np.arange(n) * self.widest
@@ -137,156 +155,140 @@ class _Reader:
             self.x = (self.x << B16) | self.raw[self.place]
             self.place += 1
 
-    def refill(self, rows: np.ndarray) -> None:
-        at = rows[self.range[rows] < WIDE]
+    def refill(self) -> None:
+        at = np.flatnonzero(self.range < WIDE)
         while len(at):
-            place = self.place[at]
-            self.x[at] = (self.x[at] << B16) | self.raw.take(place)
-            self.place[at] = np.minimum(place + 1, self.last[at])
-            wide = self.range[at] << B16
+            place = self.place.take(at)
+            self.x[at] = (self.x.take(at) << B16) | self.raw.take(place)
+            self.place[at] = np.minimum(place + 1, self.last.take(at))
+            wide = self.range.take(at) << B16
             self.range[at] = wide
             at = at[wide < WIDE]
 
-    def bit(self, rows: np.ndarray, q: np.ndarray, truth: object) -> np.ndarray:
-        whole, x = self.range[rows], self.x[rows]
-        part = (whole >> B12) * q.astype(np.uint64)
-        found = x < part
-        self.x[rows] = np.where(found, x, x - part)
-        self.range[rows] = np.where(found, part, whole - part)
+    def bit(self, q: np.ndarray, truth: object) -> np.ndarray:
+        part = (self.range >> B12) * q.astype(np.uint64)
+        found = self.x < part
+        self.x -= part * ~found
+        self.range = np.where(found, part, self.range - part)
         return found
 
-    def pick(self, rows: np.ndarray, counts: np.ndarray, k: object) -> np.ndarray:
-        upto = running(counts)
-        unit = np.maximum(self.range[rows] // upto[:, -1], B1)  # 0 in a damaged block only
-        x = self.x[rows]
-        k = (upto > np.minimum(x // unit, B16_MAX).astype(np.uint16)[:, None]).argmax(1)
-        at = k + np.arange(0, counts.size, counts.shape[1])
-        size = counts.reshape(-1).take(at).astype(np.uint64)
-        self.x[rows] = x - unit * (upto.reshape(-1).take(at) - size)
-        self.range[rows] = np.maximum(unit * size, B1)
+    def pick(self, rows: np.ndarray, shares: Shares, k: object) -> np.ndarray:
+        unit, x = self.range.take(rows) >> shares.shift, self.x.take(rows)
+        k = self.holders.take((x // unit).astype(np.int64), mode="clip")  # past the end in a damaged block only
+        self.x[rows] = x - unit * shares.start.take(k)
+        self.range[rows] = unit * shares.size.take(k)
         return k
 
 
 class _Models:
-    """The models of blocks with ``sizes`` distinct symbols each, all in their first state.
+    """The models of ``n`` blocks, all in their first state.
 
-    Orders 1 and 2 hold a guess (and 4 bits of confidence) for the symbol that follows the last one, or the last two;
-    order 0 counts symbols.  An id takes one to four steps: is it order 2's guess (order 1's, where order 2 has
-    none); if not, is it order 1's other guess; if not, its group and its place there by order 0's counts.  The chance of a guess
-    mixes three votes: what its confidence was worth so far, what the other order's was, and its count.
+    Orders 1 and 2 hold a guess (and 4 bits of confidence) for the symbol that follows the last one, or the last two.
+    An id takes one or two steps: is it the surer order's guess; if not, which symbol by order 0's shares.
+    The chance of a guess mixes three votes: what order 2's confidence was worth so far, what order 1's was, and order 0's share.
     """
 
-    #: Counters of a block: the first question by order 2's confidence, by order 1's where it differs or agrees, the second by each.
-    FIRST2, FIRST1, SECOND2, SECOND1, COUNTERS = 0, 16, 48, 64, 80
-
-    def __init__(self, sizes: np.ndarray):
-        n = len(sizes)
-        self.everyone, self.base = np.arange(n), np.arange(n) * SYMBOLS
-        self.guesses = np.zeros((2, n * SYMBOLS), np.uint16)
-        listed = np.arange(SYMBOLS) < sizes[:, None]
-        self.count = listed.astype(np.uint16).reshape(n * GROUPS, GROUP)
-        self.group = self.count.sum(1, dtype=np.uint16).reshape(n, GROUPS)
-        self.total = sizes.astype(np.float64)
-        sure = (np.arange(16) + 0.5) / 17
-        start = np.r_[sure, sure / 2, sure, sure / 2, sure]
-        self.trust = np.tile((start * 65536).astype(np.uint16), n)
-        self.trusted = self.everyone * self.COUNTERS
-        self.weights = np.full(9 * n, 26_000, np.int32)
-        self.weighed = self.everyone * 9 + np.arange(3)[:, None]
-
-    def ask(self, coder, rows, guess, counters, kind, truth) -> np.ndarray:
-        """Code whether ``guess`` is right; ``counters`` and ``kind`` choose the votes' counters and their weights."""
-        at = self.trusted[rows] + counters
-        p = self.trust.take(at).astype(np.int32)
-        share = self.count.reshape(-1).take(self.base[rows] + guess) * 4095.0 / self.total[rows]
-        votes = STRETCH.take(np.concatenate((p >> 4, share.astype(np.int32)[None])))
-        by = self.weighed[:, rows] + 3 * kind
-        w = self.weights.take(by)
-        q = SQUASH.take(np.clip((w * votes).sum(0) >> 16, -2047, 2047) + 2047)
-        right = coder.bit(rows, q, truth)
-        one = right.astype(np.int32)
-        self.weights[by] = w + ((votes * (((one << 12) - q) * LEARN) + 32768) >> 16)
-        self.trust[at] = (p + ((one * 65535 - p) >> RATE)).astype(np.uint16)
-        return right
+    #: Counters of a block: each order's confidence by whether the guesses agree and which one is asked.
+    COUNTERS = 128
+
+    def __init__(self, n: int, shares: Shares):
+        self.shares = shares
+        self.base = np.arange(n) * SLOTS + np.array([[0], [n * SLOTS]])
+        self.held = np.zeros(2 * n * SLOTS, np.int32)
+        sure = np.tile((np.arange(16) + 0.5) / 17, 8)
+        self.trust = np.tile((sure * 65536).astype(np.int32), n)
+        self.trusted = np.arange(n) * self.COUNTERS + np.array([[0], [64]])
+        self.weights = np.full((3, n), 26_000, np.int32)
 
     def code(self, coder, before: np.ndarray, last: np.ndarray, s: np.ndarray | None) -> np.ndarray:
         """Code one symbol of each block (``s`` where they are known) and learn from it."""
-        slots = np.stack((self.base + last, self.base + (((last * 0x9E5 + before * 0x3C6EF35) >> 3) & (SYMBOLS - 1))))
-        held = np.stack((self.guesses[0].take(slots[0]), self.guesses[1].take(slots[1]))).astype(np.int64)
-        sure = held & 15
-        guess1 = held[0] >> 4
-        guess2 = np.where(sure[1] > 0, held[1] >> 4, guess1)
-        same = guess1 == guess2
-        coder.refill(self.everyone)
-        right = self.ask(coder, self.everyone, guess2, np.stack((self.FIRST2 + sure[1], self.FIRST1 + 16 * same + sure[0])), same, None if s is None else s == guess2)
-        found = np.where(right, guess2, -1)
-        at = np.flatnonzero(~(right | same))
-        if len(at):
-            g = guess1[at]
-            right = self.ask(coder, at, g, np.stack((self.SECOND2 + sure[1][at], self.SECOND1 + sure[0][at])), 2, None if s is None else s[at] == g)
-            found[at[right]] = g[right]
-        at = np.flatnonzero(found < 0)
-        if len(at):
-            coder.refill(at)
-            want = None if s is None else s[at]
-            k = coder.pick(at, self.group.take(at, 0), None if s is None else want // GROUP)
-            found[at] = k * GROUP + coder.pick(at, self.count.take(at * GROUPS + k, 0), None if s is None else want & (GROUP - 1))
-        self.count.reshape(-1)[self.base + found] += COUNT
-        self.group.reshape(-1)[self.everyone * GROUPS + found // GROUP] += COUNT
-        self.total += COUNT
-        hit, weak = (held >> 4) == found, sure < 2
-        kept = np.where(hit, np.minimum(sure + 1, 15), np.where(weak, 1, sure >> 1)) | np.where(hit | weak, found, held >> 4) << 4
-        self.guesses[0][slots[0]] = kept[0]
-        self.guesses[1][slots[1]] = kept[1]
+        slots = np.stack((last, (last * 0x9E5 + before * 0x3C6EF35) >> 3))
+        slots &= SLOTS - 1
+        slots += self.base
+        held = self.held.take(slots)
+        sure, guesses = held & 15, held >> 4
+        second = sure[1] * 2 >= sure[0]
+        guess = np.where(second, guesses[1], guesses[0])
+        at = self.trusted + (sure + ((guesses[0] == guesses[1]) * np.int32(16) + second * np.int32(32)))
+        p = self.trust.take(at)
+        votes = np.empty(self.weights.shape, np.int32)
+        STRETCH.take(p >> 4, out=votes[:2], mode="clip")
+        self.shares.votes.take(guess, out=votes[2], mode="clip")
+        mixed = self.weights * votes
+        q = SQUASH.take((mixed[0] + mixed[1] + mixed[2] >> 16) + 2047, mode="clip")
+        coder.refill()
+        right = coder.bit(q, None if s is None else s == guess)
+        one = right.astype(np.int32)
+        votes *= ((one << 12) - q) * LEARN
+        votes += 32768
+        votes >>= 16
+        self.weights += votes
+        self.trust[at] = p + ((one * 65535 - p) >> RATE)
+        missed = np.flatnonzero(~right)
+        if s is None:
+            found = guess
+            found[missed] = coder.pick(missed, self.shares, None)
+        else:
+            found = s
+            coder.pick(missed, self.shares, s.take(missed))
+        self.held[slots] = np.where(guesses == found, held + (sure < 15), np.where(sure < 2, found << 4 | 1, held - (sure + 1 >> 1)))
         return found
 
 
-def code_blocks(symbols: np.ndarray, bits: int, sizes: np.ndarray | None = None) -> list[bytes]:
-    """Code each row of ``symbols`` on its own; they are below ``sizes`` (2 to the ``bits`` where not given), ``SYMBOLS`` at most."""
+def code_blocks(symbols: np.ndarray, bits: int, shares: Shares | None = None) -> list[bytes]:
+    """Code each row of ``symbols`` on its own; order 0 gives them ``shares`` (even ones below 2 to the ``bits`` where not given)."""
     n, length = symbols.shape
-    models, coder = _Models(np.full(n, 1 << bits) if sizes is None else sizes), _Writer(n)
+    models, coder = _Models(n, shares or Shares.even(bits)), _Writer(n)
     before = last = np.zeros(n, np.int64)
     columns = np.ascontiguousarray(symbols.T)
     for t in range(length):
-        before, last = last, models.code(coder, before, last, columns[t].astype(np.int64))
+        before, last = last, models.code(coder, before, last, columns[t]).astype(np.int64)
     return coder.finish()
 
 
-def decode_blocks(coded: list[bytes], length: int, bits: int, sizes: np.ndarray | None = None) -> np.ndarray:
+def decode_blocks(coded: list[bytes], length: int, bits: int, shares: Shares | None = None) -> np.ndarray:
     """The symbols of blocks that ``code_blocks`` made, ``length`` of each."""
-    n = len(coded)
-    models, coder = _Models(np.full(n, 1 << bits) if sizes is None else sizes), _Reader(coded)
+    n, shares = len(coded), shares or Shares.even(bits)
+    models, coder = _Models(n, shares), _Reader(coded, shares)
     out = np.empty((length, n), np.int32)
     before = last = np.zeros(n, np.int64)
     for t in range(length):
-        before, last = last, models.code(coder, before, last, None)
-        out[t] = last
+        out[t] = models.code(coder, before, last, None)
+        before, last = last, out[t].astype(np.int64)
     return np.ascontiguousarray(out.T)
 
 
 def write_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """A file of documents: their ids one after another.
 
-    Layout (little-endian): magic, documents (8 bytes), ids (8), blocks (4), bits a symbol of each group (1 byte), block ids (4);
-    per document its doc_id (8), whether null (1), length (8); per block its ids (4), bytes of its list (4), bytes of its code (4), CRC-32 (4);
-    then lists and codes in turn.
+    Layout (little-endian): magic, documents (8 bytes), ids (8), blocks (4), ids a block (4), bytes of the list of distinct ids (4) and of
+    their shares (4); per document its doc_id (8), whether null (1), length (8); list, shares; per block bytes of its code (4), CRC-32 of its ids (4); codes.
     """
     blocks = [ids[a:a + BLOCK_IDS] for a in range(0, len(ids), BLOCK_IDS)]
-    listed = [np.unique(b, return_inverse=True) for b in blocks]
-    width = max([1, *(int(len(v) - 1).bit_length() for v, _ in listed)])
-    rows, heads, bodies = min(len(ids), BLOCK_IDS), [], []
-    for k in range(0, len(blocks), TOGETHER):
-        symbols = np.zeros((len(blocks[k:k + TOGETHER]), rows), np.int32)
-        for i, (_, s) in enumerate(listed[k:k + TOGETHER]):
-            symbols[i, :len(s)] = s
-        sizes = np.array([len(values) for values, _ in listed[k:k + TOGETHER]])
-        for block, (values, _), code in zip(blocks[k:k + TOGETHER], listed[k:k + TOGETHER], code_blocks(symbols, width, sizes), strict=True):
-            names = rice_encode(values.astype(np.uint64))
-            heads.append((len(block), len(names), len(code), zlib.crc32(block.astype("<u4").tobytes())))
-            bodies += [names, code]
+    rows, heads, codes, names, marks = min(len(ids), BLOCK_IDS), [], [], b"", b""
+    if blocks:
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        size = Shares.of(counts[values])
+        names, marks = rice_encode(values.astype(np.uint64)), rice_encode(np.cumsum(size).astype(np.uint64))
+        order, shares = ranked(size)
+        rank = np.zeros(len(counts), np.int32)
+        rank[values[order]] = np.arange(len(values))
+        symbols = np.zeros(len(blocks) * rows, np.int32)
+        symbols[:len(ids)] = rank[ids]
+        symbols = symbols.reshape(-1, rows)
+        for k in range(0, len(blocks), TOGETHER):
+            codes += code_blocks(symbols[k:k + TOGETHER], 0, shares)
+        heads = [(len(c), zlib.crc32(b.astype("<u4").tobytes())) for b, c in zip(blocks, codes, strict=True)]
     table = np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes() + np.array([d is None for d in doc_ids], np.uint8).tobytes() + lengths.astype("<u8").tobytes()
-    head = MAGIC + np.array([len(doc_ids), len(ids)], "<u8").tobytes() + np.array([len(blocks), width, rows], "<u4").tobytes()
-    return head + table + np.array(heads, "<u4").reshape(-1, 4).tobytes() + b"".join(bodies)
+    head = MAGIC + np.array([len(doc_ids), len(ids)], "<u8").tobytes() + np.array([len(blocks), rows, len(names), len(marks)], "<u4").tobytes()
+    return head + table + names + marks + np.array(heads, "<u4").reshape(-1, 2).tobytes() + b"".join(codes)
+
+
+def ranked(size: np.ndarray) -> tuple[np.ndarray, Shares]:
+    """Symbols go by falling share: which of the listed each is, and their shares."""
+    order = np.argsort(-size, kind="stable")
+    return order, Shares(size[order])
 
 
 def read_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -294,30 +296,28 @@ def read_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     if raw[:4] != MAGIC:
         raise ValueError("not a token file")
     n_docs, n_ids = map(int, np.frombuffer(raw, "<u8", 2, 4))
-    n_blocks, width, rows = map(int, np.frombuffer(raw, "<u4", 3, 20))
-    at = 32
+    n_blocks, rows, n_names, n_marks = map(int, np.frombuffer(raw, "<u4", 4, 20))
+    at = 36
     docs, at = np.frombuffer(raw, "<i8", n_docs, at), at + 8 * n_docs
     null, at = np.frombuffer(raw, np.uint8, n_docs, at), at + n_docs
     lengths, at = np.frombuffer(raw, "<u8", n_docs, at), at + 8 * n_docs
-    heads, at = np.frombuffer(raw, "<u4", 4 * n_blocks, at).reshape(-1, 4), at + 16 * n_blocks
-    names, codes = [], []
-    for _, n_list, n_code, _ in heads.tolist():
-        names.append(raw[at:at + n_list])
-        codes.append(raw[at + n_list:at + n_list + n_code])
-        at += n_list + n_code
-    ids = []
-    for k in range(0, n_blocks, TOGETHER):
-        lists = [rice_decode(x).astype("<u4") for x in names[k:k + TOGETHER]]
-        symbols = decode_blocks(codes[k:k + TOGETHER], rows, width, np.array([len(v) for v in lists]))
-        for i, (s, listed) in enumerate(zip(symbols, lists, strict=True)):
-            n, _, _, crc = heads[k + i].tolist()
-            block = listed[np.minimum(s[:n], len(listed) - 1)]
-            if zlib.crc32(block.tobytes()) != crc:
-                raise ValueError(f"block {k + i} is damaged")
-            ids.append(block)
-    found = np.concatenate(ids or [np.zeros(0, "<u4")])
-    if len(found) != n_ids:
+    names, marks, at = raw[at:at + n_names], raw[at + n_names:at + n_names + n_marks], at + n_names + n_marks
+    heads, at = np.frombuffer(raw, "<u4", 2 * n_blocks, at).reshape(-1, 2), at + 8 * n_blocks
+    found = np.zeros((n_blocks, rows), "<u4")
+    if n_blocks:
+        order, shares = ranked(np.diff(rice_decode(marks).astype(np.int64), prepend=0))
+        listed = rice_decode(names).astype("<u4")[order]
+        stop = at + np.cumsum(heads[:, 0].astype(np.int64))
+        codes = [raw[b - n:b] for n, b in zip(heads[:, 0].tolist(), stop.tolist(), strict=True)]
+        for k in range(0, n_blocks, TOGETHER):
+            found[k:k + TOGETHER] = listed[decode_blocks(codes[k:k + TOGETHER], rows, 0, shares)]
+    found = found.reshape(-1)
+    if n_blocks != -(-n_ids // rows if rows else 0) or len(found) < n_ids:
         raise ValueError("the file is incomplete")
+    found = found[:n_ids]
+    for i, crc in enumerate(heads[:, 1].tolist()):
+        if zlib.crc32(found[i * rows:(i + 1) * rows].tobytes()) != crc:
+            raise ValueError(f"block {i} is damaged")
     return [None if z else int(d) for d, z in zip(docs, null, strict=True)], lengths.astype(np.int64), found
 
 
@@ -328,38 +328,89 @@ def tokenizer(path: str | None):
     return Tokenizer.from_file(path or default_tokenizer())
 
 
+@lru_cache(maxsize=1)
+def pieces(path: str | None) -> tuple[str, np.ndarray] | None:
+    """(pattern of the pieces that lower-cased ``PLAIN`` words fall into, whether an id ends a piece), where the tokenizer has such."""
+    made = tokenizer(path)
+    spec = json.loads(made.to_str())
+    rules, cuts = ((spec[k] or {}).get(of, []) for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
+    suffix = spec["model"].get("end_of_word_suffix")
+    if ([r["type"] for r in rules], [c["type"] for c in cuts], suffix) != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "</w>") or spec["post_processor"]:
+        return None
+    split, coded = cuts
+    if rules[1]["pattern"] != {"Regex": "\\s+"} or rules[1]["content"] != " " or (split["behavior"], split["invert"], split["pattern"].get("Regex")) != ("Removed", True, PIECES):
+        return None
+    if coded["use_regex"] or coded["add_prefix_space"]:
+        return None
+    ends = np.zeros(made.get_vocab_size(), bool)
+    ends[[i for token, i in made.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
+    return PIECES, ends
+
+
 class WordTokens:
-    """The ids of words, remembered."""
+    """The ids of words, made of pieces whose ids are remembered.
+
+    A word of ``PLAIN`` characters is lower-cased and cut as the tokenizer cuts it; new pieces are encoded joined by spaces, which the tokenizer
+    drops, and told apart by the ids that end a piece.  Any other word is a piece of its own and encoded alone.
+    """
 
     def __init__(self, path: str | None, end: int):
-        self.tokenizer, self.end = tokenizer(path), end
+        self.tokenizer, self.end, self.pieces = tokenizer(path), end, pieces(path)
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.start, self.size = np.array([self.end], np.int64), np.array([0]), np.array([1])  # entry 0: the end id
+        self.known, self.flat, self.stop = pa.array([], pa.large_string()), np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def learn(self, new: pa.Array) -> None:
+        """Remember the ids of ``new`` pieces."""
+        plain = self.plain(new)
+        together, alone = new.filter(plain), new.filter(pc.invert(plain)).to_pylist()
+        ids, size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if len(together):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(together.to_pylist())], add_special_tokens=False)[0].ids, np.int32)
+            stop = np.flatnonzero(self.pieces[1][ids]) + 1
+            if len(stop) != len(together) or stop[-1] != len(ids):
+                raise ValueError("the tokenizer cuts plain words otherwise")
+            size = np.diff(stop, prepend=0)
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)] if alone else []
+        self.known = pa.concat_arrays([self.known, together, pa.array(alone, self.known.type)])
+        self.flat = np.concatenate((self.flat, ids, np.array([i for m in made for i in m], np.int32)))
+        self.stop = np.r_[self.stop, self.stop[-1] + np.cumsum(np.r_[size, [len(m) for m in made]].astype(np.int64))]
+
+    def plain(self, values: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(values, PLAIN) if self.pieces else pa.array(np.zeros(len(values), bool))
+
+    def cut(self, values: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(distinct pieces, the pieces of all words, where each word's begin)."""
+        if not self.pieces:
+            return values, np.arange(len(values)), np.arange(len(values) + 1)
+        plain = self.plain(values)
+        parts = Words(pc.replace_substring_regex(pc.utf8_lower(values.filter(plain)), f"({self.pieces[0]})", "\\1 "))
+        rest = values.filter(pc.invert(plain))
+        plain = plain.to_numpy(zero_copy_only=False)
+        size = np.ones(len(values), np.int64)
+        size[plain] = parts.counts
+        codes = np.empty(size.sum(), np.int64)
+        of_plain = np.repeat(plain, size)
+        codes[of_plain], codes[~of_plain] = parts.codes, len(parts.values) + np.arange(len(rest))
+        return pa.concat_arrays([parts.values.cast(rest.type), rest]), codes, np.r_[0, np.cumsum(size)]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; ids per text)."""
         words = Words(column)
-        values = words.values.to_pylist()
+        values, codes, first = self.cut(words.values.cast(pa.large_string()))
         if len(self.known) > CACHED_WORDS:
             self.reset()
-        new = [w for w in values if w not in self.known]
-        if new:
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            size = np.array([len(m) for m in made])
-            self.known.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
-            self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
-            self.size = np.r_[self.size, size]
-            self.flat = np.r_[self.flat, np.array([i for m in made for i in m], np.int64)]
-        entry = np.fromiter((self.known[w] for w in values), np.int64, len(values))
-        which = np.insert(entry[words.codes] if len(words.codes) else words.codes, words.first[1:], 0)
-        size = self.size[which]
-        stop = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[which] - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)]
-        upto = np.r_[0, stop][words.first[1:] + np.arange(1, len(words.first))]
-        return ids, np.diff(upto, prepend=0)
+        place = pc.index_in(values, self.known)
+        if place.null_count:
+            self.learn(values.filter(pc.is_null(place)))
+            place = pc.index_in(values, self.known)
+        of_pieces = pa.LargeListArray.from_arrays(self.stop, self.flat).take(place.take(pa.array(codes)))
+        stop = bounds(of_pieces)[first]
+        lists = pa.LargeListArray.from_arrays(np.r_[stop, stop[-1] + 1], np.r_[of_pieces.flatten().to_numpy(), np.int32(self.end)])
+        which = np.insert(words.codes, words.first[1:], len(words.values))
+        found = lists.take(pa.array(which))
+        return found.flatten().to_numpy(), np.diff(bounds(found)[np.r_[0, words.first[1:] + np.arange(1, len(words.first))]])
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str | None = None, end: int = END) -> DataFrame:
@@ -378,7 +429,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str | None = None, end: i
                 some, size = words.encode(run.column("text"))
                 names += run.column("doc_id").to_pylist()
                 lengths.append(size)
-                ids.append(some.astype(np.int32))
+                ids.append(some)
                 held += len(some)
                 if held >= FILE_IDS:
                     yield flush()
@@ -394,20 +445,18 @@ def read_token_files(files: DataFrame) -> DataFrame:
     """Per document of the files: doc_id, start (ids before it in all files), n_tokens, ids_crc32."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, seq, raw in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "file")), strict=True):
+            for offset, raw in zip(batch.column("offset").to_pylist(), batch.column("file").to_pylist(), strict=True):
                 docs, lengths, ids = read_file(raw)
                 stop = np.cumsum(lengths)
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(stop - lengths, stop, strict=True)]
-                n = len(docs)
-                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(docs, pa.int64()),
-                                                  pa.array(stop - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
-                                                 names=["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(offset + stop - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
+                                                 names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    found = files.select("part", "seq", "file").mapInArrow(read, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
-    # one row per file
+    # one row per file; joined before the files are read back, so that each is read and decoded once
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("part", "seq", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("offset"))
-    return found.join(offsets, ["part", "seq"]).select("doc_id", (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    return files.select("part", "seq", "file").join(F.broadcast(offsets), ["part", "seq"]).select("offset", "file").mapInArrow(
+        read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
