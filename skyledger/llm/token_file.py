@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,6 +39,8 @@ TOGETHER = 4096             # blocks coded in step
 FILE_IDS = 1 << 23          # a file is closed at the first document end past so many ids
 CACHED_WORDS = 400_000      # distinct pieces of words that a task remembers
 PLAIN = r"^[!-;=-~À-ÖØ-öø-įı-ſЀ-џ]+$"  # words that lower-casing alone normalises and that hold no special token (these begin with <)
+LETTERS = "".join(c for c in map(chr, range(0x460)) if re.match(r"[A-Za-zÀ-ÖØ-öø-įı-ſЀ-џ]", c))
+MARKS = "!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SLOTS = 1024                # contexts that a block keeps for each of orders 1 and 2
 SHARE_BITS = 18             # order 0 shares out 2 to so many (20 where a file has many distinct ids)
@@ -102,7 +105,7 @@ class _Writer:
 
     def refill(self) -> None:
         """Send digits until all intervals are wide: a guess (12 bits) and a symbol (20 at most) can be coded then."""
-        at = np.flatnonzero(self.range < WIDE)
+        at = (self.range < WIDE).nonzero()[0]
         while len(at):
             low = self.low.take(at)
             self.block.append(at.astype(np.uint16))
@@ -156,7 +159,7 @@ class _Reader:
             self.place += 1
 
     def refill(self) -> None:
-        at = np.flatnonzero(self.range < WIDE)
+        at = (self.range < WIDE).nonzero()[0]
         while len(at):
             place = self.place.take(at)
             self.x[at] = (self.x.take(at) << B16) | self.raw.take(place)
@@ -188,31 +191,35 @@ class _Models:
     The chance of a guess mixes three votes: what order 2's confidence was worth so far, what order 1's was, and order 0's share.
     """
 
-    #: Counters of a block: each order's confidence by whether the guesses agree and which one is asked.
-    COUNTERS = 128
+    #: Counters of an order in a block: its confidence by whether the guesses agree and which one is asked.
+    COUNTERS = 64
 
     def __init__(self, n: int, shares: Shares):
-        self.shares = shares
-        self.base = np.arange(n) * SLOTS + np.array([[0], [n * SLOTS]])
+        self.n, self.shares = n, shares
+        self.base = np.arange(2 * n) * SLOTS  # both orders' arrays in one: order 1 of all blocks, then order 2
         self.held = np.zeros(2 * n * SLOTS, np.int32)
-        sure = np.tile((np.arange(16) + 0.5) / 17, 8)
-        self.trust = np.tile((sure * 65536).astype(np.int32), n)
-        self.trusted = np.arange(n) * self.COUNTERS + np.array([[0], [64]])
+        sure = np.tile((np.arange(16) + 0.5) / 17, 4)
+        self.trust = np.tile((sure * 65536).astype(np.int32), 2 * n)
+        self.trusted = np.arange(2 * n) * self.COUNTERS
         self.weights = np.full((3, n), 26_000, np.int32)
+        self.hashed, self.votes = np.empty(2 * n, np.int32), np.empty((3, n), np.int32)
 
     def code(self, coder, before: np.ndarray, last: np.ndarray, s: np.ndarray | None) -> np.ndarray:
         """Code one symbol of each block (``s`` where they are known) and learn from it."""
-        slots = np.stack((last, (last * 0x9E5 + before * 0x3C6EF35) >> 3))
-        slots &= SLOTS - 1
-        slots += self.base
+        n, votes = self.n, self.votes
+        self.hashed[:n] = last
+        self.hashed[n:] = (last * np.int32(0x9E5) + before * np.int32(0x3C6EF35)) >> 3  # wraps
+        slots = (self.hashed & (SLOTS - 1)) + self.base
         held = self.held.take(slots)
         sure, guesses = held & 15, held >> 4
-        second = sure[1] * 2 >= sure[0]
-        guess = np.where(second, guesses[1], guesses[0])
-        at = self.trusted + (sure + ((guesses[0] == guesses[1]) * np.int32(16) + second * np.int32(32)))
+        second = (sure[n:] << 1) >= sure[:n]
+        guess = np.where(second, guesses[n:], guesses[:n])
+        kind = ((guesses[:n] == guesses[n:]) | second.view(np.uint8) << 1) << 4
+        at = self.trusted + sure
+        at[:n] += kind
+        at[n:] += kind
         p = self.trust.take(at)
-        votes = np.empty(self.weights.shape, np.int32)
-        STRETCH.take(p >> 4, out=votes[:2], mode="clip")
+        STRETCH.take(p >> 4, out=votes[:2].reshape(-1), mode="clip")
         self.shares.votes.take(guess, out=votes[2], mode="clip")
         mixed = self.weights * votes
         q = SQUASH.take((mixed[0] + mixed[1] + mixed[2] >> 16) + 2047, mode="clip")
@@ -223,15 +230,19 @@ class _Models:
         votes += 32768
         votes >>= 16
         self.weights += votes
-        self.trust[at] = p + ((one * 65535 - p) >> RATE)
-        missed = np.flatnonzero(~right)
+        one *= 65535
+        p[:n] += (one - p[:n]) >> RATE
+        p[n:] += (one - p[n:]) >> RATE
+        self.trust[at] = p
+        missed = (~right).nonzero()[0]
         if s is None:
             found = guess
             found[missed] = coder.pick(missed, self.shares, None)
         else:
             found = s
             coder.pick(missed, self.shares, s.take(missed))
-        self.held[slots] = np.where(guesses == found, held + (sure < 15), np.where(sure < 2, found << 4 | 1, held - (sure + 1 >> 1)))
+        self.hashed[:n] = self.hashed[n:] = found
+        self.held[slots] = np.where(guesses == self.hashed, held + (sure < 15), np.where(sure < 2, self.hashed << 4 | 1, held - (sure + 1 >> 1)))
         return found
 
 
@@ -239,10 +250,10 @@ def code_blocks(symbols: np.ndarray, bits: int, shares: Shares | None = None) ->
     """Code each row of ``symbols`` on its own; order 0 gives them ``shares`` (even ones below 2 to the ``bits`` where not given)."""
     n, length = symbols.shape
     models, coder = _Models(n, shares or Shares.even(bits)), _Writer(n)
-    before = last = np.zeros(n, np.int64)
+    before = last = np.zeros(n, np.int32)
     columns = np.ascontiguousarray(symbols.T)
     for t in range(length):
-        before, last = last, models.code(coder, before, last, columns[t]).astype(np.int64)
+        before, last = last, models.code(coder, before, last, columns[t])
     return coder.finish()
 
 
@@ -251,10 +262,10 @@ def decode_blocks(coded: list[bytes], length: int, bits: int, shares: Shares | N
     n, shares = len(coded), shares or Shares.even(bits)
     models, coder = _Models(n, shares), _Reader(coded, shares)
     out = np.empty((length, n), np.int32)
-    before = last = np.zeros(n, np.int64)
+    before = last = np.zeros(n, np.int32)
     for t in range(length):
-        out[t] = models.code(coder, before, last, None)
-        before, last = last, out[t].astype(np.int64)
+        before, last = last, models.code(coder, before, last, None)
+        out[t] = last
     return np.ascontiguousarray(out.T)
 
 
@@ -329,8 +340,8 @@ def tokenizer(path: str | None):
 
 
 @lru_cache(maxsize=1)
-def pieces(path: str | None) -> tuple[str, np.ndarray] | None:
-    """(pattern of the pieces that lower-cased ``PLAIN`` words fall into, whether an id ends a piece), where the tokenizer has such."""
+def pieces(path: str | None) -> tuple | None:
+    """(the tokenizer without normaliser and cutting at spaces alone, for pieces, whether an id ends a piece), where it cuts words into ``PIECES``."""
     made = tokenizer(path)
     spec = json.loads(made.to_str())
     rules, cuts = ((spec[k] or {}).get(of, []) for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
@@ -344,7 +355,10 @@ def pieces(path: str | None) -> tuple[str, np.ndarray] | None:
         return None
     ends = np.zeros(made.get_vocab_size(), bool)
     ends[[i for token, i in made.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
-    return PIECES, ends
+    from tokenizers import Tokenizer, pre_tokenizers
+    for_pieces = Tokenizer.from_str(json.dumps(spec | {"normalizer": None}))
+    for_pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return for_pieces, ends
 
 
 class WordTokens:
@@ -367,7 +381,7 @@ class WordTokens:
         together, alone = new.filter(plain), new.filter(pc.invert(plain)).to_pylist()
         ids, size = np.zeros(0, np.int32), np.zeros(0, np.int64)
         if len(together):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(together.to_pylist())], add_special_tokens=False)[0].ids, np.int32)
+            ids = np.array(self.pieces[0].encode_batch_fast([" ".join(together.to_pylist())], add_special_tokens=False)[0].ids, np.int32)
             stop = np.flatnonzero(self.pieces[1][ids]) + 1
             if len(stop) != len(together) or stop[-1] != len(ids):
                 raise ValueError("the tokenizer cuts plain words otherwise")
@@ -384,16 +398,28 @@ class WordTokens:
         """(distinct pieces, the pieces of all words, where each word's begin)."""
         if not self.pieces:
             return values, np.arange(len(values)), np.arange(len(values) + 1)
-        plain = self.plain(values)
-        parts = Words(pc.replace_substring_regex(pc.utf8_lower(values.filter(plain)), f"({self.pieces[0]})", "\\1 "))
-        rest = values.filter(pc.invert(plain))
-        plain = plain.to_numpy(zero_copy_only=False)
+        tail, stem = pc.utf8_ltrim(values, LETTERS), pc.utf8_rtrim(values, MARKS)
+        # letters, then marks: no pattern is needed
+        easy = pc.equal(pc.add(pc.binary_length(stem), pc.binary_length(tail)), pc.binary_length(values))
+        hard = values.filter(pc.invert(easy))
+        plain = self.plain(hard)
+        parts = Words(pc.replace_substring_regex(pc.utf8_lower(hard.filter(plain)), f"({PIECES})", "\\1 "))
+        easy = easy.to_numpy(zero_copy_only=False)
+        both = pa.concat_arrays([pc.utf8_lower(stem.filter(pa.array(easy))), tail.filter(pa.array(easy))])
+        coded = both.dictionary_encode()
+        is_plain = np.zeros(len(values), bool)
+        is_plain[~easy] = plain.to_numpy(zero_copy_only=False)
+        real = (pc.binary_length(both).to_numpy() > 0).reshape(2, -1)
         size = np.ones(len(values), np.int64)
-        size[plain] = parts.counts
-        codes = np.empty(size.sum(), np.int64)
-        of_plain = np.repeat(plain, size)
-        codes[of_plain], codes[~of_plain] = parts.codes, len(parts.values) + np.arange(len(rest))
-        return pa.concat_arrays([parts.values.cast(rest.type), rest]), codes, np.r_[0, np.cumsum(size)]
+        size[easy], size[is_plain] = real.sum(0), parts.counts
+        which = np.repeat(easy + 2 * is_plain, size)
+        codes = np.empty(len(which), np.int64)
+        codes[which == 1] = coded.indices.to_numpy().reshape(2, -1).T[real.T]
+        codes[which == 2] = len(coded.dictionary) + parts.codes
+        rest = hard.filter(pc.invert(plain))
+        codes[which == 0] = len(coded.dictionary) + len(parts.values) + np.arange(len(rest))
+        found = pa.concat_arrays([coded.dictionary, parts.values.cast(rest.type), rest]).dictionary_encode()
+        return found.dictionary, found.indices.to_numpy().astype(np.int64)[codes], np.r_[0, np.cumsum(size)]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; ids per text)."""

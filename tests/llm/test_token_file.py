@@ -74,3 +74,47 @@ def test_operator_against_the_library(spark, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert read_token_files(write_token_files(docs)).count() == 0
+
+
+ODD_WORDS = [*(a + c + b for c in token_file.LETTERS for a in ("", "x", "'") for b in ("", "'s", "\u0301", ",.")), *token_file.MARKS, "don't", "we'll", "x'LL!'re", "!'s", "'S", "<<", "a<b", "</w>", "x</w>",
+             "<|ENDOFTEXT|>", "a<|endoftext|>b", "1a2'd3", "I\u0307", "\u212a", "K1", "a\x1cb", "a\u00a0b", "\u00aa", "\u00b5", "x\u00d7y", "\u0149", "\u01c5", "\u0301a", "''ve", "-- --", "e=mc^2"]
+
+
+def test_odd_words_equal_the_library():
+    words = WordTokens(None, 2)
+    for column in ([" ".join(ODD_WORDS)], ODD_WORDS, [w[::-1] for w in ODD_WORDS]):
+        ids, size = words.encode(pa.array(column, pa.string()))
+        want = reference(column)
+        assert size.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_new_pieces_are_encoded_together(monkeypatch):
+    words, calls = WordTokens(None, 2), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            calls.append(len(texts))
+            return tokenizer(None).encode_batch_fast(texts, **more)
+
+    words.tokenizer, words.pieces = Counted(), (Counted(), words.pieces[1])
+    rows = [" ".join(f"{chr(97 + i)}{chr(97 + k)}é," for k in range(26)) for i in range(26)]
+    ids, _ = words.encode(pa.array(rows, pa.string()))
+    assert sum(calls) <= 2 and ids.tolist() == [i for w in reference(rows) for i in w]
+
+
+def test_files_are_read_back_once(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = read_token_files(token_file.staged(write_token_files(docs), "read-once"))._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the files are not dealt to a join, neither as they are nor decoded
+    assert plan.count("MapInArrow") == 1 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_shares_cover_every_place():
+    for counts in ([1], [5, 1, 1], list(range(1, 3000)), [1] * 300_000):
+        size = token_file.Shares.of(np.array(counts))
+        assert size.min() >= 1 and int(size.sum()).bit_count() == 1
