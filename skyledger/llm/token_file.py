@@ -11,7 +11,7 @@ The blocks of a file are coded in step with one another: every operation works o
 A file is one binary value, held with its place in a table that Spark writes (tasks commit whole files, so a lost executor's
 are written again).  Files hold whole documents in ascending doc_id order (null first), each followed by the end id.
 A null text counts as empty; rows with the same doc_id follow one another; an empty table gives no files and no rows;
-other columns are ignored.  Words are cut to the tokenizer's pieces, which its tokens never cross, and a task tokenizes each piece once.
+other columns are ignored.  Words are cut to the tokenizer's pieces, which its tokens never cross, and a Python worker tokenizes each piece once (while it remembers it).
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ END = 2
 BLOCK_IDS = 2048
 TOGETHER = 4096             # blocks coded in step
 FILE_IDS = 1 << 23          # a file is closed at the first document end past so many ids
-CACHED_WORDS = 400_000      # distinct pieces of words that a task remembers
+SLICE = 8 << 20             # bytes of text whose words are cut at once
+CACHED_WORDS = 600_000      # distinct pieces of words that a worker remembers
 PLAIN = r"^[!-;=-~À-ÖØ-öø-įı-ſЀ-џ]+$"  # words that lower-casing alone normalises and that hold no special token (these begin with <)
 LETTERS = "".join(c for c in map(chr, range(0x460)) if re.match(r"[A-Za-zÀ-ÖØ-öø-įı-ſЀ-џ]", c))
 MARKS = "!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
@@ -118,7 +119,7 @@ class _Writer:
     def bit(self, q: np.ndarray, truth: np.ndarray) -> np.ndarray:
         """Code whether ``truth`` holds, of probability ``q`` in 4096."""
         part = (self.range >> B12) * q.astype(np.uint64)
-        self.low += part * ~truth
+        np.add(self.low, part, out=self.low, where=~truth)
         self.range = np.where(truth, part, self.range - part)
         return truth
 
@@ -343,10 +344,10 @@ def tokenizer(path: str | None):
 def pieces(path: str | None) -> tuple | None:
     """(the tokenizer without normaliser and cutting at spaces alone, for pieces, whether an id ends a piece), where it cuts words into ``PIECES``."""
     made = tokenizer(path)
-    spec = json.loads(made.to_str())
-    rules, cuts = ((spec[k] or {}).get(of, []) for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
-    suffix = spec["model"].get("end_of_word_suffix")
-    if ([r["type"] for r in rules], [c["type"] for c in cuts], suffix) != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "</w>") or spec["post_processor"]:
+    rules, cuts = (json.loads(x.__getstate__()) if x else {} for x in (made.normalizer, made.pre_tokenizer))
+    rules, cuts = rules.get("normalizers", []), cuts.get("pretokenizers", [])
+    suffix = getattr(made.model, "end_of_word_suffix", None)
+    if ([r["type"] for r in rules], [c["type"] for c in cuts], suffix) != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "</w>") or made.post_processor:
         return None
     split, coded = cuts
     if rules[1]["pattern"] != {"Regex": "\\s+"} or rules[1]["content"] != " " or (split["behavior"], split["invert"], split["pattern"].get("Regex")) != ("Removed", True, PIECES):
@@ -356,7 +357,7 @@ def pieces(path: str | None) -> tuple | None:
     ends = np.zeros(made.get_vocab_size(), bool)
     ends[[i for token, i in made.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
     from tokenizers import Tokenizer, pre_tokenizers
-    for_pieces = Tokenizer.from_str(json.dumps(spec | {"normalizer": None}))
+    for_pieces = Tokenizer(made.model)
     for_pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     return for_pieces, ends
 
@@ -375,13 +376,16 @@ class WordTokens:
     def reset(self) -> None:
         self.known, self.flat, self.stop = pa.array([], pa.large_string()), np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def learn(self, new: pa.Array) -> None:
-        """Remember the ids of ``new`` pieces."""
+    def learn(self, new: pa.Array) -> np.ndarray:
+        """Remember the ids of ``new`` pieces; their places."""
         plain = self.plain(new)
+        place = np.empty(len(new), np.int64)
+        place[np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")] = len(self.known) + np.arange(len(new))
         together, alone = new.filter(plain), new.filter(pc.invert(plain)).to_pylist()
         ids, size = np.zeros(0, np.int32), np.zeros(0, np.int64)
         if len(together):
-            ids = np.array(self.pieces[0].encode_batch_fast([" ".join(together.to_pylist())], add_special_tokens=False)[0].ids, np.int32)
+            text = pc.binary_join(pa.LargeListArray.from_arrays([0, len(together)], together), " ")[0].as_py()
+            ids = np.array(self.pieces[0].encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             stop = np.flatnonzero(self.pieces[1][ids]) + 1
             if len(stop) != len(together) or stop[-1] != len(ids):
                 raise ValueError("the tokenizer cuts plain words otherwise")
@@ -390,6 +394,7 @@ class WordTokens:
         self.known = pa.concat_arrays([self.known, together, pa.array(alone, self.known.type)])
         self.flat = np.concatenate((self.flat, ids, np.array([i for m in made for i in m], np.int32)))
         self.stop = np.r_[self.stop, self.stop[-1] + np.cumsum(np.r_[size, [len(m) for m in made]].astype(np.int64))]
+        return place
 
     def plain(self, values: pa.Array) -> pa.Array:
         return pc.match_substring_regex(values, PLAIN) if self.pieces else pa.array(np.zeros(len(values), bool))
@@ -427,11 +432,11 @@ class WordTokens:
         values, codes, first = self.cut(words.values.cast(pa.large_string()))
         if len(self.known) > CACHED_WORDS:
             self.reset()
-        place = pc.index_in(values, self.known)
-        if place.null_count:
-            self.learn(values.filter(pc.is_null(place)))
-            place = pc.index_in(values, self.known)
-        of_pieces = pa.LargeListArray.from_arrays(self.stop, self.flat).take(place.take(pa.array(codes)))
+        place = pc.fill_null(pc.index_in(values, self.known), -1).to_numpy().astype(np.int64)
+        new = place < 0
+        if new.any():
+            place[new] = self.learn(values.filter(pa.array(new)))
+        of_pieces = pa.LargeListArray.from_arrays(self.stop, self.flat).take(pa.array(place[codes]))
         stop = bounds(of_pieces)[first]
         lists = pa.LargeListArray.from_arrays(np.r_[stop, stop[-1] + 1], np.r_[of_pieces.flatten().to_numpy(), np.int32(self.end)])
         which = np.insert(words.codes, words.first[1:], len(words.values))
@@ -439,10 +444,16 @@ class WordTokens:
         return found.flatten().to_numpy(), np.diff(bounds(found)[np.r_[0, words.first[1:] + np.arange(1, len(words.first))]])
 
 
+@lru_cache(maxsize=1)
+def word_tokens(path: str | None, end: int) -> WordTokens:
+    """The pieces that this Python worker remembers, over all its tasks."""
+    return WordTokens(path, end)
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str | None = None, end: int = END) -> DataFrame:
     """The files of ``docs`` (doc_id, text): part, seq (their order), n_ids, file."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, words = TaskContext.get().partitionId(), 0, WordTokens(tokenizer_path, end)
+        part, seq, words = TaskContext.get().partitionId(), 0, word_tokens(tokenizer_path, end)
         names, lengths, ids, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -451,7 +462,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str | None = None, end: i
                                               names=["part", "seq", "n_ids", "file"])
 
         for batch in batches:
-            for run in text_slices(batch):
+            for run in text_slices(batch, limit=SLICE):
                 some, size = words.encode(run.column("text"))
                 names += run.column("doc_id").to_pylist()
                 lengths.append(size)
