@@ -384,7 +384,7 @@ class WordTokens:
         together, alone = new.filter(plain), new.filter(pc.invert(plain)).to_pylist()
         ids, size = np.zeros(0, np.int32), np.zeros(0, np.int64)
         if len(together):
-            text = pc.binary_join(pa.LargeListArray.from_arrays([0, len(together)], together), " ")[0].as_py()
+            text = pc.binary_join(pa.ListArray.from_arrays([0, len(together)], together.cast(pa.string())), " ")[0].as_py()
             ids = np.array(self.pieces[0].encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             stop = np.flatnonzero(self.pieces[1][ids]) + 1
             if len(stop) != len(together) or stop[-1] != len(ids):
