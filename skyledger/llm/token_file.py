@@ -1,10 +1,10 @@
 """Token-id files by an adaptive context-mixing range coder (operator 7).
 
-Ids are coded in blocks of ``BLOCK_IDS``.  A block lists its distinct ids and codes each id's place in that list by the
-predictions of three adaptive models: order 0 counts the places, orders 1 and 2 guess the one that follows the last, or the last two.
-Whether a guess is right is one decision, whose probability a logistic mixer trained on the block makes of all three
-orders' votes; what no guess meets is coded by the counts.  A range coder (48 bits, carries added at the end) writes both.
-All state starts anew with each block, which also holds a checksum of its ids, so any block is read alone.
+Ids are coded in blocks of ``BLOCK_IDS``.  A file lists its distinct ids and the share each has of its ids; these shares, fixed for
+the file, are order 0.  Two models adapt within a block: orders 1 and 2 guess the id that follows the last one, or the last two.
+Whether the surer guess is right is one decision, whose probability a logistic mixer trained on the block makes of all three
+orders' votes; an id not guessed is coded by its share.  A range coder (48 bits, carries added at the end) writes both.
+All adaptive state starts anew with each block, whose ids have a checksum, so any block is read alone with its file's shares.
 
 The blocks of a file are coded in step with one another: every operation works on one id of all of them at once.
 
